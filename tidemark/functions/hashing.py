@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 SEPARATOR = "||"
-MISSING = "\u0000"
+MISSING = "\u001f"
 
 
 def hash_diff(tracked: Sequence[str], null_safe: bool = False) -> Column:

@@ -13,10 +13,17 @@ PIPELINE = "customer_pipeline"
 SLA_MINUTES = 120
 
 
+def mark_of(marks: DataFrame, pipeline: str = PIPELINE) -> DataFrame:
+    """One row: the stored high-water mark, or the initial one for a pipeline that has none."""
+    stored = marks.filter(F.col("pipeline_name") == pipeline).agg(F.max("last_processed_ts").alias("stored"))
+    return stored.select(
+        F.lit(pipeline).alias("pipeline_name"),
+        F.coalesce("stored", ntz(FIRST_MARK)).alias("last_processed_ts"),
+    )
+
+
 def read_mark(marks: DataFrame, pipeline: str = PIPELINE) -> datetime:
-    """Stored high-water mark, or the initial one for a pipeline that has none."""
-    row = marks.filter(F.col("pipeline_name") == pipeline).select("last_processed_ts").first()
-    return row[0] if row and row[0] else FIRST_MARK
+    return mark_of(marks, pipeline).first()["last_processed_ts"]
 
 
 def since_mark(events: DataFrame, mark: Column, time: str = "event_time", days: int = LOOKBACK_DAYS) -> DataFrame:

@@ -8,6 +8,8 @@ from pyspark.sql import types as T
 
 CORRUPT = "_corrupt_record"
 INPUT_FILE = "_input_file"
+# CSV text of zone-free timestamps; Spark's own default stops at milliseconds.
+MICROSECONDS = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
 
 
 def read_csv_feed(
@@ -24,8 +26,8 @@ def read_csv_feed(
     return reader.schema(schema).csv(path)
 
 
-def write_csv(df: DataFrame, path: str) -> str:
-    df.write.option("header", True).mode("overwrite").csv(path)
+def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> str:
+    df.write.option("header", True).option("timestampNTZFormat", MICROSECONDS).mode(mode).csv(path)
     return path
 
 

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import datetime
+from datetime import UTC, datetime
 
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
@@ -12,13 +12,17 @@ from tidemark.plans.medallion import Layout, run_batch
 from tidemark.sources.warehouse import Warehouse
 
 
+def utc_now() -> datetime:
+    return datetime.now(UTC).replace(tzinfo=None)
+
+
 def stream_feed(
     wh: Warehouse,
     folder: str,
     checkpoint: str,
     name: str,
     layout: Layout | None = None,
-    as_of: Callable[[], datetime] = datetime.now,
+    as_of: Callable[[], datetime] = utc_now,
     files_per_batch: int | None = None,
 ) -> StreamingQuery:
     """Process all files not seen before, then stop.
