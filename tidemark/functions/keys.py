@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.times import micros
-from tidemark.session import shared_root
+from tidemark.operators.skew import settle
 
 ROWS_PER_PARTITION_BITS = 33
 
@@ -34,19 +34,16 @@ def with_dense_key(
 
     Rows are range-partitioned and sorted once; monotonically_increasing_id then holds the
     partition number above its low 33 bits and the position inside the partition in them. Only
-    one count per partition is summed globally. The sorted rows are checkpointed because numbers
-    and counts must come from the same range boundaries.
+    one count per partition is summed globally. The sorted rows are written out because numbers and
+    counts must come from the same range boundaries.
     """
-    spark = df.sparkSession
-    shared_root(spark)
     ranged = df.repartitionByRange(partitions, *order) if partitions else df.repartitionByRange(*order)
-    placed = (
+    placed = settle(
         ranged.sortWithinPartitions(*order)
         .withColumn("_place", F.monotonically_increasing_id())
         .withColumn("_part", F.shiftright("_place", ROWS_PER_PARTITION_BITS))
         .withColumn("_row", F.col("_place").bitwiseAND(F.lit((1 << ROWS_PER_PARTITION_BITS) - 1)))
         .drop("_place")
-        .checkpoint()
     )
     # One row per partition: bounded by the partition count, whatever the data size.
     sizes = placed.groupBy("_part").agg(F.count(F.lit(1)).alias("_size"))

@@ -89,7 +89,7 @@ def touched_keys(batch: DataFrame, dim: DataFrame, spec: History) -> DataFrame:
     """One row per key of the batch, `late` if any of its events is."""
     first = settle(batch.groupBy(spec.key).agg(F.min(spec.time).alias("_first")))
     starts = current(dim).select(spec.key, F.col("start_date").alias("_start"))
-    starts = join_lookup(starts, first.select(spec.key), spec.key, "left_semi")
+    starts = join_lookup(starts, first.select(spec.key), spec.key, "left_semi", even=True)
     late = F.coalesce(F.col("_first") < F.col("_start"), F.lit(False))
     return first.join(starts, spec.key, "left").select(spec.key, late.alias("late"))
 
@@ -126,7 +126,7 @@ def fold(open_rows: DataFrame, batch: DataFrame, spec: History) -> DataFrame:
 
 def _on_time(dim: DataFrame, batch: DataFrame, spec: History) -> tuple[DataFrame, DataFrame]:
     keys = settle(touched_keys(batch, dim, spec).filter(~F.col("late")).select(spec.key))
-    return join_lookup(current(dim), keys, spec.key, "left_semi"), join_lookup(batch, keys, spec.key, "left_semi")
+    return join_lookup(current(dim), keys, spec.key, "left_semi", even=True), join_lookup(batch, keys, spec.key, "left_semi")
 
 
 def expired_versions(dim: DataFrame, batch: DataFrame, spec: History) -> DataFrame:

@@ -23,7 +23,7 @@ def several_current(dim: DataFrame, key: str = "customer_id") -> DataFrame:
 def orphans(facts: DataFrame, dim: DataFrame, key: str) -> DataFrame:
     """Non-NULL fact keys without a dimension row, with the number of facts."""
     used = facts.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("facts"))
-    return join_lookup(used, dim.select(key).distinct(), key, "left_anti")
+    return join_lookup(used, dim.select(key).distinct(), key, "left_anti", even=True)
 
 
 def null_counts(df: DataFrame, required: Sequence[str]) -> DataFrame:

@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.operators.skew import join_lookup
+from tidemark.operators.skew import join_lookup, settle
 
 NULL_KEY = "NULL_CUSTOMER_ID"
 FUTURE = "FUTURE_TIMESTAMP"
@@ -46,8 +46,9 @@ def repeated_ids(df: DataFrame, event_id: str = "event_id") -> DataFrame:
 
 def duplicate_rows(df: DataFrame, event_id: str = "event_id") -> DataFrame:
     """Every copy of every repeated id; rows without an id are no duplicates."""
-    ids = repeated_ids(df, event_id).select(event_id)
-    return join_lookup(df, ids, event_id, "left_semi", derived=True).withColumn(REASON, F.lit(DUPLICATE))
+    ids = settle(repeated_ids(df, event_id).withColumnRenamed("copies", "count"))
+    found = join_lookup(df, ids.select(event_id), event_id, "left_semi", counts=ids)
+    return found.withColumn(REASON, F.lit(DUPLICATE))
 
 
 def violations(df: DataFrame, rules: Sequence[Rule], event_id: str = "event_id") -> DataFrame:
@@ -59,30 +60,40 @@ def violations(df: DataFrame, rules: Sequence[Rule], event_id: str = "event_id")
 
 
 def flag(
-    df: DataFrame, rules: Sequence[Rule], event_id: str = "event_id", null_id: str = "judge"
+    df: DataFrame,
+    rules: Sequence[Rule],
+    event_id: str = "event_id",
+    null_id: str = "judge",
+    unique_ids: bool = False,
 ) -> DataFrame:
     """Add `reasons` (rules the row breaks) and `rejected` (any row of its id breaks one).
 
     Ids are summarised first (combined before the shuffle); only those with something wrong go
-    into the join, which is a broadcast while they are few. Rows without an id cannot share one:
-    they are judged row by row, or always pass with null_id="leak".
+    into the join, which is a broadcast while they are few. With `unique_ids`, as in a
+    deduplicated table, each row stands for its id and nothing is shuffled. Rows without an id
+    cannot share one: they are judged row by row, or always pass with null_id="leak".
     """
     broken = any_broken(rules)
-    suspects = (
-        df.groupBy(event_id)
-        .agg(F.count(F.lit(1)).alias("_copies"), F.max(broken).alias("_broken"))
-        .filter((F.col("_copies") > 1) | F.col("_broken"))
-        .filter(F.col(event_id).isNotNull())
-        .drop("_broken")
-    )
-    joined = join_lookup(df, suspects, event_id, "left", derived=True)
     checks = [F.when(rule.broken, F.lit(rule.reason)) for rule in rules]
-    checks.append(F.when(F.col("_copies") > 1, F.lit(DUPLICATE)))
+    if unique_ids:
+        judged, rejected = df, broken
+    else:
+        suspects = settle(
+            df.groupBy(event_id)
+            .agg(F.count(F.lit(1)).alias("count"), F.max(broken).alias("_broken"))
+            .filter((F.col("count") > 1) | F.col("_broken"))
+            .filter(F.col(event_id).isNotNull())
+            .drop("_broken")
+        )
+        lookup = suspects.withColumnRenamed("count", "_copies")
+        judged = join_lookup(df, lookup, event_id, "left", counts=suspects)
+        checks.append(F.when(F.col("_copies") > 1, F.lit(DUPLICATE)))
+        rejected = F.col("_copies").isNotNull()
     alone = broken if null_id == "judge" else F.lit(False)
-    return joined.withColumns(
+    return judged.withColumns(
         {
             "reasons": F.array_compact(F.array(*checks)),
-            "rejected": F.when(F.col(event_id).isNull(), alone).otherwise(F.col("_copies").isNotNull()),
+            "rejected": F.when(F.col(event_id).isNull(), alone).otherwise(rejected),
         }
     ).drop("_copies")
 
@@ -98,5 +109,6 @@ def valid_rows(flagged: DataFrame) -> DataFrame:
 
 def unseen_dead_letters(found: DataFrame, stored: DataFrame, event_id: str = "event_id") -> DataFrame:
     """Dead letters whose (id, reason) is not stored yet; those without an id always pass."""
-    known = stored.filter(F.col(event_id).isNotNull()).select(event_id, REASON).distinct()
-    return found.join(known, [event_id, REASON], "left_anti")
+    dead = F.struct(event_id, REASON)
+    known = stored.filter(F.col(event_id).isNotNull()).select(dead.alias("_dead")).distinct()
+    return join_lookup(found.withColumn("_dead", dead), known, "_dead", "left_anti").drop("_dead")

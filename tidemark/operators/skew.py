@@ -9,12 +9,14 @@ from dataclasses import dataclass, replace
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.session import setting, shared_root
+from tidemark.session import setting, work_folder
 
 # A key with more rows than this is spread over several tasks (spark.tidemark.hotRows).
 HOT_ROWS = 5_000_000
 # Lookup frames up to this many rows are broadcast (spark.tidemark.broadcastRows).
 BROADCAST_ROWS = 200_000
+# More range partitions than this cost more than somewhat longer segments.
+MOST_SEGMENTS = 20_000
 SEGMENT = "_segment"
 
 
@@ -24,49 +26,60 @@ class HotKeys:
     rows: int
 
 
-def hot_keys(df: DataFrame, key: str) -> HotKeys | None:
-    """Keys with more than hotRows rows.
+def large_keys(counts: DataFrame, key: str) -> HotKeys | None:
+    """Keys whose `count` exceeds hotRows.
 
     A frame of N rows has fewer than N / hotRows of them (200 000 in 10^12 rows at the default),
-    so the list is small enough for the driver and for a broadcast. Counting reads one column and
-    combines before its shuffle.
+    so the list is small enough for the driver and for a broadcast.
     """
-    spark = df.sparkSession
+    spark = counts.sparkSession
     limit = setting(spark, "hotRows", HOT_ROWS)
-    counted = df.groupBy(key).count().filter(F.col(key).isNotNull() & (F.col("count") > limit))
-    found = counted.collect()
+    found = counts.filter(F.col(key).isNotNull() & (F.col("count") > limit)).select(key, "count").collect()
     if not found:
         return None
-    keys = spark.createDataFrame([(row[0],) for row in found], df.select(key).schema)
+    keys = spark.createDataFrame([(row[0],) for row in found], counts.select(key).schema)
     return HotKeys(keys, sum(row[1] for row in found))
 
 
+def hot_keys(df: DataFrame, key: str) -> HotKeys | None:
+    """Large keys of a frame; counting reads one column and combines before its shuffle."""
+    return large_keys(df.groupBy(key).count(), key)
+
+
 def fits_broadcast(df: DataFrame) -> bool:
     limit = setting(df.sparkSession, "broadcastRows", BROADCAST_ROWS)
     return df.limit(limit + 1).count() <= limit
 
 
 def settle(df: DataFrame) -> DataFrame:
-    """Compute a derived frame once, into the checkpoint folder, for several readers."""
-    shared_root(df.sparkSession)
-    return df.checkpoint()
+    """Compute a derived frame once, as a table in the shared folder, for several readers."""
+    path = work_folder(df.sparkSession, "settled")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def join_lookup(
-    big: DataFrame, lookup: DataFrame, key: str, how: str = "left", derived: bool = False
+    big: DataFrame,
+    lookup: DataFrame,
+    key: str,
+    how: str = "left",
+    counts: DataFrame | None = None,
+    even: bool = False,
 ) -> DataFrame:
     """Join `big` to a frame with at most one row per key (left, inner, left_semi, left_anti).
 
     A lookup of counted, limited size is broadcast. Beyond that both sides are shuffled, except
     that rows without a key never travel and rows of hot keys meet a broadcast of just those
-    keys' lookup rows. `derived`: the lookup is costly to compute, so do it once before counting.
+    keys' lookup rows. Hot keys are counted unless `counts` already has them (key, count), or
+    `even` says that no key of `big` has many rows.
     """
-    if derived:
-        lookup = settle(lookup)
     if fits_broadcast(lookup):
         return big.join(F.broadcast(lookup), key, how)
     keyed = big.filter(F.col(key).isNotNull())
-    hot = hot_keys(keyed, key)
+    if even:
+        hot = None
+    else:
+        hot = hot_keys(keyed, key) if counts is None else large_keys(counts, key)
     if hot is None:
         joined = keyed.join(lookup, key, how)
     else:
@@ -104,9 +117,10 @@ class Ordered:
         if hot is None:
             return cls(df, key, tuple(order))
         few = F.broadcast(hot.keys)
-        parts = 1 + math.ceil(2 * hot.rows / setting(df.sparkSession, "hotRows", HOT_ROWS))
+        wanted = 1 + math.ceil(2 * hot.rows / setting(df.sparkSession, "hotRows", HOT_ROWS))
+        parts = min(wanted, MOST_SEGMENTS)
         cold = df.join(few, key, "left_anti").withColumn(SEGMENT, F.lit(0))
-        # Checkpointed: every later pass has to see the same range boundaries.
+        # Written out: every later pass has to see the same range boundaries.
         spread = settle(
             df.join(few, key, "left_semi")
             .repartitionByRange(parts, key, *order)

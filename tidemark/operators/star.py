@@ -22,8 +22,8 @@ def product_rows(feed: DataFrame, product_id: str = "product_id") -> DataFrame:
 
 
 def unseen(feed: DataFrame, stored: DataFrame, key: str) -> DataFrame:
-    """Rows whose key is not stored yet."""
-    return join_lookup(feed, stored.select(key), key, "left_anti")
+    """Rows of a feed with one row per key whose key is not stored yet."""
+    return join_lookup(feed, stored.select(key), key, "left_anti", even=True)
 
 
 def order_dates(orders: DataFrame, time: str = "order_date") -> DataFrame:
@@ -45,8 +45,9 @@ def with_product(facts: DataFrame, products: DataFrame) -> DataFrame:
 
 
 def with_date(facts: DataFrame, dates: DataFrame, time: str = "order_date") -> DataFrame:
+    """Broadcast without a count: the calendar up to year 9999 has 3.7 million days."""
     dated = facts.withColumn("full_date", F.to_date(F.col(time)))
-    return join_lookup(dated, dates.select("full_date", "date_sk"), "full_date", "left")
+    return dated.join(F.broadcast(dates.select("full_date", "date_sk")), "full_date", "left")
 
 
 def sales_facts(
@@ -70,13 +71,10 @@ def sales_facts(
 
 def unmatched_facts(facts: DataFrame) -> DataFrame:
     """How many facts have no customer version, product or date."""
-    missing = lambda name: F.count_if(F.col(name).isNull())
-    return facts.agg(
-        F.count(F.lit(1)).alias("facts"),
-        missing("customer_sk").alias("without_customer"),
-        missing("product_sk").alias("without_product"),
-        missing("date_sk").alias("without_date"),
-    )
+    missing = {
+        f"without_{name}": F.count_if(F.col(f"{name}_sk").isNull()) for name in ("customer", "product", "date")
+    }
+    return facts.agg(F.count(F.lit(1)).alias("facts"), *[n.alias(name) for name, n in missing.items()])
 
 
 def fact_key(*grain: str) -> Column:

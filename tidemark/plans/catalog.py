@@ -13,7 +13,7 @@ from tidemark.functions.keys import version_key, with_dense_key
 from tidemark.functions.times import ntz
 from tidemark.operators import history, integrity, monitoring, quality, star, state
 from tidemark.operators.dedup import latest_per_key, latest_per_key_by_max
-from tidemark.operators.skew import join_lookup
+from tidemark.operators.skew import join_lookup, settle
 from tidemark.operators.temporal import join_as_of
 from tidemark.plans import inputs as given
 from tidemark.plans import medallion
@@ -219,7 +219,7 @@ def timeline_rebuild(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def scd2_initial(spark: SparkSession, sf: str) -> DataFrame:
     """First run: every customer is new."""
-    batch = given.cdc_batch1(spark, sf)
+    batch = settle(given.early(given.cdc_valid(spark, sf)))
     none = spark.createDataFrame([], LAYOUT.dimension).select(*VERSION)
     return history.merge(none, batch, batch, SPEC)
 
@@ -277,13 +277,13 @@ def late_event_detect(spark: SparkSession, sf: str) -> DataFrame:
 
 def _late_keys(spark: SparkSession, sf: str) -> DataFrame:
     keys = history.touched_keys(given.ord_batch2(spark, sf), given.ord_dim1(spark, sf), SPEC)
-    return keys.filter("late").select("customer_id")
+    return settle(keys.filter("late").select("customer_id"))
 
 
 @query
 def late_customer_events(spark: SparkSession, sf: str) -> DataFrame:
     events = given.ord_cdc(spark, sf)
-    late = join_lookup(events, _late_keys(spark, sf), "customer_id", "left_semi", derived=True)
+    late = join_lookup(events, _late_keys(spark, sf), "customer_id", "left_semi")
     return late.select(*CHANGE)
 
 
@@ -431,21 +431,23 @@ def watermark_read(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def watermark_advance(spark: SparkSession, sf: str) -> DataFrame:
-    before = state.advanced_marks(_marks(spark, sf), given.cdc_batch1(spark, sf))
-    return state.advanced_marks(before, given.cdc_batch2(spark, sf))
+    valid = given.cdc_stored(spark, sf)
+    before = state.advanced_marks(_marks(spark, sf), given.early(valid))
+    return state.advanced_marks(before, given.second_run(valid))
 
 
 @query
 def incremental_lookback(spark: SparkSession, sf: str) -> DataFrame:
-    return given.cdc_batch2(spark, sf).select(*EVENT)
+    return given.second_run(given.cdc_stored(spark, sf)).select(*EVENT)
 
 
 @query
 def run_metrics(spark: SparkSession, sf: str) -> DataFrame:
     """Second run: rows after the lookback border, their violations, and what came too late."""
-    mark = ntz(given.cdc_mark(spark, sf))
-    silver = given.cdc_silver(spark, sf)
-    flagged = quality.flag(state.since_mark(silver, mark), given.cdc_rules())
+    silver = settle(given.cdc_silver(spark, sf))
+    valid = silver.filter(~quality.any_broken(given.cdc_rules()))
+    mark = ntz(given.newest(given.early(valid)))
+    flagged = quality.flag(state.since_mark(silver, mark), given.cdc_rules(), unique_ids=True)
     missed = state.too_late(silver.filter(F.col("arrival_ts") >= ntz(CDC_CUT)), mark)
     return state.run_metrics(flagged, missed, AS_OF)
 

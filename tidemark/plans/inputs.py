@@ -11,11 +11,12 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.functions.hashing import with_hash
 from tidemark.functions.keys import version_key
 from tidemark.functions.times import day_start, ntz, stale_minutes
 from tidemark.operators import history, quality, star, state
 from tidemark.operators.dedup import latest_per_key
-from tidemark.functions.hashing import with_hash
+from tidemark.operators.skew import settle
 
 AS_OF = datetime(2024, 1, 29)
 CDC_CUT = datetime(2024, 1, 25)
@@ -63,16 +64,23 @@ def cdc_valid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return with_hash(passed, SPEC.tracked)
 
 
-def cdc_batch1(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return cdc_valid(spark, sf_dir).filter(F.col("arrival_ts") < ntz(CDC_CUT))
+def cdc_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Valid events as the table a run would find."""
+    return settle(cdc_valid(spark, sf_dir))
+
+
+def early(events: DataFrame) -> DataFrame:
+    """What the first of two runs sees."""
+    return events.filter(F.col("arrival_ts") < ntz(CDC_CUT))
 
 
-def cdc_mark(spark: SparkSession, sf_dir: str) -> datetime:
-    return cdc_batch1(spark, sf_dir).agg(F.max("event_time")).first()[0]
+def newest(events: DataFrame) -> datetime:
+    return events.agg(F.max("event_time")).first()[0]
 
 
-def cdc_batch2(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return state.since_mark(cdc_valid(spark, sf_dir), ntz(cdc_mark(spark, sf_dir)))
+def second_run(valid: DataFrame) -> DataFrame:
+    """Valid events after the mark of the first run less the lookback."""
+    return state.since_mark(valid, ntz(newest(early(valid))))
 
 
 def cdc_versions(spark: SparkSession, sf_dir: str, collapse: bool = True) -> DataFrame:
@@ -103,7 +111,7 @@ def ord_batch1(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def ord_mark(spark: SparkSession, sf_dir: str) -> datetime:
-    return ord_batch1(spark, sf_dir).agg(F.max("event_time")).first()[0]
+    return newest(ord_batch1(spark, sf_dir))
 
 
 def ord_batch2(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -111,7 +119,8 @@ def ord_batch2(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def ord_dim1(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return history.versions(ord_batch1(spark, sf_dir), SPEC)
+    """The dimension after the first batch, as the table a run would find."""
+    return settle(history.versions(ord_batch1(spark, sf_dir), SPEC))
 
 
 def customer_versions(spark: SparkSession, sf_dir: str) -> DataFrame:

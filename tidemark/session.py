@@ -40,7 +40,6 @@ def shared_root(spark: SparkSession) -> str:
         if not (context.master == "local" or context.master.startswith("local[")):
             raise RuntimeError("set spark.checkpoint.dir to a folder that every executor can reach")
         root = tempfile.mkdtemp(prefix="tidemark-")
-    if not context.getCheckpointDir():
         context.setCheckpointDir(root)
     return root
 
