@@ -10,7 +10,6 @@ import json
 import os
 import statistics
 import sys
-import tempfile
 import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
@@ -24,14 +23,12 @@ def main() -> None:
     cpus = os.environ.get("BENCH_CPUS") or str(os.cpu_count())
     runs = int(os.environ.get("BENCH_RUNS", "2"))
     names = [n for n in os.environ.get("BENCH_QUERIES", "").split(",") if n] or list(QUERIES)
-    scratch = tempfile.mkdtemp(prefix="run-bench-")
     spark = build_session(
         "bench",
         f"local[{cpus}]",
         spark__sql__shuffle__partitions=cpus,
         spark__driver__memory="16g",
         spark__ui__showConsoleProgress="false",
-        spark__checkpoint__dir=scratch,
     )
     spark.sparkContext.setLogLevel("ERROR")
 

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
+from datetime import datetime
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.hashing import with_hash
+from tidemark.functions.times import ntz
 from tidemark.operators.skew import Ordered, join_lookup, settle
 
 
@@ -57,7 +60,7 @@ def versions(
     a version. Both windows share one shuffle and one sort.
     """
     staged = spec.staged(events)
-    rows = Ordered.by(staged, spec.key, ("start_date", "source_event_id"), counts_from)
+    rows = Ordered.by(staged, spec.key, ("start_date", "source_event_id"), counts_from=counts_from)
     if collapse:
         rows = rows.previous("hash_diff", "_before").filter(_changed())
     return _closed(rows, spec)
@@ -86,12 +89,23 @@ def late_events(batch: DataFrame, dim: DataFrame, spec: History) -> DataFrame:
 
 
 def touched_keys(batch: DataFrame, dim: DataFrame, spec: History) -> DataFrame:
-    """One row per key of the batch, `late` if any of its events is."""
-    first = settle(batch.groupBy(spec.key).agg(F.min(spec.time).alias("_first")))
-    starts = current(dim).select(spec.key, F.col("start_date").alias("_start"))
+    """One row per key of the batch, with the time of its first event there.
+
+    `late`: that event is before the start of the current version. `tied`: it is at the start,
+    but has a lower id than the event that opened the version.
+    """
+    earliest = F.min(F.struct(spec.time, spec.event_id)).alias("_earliest")
+    first = settle(batch.groupBy(spec.key).agg(earliest))
+    starts = current(dim).select(
+        spec.key, F.col("start_date").alias("_start"), F.col("source_event_id").alias("_source")
+    )
     starts = join_lookup(starts, first.select(spec.key), spec.key, "left_semi", even=True)
-    late = F.coalesce(F.col("_first") < F.col("_start"), F.lit(False))
-    return first.join(starts, spec.key, "left").select(spec.key, late.alias("late"))
+    time, source = F.col(f"_earliest.{spec.time}"), F.col(f"_earliest.{spec.event_id}")
+    late = F.coalesce(time < F.col("_start"), F.lit(False))
+    tied = F.coalesce((time == F.col("_start")) & (source < F.col("_source")), F.lit(False))
+    return first.join(starts, spec.key, "left").select(
+        spec.key, time.alias("first_time"), late.alias("late"), tied.alias("tied")
+    )
 
 
 def without_keys(dim: DataFrame, keys: DataFrame, spec: History) -> DataFrame:
@@ -107,7 +121,9 @@ def changed_events(batch: DataFrame, dim: DataFrame, spec: History) -> DataFrame
     return joined.filter(~F.col("_known").eqNullSafe(F.col("hash_diff"))).drop("_known")
 
 
-def fold(open_rows: DataFrame, batch: DataFrame, spec: History) -> DataFrame:
+def fold(
+    open_rows: DataFrame, batch: DataFrame, spec: History, counts_from: DataFrame | None = None
+) -> DataFrame:
     """Current versions and on-time events folded in one ordered pass.
 
     The current version enters as the first row of its key, so the comparison with it, its
@@ -119,7 +135,7 @@ def fold(open_rows: DataFrame, batch: DataFrame, spec: History) -> DataFrame:
     both = stored.unionByName(arrived, allowMissingColumns=True)
     extra = [name for name in open_rows.columns if name not in spec.columns]
     order = ("_new", "start_date", "source_event_id")
-    rows = Ordered.by(both, spec.key, order, counts_from=batch)
+    rows = Ordered.by(both, spec.key, order, counts_from=counts_from)
     rows = rows.previous("hash_diff", "_before").filter((F.col("_new") == 0) | _changed())
     return _closed(rows, spec, *extra, "_new").withColumn("is_stored", F.col("_new") == 0).drop("_new")
 
@@ -131,13 +147,13 @@ def _on_time(dim: DataFrame, batch: DataFrame, spec: History) -> tuple[DataFrame
 
 def expired_versions(dim: DataFrame, batch: DataFrame, spec: History) -> DataFrame:
     """Stored current versions that an on-time change closes."""
-    folded = fold(*_on_time(dim, batch, spec), spec)
+    folded = fold(*_on_time(dim, batch, spec), spec, counts_from=batch)
     return folded.filter(F.col("is_stored") & ~F.col("is_current")).drop("is_stored")
 
 
 def new_versions(dim: DataFrame, batch: DataFrame, spec: History) -> DataFrame:
     """Versions that on-time changes open."""
-    folded = fold(*_on_time(dim, batch, spec), spec)
+    folded = fold(*_on_time(dim, batch, spec), spec, counts_from=batch)
     return folded.filter(~F.col("is_stored")).drop("is_stored")
 
 
@@ -150,18 +166,79 @@ def merge(
     folded onto their current version; everything else passes through. The number of Spark jobs
     does not depend on the number of rows or late events.
     """
-    keys = settle(touched_keys(batch, dim, spec))
+    keys = settle(touched_keys(batch, dim, spec).select(spec.key, "late"))
     late = keys.filter("late").select(spec.key)
     on_time = keys.filter(~F.col("late")).select(spec.key)
 
     routed = join_lookup(dim, keys, spec.key, "left")
     folding = (F.col("late") == F.lit(False)) & F.col("is_current")
     passing = routed.filter(F.col("late").isNull() | (~F.col("late") & ~F.col("is_current"))).drop("late")
-    folded = fold(
-        routed.filter(folding).drop("late"), join_lookup(batch, on_time, spec.key, "left_semi"), spec
-    ).drop("is_stored")
+    arrived = join_lookup(batch, on_time, spec.key, "left_semi")
+    folded = fold(routed.filter(folding).drop("late"), arrived, spec, counts_from=batch).drop("is_stored")
     merged = passing.unionByName(folded)
     if late.isEmpty():
         return merged
     rebuilt = versions(join_lookup(events, late, spec.key, "left_semi"), spec, collapse)
     return merged.unionByName(rebuilt, allowMissingColumns=True)
+
+
+@dataclass(frozen=True)
+class Merged:
+    """A merged dimension, and per key the time from which it may differ from a rebuild."""
+
+    dim: DataFrame
+    disturbed: DataFrame
+
+
+def merge_recent(
+    dim: DataFrame,
+    batch: DataFrame,
+    events_since: Callable[[datetime], DataFrame],
+    disturbed: DataFrame,
+    spec: History,
+) -> Merged:
+    """`merge` with collapse, reading older events only where the outcome depends on them.
+
+    `batch` must hold every valid event after some time, as the lookback filter gives it. What a
+    rebuild would make of older events is then already in the dimension, so a late key is redone
+    from its first batch event on, folded onto the version valid just before.
+
+    `disturbed` (key, since) lists where that is not so: keys with events that came too late for
+    the lookback, replaced copies, or events at the time of a version's start that were folded
+    after it. A late key among them is redone from `since`, with events read from there. The
+    returned list leaves those keys out and adds the batch's own ties.
+    """
+    touched = settle(touched_keys(batch, dim, spec))
+    known = disturbed.groupBy(spec.key).agg(F.min("since").alias("_known"))
+    reach = F.least(F.col("first_time"), F.col("_known"))
+    keys = settle(
+        join_lookup(touched, known, spec.key, "left", even=True).select(
+            spec.key,
+            "late",
+            F.when(F.col("late"), reach).alias("since"),
+            (F.col("late") & (reach < F.col("first_time"))).alias("far"),
+        )
+    )
+
+    routed = join_lookup(dim, keys.drop("far"), spec.key, "left")
+    late, since, end = F.col("late"), F.col("since"), F.col("end_date")
+    before = F.coalesce(end < since, F.lit(False))
+    covers = (F.col("start_date") < since) & (end.isNull() | (end >= since))
+    passing = routed.filter(late.isNull() | (~late & ~F.col("is_current")) | (late & before))
+    opened = routed.filter((~late & F.col("is_current")) | (late & covers)).drop("late", "since")
+
+    arrived = join_lookup(batch, keys.filter(~F.col("far")).select(spec.key), spec.key, "left_semi")
+    counts = batch
+    far = keys.filter("far").select(spec.key, "since")
+    earliest = far.agg(F.min("since")).first()[0]
+    if earliest is not None:
+        older = events_since(earliest).filter(F.col(spec.time) >= ntz(earliest))
+        older = join_lookup(older, far, spec.key, "inner").filter(F.col(spec.time) >= F.col("since"))
+        arrived = arrived.unionByName(older.select(*arrived.columns))
+        counts = None
+    folded = fold(opened, arrived, spec, counts_from=counts).drop("is_stored")
+
+    redone = keys.filter("late").select(spec.key)
+    open_issues = join_lookup(disturbed, redone, spec.key, "left_anti")
+    ties = touched.filter("tied").select(spec.key, F.col("first_time").alias("since"))
+    return Merged(passing.drop("late", "since").unionByName(folded), open_issues.unionByName(ties))

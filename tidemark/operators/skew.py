@@ -100,22 +100,29 @@ class Ordered:
 
     Keys of ordinary size form one window group each. The rows of hot keys are range-partitioned
     by (key, order), each range being a segment and a group of its own; what crosses a segment
-    border is carried over from one summary row per key and segment.
+    border is carried over from one summary row per key and segment. `within` names columns that
+    divide a key's rows further.
     """
 
     rows: DataFrame
     key: str
     order: tuple[str, ...]
+    within: tuple[str, ...] = ()
     split: bool = False
 
     @classmethod
     def by(
-        cls, df: DataFrame, key: str, order: Sequence[str], counts_from: DataFrame | None = None
+        cls,
+        df: DataFrame,
+        key: str,
+        order: Sequence[str],
+        within: Sequence[str] = (),
+        counts_from: DataFrame | None = None,
     ) -> Ordered:
         """`counts_from`: cheaper frame whose rows per key are no fewer than those of `df`."""
         hot = hot_keys(df if counts_from is None else counts_from, key)
         if hot is None:
-            return cls(df, key, tuple(order))
+            return cls(df, key, tuple(order), tuple(within))
         few = F.broadcast(hot.keys)
         wanted = 1 + math.ceil(2 * hot.rows / setting(df.sparkSession, "hotRows", HOT_ROWS))
         parts = min(wanted, MOST_SEGMENTS)
@@ -123,13 +130,16 @@ class Ordered:
         # Written out: every later pass has to see the same range boundaries.
         spread = settle(
             df.join(few, key, "left_semi")
-            .repartitionByRange(parts, key, *order)
+            .repartitionByRange(parts, key, *within, *order)
             .withColumn(SEGMENT, F.spark_partition_id() + 1)
         )
-        return cls(cold.unionByName(spread), key, tuple(order), True)
+        return cls(cold.unionByName(spread), key, tuple(order), tuple(within), True)
+
+    def _groups(self) -> list[str]:
+        return [self.key, *self.within, SEGMENT]
 
     def _window(self) -> Window:
-        groups = [self.key, SEGMENT] if self.split else [self.key]
+        groups = self._groups() if self.split else self._groups()[:-1]
         return Window.partitionBy(*groups).orderBy(*self.order)
 
     def _position(self) -> Column:
@@ -137,12 +147,13 @@ class Ordered:
 
     def _with_carry(self, edge: Column, shift: Column) -> DataFrame:
         # One row per hot key and segment: bounded by hot keys + segments, hence the broadcast.
-        edges = self.rows.filter(F.col(SEGMENT) > 0).groupBy(self.key, SEGMENT).agg(edge.alias("_edge"))
-        carried = edges.select(self.key, SEGMENT, shift.alias("_carry"))
-        return self.rows.join(F.broadcast(carried), [self.key, SEGMENT], "left")
+        groups = self._groups()
+        edges = self.rows.filter(F.col(SEGMENT) > 0).groupBy(*groups).agg(edge.alias("_edge"))
+        carried = edges.select(*groups, shift.alias("_carry"))
+        return self.rows.join(F.broadcast(carried), groups, "left")
 
     def _segments(self) -> Window:
-        return Window.partitionBy(self.key).orderBy(SEGMENT)
+        return Window.partitionBy(self.key, *self.within).orderBy(SEGMENT)
 
     def _add(self, name: str, inside: Column, edge: Column, shift: Column) -> Ordered:
         if not self.split:

@@ -12,6 +12,7 @@ from tidemark.session import setting
 
 # Versions per key up to which comparing a fact with each of them is cheaper than sorting.
 FEW_VERSIONS = 256
+KEYLESS_LANES = 65_536
 
 
 def _range_join(facts: DataFrame, versions: DataFrame, key: str, time: str, carry: Sequence[str]) -> DataFrame:
@@ -32,34 +33,34 @@ def _running_join(facts: DataFrame, versions: DataFrame, key: str, time: str, ca
 
     One shuffle and one sort, and no pair of fact and version is ever formed, so many facts times
     many versions of one key stays linear. Needs validity windows that do not overlap. At equal
-    times versions come first, zero-length ones before the version that stays open.
+    times versions come first, zero-length ones before the version that stays open; a fact
+    without a time sorts before all of them.
     """
     held = list(dict.fromkeys([*carry, "end_date"]))
-    starts = versions.select(
+    starts = versions.filter(F.col(key).isNotNull()).select(
         key,
+        F.lit(0).alias("_lane"),
         F.col("start_date").alias("_at"),
         F.lit(0).alias("_kind"),
         F.col("end_date").isNull().alias("_open"),
         F.col("end_date").alias("_until"),
         F.struct(*held).alias("_version"),
     )
+    # Facts without a key find nothing; lanes keep them from meeting in one task.
+    lane = F.when(F.col(key).isNull(), F.pmod(F.xxhash64(*facts.columns), F.lit(KEYLESS_LANES)))
     placed = facts.select(
-        F.col(key),
+        key,
+        F.coalesce(lane, F.lit(0)).cast("int").alias("_lane"),
         F.col(time).alias("_at"),
         F.lit(1).alias("_kind"),
-        F.struct(*[F.col(name) for name in facts.columns]).alias("_fact"),
+        F.struct(*facts.columns).alias("_fact"),
     )
-    findable = F.col(key).isNotNull() & F.col("_at").isNotNull()
-    both = starts.unionByName(placed.filter(findable), allowMissingColumns=True)
-    rows = Ordered.by(both, key, ("_at", "_kind", "_open", "_until")).latest("_version", "_found")
-    found = rows.frame().filter(F.col("_kind") == 1).select("_at", "_fact", "_found")
-    nothing = placed.filter(~findable).select("_at", "_fact")
-    result = found.unionByName(nothing, allowMissingColumns=True)
+    both = starts.unionByName(placed, allowMissingColumns=True)
+    rows = Ordered.by(both, key, ("_at", "_kind", "_open", "_until"), ("_lane",)).latest("_version", "_found")
+    found = rows.frame().filter(F.col("_kind") == 1)
     until = F.col("_found.end_date")
     valid = until.isNull() | (F.col("_at") < until)
-    return result.select(
-        "_fact.*", *[F.when(valid, F.col(f"_found.{name}")).alias(name) for name in carry]
-    )
+    return found.select("_fact.*", *[F.when(valid, F.col(f"_found.{name}")).alias(name) for name in carry])
 
 
 def _small(versions: DataFrame, key: str) -> bool:

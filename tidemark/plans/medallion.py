@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark import schemas
+from tidemark.functions.hashing import with_hash
 from tidemark.functions.keys import version_key
 from tidemark.functions.times import FIRST_MARK, LOOKBACK_DAYS, ntz
 from tidemark.operators import history, quality, star, state as runs
@@ -27,6 +28,7 @@ FACTS = "fact_sales"
 DEAD = "dq_failed_events"
 METRICS = "pipeline_metrics"
 SLA = "pipeline_sla_monitor"
+DISTURBED = "disturbed_history"
 NO_DATE = "none"
 
 
@@ -61,12 +63,19 @@ class Layout:
         fields += [("source_event_id", kinds[spec.event_id]), ("created_at", T.TimestampNTZType())]
         return T.StructType([T.StructField(name, kind) for name, kind in fields])
 
+    @property
+    def disturbance(self) -> T.StructType:
+        key = T.StructField(self.spec.key, self.feed[self.spec.key].dataType)
+        return T.StructType([key, T.StructField("since", T.TimestampNTZType())])
+
     def bucket(self) -> Column:
         return F.pmod(F.xxhash64(F.col(self.spec.key)), F.lit(self.buckets)).cast("string")
 
 
 def _date_part(time: str) -> Column:
-    return F.coalesce(F.to_date(F.col(time)).cast("string"), F.lit(NO_DATE))
+    """Date as text that sorts like the date; later years share the last day of 9999."""
+    date = F.least(F.to_date(F.col(time)), F.lit("9999-12-31").cast("date"))
+    return F.when(F.col(time).isNull(), NO_DATE).otherwise(date.cast("string"))
 
 
 def _values(df: DataFrame, column: str) -> set[str]:
@@ -85,23 +94,53 @@ def refresh_silver(wh: Warehouse, state: State, arrived: DataFrame, layout: Layo
     """Newest copy per event id, rewriting only the dates whose rows can change.
 
     Those are the dates of the arrived rows and of stored copies of the same ids (rows without
-    an id count as one group). The result equals deduplicating all of bronze.
+    an id count as one group). The result equals deduplicating all of bronze. Arrived and stored
+    copies are kept as staged tables for `disturbances`.
     """
     spec = layout.spec
     newest = [spec.time, "arrival_ts"]
     fresh = latest_per_key(arrived, [spec.event_id], newest)
     fresh = wh.stage(fresh.withColumn(PART, _date_part(spec.time)), "fresh", run_id)
-    taken = _values(fresh, PART)
+    stored = wh.read(state, SILVER, layout.events)
+    again = stored.filter("false")
     if state.parts(SILVER):
-        stored = wh.read(state, SILVER, layout.events).select(spec.event_id, PART)
-        again = join_lookup(stored, fresh.select(spec.event_id), spec.event_id, "left_semi", even=True)
-        keyless = stored.filter(F.col(spec.event_id).isNull())
-        taken |= _values(again.unionByName(keyless), PART)
-    before = wh.read(state, SILVER, layout.events, taken)
-    after = merge_latest(before, fresh, [spec.event_id], newest)
+        # Parquet skips the row groups whose id range holds none of the arrived ids.
+        low, high = fresh.agg(F.min(spec.event_id), F.max(spec.event_id)).first()
+        near = stored.filter(F.col(spec.event_id).between(F.lit(low), F.lit(high)))
+        again = join_lookup(near, fresh.select(spec.event_id), spec.event_id, "left_semi", even=True)
+        if not fresh.filter(F.col(spec.event_id).isNull()).isEmpty():
+            again = again.unionByName(stored.filter(F.col(spec.event_id).isNull()))
+    again = wh.stage(again, "again", run_id)
+    taken = _values(fresh, PART) | _values(again, PART)
+    after = merge_latest(wh.read(state, SILVER, layout.events, taken), fresh, [spec.event_id], newest)
     return state.replaced(SILVER, taken, wh.write_parts(after, SILVER, run_id), run_id)
 
 
+def disturbances(wh: Warehouse, layout: Layout, mark: datetime, run_id: str) -> DataFrame:
+    """Keys whose stored history may no longer be what their events give, and since when.
+
+    An arrived event that is new or changed and too late for the lookback disturbs its key; a
+    stored copy that an arrived one differs from disturbs the key it belonged to.
+    """
+    spec = layout.spec
+    seen = [spec.event_id, spec.key, spec.time, "hash_diff"]
+    fresh, again = (
+        with_hash(wh.staged(name, layout.events, run_id), spec.tracked, spec.null_safe_hash).select(*seen)
+        for name in ("fresh", "again")
+    )
+    content = [name for name in seen if name != spec.event_id]
+    old = again.select(spec.event_id, *[F.col(name).alias(f"_old_{name}") for name in content])
+    differs = F.lit(False)
+    for name in content:
+        differs = differs | ~F.col(name).eqNullSafe(F.col(f"_old_{name}"))
+    compared = fresh.join(old, spec.event_id, "full").filter(differs)
+    late = runs.too_late(compared, ntz(mark), spec.time, layout.lookback_days)
+    columns = [F.col(spec.key), F.col(spec.time).alias("since")]
+    replaced = [F.col(f"_old_{spec.key}").alias(spec.key), F.col(f"_old_{spec.time}").alias("since")]
+    found = late.select(*columns).unionByName(compared.select(*replaced))
+    return found.filter(F.col(spec.key).isNotNull() & F.col("since").isNotNull())
+
+
 def overwrite_silver(wh: Warehouse, state: State, layout: Layout, run_id: str) -> State:
     """Silver recomputed from all of bronze."""
     spec = layout.spec
@@ -111,24 +150,27 @@ def overwrite_silver(wh: Warehouse, state: State, layout: Layout, run_id: str) -
     return state.replaced(SILVER, state.parts(SILVER), written, run_id)
 
 
-def incremental_silver(wh: Warehouse, state: State, layout: Layout, mark: datetime) -> DataFrame:
-    """Silver rows after the mark less the lookback, from the date folders that can hold them."""
-    first = max(mark - timedelta(days=layout.lookback_days), FIRST_MARK).date().isoformat()
-    parts = {p for p in state.parts(SILVER) if p != NO_DATE and (mark == FIRST_MARK or p >= first)}
-    rows = wh.read(state, SILVER, layout.events, parts).drop(PART)
-    return runs.since_mark(rows, ntz(mark), layout.spec.time, layout.lookback_days)
+def silver_since(wh: Warehouse, state: State, layout: Layout, moment: datetime) -> DataFrame:
+    """Silver rows from the date folders that can hold events of `moment` or later."""
+    parts = {p for p in state.parts(SILVER) if p != NO_DATE and p >= moment.date().isoformat()}
+    return wh.read(state, SILVER, layout.events, parts).drop(PART)
 
 
 def load_customers(
     wh: Warehouse, state: State, arrived: DataFrame, layout: Layout, as_of: datetime, run_id: str
 ) -> State:
-    """Quality split, dead letters, history merge, mark, metrics and freshness of one run."""
+    """Quality split, dead letters, history merge, mark, metrics and freshness of one run.
+
+    Follows `refresh_silver` of the same run.
+    """
     spec = layout.spec
     now = ntz(as_of)
     mark = state.marks.get(runs.PIPELINE, FIRST_MARK)
     rules = quality.standard_rules(now, spec.key, spec.time)
 
-    batch = incremental_silver(wh, state, layout, mark)
+    border = mark - timedelta(days=layout.lookback_days)
+    recent = silver_since(wh, state, layout, border)
+    batch = runs.since_mark(recent, ntz(mark), spec.time, layout.lookback_days)
     # Silver has one row per id, so DUPLICATE_EVENT cannot occur and the check needs no shuffle.
     judged = quality.flag(batch, rules, spec.event_id, layout.null_id, unique_ids=True)
     flagged = wh.stage(judged, "flagged", run_id)
@@ -137,12 +179,21 @@ def load_customers(
     valid = quality.valid_rows(flagged)
     if layout.null_id == "leak":
         valid = valid.filter(F.col(spec.key).isNotNull())
+    disturbed = wh.read(state, DISTURBED, layout.disturbance).drop(PART)
+    disturbed = disturbed.unionByName(disturbances(wh, layout, mark, run_id))
+    disturbed = wh.stage(disturbed, "disturbed", run_id)
     touched = _values(valid.select(layout.bucket().alias(PART)), PART)
     if touched:
         stored = wh.read(state, CUSTOMERS, layout.dimension, touched).drop(PART, "customer_sk")
-        everything = wh.read(state, SILVER, layout.events).drop(PART).filter(~quality.any_broken(rules))
-        everything = everything.filter(F.col(spec.time).isNotNull())
-        merged = history.merge(stored, valid, everything, spec, layout.collapse)
+
+        def valid_since(moment: datetime) -> DataFrame:
+            return silver_since(wh, state, layout, moment).filter(~quality.any_broken(rules))
+
+        if layout.collapse:
+            done = history.merge_recent(stored, valid, valid_since, disturbed, spec)
+            merged, disturbed = done.dim, done.disturbed
+        else:
+            merged = history.merge(stored, valid, valid_since(datetime.min), spec, collapse=False)
         keyed = merged.withColumn("customer_sk", version_key(spec.key))
         rows = schemas.select_to_schema(keyed, layout.dimension, {"created_at": now})
         written = wh.write_parts(rows.withColumn(PART, layout.bucket()), CUSTOMERS, run_id)
@@ -150,6 +201,11 @@ def load_customers(
         newest = valid.agg(F.max(spec.time)).first()[0]
         state = state.marked(runs.PIPELINE, max(mark, newest))
 
+    if layout.collapse:
+        kept = disturbed.groupBy(spec.key).agg(F.min("since").alias("since")).withColumn(PART, layout.bucket())
+        written = wh.write_parts(kept, DISTURBED, run_id)
+        state = state.replaced(DISTURBED, state.parts(DISTURBED), written, run_id)
+
     missed = runs.too_late(arrived, ntz(mark), spec.time, layout.lookback_days)
     wh.append(runs.run_metrics(flagged, missed, as_of), METRICS, run_id)
     dim = wh.read(state, CUSTOMERS, layout.dimension)

@@ -125,9 +125,14 @@ class Warehouse:
 
     def stage(self, df: DataFrame, name: str, run_id: str) -> DataFrame:
         """Write a step of a run once for its several readers."""
-        path = f"{self.path('_staged')}/run_id={run_id}/{name}"
-        df.write.mode("overwrite").parquet(path)
-        return self.spark.read.schema(df.schema).parquet(path)
+        df.write.mode("overwrite").parquet(self._step(name, run_id))
+        return self.staged(name, df.schema, run_id)
+
+    def staged(self, name: str, schema: T.StructType, run_id: str) -> DataFrame:
+        return self.spark.read.schema(schema).parquet(self._step(name, run_id))
+
+    def _step(self, name: str, run_id: str) -> str:
+        return f"{self.path('_staged')}/run_id={run_id}/{name}"
 
     def append(self, df: DataFrame, table: str, run_id: str) -> None:
         append_run(df.withColumn("run_id", F.lit(run_id)), self.path(table), "run_id")
