@@ -8,7 +8,7 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 from tidemark.session import build_session  # noqa: E402
 
 TESTDATA = os.environ.get("TIDEMARK_TESTDATA", "/root/testdata/sf0.001")
-TIGHT = {"spark.tidemark.hotRows": "40", "spark.tidemark.broadcastRows": "5"}
+TIGHT = {"spark.tidemark.hotRows": "32", "spark.tidemark.broadcastRows": "5"}
 
 
 @pytest.fixture(scope="session")

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.hashing import with_hash
 from tidemark.functions.times import ntz
-from tidemark.operators.skew import Ordered, join_lookup, settle
+from tidemark.operators.skew import Ordered, fits_broadcast, join_lookup, settle
 
 
 @dataclass(frozen=True)
@@ -170,15 +170,17 @@ def merge(
     late = keys.filter("late").select(spec.key)
     on_time = keys.filter(~F.col("late")).select(spec.key)
 
-    routed = join_lookup(dim, keys, spec.key, "left")
+    small = fits_broadcast(keys)
+
+    routed = join_lookup(dim, keys, spec.key, "left", small=small)
     folding = (F.col("late") == F.lit(False)) & F.col("is_current")
     passing = routed.filter(F.col("late").isNull() | (~F.col("late") & ~F.col("is_current"))).drop("late")
-    arrived = join_lookup(batch, on_time, spec.key, "left_semi")
+    arrived = join_lookup(batch, on_time, spec.key, "left_semi", small=small)
     folded = fold(routed.filter(folding).drop("late"), arrived, spec, counts_from=batch).drop("is_stored")
     merged = passing.unionByName(folded)
     if late.isEmpty():
         return merged
-    rebuilt = versions(join_lookup(events, late, spec.key, "left_semi"), spec, collapse)
+    rebuilt = versions(join_lookup(events, late, spec.key, "left_semi", small=small), spec, collapse)
     return merged.unionByName(rebuilt, allowMissingColumns=True)
 
 
@@ -220,25 +222,27 @@ def merge_recent(
         )
     )
 
-    routed = join_lookup(dim, keys.drop("far"), spec.key, "left")
+    small = fits_broadcast(keys)
+    routed = join_lookup(dim, keys.drop("far"), spec.key, "left", small=small)
     late, since, end = F.col("late"), F.col("since"), F.col("end_date")
     before = F.coalesce(end < since, F.lit(False))
     covers = (F.col("start_date") < since) & (end.isNull() | (end >= since))
     passing = routed.filter(late.isNull() | (~late & ~F.col("is_current")) | (late & before))
     opened = routed.filter((~late & F.col("is_current")) | (late & covers)).drop("late", "since")
 
-    arrived = join_lookup(batch, keys.filter(~F.col("far")).select(spec.key), spec.key, "left_semi")
+    near = keys.filter(~F.col("far")).select(spec.key)
+    arrived = join_lookup(batch, near, spec.key, "left_semi", small=small)
     counts = batch
     far = keys.filter("far").select(spec.key, "since")
     earliest = far.agg(F.min("since")).first()[0]
     if earliest is not None:
         older = events_since(earliest).filter(F.col(spec.time) >= ntz(earliest))
-        older = join_lookup(older, far, spec.key, "inner").filter(F.col(spec.time) >= F.col("since"))
+        older = join_lookup(older, far, spec.key, "inner", small=small).filter(F.col(spec.time) >= F.col("since"))
         arrived = arrived.unionByName(older.select(*arrived.columns))
         counts = None
     folded = fold(opened, arrived, spec, counts_from=counts).drop("is_stored")
 
     redone = keys.filter("late").select(spec.key)
-    open_issues = join_lookup(disturbed, redone, spec.key, "left_anti")
+    open_issues = join_lookup(disturbed, redone, spec.key, "left_anti", small=small)
     ties = touched.filter("tied").select(spec.key, F.col("first_time").alias("since"))
     return Merged(passing.drop("late", "since").unionByName(folded), open_issues.unionByName(ties))

@@ -65,15 +65,17 @@ def join_lookup(
     how: str = "left",
     counts: DataFrame | None = None,
     even: bool = False,
+    small: bool | None = None,
 ) -> DataFrame:
     """Join `big` to a frame with at most one row per key (left, inner, left_semi, left_anti).
 
     A lookup of counted, limited size is broadcast. Beyond that both sides are shuffled, except
     that rows without a key never travel and rows of hot keys meet a broadcast of just those
     keys' lookup rows. Hot keys are counted unless `counts` already has them (key, count), or
-    `even` says that no key of `big` has many rows.
+    `even` says that no key of `big` has many rows. `small`: an earlier count's result for a frame
+    that holds the lookup.
     """
-    if fits_broadcast(lookup):
+    if fits_broadcast(lookup) if small is None else small:
         return big.join(F.broadcast(lookup), key, how)
     keyed = big.filter(F.col(key).isNotNull())
     if even:

@@ -103,15 +103,18 @@ def refresh_silver(wh: Warehouse, state: State, arrived: DataFrame, layout: Layo
     fresh = wh.stage(fresh.withColumn(PART, _date_part(spec.time)), "fresh", run_id)
     stored = wh.read(state, SILVER, layout.events)
     again = stored.filter("false")
+    event_id = F.col(spec.event_id)
+    taken, low, high, keyless = fresh.agg(
+        F.collect_set(PART), F.min(event_id), F.max(event_id), F.count_if(event_id.isNull())
+    ).first()
     if state.parts(SILVER):
         # Parquet skips the row groups whose id range holds none of the arrived ids.
-        low, high = fresh.agg(F.min(spec.event_id), F.max(spec.event_id)).first()
-        near = stored.filter(F.col(spec.event_id).between(F.lit(low), F.lit(high)))
+        near = stored.filter(event_id.between(F.lit(low), F.lit(high)))
         again = join_lookup(near, fresh.select(spec.event_id), spec.event_id, "left_semi", even=True)
-        if not fresh.filter(F.col(spec.event_id).isNull()).isEmpty():
-            again = again.unionByName(stored.filter(F.col(spec.event_id).isNull()))
+        if keyless:
+            again = again.unionByName(stored.filter(event_id.isNull()))
     again = wh.stage(again, "again", run_id)
-    taken = _values(fresh, PART) | _values(again, PART)
+    taken = {*taken, *_values(again, PART)}
     after = merge_latest(wh.read(state, SILVER, layout.events, taken), fresh, [spec.event_id], newest)
     return state.replaced(SILVER, taken, wh.write_parts(after, SILVER, run_id), run_id)
 
@@ -182,7 +185,7 @@ def load_customers(
     disturbed = wh.read(state, DISTURBED, layout.disturbance).drop(PART)
     disturbed = disturbed.unionByName(disturbances(wh, layout, mark, run_id))
     disturbed = wh.stage(disturbed, "disturbed", run_id)
-    touched = _values(valid.select(layout.bucket().alias(PART)), PART)
+    touched, newest = valid.agg(F.collect_set(layout.bucket()), F.max(spec.time)).first()
     if touched:
         stored = wh.read(state, CUSTOMERS, layout.dimension, touched).drop(PART, "customer_sk")
 
@@ -198,7 +201,6 @@ def load_customers(
         rows = schemas.select_to_schema(keyed, layout.dimension, {"created_at": now})
         written = wh.write_parts(rows.withColumn(PART, layout.bucket()), CUSTOMERS, run_id)
         state = state.replaced(CUSTOMERS, touched, written, run_id)
-        newest = valid.agg(F.max(spec.time)).first()[0]
         state = state.marked(runs.PIPELINE, max(mark, newest))
 
     if layout.collapse:
@@ -216,8 +218,8 @@ def load_customers(
 def run_batch(wh: Warehouse, feed: DataFrame, as_of: datetime, run_id: str, layout: Layout | None = None) -> State:
     """One feed through bronze, silver and gold; a run that is already published does nothing."""
     layout = layout or Layout()
-    state = wh.state()
-    if wh.is_published(run_id):
+    state = wh.state(run_id)
+    if state.repeated:
         return state
     arrived = ingest_bronze(wh, feed, layout, as_of, run_id)
     state = refresh_silver(wh, state, arrived, layout, run_id)
@@ -246,8 +248,8 @@ def load_star(
     Readers see the former facts until the publication, so the table is never empty in between.
     """
     layout = layout or Layout()
-    state = wh.state()
-    if wh.is_published(run_id):
+    state = wh.state(run_id)
+    if state.repeated:
         return state
     now = ntz(as_of)
 

@@ -11,6 +11,7 @@ from __future__ import annotations
 from collections.abc import Iterable
 from dataclasses import dataclass, field, replace
 from datetime import datetime
+from urllib.parse import unquote
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -33,6 +34,7 @@ class State:
     seq: int = 0
     live: dict[tuple[str, str], str] = field(default_factory=dict)
     marks: dict[str, datetime] = field(default_factory=dict)
+    repeated: bool = False
 
     def parts(self, table: str) -> set[str]:
         return {part for name, part in self.live if name == table}
@@ -63,10 +65,14 @@ class Warehouse:
                 raise
             return self.spark.createDataFrame([], PUBLISHED)
 
-    def state(self) -> State:
-        """Read the newest publication: one row per live part, bounded by dates and buckets."""
+    def state(self, run_id: str | None = None) -> State:
+        """Read the newest publication: one row per live part, bounded by dates and buckets.
+
+        `repeated` tells whether `run_id` has been published already.
+        """
         published = self._published()
-        newest = published.agg(F.max("seq")).first()[0]
+        done = F.max(F.col("run_id").eqNullSafe(F.lit(run_id)))
+        newest, repeated = published.agg(F.max("seq"), done).first()
         if newest is None:
             return State()
         live, marks = {}, {}
@@ -75,14 +81,7 @@ class Warehouse:
                 marks[row["name"]] = row["mark"]
             elif row["live_run"] is not None:
                 live[row["name"], row["part"]] = row["live_run"]
-        return State(newest, live, marks)
-
-    def is_published(self, run_id: str) -> bool:
-        return not self._published().filter(F.col("run_id") == run_id).isEmpty()
-
-    def marks(self, state: State) -> DataFrame:
-        schema = "pipeline_name string, last_processed_ts timestamp_ntz"
-        return self.spark.createDataFrame(list(state.marks.items()), schema)
+        return State(newest, live, marks, repeated)
 
     def publish(self, state: State, run_id: str) -> State:
         """Make a state the newest one, in one file."""
@@ -120,8 +119,8 @@ class Warehouse:
         """
         path = f"{self.path(table)}/run_id={run_id}"
         df.hint("rebalance", PART).write.mode("overwrite").partitionBy(PART).parquet(path)
-        written = self.spark.read.schema(f"{PART} string").parquet(path).select(PART).distinct()
-        return {row[0] for row in written.collect()}
+        files = self.spark.read.schema(df.schema).parquet(path).inputFiles()
+        return {unquote(file.split(f"/{PART}=")[1].split("/")[0]) for file in files}
 
     def stage(self, df: DataFrame, name: str, run_id: str) -> DataFrame:
         """Write a step of a run once for its several readers."""
