@@ -8,6 +8,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 LOOKBACK_DAYS = 7
+MICROS_PER_MINUTE = 60_000_000
 FIRST_MARK = datetime(1900, 1, 1)
 
 
@@ -21,7 +22,9 @@ def days_before(moment: Column, days: int = LOOKBACK_DAYS) -> Column:
 
 
 def micros(moment: Column) -> Column:
-    return F.unix_micros(moment.cast("timestamp"))
+    """Microseconds since 1970 of a zone-free timestamp, whatever the session zone."""
+    seconds = (moment - F.expr("timestamp_ntz'1970-01-01 00:00:00'")).cast("interval second")
+    return (seconds.cast("decimal(20,6)") * 1_000_000).cast("bigint")
 
 
 def day_start(moment: Column) -> Column:
@@ -30,8 +33,8 @@ def day_start(moment: Column) -> Column:
 
 def stale_minutes(latest: Column, now: Column) -> Column:
     """Whole minutes from `latest` to `now`, never negative."""
-    passed = F.timestamp_diff("MINUTE", latest.cast("timestamp"), now.cast("timestamp"))
-    return F.when(latest.isNotNull(), F.greatest(passed, F.lit(0)))
+    passed = F.greatest(micros(now) - micros(latest), F.lit(0))
+    return F.floor(F.when(latest.isNotNull(), passed) / MICROS_PER_MINUTE)
 
 
 def calendar(date: Column) -> dict[str, Column]:
