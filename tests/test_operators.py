@@ -14,6 +14,7 @@ from tidemark.operators.skew import Ordered, hot_keys, join_lookup
 from tidemark.operators.temporal import join_as_of
 from tidemark.schemas import select_to_schema, table
 from tidemark.session import shared_root
+from tidemark.sources import jdbc
 
 DAY = datetime(2024, 1, 1)
 
@@ -64,6 +65,23 @@ def test_ordered_pass_over_split_keys(limits):
     assert found == expected
 
 
+def test_join_as_of_with_one_hot_moment(limits):
+    """A hot key whose facts are all equal: they are cut into several segments."""
+    at = lambda day: DAY + timedelta(days=day)
+    versions = [("a", at(n), at(n + 1) if n < 3 else None, n) for n in range(4)] + [("b", at(0), None, 9)]
+    facts = [("a", at(2))] * 400 + [("a", at(-1)), ("b", at(5)), (None, at(1))]
+    found = join_as_of(
+        limits.createDataFrame(facts, "k string, t timestamp_ntz"),
+        limits.createDataFrame(versions, "k string, start_date timestamp_ntz, end_date timestamp_ntz, n int"),
+        "k", "t", ["n"], "running",
+    )
+    counts = {(row["k"], row["n"]): row["count"] for row in found.groupBy("k", "n").count().collect()}
+    assert counts == {("a", 2): 400, ("a", None): 1, ("b", 9): 1, (None, None): 1}
+    split = Ordered.by(limits.createDataFrame(facts, "k string, t timestamp_ntz"), "k", ("t",))
+    sizes = split.rows.filter("_segment > 0").groupBy("_segment").count().collect()
+    assert len(sizes) > 5 and max(row["count"] for row in sizes) < 200
+
+
 @pytest.mark.parametrize("how", ["auto", "range", "running"])
 def test_join_as_of(spark, how):
     at = lambda hour: DAY + timedelta(hours=hour)
@@ -147,5 +165,30 @@ def test_select_to_schema_fills_defaults(spark):
     assert done.schema.fieldNames() == schema.fieldNames()
 
 
+class FakeReader:
+    """Stands in for a JDBC source: records the calls and answers the bounds query."""
+
+    def __init__(self, spark, bounds):
+        self.spark, self.bounds, self.calls = spark, bounds, []
+        self.read = self
+
+    def jdbc(self, url, table, **options):
+        self.calls.append((table, options))
+        if "bounds" in table:
+            return self.spark.createDataFrame([self.bounds], "low int, high int")
+        return self.spark.createDataFrame([(1, DAY)], "id int, at timestamp")
+
+
+def test_jdbc_scan_is_split_by_the_range_of_its_column(spark):
+    source = FakeReader(spark, (5, 90))
+    df = jdbc.read_table(source, "jdbc:x", "t", {"user": "u"}, "id", 8)
+    options = source.calls[1][1]
+    assert (options["lowerBound"], options["upperBound"], options["numPartitions"]) == ("5", "90", 8)
+    assert dict(df.dtypes)["at"] == "timestamp_ntz"
+    empty = FakeReader(spark, (None, None))
+    jdbc.read_table(empty, "jdbc:x", "t", {}, "id", 8)
+    assert "numPartitions" not in empty.calls[1][1]
+
+
 def test_shared_root_is_the_configured_folder(spark):
     assert shared_root(spark) == shared_root(spark)

@@ -60,7 +60,7 @@ def versions(
     a version. Both windows share one shuffle and one sort.
     """
     staged = spec.staged(events)
-    rows = Ordered.by(staged, spec.key, ("start_date", "source_event_id"), counts_from=counts_from)
+    rows = Ordered.by(staged, spec.key, ("start_date", "source_event_id"), counts_from, unique=True)
     if collapse:
         rows = rows.previous("hash_diff", "_before").filter(_changed())
     return _closed(rows, spec)
@@ -135,7 +135,7 @@ def fold(
     both = stored.unionByName(arrived, allowMissingColumns=True)
     extra = [name for name in open_rows.columns if name not in spec.columns]
     order = ("_new", "start_date", "source_event_id")
-    rows = Ordered.by(both, spec.key, order, counts_from=counts_from)
+    rows = Ordered.by(both, spec.key, order, counts_from, unique=True)
     rows = rows.previous("hash_diff", "_before").filter((F.col("_new") == 0) | _changed())
     return _closed(rows, spec, *extra, "_new").withColumn("is_stored", F.col("_new") == 0).drop("_new")
 

@@ -47,8 +47,7 @@ def hot_keys(df: DataFrame, key: str) -> HotKeys | None:
 
 
 def fits_broadcast(df: DataFrame) -> bool:
-    limit = setting(df.sparkSession, "broadcastRows", BROADCAST_ROWS)
-    return df.limit(limit + 1).count() <= limit
+    return df.count() <= setting(df.sparkSession, "broadcastRows", BROADCAST_ROWS)
 
 
 def settle(df: DataFrame) -> DataFrame:
@@ -102,14 +101,12 @@ class Ordered:
 
     Keys of ordinary size form one window group each. The rows of hot keys are range-partitioned
     by (key, order), each range being a segment and a group of its own; what crosses a segment
-    border is carried over from one summary row per key and segment. `within` names columns that
-    divide a key's rows further.
+    border is carried over from one summary row per key and segment.
     """
 
     rows: DataFrame
     key: str
     order: tuple[str, ...]
-    within: tuple[str, ...] = ()
     split: bool = False
 
     @classmethod
@@ -118,30 +115,36 @@ class Ordered:
         df: DataFrame,
         key: str,
         order: Sequence[str],
-        within: Sequence[str] = (),
         counts_from: DataFrame | None = None,
+        unique: bool = False,
     ) -> Ordered:
-        """`counts_from`: cheaper frame whose rows per key are no fewer than those of `df`."""
+        """`counts_from`: cheaper frame whose rows per key are no fewer than those of `df`.
+
+        Unless `unique` says that no two rows of a key are equal in `order`, hot rows are numbered
+        first, so that even a range of equal rows can be cut into segments. The numbers are taken
+        from a written table, where a repeated task finds the same rows in the same order.
+        """
         hot = hot_keys(df if counts_from is None else counts_from, key)
         if hot is None:
-            return cls(df, key, tuple(order), tuple(within))
+            return cls(df, key, tuple(order))
         few = F.broadcast(hot.keys)
         wanted = 1 + math.ceil(2 * hot.rows / setting(df.sparkSession, "hotRows", HOT_ROWS))
         parts = min(wanted, MOST_SEGMENTS)
         cold = df.join(few, key, "left_anti").withColumn(SEGMENT, F.lit(0))
+        hot_rows, position = df.join(few, key, "left_semi"), [key, *order]
+        if not unique:
+            hot_rows = settle(hot_rows).withColumn("_number", F.monotonically_increasing_id())
+            position.append("_number")
         # Written out: every later pass has to see the same range boundaries.
         spread = settle(
-            df.join(few, key, "left_semi")
-            .repartitionByRange(parts, key, *within, *order)
+            hot_rows.repartitionByRange(parts, *position)
             .withColumn(SEGMENT, F.spark_partition_id() + 1)
+            .drop("_number")
         )
-        return cls(cold.unionByName(spread), key, tuple(order), tuple(within), True)
-
-    def _groups(self) -> list[str]:
-        return [self.key, *self.within, SEGMENT]
+        return cls(cold.unionByName(spread), key, tuple(order), True)
 
     def _window(self) -> Window:
-        groups = self._groups() if self.split else self._groups()[:-1]
+        groups = [self.key, SEGMENT] if self.split else [self.key]
         return Window.partitionBy(*groups).orderBy(*self.order)
 
     def _position(self) -> Column:
@@ -149,13 +152,13 @@ class Ordered:
 
     def _with_carry(self, edge: Column, shift: Column) -> DataFrame:
         # One row per hot key and segment: bounded by hot keys + segments, hence the broadcast.
-        groups = self._groups()
+        groups = [self.key, SEGMENT]
         edges = self.rows.filter(F.col(SEGMENT) > 0).groupBy(*groups).agg(edge.alias("_edge"))
         carried = edges.select(*groups, shift.alias("_carry"))
         return self.rows.join(F.broadcast(carried), groups, "left")
 
     def _segments(self) -> Window:
-        return Window.partitionBy(self.key, *self.within).orderBy(SEGMENT)
+        return Window.partitionBy(self.key).orderBy(SEGMENT)
 
     def _add(self, name: str, inside: Column, edge: Column, shift: Column) -> Ordered:
         if not self.split:

@@ -12,7 +12,6 @@ from tidemark.session import setting
 
 # Versions per key up to which comparing a fact with each of them is cheaper than sorting.
 FEW_VERSIONS = 256
-KEYLESS_LANES = 65_536
 
 
 def _range_join(facts: DataFrame, versions: DataFrame, key: str, time: str, carry: Sequence[str]) -> DataFrame:
@@ -39,28 +38,27 @@ def _running_join(facts: DataFrame, versions: DataFrame, key: str, time: str, ca
     held = list(dict.fromkeys([*carry, "end_date"]))
     starts = versions.filter(F.col(key).isNotNull()).select(
         key,
-        F.lit(0).alias("_lane"),
         F.col("start_date").alias("_at"),
         F.lit(0).alias("_kind"),
         F.col("end_date").isNull().alias("_open"),
         F.col("end_date").alias("_until"),
         F.struct(*held).alias("_version"),
     )
-    # Facts without a key find nothing; lanes keep them from meeting in one task.
-    lane = F.when(F.col(key).isNull(), F.pmod(F.xxhash64(*facts.columns), F.lit(KEYLESS_LANES)))
-    placed = facts.select(
+    placed = facts.filter(F.col(key).isNotNull()).select(
         key,
-        F.coalesce(lane, F.lit(0)).cast("int").alias("_lane"),
         F.col(time).alias("_at"),
         F.lit(1).alias("_kind"),
         F.struct(*facts.columns).alias("_fact"),
     )
     both = starts.unionByName(placed, allowMissingColumns=True)
-    rows = Ordered.by(both, key, ("_at", "_kind", "_open", "_until"), ("_lane",)).latest("_version", "_found")
+    rows = Ordered.by(both, key, ("_at", "_kind", "_open", "_until")).latest("_version", "_found")
     found = rows.frame().filter(F.col("_kind") == 1)
     until = F.col("_found.end_date")
     valid = until.isNull() | (F.col("_at") < until)
-    return found.select("_fact.*", *[F.when(valid, F.col(f"_found.{name}")).alias(name) for name in carry])
+    matched = found.select("_fact.*", *[F.when(valid, F.col(f"_found.{name}")).alias(name) for name in carry])
+    # Facts without a key find nothing and need not travel; Parquet skips files that have none.
+    keyless = facts.filter(F.col(key).isNull())
+    return matched.unionByName(keyless, allowMissingColumns=True)
 
 
 def _small(versions: DataFrame, key: str) -> bool:

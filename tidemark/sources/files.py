@@ -38,8 +38,3 @@ def append_run(df: DataFrame, path: str, by: str) -> str:
         .parquet(path)
     )
     return path
-
-
-def overwrite(df: DataFrame, path: str) -> str:
-    df.write.mode("overwrite").parquet(path)
-    return path
