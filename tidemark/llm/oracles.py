@@ -61,3 +61,36 @@ ORACLES = {
     "op1_mix": OP1,
     "op3_url_filter": OP3,
 }
+
+OP7 = r"""
+WITH d AS (
+  SELECT doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents
+), g AS (
+  SELECT doc_id, i, array_to_string(w[i:i + 4], ' ') AS gram
+  FROM (SELECT doc_id, w, unnest(range(1, len(w) - 3)) AS i FROM d)
+), t AS (
+  SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, gram) AS n FROM g
+), c AS (
+  SELECT doc_id, count(DISTINCT i + k) AS n_repeat_words FROM t, range(5) r(k) WHERE n > 1 GROUP BY doc_id
+), m AS (
+  SELECT d.doc_id, len(w)::BIGINT AS n_words,
+         length(translate(text, E' \t\n\x0b\x0c\r', ''))::BIGINT AS word_chars,
+         (length(text) - length(translate(text, '#*$%&|<>', '')))::BIGINT AS n_symbols,
+         length(text) - length(replace(text, '!', '')) AS n_marks,
+         length(regexp_replace(text, '\P{L}+', '', 'g')) AS n_letters,
+         list_filter(string_split(text, E'\n'), lambda x: length(translate(x, E' \t\n\x0b\x0c\r', '')) > 0) AS lines,
+         coalesce(n_repeat_words, 0)::BIGINT AS n_repeat_words
+  FROM d LEFT JOIN c ON d.doc_id = c.doc_id
+), b AS (
+  SELECT *, (len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_lines,
+         n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed
+  FROM m
+)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       NOT base_failed AND 10 * n_symbols <= n_words AND 5 * n_marks <= n_words
+       AND word_chars BETWEEN 2 * n_words AND 15 * n_words AND 2 * n_letters >= word_chars
+       AND 10 * n_dup_lines <= 3 * len(lines) AS kept
+FROM b
+"""
+
+ORACLES["op7_quality_rules"] = OP7

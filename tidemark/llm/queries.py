@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from tidemark.llm.mixing import op1_mix
+from tidemark.llm.quality_rules import op7_quality_rules
 from tidemark.llm.sharding import op6_sharding
 from tidemark.llm.url_filter import op3_url_filter
 
@@ -10,4 +11,5 @@ QUERIES = {
     "op1_mix": op1_mix,
     "op3_url_filter": op3_url_filter,
     "op6_sharding": op6_sharding,
+    "op7_quality_rules": op7_quality_rules,
 }
