@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.operators.skew import settle
 
-__all__ = ["WORD", "cast_to", "count_words", "settle", "table", "words"]
+__all__ = ["WORD", "cast_to", "count_words", "settle", "table", "with_package", "words"]
 
 # A word: a run of code points other than ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -31,3 +33,13 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 def cast_to(df: DataFrame, **kinds: str) -> DataFrame:
     """The named columns only, in the given order and types."""
     return df.select(*[F.col(name).cast(kind).alias(name) for name, kind in kinds.items()])
+
+
+def with_package(spark: SparkSession) -> SparkSession:
+    """Let Python workers import this package from where the driver has it, beside where they have it."""
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    environment = spark.sparkContext.environment
+    paths = environment.get("PYTHONPATH", "").split(os.pathsep)
+    if root not in paths:
+        environment["PYTHONPATH"] = os.pathsep.join([*filter(None, paths), root])
+    return spark
