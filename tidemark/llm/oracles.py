@@ -94,3 +94,26 @@ FROM b
 """
 
 ORACLES["op7_quality_rules"] = OP7
+
+OP2 = r"""
+WITH d AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents
+), g AS (
+  SELECT doc_id, i, md5(array_to_string(w[i:i + 34], ' ')) AS gram
+  FROM (SELECT doc_id, w, unnest(range(1, len(w) - 33)) AS i FROM d)
+), t AS (
+  SELECT doc_id, i, count(*) OVER (PARTITION BY gram) AS n FROM g
+), c AS (
+  SELECT DISTINCT doc_id, i + k AS i FROM t, range(35) r(k) WHERE n > 1
+), x AS (
+  SELECT doc_id, list(i) AS gone FROM c GROUP BY doc_id
+), s AS (
+  SELECT d.doc_id, w, coalesce(gone, []) AS gone,
+         CASE WHEN gone IS NULL THEN w ELSE list_transform(
+           list_filter(list_zip(w, range(1, len(w) + 1)), lambda p: NOT list_contains(gone, p[2])), lambda p: p[1]) END AS kept
+  FROM d LEFT JOIN x ON d.doc_id = x.doc_id
+)
+SELECT doc_id, len(w)::BIGINT AS n_words, len(gone)::BIGINT AS n_removed, sha256(array_to_string(kept, ' ')) AS kept_sha256 FROM s
+"""
+
+ORACLES["op2_substring_dedup"] = OP2

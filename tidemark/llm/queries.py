@@ -4,16 +4,20 @@ from __future__ import annotations
 
 from tidemark.llm.language import op10_language
 from tidemark.llm.mixing import op1_mix
+from tidemark.llm.near_dup import op9_near_duplicates
 from tidemark.llm.quality_rules import op7_quality_rules
 from tidemark.llm.sharding import op6_sharding
+from tidemark.llm.substring import op2_substring_dedup
 from tidemark.llm.token_files import op4_token_files
 from tidemark.llm.url_filter import op3_url_filter
 
 QUERIES = {
     "op1_mix": op1_mix,
+    "op2_substring_dedup": op2_substring_dedup,
     "op3_url_filter": op3_url_filter,
     "op4_token_files": op4_token_files,
     "op6_sharding": op6_sharding,
     "op7_quality_rules": op7_quality_rules,
+    "op9_near_duplicates": op9_near_duplicates,
     "op10_language": op10_language,
 }
