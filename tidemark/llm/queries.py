@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from tidemark.llm.decontamination import op8_decontamination
 from tidemark.llm.language import op10_language
 from tidemark.llm.mixing import op1_mix
 from tidemark.llm.near_dup import op9_near_duplicates
@@ -18,6 +19,7 @@ QUERIES = {
     "op4_token_files": op4_token_files,
     "op6_sharding": op6_sharding,
     "op7_quality_rules": op7_quality_rules,
+    "op8_decontamination": op8_decontamination,
     "op9_near_duplicates": op9_near_duplicates,
     "op10_language": op10_language,
 }
