@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from tidemark.llm.decontamination import op8_decontamination
 from tidemark.llm.language import op10_language
+from tidemark.llm.lm import op5_lm_score
 from tidemark.llm.mixing import op1_mix
 from tidemark.llm.near_dup import op9_near_duplicates
 from tidemark.llm.quality_rules import op7_quality_rules
@@ -17,6 +18,7 @@ QUERIES = {
     "op2_substring_dedup": op2_substring_dedup,
     "op3_url_filter": op3_url_filter,
     "op4_token_files": op4_token_files,
+    "op5_lm_score": op5_lm_score,
     "op6_sharding": op6_sharding,
     "op7_quality_rules": op7_quality_rules,
     "op8_decontamination": op8_decontamination,
