@@ -7,8 +7,8 @@ with zstandard. A chunk row holds its planes and its part of the index: where it
 ids it has, and the documents that lie in it. The rows are kept in Parquet files, which Spark reads
 and writes wherever its storage is; a chunk can be read without any other.
 
-The encoder splits a text where white space meets other characters so that no token can span the
-cut, and remembers the ids of pieces it has met; the ids are those of the whole text.
+The encoder cuts a text only where no token can span the cut, and remembers the ids of parts it has
+met, by a 64-bit hash; the ids are those of the whole text.
 
 Defined results: a NULL or empty text has the end id alone; NULL ids come first; rows that share an
 id are ordered by a hash of their text, and equal rows are written each; an empty table gives an
@@ -20,6 +20,7 @@ from __future__ import annotations
 import os
 import re
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -30,15 +31,20 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.text import settle, table, with_package
+from tidemark.llm.tokens import BASE, HashTable, mixed, stretch_hashes
 from tidemark.session import work_folder
 
 BLOCK = 1 << 16
 LEVEL = 3
 END = 0
-# Pieces of text whose ids a task remembers, and characters encoded at a time.
-REMEMBERED, AT_ONCE = 300_000, 1 << 20
-# Cuts: before one blank or line feed between other characters, and after such a line feed.
-CUT = re.compile(r"(?<=\S)(?=[ \n]\S)|(?<=\S\n)(?=\S)")
+# Characters encoded at a time. Slots for words whose ids a task remembers, until 5 of 8 are taken.
+AT_ONCE, SLOTS = 1 << 19, 1 << 22
+# Longer words, in bytes, are not told apart by their hash.
+LONGEST = 64
+# Where a text may be cut: before one blank or line feed between other characters, after such a line
+# feed, and after a Latin letter or digit before punctuation. No token spans these places.
+BLANK = re.compile(r"(?<=\S)(?= \S)")
+INNER = re.compile(r"(?<=\S)(?=\n\S)|(?<=\S\n)(?=\S)|(?<=[A-Za-z0-9\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f])(?=[.,;:!?])")
 
 CHUNKS = (
     "part int, chunk long, first long, n_ids int, planes array<binary>, "
@@ -48,25 +54,128 @@ PIECES = "part int, number long, doc_id long, doc_at long, n_tokens long, at lon
 
 
 class Encoder:
-    """A public tokenizer with a memory for pieces of text."""
+    """A public tokenizer with a memory for words.
+
+    A text's parts between blanks are found and hashed (64 bits) in numpy for many texts at once; the
+    ids of a part come from a hash table, and the tokenizer is asked for the parts it lacks.
+    """
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # one task, one core
         from tokenizers import Tokenizer
 
-        self.tokenizer, self.known = Tokenizer.from_file(path), {}
+        self.tokenizer = Tokenizer.from_file(path)
+        self._forget()
+
+    def _forget(self) -> None:
+        self.table = HashTable(SLOTS)
+        self.ids, self.n_ids = np.zeros(1 << 20, "<u4"), 0
+        # Where a remembered part's ids start and how many they are; -1: its text needs more care.
+        self.start, self.count = np.zeros(1 << 16, np.int64), np.zeros(1 << 16, np.int32)
+
+    def _coded(self, pieces: list[str]) -> list[list[int]]:
+        return [found.ids for found in self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]
+
+    def _careful(self, text: str) -> bytes:
+        """Ids of a text with any white space, of any length."""
+        pieces = [core for piece in BLANK.split(text) for core in INNER.split(piece)]
+        known = dict.fromkeys(pieces)
+        known.update(zip(known, self._coded(list(known))))
+        return array("I", [i for piece in pieces for i in known[piece]]).tobytes()
+
+    def _letters(self, words: list[str]) -> list[list[int]]:
+        """Ids of words of letters only, after a blank: each is a unit of its own to the tokenizer."""
+        found = self.tokenizer.encode(" " + " ".join(words), add_special_tokens=False)
+        first = np.flatnonzero(np.diff(np.array(found.word_ids, np.int64), prepend=-1)).tolist()
+        if len(first) != len(words):  # a letter that the tokenizer does not hold for one
+            return self._coded([" " + word for word in words])
+        ids = found.ids
+        return [ids[a:b] for a, b in zip(first, [*first[1:], len(ids)])]
+
+    def _parts(self, parts: list[str], heads: list[bool]) -> list[list[int] | None]:
+        """Ids of parts; all but heads stand after a blank. None: white space at an end."""
+        plain = {part for part, head in zip(parts, heads) if not head and part.isalpha()}
+        cut = [
+            None if part in plain and not head else INNER.split(part) if part and part == part.strip() else []
+            for part, head in zip(parts, heads)
+        ]
+        for at, head in enumerate(heads):
+            if not head and cut[at] and not cut[at][0].isalpha():
+                cut[at][0] = " " + cut[at][0]
+        blank = [not head and bool(c) and c[0].isalpha() for c, head in zip(cut, heads)]
+        first = plain | {c[0] for c, b in zip(cut, blank) if b}
+        words = list(first)
+        letters = dict(zip(words, self._letters(words) if words else []))
+        rest = list({core for c, b in zip(cut, blank) for core in (c or [])[b:]})
+        cores = dict(zip(rest, self._coded(rest)))
+        out: list[list[int] | None] = []
+        for part, head, c, b in zip(parts, heads, cut, blank):
+            if c is None:
+                out.append(letters[part])
+            elif not c:
+                out.append([] if head and not part else None)
+            else:
+                out.append([*(letters[c[0]] if b else ()), *(i for core in c[b:] for i in cores[core])])
+        return out
+
+    def _remember(self, keys: np.ndarray, listed: list[list[int] | None]) -> None:
+        counts = np.array([-1 if ids is None else len(ids) for ids in listed], np.int32)
+        flat = np.array([i for ids in listed if ids for i in ids], "<u4")
+        if self.table.n + len(keys) > len(self.start):
+            room = 2 * (self.table.n + len(keys))
+            self.start, self.count = np.resize(self.start, room), np.resize(self.count, room)
+        if self.n_ids + len(flat) > len(self.ids):
+            self.ids = np.resize(self.ids, 2 * (self.n_ids + len(flat)))
+        new = slice(self.table.n, self.table.n + len(keys))
+        self.ids[self.n_ids : self.n_ids + len(flat)] = flat
+        sizes = np.maximum(counts, 0)
+        self.start[new], self.count[new] = self.n_ids + np.cumsum(sizes) - sizes, counts
+        self.n_ids += len(flat)
+        self.table.add(keys)
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers."""
-        pieces = [CUT.split(text) if text else [] for text in texts]
-        new = list(dict.fromkeys(p for listed in pieces for p in listed if p not in self.known))
-        if len(self.known) + len(new) > REMEMBERED:
-            self.known.clear()
-            new = list(dict.fromkeys(p for listed in pieces for p in listed))
-        for piece, found in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False)):
-            self.known[piece] = np.asarray(found.ids, "<u4").tobytes()
-        known = self.known
-        return [b"".join([known[p] for p in listed]) for listed in pieces]
+        if len(texts) == 1 and len(texts[0]) > 2 * AT_ONCE:
+            return [self._careful(texts[0])]
+        if 8 * self.table.n > 5 * SLOTS:
+            self._forget()
+        coded = [text.encode("utf-8", "replace") for text in texts]
+        whole = b"".join(coded)
+        data = np.frombuffer(whole, np.uint8)
+        stop = np.cumsum([len(c) for c in coded])
+        begin = np.concatenate([[0], stop[:-1]])
+        blanks = np.flatnonzero(data == 32)
+        start, end = np.sort(np.concatenate([begin, blanks + 1])), np.sort(np.concatenate([stop, blanks]))
+        parts = np.searchsorted(blanks, stop) - np.searchsorted(blanks, begin) + 1
+        first = np.cumsum(parts) - parts
+        head = np.zeros(len(start), bool)
+        head[first] = True
+        keys = stretch_hashes(data, start, end)
+        keys = np.where(head, mixed(keys + BASE), keys) | np.uint64(1)
+        found = self.table.find(keys)
+        uneven = np.zeros(len(texts), bool)
+        uneven |= (start[first] == end[first]) & (stop > begin)
+        of = np.repeat(np.arange(len(texts)), parts)
+        long = end - start > LONGEST
+        uneven[of[long]] = True
+        missing = np.flatnonzero((found < 0) & ~long)
+        if len(missing):
+            new, at = np.unique(keys[missing], return_index=True)
+            at = missing[at]
+            words = [whole[a:b].decode("utf-8") for a, b in zip(start[at].tolist(), end[at].tolist())]
+            self._remember(new, self._parts(words, head[at].tolist()))
+            found[missing] = self.table.find(keys[missing])
+        found[long] = found[~long][0] if (~long).any() else 0
+        count = self.count[found]
+        uneven[of[count < 0]] = True
+        count = np.maximum(count, 0)
+        after = np.cumsum(count)
+        ids = self.ids[np.repeat(self.start[found] - (after - count), count) + np.arange(after[-1] if len(after) else 0)]
+        octets, ends = ids.tobytes(), after[first + parts - 1].tolist()
+        out = [octets[4 * a : 4 * b] for a, b in zip([0, *ends], ends)]
+        for at in np.flatnonzero(uneven).tolist():
+            out[at] = self._careful(texts[at])
+        return out
 
 
 _encoders: dict[str, Encoder] = {}
