@@ -7,8 +7,8 @@ minhash values. Two documents of similarity s share a table with a chance of
 
 Documents with equal shingle sets are one class from the start. Classes that share a key are
 candidates. A bucket of at most SMALL classes gives all its pairs. A larger one ties each class to its
-first one, and is split by the next hash of either collection, again and again, so that classes
-which differ part and the closest meet in a small bucket; no bucket's pairs are ever all formed and
+first one, and is split by the next STEP hashes of either collection, again and again, so that
+classes which differ part and the closest meet in a small bucket; no bucket's pairs are ever all formed and
 none is dropped. Candidates are compared on their full sets, and links joined to components.
 
 Defined results: a text without words has an empty set and is linked with nothing; fewer words than
@@ -24,18 +24,23 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.llm.bloom import fill, passes, words_for
 from tidemark.llm.graph import components
 from tidemark.llm.text import settle, table, with_package
-from tidemark.llm.tokens import WordHashes, bites, mixed, shingles, words_of
+from tidemark.llm.tokens import bites, mixed, shingles, word_hashes
 
 WIDTH = 5
 # Links: 100 * intersection >= PERCENT * union.
 PERCENT = 85
 SIDE, JOINED = 9, 3
-SMALL = 16
+# Hashes of either collection that split a large bucket at a time; a power of two above SIDE * SIDE.
+STEP, TABLES = 2, 128
+SMALL = 64
+# Classes to be compared up to this many are held as bits (60 MB) to pick out their texts before the shuffle.
+MOST_ASKED = 50_000_000
 _SEEDS = np.random.default_rng(11).integers(1, 1 << 63, 2 * SIDE * JOINED, dtype=np.uint64)
 
 ROWS = "doc_id long, text_hash long, n_shingles long, class binary, hashes array<long>"
@@ -43,9 +48,9 @@ ROWS = "doc_id long, text_hash long, n_shingles long, class binary, hashes array
 
 def _signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Number of distinct shingles, class and the hashes of both collections for each document."""
-    known, names = WordHashes(), [field.split()[0] for field in ROWS.split(", ")]
+    names = [field.split()[0] for field in ROWS.split(", ")]
     for batch, texts in bites(batches):
-        sets = [np.unique(shingles(known.of(words_of(text, True)), WIDTH)) for text in texts]
+        sets = _sets(texts)
         filled = [s for s in sets if len(s)]
         hashes = iter(_collections(filled)) if filled else iter(())
         values = [next(hashes) if len(s) else None for s in sets]
@@ -82,12 +87,14 @@ def _rows(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
 
 
 def _candidates(classes: DataFrame) -> DataFrame:
-    """Distinct pairs (a, b) of nodes, a < b, that share a key."""
-    tables = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(j).alias("j")) for i in range(SIDE) for j in range(SIDE)])
-    rows = classes.select("node", "hashes", F.explode(tables).alias("t"))
-    rows = rows.select("node", "hashes", "t.i", "t.j").withColumn("key", F.xxhash64("i", "j", *_both(0)))
-    rows, pairs = rows.drop("hashes"), []
-    for level in range(1, SIDE + 1):
+    """Distinct pairs (a, b) of nodes, a < b, that share a key.
+
+    A key's low bits are its table's number, so that rows are no more than a key and a node.
+    """
+    rows = classes.select("node", "hashes", F.explode(F.sequence(F.lit(0), F.lit(SIDE * SIDE - 1))).alias("table"))
+    rows, pairs = rows.select(_key(F.lit(0), F.col("table"), 0).alias("key"), "node"), []
+    last = (SIDE - 1) // STEP + 1
+    for level in range(last + 1):
         heads = rows.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("node").alias("head"))
         heads = settle(heads.filter("n > 1"))
         shared = settle(rows.join(heads, "key"))
@@ -96,22 +103,24 @@ def _candidates(classes: DataFrame) -> DataFrame:
         pairs.append(few.join(others, "key").filter("node < b").select(F.col("node").alias("a"), "b").distinct())
         many = shared.filter(F.col("n") > SMALL)
         pairs.append(many.filter("head < node").select(F.col("head").alias("a"), F.col("node").alias("b")).distinct())
-        if level == SIDE or not many.head(1):
+        if level == last or not many.head(1):
             break
-        rows = many.select("node", "i", "j", "key").join(classes.select("node", "hashes"), "node")
-        rows = rows.withColumn("key", F.xxhash64("key", *_both(level))).drop("hashes")
+        rows = many.select("node", "key").join(classes.select("node", "hashes"), "node")
+        table = F.col("key").bitwiseAND(F.lit(TABLES - 1))
+        rows = rows.select(_key(F.col("key"), table, 1 + level * STEP).alias("key"), "node")
     found = pairs[0]
     for more in pairs[1:]:
         found = found.unionByName(more)
     return settle(found.distinct())
 
 
-def _both(level: int) -> list:
-    """The hashes of either collection that are `level` after a table's own."""
-    return [
-        F.get("hashes", ((F.col("i") + level) % SIDE).cast("int")),
-        F.get("hashes", ((F.col("j") + level) % SIDE + SIDE).cast("int")),
-    ]
+def _key(before: Column, table: Column, first: int) -> Column:
+    """Key of a table from the hashes of either collection that are `first` and on after the table's own."""
+    hashes = []
+    for further in range(first, first + STEP if first else 1):
+        hashes.append(F.get("hashes", ((F.floor(table / SIDE) + further) % SIDE).cast("int")))
+        hashes.append(F.get("hashes", ((table + further) % SIDE + SIDE).cast("int")))
+    return F.xxhash64(before, *hashes).bitwiseAND(F.lit(-TABLES)).bitwiseOR(table.cast("long"))
 
 
 def _confirmed(pairs: DataFrame, classes: DataFrame, docs: DataFrame, doc_id: str, text: str) -> DataFrame:
@@ -127,6 +136,9 @@ def _confirmed(pairs: DataFrame, classes: DataFrame, docs: DataFrame, doc_id: st
         F.coalesce(F.xxhash64(text), F.lit(0)).alias("hash"),
         F.col(text).alias("text"),
     )
+    if (n := asked.count()) <= MOST_ASKED:
+        bits = fill(asked.select(F.col("text_hash").alias("key")), 1, words_for(n))
+        known = known.filter(passes(F.col("hash"), 1, words_for(n), bits))
     same = (F.col("hash") == F.col("text_hash")) & F.col("of").eqNullSafe(F.col("id"))
     # Rows equal in id and text give the same text; one of them is enough.
     texts = settle(asked.join(known, same).groupBy("node").agg(F.any_value("text").alias("text")))
@@ -134,14 +146,13 @@ def _confirmed(pairs: DataFrame, classes: DataFrame, docs: DataFrame, doc_id: st
     both = second.join(texts.select(F.col("node").alias("a"), F.col("text").alias("text_a")), "a")
 
     def compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, last, one = WordHashes(), None, None
-        for batch in batches:
+        last, one = None, None
+        for batch, texts in bites(batches, "text_b"):
             a, b = batch.column("a").to_pylist(), batch.column("b").to_pylist()
             fine = []
-            for row in range(batch.num_rows):
+            for row, other in enumerate(_sets(texts)):
                 if a[row] != last:
-                    last, one = a[row], _set(known, batch.column("text_a")[row].as_py())
-                other = _set(known, batch.column("text_b")[row].as_py())
+                    last, one = a[row], _sets([batch.column("text_a")[row].as_py()])[0]
                 common = len(np.intersect1d(one, other, assume_unique=True))
                 fine.append(100 * common >= PERCENT * (len(one) + len(other) - common))
             kept = [row for row, ok in enumerate(fine) if ok]
@@ -153,8 +164,10 @@ def _confirmed(pairs: DataFrame, classes: DataFrame, docs: DataFrame, doc_id: st
     return settle(both.select("a", "b", "text_a", "text_b").mapInArrow(compared, "u long, v long"))
 
 
-def _set(known: WordHashes, text: str) -> np.ndarray:
-    return np.unique(shingles(known.of(words_of(text, True)), WIDTH))
+def _sets(texts: list[str]) -> list[np.ndarray]:
+    """Distinct shingles of each text, sorted."""
+    hashes, ends = word_hashes(texts, True)
+    return [np.unique(shingles(hashes[a:b], WIDTH)) for a, b in zip([0, *ends[:-1]], ends)]
 
 
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:

@@ -19,14 +19,13 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.llm.bloom import fill, passes, words_for
 from tidemark.llm.text import settle, table
 
 # Verdict and host/path of the rules, longest first.
 RULES = (("allow", "example.net/en/"), ("block", "example.com/de/"), ("allow", "org/fr/"), ("block", "net/"))
 # Labels whose domains the query lists.
 LISTED = ("adult-x", "ads-track", "casino-win", "cheap-pills", "free-bets", "spam-farm")
-# Bits a key and hash functions of a level: about 1 % of other keys pass.
-BITS, HASHES = 10, 7
 # Listed hosts up to this many are held as bits by every task (60 MB for the first level, a hundredth
 # of that for the others). A longer list gives the same answers by a join on the host.
 MOST_LISTED = 50_000_000
@@ -63,13 +62,6 @@ def domains(host: Column) -> Column:
     )
 
 
-def _spots(key: Column, level: int, words: int) -> list[Column]:
-    """Bit numbers of a key in a level: double hashing of two 32-bit halves."""
-    mixed = F.xxhash64(key, F.lit(level))
-    first, step = F.shiftrightunsigned(mixed, 32), mixed.bitwiseAND(F.lit(0xFFFFFFFF)).bitwiseOR(F.lit(1))
-    return [(first + step * i) % (words * 64) for i in range(HASHES)]
-
-
 @dataclass(frozen=True)
 class Cascade:
     """Written one-row tables of 64-bit words, one for each level, with their number of words."""
@@ -80,31 +72,10 @@ class Cascade:
         """Whether a key of the universe is listed."""
         answer = F.lit(len(self.levels) % 2 == 1)
         for number, (bits, words) in reversed(list(enumerate(self.levels, 1))):
-            answer = F.when(_passes(key, number, words, bits), answer).otherwise(F.lit(number % 2 == 0))
+            answer = F.when(passes(key, number, words, bits), answer).otherwise(F.lit(number % 2 == 0))
         return F.when(key.isNull(), F.lit(False)).otherwise(answer)
 
 
-def _passes(key: Column, level: int, words: int, bits: DataFrame) -> Column:
-    filled, passed = bits.scalar(), F.lit(True)
-    for spot in _spots(key, level, words):
-        passed = passed & (F.get(filled, F.shiftright(spot, 6).cast("int")).bitwiseAND(_mask(spot)) != 0)
-    return passed
-
-
-def _mask(spot: Column) -> Column:
-    return F.call_function("shiftleft", F.lit(1).cast("long"), (spot % 64).cast("int"))
-
-
-def _fill(keys: DataFrame, level: int, words: int) -> DataFrame:
-    """One row: the words of a level. Bits of a word are or-ed in the tasks before any shuffle."""
-    spots = keys.select(F.explode(F.array(*_spots(F.col("key"), level, words))).alias("spot"))
-    pieces = spots.select(F.shiftright("spot", 6).alias("word"), _mask(F.col("spot")).alias("bits"))
-    blank = keys.sparkSession.range(words).select(F.col("id").alias("word"), F.lit(0).cast("long").alias("bits"))
-    whole = pieces.unionByName(blank).groupBy("word").agg(F.bit_or("bits").alias("bits"))
-    ordered = F.array_sort(F.collect_list(F.struct("word", "bits")))
-    return settle(whole.agg(F.transform(ordered, lambda x: x["bits"]).alias("bits")))
-
-
 def build_cascade(known: DataFrame) -> Cascade:
     """Cascade over a universe of distinct keys: (key, on), `on` for the listed ones.
 
@@ -113,9 +84,9 @@ def build_cascade(known: DataFrame) -> Cascade:
     """
     inside, outside, levels = known.filter("on"), known.filter(~F.col("on")), []
     while n := inside.count():
-        words = -(-n * BITS // 64)
-        levels.append((_fill(inside, len(levels) + 1, words), words))
-        passing = outside.filter(_passes(F.col("key"), len(levels), words, levels[-1][0]))
+        words = words_for(n)
+        levels.append((fill(inside, len(levels) + 1, words), words))
+        passing = outside.filter(passes(F.col("key"), len(levels), words, levels[-1][0]))
         inside, outside = settle(passing.select("key")), inside
     return Cascade(tuple(levels))
 
