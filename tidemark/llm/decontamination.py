@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm.text import table, with_package
-from tidemark.llm.tokens import WordHashes, bites, grams, mixed, shingles, words_of
+from tidemark.llm.tokens import bites, grams, mixed, shingles, word_hashes
 
 WIDTH, LEAST = 5, 0.8
 # 16 blocks of 8 bits: within 31 bits some block differs in at most one. Windows as similar as LEAST
@@ -43,6 +43,12 @@ AT_ONCE, SLOTS = 4096, 1 << 22
 FOUND = "doc_id long, item_id long, similarity double, start long, n_words long"
 
 
+def _each(texts: list[str]) -> list[np.ndarray]:
+    """Hashes of each text's words."""
+    hashes, ends = word_hashes(texts, True) if texts else (np.zeros(0, np.uint64), [])
+    return [hashes[a:b] for a, b in zip([0, *ends[:-1]], ends)]
+
+
 def _signs(hashes: np.ndarray) -> np.ndarray:
     """BITS signs for each shingle, as 0 and 1."""
     halves = np.stack([mixed(hashes + np.uint64(k)) for k in (1, 2)], axis=1)
@@ -60,9 +66,7 @@ class Items:
     """A block of the benchmark as the tasks hold it."""
 
     def __init__(self, rows: list[tuple[int, str]]):
-        known = WordHashes()
-        words = [(item, known.of(words_of(text, True))) for item, text in rows]
-        words = [(item, w) for item, w in words if len(w)]
+        words = [(item, w) for (item, _), w in zip(rows, _each([text for _, text in rows])) if len(w)]
         self.ids = [item for item, _ in words]
         self.lengths = np.array([len(w) for _, w in words], np.int64)
         lists = [shingles(w, WIDTH) for _, w in words]
@@ -177,12 +181,12 @@ def contaminations(
         sent = spark.sparkContext.broadcast(block)
 
         def search(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
-            items, known = _items(sent.value), WordHashes()
+            items = _items(sent.value)
             kinds = [pa.int64(), pa.int64(), pa.float64(), pa.int64(), pa.int64()]
             for batch, texts in bites(batches):
                 out = []
-                for doc, value in zip(batch.column("doc_id").to_pylist(), texts):
-                    told = items.search(known.of(words_of(value, True)))
+                for doc, hashes in zip(batch.column("doc_id").to_pylist(), _each(texts)):
+                    told = items.search(hashes)
                     out += [(doc, items.ids[item], *best) for item, best in sorted(told.items())]
                 if out:
                     names = [field.split()[0] for field in FOUND.split(", ")]
@@ -199,9 +203,9 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, text: str = "text") ->
         sent = spark.sparkContext.broadcast(block)
 
         def clean(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
-            items, known = _items(sent.value), WordHashes()
+            items = _items(sent.value)
             for batch, texts in bites(batches, text):
-                yield batch.filter(pa.array([not items.search(known.of(words_of(t, True))) for t in texts]))
+                yield batch.filter(pa.array([not items.search(hashes) for hashes in _each(texts)]))
 
         docs = docs.mapInArrow(clean, docs.schema)
     return docs

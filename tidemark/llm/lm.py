@@ -30,6 +30,7 @@ from __future__ import annotations
 import math
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -38,7 +39,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.text import settle, table, with_package
-from tidemark.llm.tokens import REMEMBERED, WordHashes, bites, words_of
+from tidemark.llm.tokens import HashTable, bites, mixed, word_hashes
 
 ORDER = 3
 KEPT = 1 << 20
@@ -63,7 +64,7 @@ def held_out(doc_id: str = "doc_id", folds: tuple[int, int] = HELD_OUT) -> Colum
     return F.coalesce(F.crc32(F.encode(F.col(doc_id).cast("string"), "UTF-8")) % of == remainder, F.lit(False))
 
 
-@dataclass(frozen=True)
+@dataclass
 class Order:
     """The kept n-grams of one order: sorted keys, and by position count, log10 chance and log10 rest.
 
@@ -77,6 +78,20 @@ class Order:
     rest: np.ndarray
     suffix: np.ndarray
 
+    @cached_property
+    def table(self) -> HashTable:
+        """Made by each Python worker for itself."""
+        return HashTable.of(self._spread(self.keys))
+
+    @staticmethod
+    def _spread(keys: np.ndarray) -> np.ndarray:
+        return mixed(keys.astype(np.uint64, copy=False)) | np.uint64(1)
+
+    def find(self, keys: np.ndarray) -> np.ndarray:
+        """Position of each key, -1 without."""
+        found = self.table.find(self._spread(keys))
+        return np.where((found >= 0) & (self.keys[found] == keys), found, -1) if len(self.keys) else found
+
 
 @dataclass(frozen=True)
 class Model:
@@ -88,39 +103,11 @@ class Model:
         return self.tokens + self.distinct + 1
 
 
-class Positions(dict):
-    """Position of a word (bytes) among the kept words; -1 less its number among a task's others, whose hashes are listed."""
-
-    def __init__(self, keys: np.ndarray):
-        super().__init__()
-        self.keys, self.others = keys, []
-        self.end = self.find(END)
-
-    def find(self, value: np.uint64) -> int:
-        at = int(np.searchsorted(self.keys, value))
-        if at < len(self.keys) and self.keys[at] == value:
-            return at
-        self.others.append(int(value.view(np.int64)))
-        return -len(self.others)
-
-    def __missing__(self, word: bytes) -> int:
-        found = self[word] = self.find(np.uint64(xxhash.xxh3_64_intdigest(word)))
-        return found
-
-    def of(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Positions of all tokens of some texts, and where each text's tokens end."""
-        if len(self) > REMEMBERED:
-            self.clear()
-            self.others.clear()
-            self.end = self.find(END)
-        parts, ends, n = [], [], 0
-        for text in texts:
-            words = words_of(text, True)
-            parts.append(np.fromiter(map(self.__getitem__, words), np.int64, len(words)))
-            parts.append(np.array([self.end]))
-            n += len(words) + 1
-            ends.append(n)
-        return np.concatenate(parts), np.array(ends)
+def tokens_of(texts: list[str], words: Order) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Position among the kept words (or -1) and hash of all tokens of some texts, and where each text's end."""
+    hashes, ends = word_hashes(texts, True)
+    hashes = np.insert(hashes, ends, END)
+    return words.find(hashes), hashes, ends + np.arange(1, len(ends) + 1)
 
 
 def lookup(keys: np.ndarray, wanted: np.ndarray) -> np.ndarray:
@@ -143,7 +130,7 @@ def states(orders: tuple[Order, ...], tokens: np.ndarray, ends: np.ndarray) -> I
         before[begins] = -1
         wanted = np.flatnonzero((before >= 0) & (tokens >= 0))
         found = np.full(len(tokens), -1, np.int64)
-        found[wanted] = lookup(order.keys, _keys(before[wanted], tokens[wanted]))
+        found[wanted] = order.find(_keys(before[wanted], tokens[wanted]))
         yield found
 
 
@@ -171,9 +158,8 @@ def _grouped(parts: Iterator[np.ndarray]) -> Iterator[pa.RecordBatch]:
 
 def _word_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     def parts() -> Iterator[np.ndarray]:
-        known = WordHashes()
         for _, texts in bites(batches):
-            yield from (known.of(words_of(text, True)) for text in texts)
+            yield word_hashes(texts, True)[0]
             yield np.full(len(texts), END)
 
     return _grouped(parts())
@@ -185,9 +171,8 @@ def _gram_keys(sent):
     def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def parts() -> Iterator[np.ndarray]:
             orders = sent.value
-            words = Positions(orders[0].keys)
             for _, texts in bites(batches):
-                tokens, ends = words.of(texts)
+                tokens, _, ends = tokens_of(texts, orders[0])
                 *_, last = states(orders, tokens, ends)
                 begins = np.zeros(len(tokens), bool)
                 begins[np.concatenate([[0], ends[:-1]])] = True
@@ -257,9 +242,9 @@ def train(
     return Model(orders, tokens, distinct), words
 
 
-def _scored(model: Model, words: Positions, texts: list[str]) -> tuple:
+def _scored(model: Model, texts: list[str]) -> tuple:
     """For each text tokens, known ones, log10 chances by base and model without its rare words, and those."""
-    tokens, ends = words.of(texts)
+    tokens, hashes, ends = tokens_of(texts, model.orders[0])
     log_space, first = math.log10(model.space()), model.orders[0]
     known = tokens >= 0
     base = np.full(len(tokens), -log_space)
@@ -282,19 +267,18 @@ def _scored(model: Model, words: Positions, texts: list[str]) -> tuple:
     sums = [np.add.reduceat(values, starts) for values in (known.astype(np.int64), base, score)]
     rare = []
     for a, b in zip(starts, ends):
-        values, n = np.unique(tokens[a:b][~known[a:b]], return_counts=True)
-        rare.append([{"word": words.others[-1 - v], "n": k} for v, k in zip(values.tolist(), n.tolist())])
+        values, n = np.unique(hashes[a:b][~known[a:b]].view(np.int64), return_counts=True)
+        rare.append([{"word": v, "n": k} for v, k in zip(values.tolist(), n.tolist())])
     return ends - starts, *sums, rare
 
 
 def _score(sent):
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = sent.value
-        words = Positions(model.orders[0].keys)
         names = ["doc_id", "held_out", "n_tokens", "n_known", "base", "score", "rare"]
         kind = pa.list_(pa.struct([("word", pa.int64()), ("n", pa.int64())]))
         for batch, texts in bites(batches):
-            n, known, base, score_, rare = _scored(model, words, texts)
+            n, known, base, score_, rare = _scored(model, texts)
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("doc_id"),
