@@ -10,7 +10,7 @@ from tidemark.functions.keys import version_key
 from tidemark.plans import medallion
 from tidemark.plans.medallion import Layout, load_star, run_batch
 from tidemark.sources.files import CORRUPT, read_csv_feed
-from tidemark.sources.warehouse import Warehouse
+from tidemark.sources.warehouse import Conflict, Warehouse
 from tidemark.streaming.feed import stream_feed
 
 # The sample feeds.
@@ -222,6 +222,77 @@ def test_stream_picks_up_new_files_once(spark, tmp_path):
     assert wh.state().seq == 2
 
 
+def test_second_publisher_of_a_state_starts_again(spark, wh, tmp_path, monkeypatch):
+    run_batch(wh, customers(spark, tmp_path), AS_OF, "r1")
+    stale = wh.state()
+    wh.publish(stale, "other")
+    with pytest.raises(Conflict):
+        wh.publish(stale, "late")
+    moved = CUSTOMERS.splitlines()[0] + "\n1005,C002,Priya,Sharma,priya@example.com,Goa,India,2024-03-31 10:00:00\n"
+    read, states = Warehouse.state, [stale]
+    monkeypatch.setattr(Warehouse, "state", lambda self, run=None: states.pop() if states else read(self, run))
+    state = run_batch(wh, feed(spark, tmp_path, moved, schemas.CUSTOMER_FEED, "b.csv"), AS_OF, "r2")
+    assert not states and state.seq == 3
+    assert [row[1] for row in dimension(wh)] == ["Delhi", "Mumbai", "Pune", "Bangalore", "Goa"]
+
+
+def test_a_run_is_known_after_later_ones_and_old_folders_go(spark, wh, tmp_path):
+    for run in ("r1", "r2", "r3"):
+        state = run_batch(wh, customers(spark, tmp_path), AS_OF, run)
+    assert wh.state("r1").repeated and wh.state("r3").repeated and not wh.state("r4").repeated
+    before = dimension(wh)
+    gone = wh.vacuum(state)
+    assert f"{medallion.SILVER}/run_id=r1" in gone and dimension(wh) == before
+    assert wh.vacuum(state) == []
+
+
+def test_changed_buckets_keep_one_current_version(spark, wh, tmp_path):
+    run_batch(wh, customers(spark, tmp_path), AS_OF, "r1", Layout(buckets=4))
+    moved = CUSTOMERS.splitlines()[0] + "\n1005,C002,Priya,Sharma,priya@example.com,Goa,India,2024-03-31 10:00:00\n"
+    run_batch(wh, feed(spark, tmp_path, moved, schemas.CUSTOMER_FEED, "b.csv"), AS_OF, "r2", Layout(buckets=8))
+    assert [(row[0], row[1]) for row in dimension(wh) if row[4]] == [("C001", "Pune"), ("C002", "Goa")]
+
+
+def test_missing_keys_stay_out_of_the_dimensions(spark, wh, tmp_path):
+    run_batch(wh, customers(spark, tmp_path), AS_OF, "r1")
+    orders = feed(spark, tmp_path, ORDERS + "O001,C001,P009,,2,10\nO001,C001,,2024-03-11 08:00:00,2,10\n", schemas.ORDER_FEED, "o.csv")
+    products = feed(spark, tmp_path, PRODUCTS + ",Desk,Office,5\n", schemas.PRODUCT_FEED, "p.csv")
+    counts = []
+    for run in ("s1", "s2", "s3"):
+        state = load_star(wh, orders, products, at("2024-04-02 00:00:00"), run)
+        tables = ((medallion.PRODUCTS, schemas.DIM_PRODUCT), (medallion.DATES, schemas.DIM_DATE), (medallion.FACTS, schemas.FACT_SALES))
+        counts.append([wh.read(state, name, schema).count() for name, schema in tables])
+        keys = [r["sales_sk"] for r in wh.read(state, medallion.FACTS, schemas.FACT_SALES).collect()]
+        assert len(set(keys)) == 5
+    assert counts == [[2, 4, 5]] * 3
+    dead = wh.log(medallion.DEAD_ORDERS, schemas.table(order_id="string", dq_error_reason="string")).filter("run_id = 's1'")
+    assert [tuple(r)[:2] for r in dead.collect()] == [("O001", medallion.NULL_DATE)]
+
+
+def test_rows_without_a_time_are_counted(spark, wh, tmp_path):
+    bad = CUSTOMERS + "1005,C003,A,B,c@example.com,X,India,soon\n1006,C003,A,B,c@example.com,X,India,\n"
+    run_batch(wh, customers(spark, tmp_path, bad), AS_OF, "r1")
+    assert metrics(wh, "r1") == (6, 2, 4, 0)
+    assert dimension(wh) == DIMENSION
+
+
+def test_columns_are_found_by_name(spark, tmp_path):
+    text = "price,extra,product_id\n5.50,x,P1\n"
+    row = feed(spark, tmp_path, text, schemas.PRODUCT_FEED).first()
+    assert tuple(row) == ("P1", None, None, Decimal("5.50"))
+
+
+def test_new_checkpoint_loads_new_files(spark, tmp_path):
+    folder = tmp_path / "feed"
+    folder.mkdir()
+    lines = CUSTOMERS.splitlines(keepends=True)
+    wh = Warehouse(spark, str(tmp_path / "warehouse"))
+    for n in (1, 2):
+        (folder / f"{n}.csv").write_text(lines[0] + "".join(lines[n::2]))
+        stream_feed(wh, str(folder), str(tmp_path / f"offsets{n}"), "customers", as_of=lambda: AS_OF).awaitTermination()
+    assert dimension(wh) == DIMENSION
+
+
 def test_corrupt_lines_are_kept_as_text(spark, tmp_path):
     path = tmp_path / "bad.csv"
     path.write_text(PRODUCTS + "P003,Desk,Office,cheap\n")

@@ -39,9 +39,11 @@ def test_join_lookup_with_a_hot_key_and_missing_keys(limits, how):
     big = limits.createDataFrame(skewed(), "id int, k int, v int")
     lookup = limits.createDataFrame([(k, f"n{k}") for k in range(0, 40, 3)], "k int, name string")
     assert [row.k for row in hot_keys(big, "k").keys.collect()] == [0]
+    limits.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     split = join_lookup(big, lookup, "k", how)
     plain = big.join(lookup, "k", how)
     assert split.columns == plain.columns or set(split.columns) == set(plain.columns)
+    limits.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     order = sorted(plain.columns)
     assert sorted(split.select(order).collect(), key=repr) == sorted(plain.select(order).collect(), key=repr)
 
@@ -82,6 +84,38 @@ def test_join_as_of_with_one_hot_moment(limits):
     assert len(sizes) > 5 and max(row["count"] for row in sizes) < 200
 
 
+@pytest.mark.parametrize("limit", ["3", "200000"])
+@pytest.mark.parametrize("how", ["auto", "range", "running"])
+def test_join_as_of_with_overlaps(spark, how, limit):
+    rng, at = random.Random(9), lambda day: DAY + timedelta(days=day)
+    versions = [(rng.choice("abcd"), rng.choice([at(rng.randint(0, 9)), None]), rng.choice([at(rng.randint(0, 12)), None]), n) for n in range(40)]
+    versions += [("e", at(n), at(n + 1), 100 + n) for n in range(5)] + [(None, at(0), None, 200)]
+    facts = [(n, rng.choice(["a", "b", "c", "d", "e", "f", None]), rng.choice([at(rng.randint(0, 13)), None])) for n in range(300)]
+    spark.conf.set("spark.tidemark.broadcastRows", limit)
+    try:
+        found = join_as_of(
+            spark.createDataFrame(facts, "n int, k string, t timestamp_ntz"),
+            spark.createDataFrame(versions, "k string, start_date timestamp_ntz, end_date timestamp_ntz, v int"),
+            "k", "t", ["v"], how,
+        ).collect()
+    finally:
+        spark.conf.unset("spark.tidemark.broadcastRows")
+    expected = []
+    for n, k, t in facts:
+        valid = [v for key, a, b, v in versions if key == k and k and t and a and a <= t and (b is None or t < b)]
+        expected += [(n, v) for v in valid or [None]]
+    assert sorted(((r["n"], r["v"]) for r in found), key=repr) == sorted(expected, key=repr)
+
+
+def test_neighbours_may_be_null(limits):
+    rows = [(0, t, None if t % 3 else t) for t in range(200)]
+    df = limits.createDataFrame(rows, "k int, t int, v int")
+    done = Ordered.by(df, "k", ("t",), unique=True).previous("v", "before").following("v", "after")
+    assert done.split
+    value = lambda t: t if 0 <= t < 200 and t % 3 == 0 else None
+    assert all((r["before"], r["after"]) == (value(r["t"] - 1), value(r["t"] + 1)) for r in done.frame().collect())
+
+
 @pytest.mark.parametrize("how", ["auto", "range", "running"])
 def test_join_as_of(spark, how):
     at = lambda hour: DAY + timedelta(hours=hour)

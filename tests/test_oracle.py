@@ -49,7 +49,7 @@ def test_query(spark, duck, name):
 
 SPLIT = [
     "dq_duplicate_event", "dq_single_pass", "dlq_new_only", "timeline_rebuild", "scd2_incremental", "scd2_new_rows",
-    "delete_by_key", "surrogate_key_dense", "fact_sales", "chk_scd2_contiguous", "medallion_end_to_end",
+    "delete_by_key", "surrogate_key_dense", "fact_sales", "temporal_join_overlap", "chk_scd2_contiguous", "medallion_end_to_end",
 ]
 
 

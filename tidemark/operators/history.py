@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.hashing import with_hash
 from tidemark.functions.times import ntz
-from tidemark.operators.skew import Ordered, fits_broadcast, join_lookup, settle
+from tidemark.operators.skew import Ordered, join_lookup, settle
 
 
 @dataclass(frozen=True)
@@ -99,7 +99,7 @@ def touched_keys(batch: DataFrame, dim: DataFrame, spec: History) -> DataFrame:
     starts = current(dim).select(
         spec.key, F.col("start_date").alias("_start"), F.col("source_event_id").alias("_source")
     )
-    starts = join_lookup(starts, first.select(spec.key), spec.key, "left_semi", even=True)
+    starts = join_lookup(starts, first.select(spec.key), spec.key, "left_semi")
     time, source = F.col(f"_earliest.{spec.time}"), F.col(f"_earliest.{spec.event_id}")
     late = F.coalesce(time < F.col("_start"), F.lit(False))
     tied = F.coalesce((time == F.col("_start")) & (source < F.col("_source")), F.lit(False))
@@ -142,7 +142,7 @@ def fold(
 
 def _on_time(dim: DataFrame, batch: DataFrame, spec: History) -> tuple[DataFrame, DataFrame]:
     keys = settle(touched_keys(batch, dim, spec).filter(~F.col("late")).select(spec.key))
-    return join_lookup(current(dim), keys, spec.key, "left_semi", even=True), join_lookup(batch, keys, spec.key, "left_semi")
+    return join_lookup(current(dim), keys, spec.key, "left_semi"), join_lookup(batch, keys, spec.key, "left_semi")
 
 
 def expired_versions(dim: DataFrame, batch: DataFrame, spec: History) -> DataFrame:
@@ -170,17 +170,15 @@ def merge(
     late = keys.filter("late").select(spec.key)
     on_time = keys.filter(~F.col("late")).select(spec.key)
 
-    small = fits_broadcast(keys)
-
-    routed = join_lookup(dim, keys, spec.key, "left", small=small)
+    routed = join_lookup(dim, keys, spec.key, "left")
     folding = (F.col("late") == F.lit(False)) & F.col("is_current")
     passing = routed.filter(F.col("late").isNull() | (~F.col("late") & ~F.col("is_current"))).drop("late")
-    arrived = join_lookup(batch, on_time, spec.key, "left_semi", small=small)
+    arrived = join_lookup(batch, on_time, spec.key, "left_semi")
     folded = fold(routed.filter(folding).drop("late"), arrived, spec, counts_from=batch).drop("is_stored")
     merged = passing.unionByName(folded)
     if late.isEmpty():
         return merged
-    rebuilt = versions(join_lookup(events, late, spec.key, "left_semi", small=small), spec, collapse)
+    rebuilt = versions(join_lookup(events, late, spec.key, "left_semi"), spec, collapse)
     return merged.unionByName(rebuilt, allowMissingColumns=True)
 
 
@@ -214,7 +212,7 @@ def merge_recent(
     known = disturbed.groupBy(spec.key).agg(F.min("since").alias("_known"))
     reach = F.least(F.col("first_time"), F.col("_known"))
     keys = settle(
-        join_lookup(touched, known, spec.key, "left", even=True).select(
+        join_lookup(touched, known, spec.key, "left").select(
             spec.key,
             "late",
             F.when(F.col("late"), reach).alias("since"),
@@ -222,8 +220,7 @@ def merge_recent(
         )
     )
 
-    small = fits_broadcast(keys)
-    routed = join_lookup(dim, keys.drop("far"), spec.key, "left", small=small)
+    routed = join_lookup(dim, keys.drop("far"), spec.key, "left")
     late, since, end = F.col("late"), F.col("since"), F.col("end_date")
     before = F.coalesce(end < since, F.lit(False))
     covers = (F.col("start_date") < since) & (end.isNull() | (end >= since))
@@ -231,18 +228,18 @@ def merge_recent(
     opened = routed.filter((~late & F.col("is_current")) | (late & covers)).drop("late", "since")
 
     near = keys.filter(~F.col("far")).select(spec.key)
-    arrived = join_lookup(batch, near, spec.key, "left_semi", small=small)
+    arrived = join_lookup(batch, near, spec.key, "left_semi")
     counts = batch
     far = keys.filter("far").select(spec.key, "since")
     earliest = far.agg(F.min("since")).first()[0]
     if earliest is not None:
         older = events_since(earliest).filter(F.col(spec.time) >= ntz(earliest))
-        older = join_lookup(older, far, spec.key, "inner", small=small).filter(F.col(spec.time) >= F.col("since"))
+        older = join_lookup(older, far, spec.key, "inner").filter(F.col(spec.time) >= F.col("since"))
         arrived = arrived.unionByName(older.select(*arrived.columns))
         counts = None
     folded = fold(opened, arrived, spec, counts_from=counts).drop("is_stored")
 
     redone = keys.filter("late").select(spec.key)
-    open_issues = join_lookup(disturbed, redone, spec.key, "left_anti", small=small)
+    open_issues = join_lookup(disturbed, redone, spec.key, "left_anti")
     ties = touched.filter("tied").select(spec.key, F.col("first_time").alias("since"))
     return Merged(passing.drop("late", "since").unionByName(folded), open_issues.unionByName(ties))

@@ -13,6 +13,7 @@ from tidemark.operators.skew import join_lookup, settle
 NULL_KEY = "NULL_CUSTOMER_ID"
 FUTURE = "FUTURE_TIMESTAMP"
 DUPLICATE = "DUPLICATE_EVENT"
+NULL_TIME = "NULL_EVENT_TIME"
 REASON = "dq_error_reason"
 
 
@@ -28,6 +29,11 @@ def standard_rules(as_of: Column, key: str = "customer_id", time: str = "event_t
     return [Rule(NULL_KEY, F.col(key).isNull()), Rule(FUTURE, F.col(time) > as_of)]
 
 
+def untimed_rule(time: str = "event_time") -> Rule:
+    """For rows as they arrive: without a time no lookback ever takes them up."""
+    return Rule(NULL_TIME, F.col(time).isNull())
+
+
 def any_broken(rules: Sequence[Rule]) -> Column:
     broken = F.lit(False)
     for rule in rules:
@@ -47,7 +53,7 @@ def repeated_ids(df: DataFrame, event_id: str = "event_id") -> DataFrame:
 def duplicate_rows(df: DataFrame, event_id: str = "event_id") -> DataFrame:
     """Every copy of every repeated id; rows without an id are no duplicates."""
     ids = settle(repeated_ids(df, event_id).withColumnRenamed("copies", "count"))
-    found = join_lookup(df, ids.select(event_id), event_id, "left_semi", counts=ids)
+    found = join_lookup(df, ids.select(event_id), event_id, "left_semi")
     return found.withColumn(REASON, F.lit(DUPLICATE))
 
 
@@ -86,7 +92,7 @@ def flag(
             .drop("_broken")
         )
         lookup = suspects.withColumnRenamed("count", "_copies")
-        judged = join_lookup(df, lookup, event_id, "left", counts=suspects)
+        judged = join_lookup(df, lookup, event_id, "left")
         checks.append(F.when(F.col("_copies") > 1, F.lit(DUPLICATE)))
         rejected = F.col("_copies").isNotNull()
     alone = broken if null_id == "judge" else F.lit(False)
@@ -109,6 +115,5 @@ def valid_rows(flagged: DataFrame) -> DataFrame:
 
 def unseen_dead_letters(found: DataFrame, stored: DataFrame, event_id: str = "event_id") -> DataFrame:
     """Dead letters whose (id, reason) is not stored yet; those without an id always pass."""
-    dead = F.struct(event_id, REASON)
-    known = stored.filter(F.col(event_id).isNotNull()).select(dead.alias("_dead")).distinct()
-    return join_lookup(found.withColumn("_dead", dead), known, "_dead", "left_anti").drop("_dead")
+    known = stored.filter(F.col(event_id).isNotNull()).select(event_id, REASON).distinct()
+    return found.join(known, [event_id, REASON], "left_anti").select(*found.columns)

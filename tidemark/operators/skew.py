@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame, Window
@@ -13,10 +13,8 @@ from tidemark.session import setting, work_folder
 
 # A key with more rows than this is spread over several tasks (spark.tidemark.hotRows).
 HOT_ROWS = 5_000_000
-# Lookup frames up to this many rows are broadcast (spark.tidemark.broadcastRows).
+# Versions up to this many are broadcast to facts (spark.tidemark.broadcastRows).
 BROADCAST_ROWS = 200_000
-# More range partitions than this cost more than somewhat longer segments.
-MOST_SEGMENTS = 20_000
 SEGMENT = "_segment"
 
 
@@ -30,15 +28,12 @@ def large_keys(counts: DataFrame, key: str) -> HotKeys | None:
     """Keys whose `count` exceeds hotRows.
 
     A frame of N rows has fewer than N / hotRows of them (200 000 in 10^12 rows at the default),
-    so the list is small enough for the driver and for a broadcast.
+    so the list, which stays a written frame, is small enough for a broadcast.
     """
-    spark = counts.sparkSession
-    limit = setting(spark, "hotRows", HOT_ROWS)
-    found = counts.filter(F.col(key).isNotNull() & (F.col("count") > limit)).select(key, "count").collect()
-    if not found:
-        return None
-    keys = spark.createDataFrame([(row[0],) for row in found], counts.select(key).schema)
-    return HotKeys(keys, sum(row[1] for row in found))
+    limit = setting(counts.sparkSession, "hotRows", HOT_ROWS)
+    found = settle(counts.filter(F.col(key).isNotNull() & (F.col("count") > limit)).select(key, "count"))
+    rows = found.agg(F.sum("count")).first()[0]
+    return HotKeys(found.select(key), rows) if rows else None
 
 
 def hot_keys(df: DataFrame, key: str) -> HotKeys | None:
@@ -46,10 +41,6 @@ def hot_keys(df: DataFrame, key: str) -> HotKeys | None:
     return large_keys(df.groupBy(key).count(), key)
 
 
-def fits_broadcast(df: DataFrame) -> bool:
-    return df.count() <= setting(df.sparkSession, "broadcastRows", BROADCAST_ROWS)
-
-
 def settle(df: DataFrame) -> DataFrame:
     """Compute a derived frame once, as a table in the shared folder, for several readers."""
     path = work_folder(df.sparkSession, "settled")
@@ -57,42 +48,14 @@ def settle(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def join_lookup(
-    big: DataFrame,
-    lookup: DataFrame,
-    key: str,
-    how: str = "left",
-    counts: DataFrame | None = None,
-    even: bool = False,
-    small: bool | None = None,
-) -> DataFrame:
+def join_lookup(big: DataFrame, lookup: DataFrame, key: str, how: str = "left") -> DataFrame:
     """Join `big` to a frame with at most one row per key (left, inner, left_semi, left_anti).
 
-    A lookup of counted, limited size is broadcast. Beyond that both sides are shuffled, except
-    that rows without a key never travel and rows of hot keys meet a broadcast of just those
-    keys' lookup rows. Hot keys are counted unless `counts` already has them (key, count), or
-    `even` says that no key of `big` has many rows. `small`: an earlier count's result for a frame
-    that holds the lookup.
+    Spark broadcasts a lookup whose written size is below its limit. Else both sides are shuffled
+    once, and adaptive execution splits what a hot key, or the rows without a key, put into one
+    partition of `big`; nothing is counted beforehand. Settle a lookup that is costly to derive.
     """
-    if fits_broadcast(lookup) if small is None else small:
-        return big.join(F.broadcast(lookup), key, how)
-    keyed = big.filter(F.col(key).isNotNull())
-    if even:
-        hot = None
-    else:
-        hot = hot_keys(keyed, key) if counts is None else large_keys(counts, key)
-    if hot is None:
-        joined = keyed.join(lookup, key, how)
-    else:
-        few = F.broadcast(hot.keys)
-        cold_side = keyed.join(few, key, "left_anti").join(lookup, key, how)
-        hot_lookup = lookup.join(few, key, "left_semi")
-        hot_side = keyed.join(few, key, "left_semi").join(F.broadcast(hot_lookup), key, how)
-        joined = cold_side.unionByName(hot_side)
-    if how in ("left", "left_anti"):
-        keyless = big.filter(F.col(key).isNull())
-        joined = joined.unionByName(keyless, allowMissingColumns=True)
-    return joined
+    return big.join(lookup, key, how)
 
 
 @dataclass(frozen=True)
@@ -128,8 +91,7 @@ class Ordered:
         if hot is None:
             return cls(df, key, tuple(order))
         few = F.broadcast(hot.keys)
-        wanted = 1 + math.ceil(2 * hot.rows / setting(df.sparkSession, "hotRows", HOT_ROWS))
-        parts = min(wanted, MOST_SEGMENTS)
+        parts = 1 + math.ceil(2 * hot.rows / setting(df.sparkSession, "hotRows", HOT_ROWS))
         cold = df.join(few, key, "left_anti").withColumn(SEGMENT, F.lit(0))
         hot_rows, position = df.join(few, key, "left_semi"), [key, *order]
         if not unique:
@@ -166,23 +128,19 @@ class Ordered:
         rows = self._with_carry(edge, shift)
         return replace(self, rows=rows.withColumn(name, F.coalesce(inside, "_carry")).drop("_carry"))
 
+    def _neighbour(self, value: str, name: str, step: Callable, edge: Callable) -> Ordered:
+        # Held in a struct, a NULL value of a neighbour differs from having none.
+        held = F.struct(F.col(value).alias("value"))
+        done = self._add(name, step(held).over(self._window()), edge(held, self._position()), step("_edge").over(self._segments()))
+        return replace(done, rows=done.rows.withColumn(name, F.col(name)["value"]))
+
     def previous(self, value: str, name: str) -> Ordered:
-        """Add the value of the row before; `value` must not be NULL."""
-        return self._add(
-            name,
-            F.lag(value).over(self._window()),
-            F.max_by(F.col(value), self._position()),
-            F.lag("_edge").over(self._segments()),
-        )
+        """Add the value of the row before, NULL if it is NULL or there is none."""
+        return self._neighbour(value, name, F.lag, F.max_by)
 
     def following(self, value: str, name: str) -> Ordered:
-        """Add the value of the row after; `value` must not be NULL."""
-        return self._add(
-            name,
-            F.lead(value).over(self._window()),
-            F.min_by(F.col(value), self._position()),
-            F.lead("_edge").over(self._segments()),
-        )
+        """Add the value of the row after, NULL if it is NULL or there is none."""
+        return self._neighbour(value, name, F.lead, F.min_by)
 
     def latest(self, value: str, name: str) -> Ordered:
         """Add the last non-NULL value up to and including the row."""

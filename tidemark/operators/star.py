@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions.keys import date_key, natural_key
+from tidemark.functions.keys import date_key, natural_key, with_dense_key
 from tidemark.functions.times import calendar
+from tidemark.operators.quality import REASON
 from tidemark.operators.skew import join_lookup
 from tidemark.operators.temporal import join_as_of
 
@@ -14,21 +15,26 @@ from tidemark.operators.temporal import join_as_of
 def product_rows(feed: DataFrame, product_id: str = "product_id") -> DataFrame:
     """Feed rows with their surrogate key, one per product id (a repeat would multiply facts).
 
-    Repeats are settled by the greatest remaining column values.
+    Repeats are settled by the greatest remaining column values; rows without an id are no products.
     """
     rest = [name for name in feed.columns if name != product_id]
-    kept = feed.groupBy(product_id).agg(F.max(F.struct(*rest)).alias("_row"))
+    kept = feed.filter(F.col(product_id).isNotNull()).groupBy(product_id).agg(F.max(F.struct(*rest)).alias("_row"))
     return kept.select(natural_key(product_id).alias("product_sk"), product_id, "_row.*")
 
 
 def unseen(feed: DataFrame, stored: DataFrame, key: str) -> DataFrame:
     """Rows of a feed with one row per key whose key is not stored yet."""
-    return join_lookup(feed, stored.select(key), key, "left_anti", even=True)
+    return join_lookup(feed, stored.select(key), key, "left_anti")
 
 
 def order_dates(orders: DataFrame, time: str = "order_date") -> DataFrame:
-    """Distinct calendar dates; no gaps are filled."""
-    return orders.select(F.col(time).cast("date").alias("full_date")).distinct()
+    """Distinct calendar dates; no gaps are filled, and a missing date is none."""
+    return orders.select(F.col(time).cast("date").alias("full_date")).filter("full_date IS NOT NULL").distinct()
+
+
+def keyless(feed: DataFrame, key: str, reason: str) -> DataFrame:
+    """Rows that cannot enter a dimension for want of a key, as dead letters."""
+    return feed.filter(F.col(key).isNull()).withColumn(REASON, F.lit(reason))
 
 
 def date_rows(dates: DataFrame) -> DataFrame:
@@ -45,9 +51,8 @@ def with_product(facts: DataFrame, products: DataFrame) -> DataFrame:
 
 
 def with_date(facts: DataFrame, dates: DataFrame, time: str = "order_date") -> DataFrame:
-    """Broadcast without a count: the calendar up to year 9999 has 3.7 million days."""
     dated = facts.withColumn("full_date", F.to_date(F.col(time)))
-    return dated.join(F.broadcast(dates.select("full_date", "date_sk")), "full_date", "left")
+    return join_lookup(dated, dates.select("full_date", "date_sk"), "full_date")
 
 
 def sales_facts(
@@ -61,11 +66,12 @@ def sales_facts(
     """Orders with the surrogate keys of customer version, product and date.
 
     All joins are outer: an order without a match keeps a NULL key, and as many rows leave as
-    came in while the dimensions are unique and validity windows do not overlap.
+    came in while the dimensions are unique and validity windows do not overlap. Products and dates
+    are joined first, so that what goes through the ordered pass over versions is read once.
     """
     used = [*grain, "customer_id", "product_id", "order_date", "quantity", "total_amount"]
-    joined = join_as_of(orders.select(*used), customers, "customer_id", "order_date", ["customer_sk"], how)
-    joined = with_date(with_product(joined, products), dates)
+    dated = with_date(with_product(orders.select(*used), products), dates)
+    joined = join_as_of(dated, customers, "customer_id", "order_date", ["customer_sk"], how)
     return joined.select(*grain, "customer_sk", "product_sk", "date_sk", "quantity", "total_amount")
 
 
@@ -77,5 +83,6 @@ def unmatched_facts(facts: DataFrame) -> DataFrame:
     return facts.agg(F.count(F.lit(1)).alias("facts"), *[n.alias(name) for name, n in missing.items()])
 
 
-def fact_key(*grain: str) -> Column:
-    return natural_key(*grain)
+def with_fact_key(facts: DataFrame, name: str = "sales_sk") -> DataFrame:
+    """Number the facts: a grain that occurs twice, or not at all, still gets a key of its own for each row."""
+    return with_dense_key(facts, facts.columns, name)

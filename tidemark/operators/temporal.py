@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.operators.skew import BROADCAST_ROWS, Ordered
+from tidemark.operators.skew import BROADCAST_ROWS, Ordered, join_lookup, settle
 from tidemark.session import setting
 
 # Versions per key up to which comparing a fact with each of them is cheaper than sorting.
@@ -15,7 +15,7 @@ FEW_VERSIONS = 256
 
 
 def _range_join(facts: DataFrame, versions: DataFrame, key: str, time: str, carry: Sequence[str]) -> DataFrame:
-    """Broadcast equi-join with the validity window as residual condition."""
+    """Equi-join with the validity window as residual condition."""
     v = versions.select(key, "start_date", "end_date", *[c for c in carry if c not in ("start_date", "end_date")])
     v = v.toDF(*[f"_v_{name}" for name in v.columns])
     valid = (
@@ -23,7 +23,7 @@ def _range_join(facts: DataFrame, versions: DataFrame, key: str, time: str, carr
         & (F.col(time) >= F.col("_v_start_date"))
         & (F.col("_v_end_date").isNull() | (F.col(time) < F.col("_v_end_date")))
     )
-    joined = facts.join(F.broadcast(v), valid, "left")
+    joined = facts.join(v, valid, "left")
     return joined.select(*facts.columns, *[F.col(f"_v_{name}").alias(name) for name in carry])
 
 
@@ -31,34 +31,52 @@ def _running_join(facts: DataFrame, versions: DataFrame, key: str, time: str, ca
     """Versions and facts in one time-ordered pass; a fact takes the last version before it.
 
     One shuffle and one sort, and no pair of fact and version is ever formed, so many facts times
-    many versions of one key stays linear. Needs validity windows that do not overlap. At equal
-    times versions come first, zero-length ones before the version that stays open; a fact
-    without a time sorts before all of them.
+    many versions of one key stays linear. Needs versions that do not overlap and cover some time.
+    At equal times versions come first; a fact without a time sorts before all of them.
     """
     held = list(dict.fromkeys([*carry, "end_date"]))
-    starts = versions.filter(F.col(key).isNotNull()).select(
+    starts = versions.select(
         key,
         F.col("start_date").alias("_at"),
         F.lit(0).alias("_kind"),
-        F.col("end_date").isNull().alias("_open"),
-        F.col("end_date").alias("_until"),
         F.struct(*held).alias("_version"),
     )
-    placed = facts.filter(F.col(key).isNotNull()).select(
+    placed = facts.select(
         key,
         F.col(time).alias("_at"),
         F.lit(1).alias("_kind"),
         F.struct(*facts.columns).alias("_fact"),
     )
     both = starts.unionByName(placed, allowMissingColumns=True)
-    rows = Ordered.by(both, key, ("_at", "_kind", "_open", "_until")).latest("_version", "_found")
+    rows = Ordered.by(both, key, ("_at", "_kind")).latest("_version", "_found")
     found = rows.frame().filter(F.col("_kind") == 1)
     until = F.col("_found.end_date")
     valid = until.isNull() | (F.col("_at") < until)
-    matched = found.select("_fact.*", *[F.when(valid, F.col(f"_found.{name}")).alias(name) for name in carry])
+    return found.select("_fact.*", *[F.when(valid, F.col(f"_found.{name}")).alias(name) for name in carry])
+
+
+def _ordered_join(facts: DataFrame, versions: DataFrame, key: str, time: str, carry: Sequence[str]) -> DataFrame:
+    """The running form where versions do not overlap; keys whose versions do are joined by range.
+
+    Versions that cover no time match nothing and are left out. One ordered pass over the rest
+    finds the keys with a version that starts before the one before it ends.
+    """
+    covering = (F.col("start_date") < F.col("end_date")) | F.col("end_date").isNull()
+    versions = versions.filter(F.col(key).isNotNull() & F.col("start_date").isNotNull() & covering)
+    spans = versions.select(key, "start_date", "end_date")
+    next_start = Ordered.by(spans, key, ("start_date", "end_date")).following("start_date", "_next").frame()
+    overlap = F.col("_next") < F.col("end_date")
+    overlap = overlap | (F.col("end_date").isNull() & F.col("_next").isNotNull())
+    several = settle(next_start.filter(overlap).select(key).distinct())
+    keyed, keyless = facts.filter(F.col(key).isNotNull()), facts.filter(F.col(key).isNull())
+    if several.isEmpty():
+        joined = _running_join(keyed, versions, key, time, carry)
+    else:
+        single = [join_lookup(df, several, key, "left_anti") for df in (keyed, versions)]
+        shared = [join_lookup(df, several, key, "left_semi") for df in (keyed, versions)]
+        joined = _running_join(*single, key, time, carry).unionByName(_range_join(*shared, key, time, carry))
     # Facts without a key find nothing and need not travel; Parquet skips files that have none.
-    keyless = facts.filter(F.col(key).isNull())
-    return matched.unionByName(keyless, allowMissingColumns=True)
+    return joined.unionByName(keyless, allowMissingColumns=True)
 
 
 def _small(versions: DataFrame, key: str) -> bool:
@@ -78,12 +96,15 @@ def join_as_of(
     carry: Sequence[str],
     how: str = "auto",
 ) -> DataFrame:
-    """Every fact with the `carry` columns of the version valid at its time, or NULLs.
+    """Every fact with the `carry` columns of each version valid at its time, or NULLs.
 
-    `how`: "range" (broadcast the versions), "running" (one ordered pass), or "auto", which
-    counts the versions first.
+    `how`: "range" (compare with all versions of the key), "running" (one ordered pass), or "auto",
+    which counts the versions first: range with a broadcast if they are few. All give the same rows,
+    also where validity windows overlap.
     """
-    if how == "auto":
-        how = "range" if _small(versions, key) else "running"
-    join = _range_join if how == "range" else _running_join
-    return join(facts, versions, key, time, carry)
+    if how == "running":
+        return _ordered_join(facts, versions, key, time, carry)
+    few = _small(versions, key)
+    if how == "auto" and not few:
+        return _ordered_join(facts, versions, key, time, carry)
+    return _range_join(facts, F.broadcast(versions) if few else versions, key, time, carry)

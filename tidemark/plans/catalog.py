@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -51,6 +52,31 @@ def scan_csv(spark: SparkSession, sf: str) -> DataFrame:
     return files.read_csv_feed(spark, folder, orders.schema)
 
 
+@query
+def scan_csv_reordered(spark: SparkSession, sf: str) -> DataFrame:
+    """Columns in another order than declared, one of them missing."""
+    orders = given.table(spark, sf, "orders")
+    turned = orders.select(*reversed([name for name in orders.columns if name != "o_orderpriority"]))
+    folder = files.write_csv(turned, work_folder(spark, "orders-turned"))
+    return files.read_csv_feed(spark, folder, orders.schema)
+
+
+@query
+def dq_unparsed(spark: SparkSession, sf: str) -> DataFrame:
+    """Dead letters of a feed with ids and times that do not parse."""
+    events = given.table(spark, sf, "events").select("event_id", F.col("event_type").alias("city"), F.col("ts").alias("event_time"))
+    text = events.select(
+        F.when(F.col("event_id") % 31 == 0, "x").otherwise(F.col("event_id").cast("string")).alias("event_id"),
+        "city",
+        F.when(F.col("event_id") % 37 == 0, "soon").otherwise(F.col("event_time").cast("string")).alias("event_time"),
+    )
+    folder = files.write_csv(text, work_folder(spark, "events-bad"))
+    feed = files.read_csv_feed(spark, folder, events.schema, keep_corrupt=True)
+    rules = [quality.untimed_rule(), quality.Rule("UNPARSED", F.col(files.CORRUPT).isNotNull())]
+    flagged = quality.flag(feed, rules, unique_ids=True)
+    return quality.dead_letters(flagged).withColumnRenamed(files.CORRUPT, "line")
+
+
 @query
 def bronze_append(spark: SparkSession, sf: str) -> DataFrame:
     """Two batches, the second one delivered twice."""
@@ -187,6 +213,16 @@ def dlq_new_only(spark: SparkSession, sf: str) -> DataFrame:
     return quality.unseen_dead_letters(found, stored)
 
 
+@query
+def dlq_replay(spark: SparkSession, sf: str) -> DataFrame:
+    """Two runs over the same window store each failure once."""
+    wh = Warehouse(spark, work_folder(spark, "dlq-replay"))
+    for run in ("r1", "r2"):
+        medallion.run_batch(wh, given.cdc_bronze(spark, sf), AS_OF, run, LAYOUT)
+    kind = LAYOUT.events.add(quality.REASON, "string")
+    return wh.log(medallion.DEAD, kind).select(*EVENT, quality.REASON, "run_id")
+
+
 # --- change detection and history ---
 
 
@@ -219,7 +255,7 @@ def timeline_rebuild(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def scd2_initial(spark: SparkSession, sf: str) -> DataFrame:
     """First run: every customer is new."""
-    batch = settle(given.early(given.cdc_valid(spark, sf)))
+    batch = settle(given.cdc_valid(spark, sf))
     none = spark.createDataFrame([], LAYOUT.dimension).select(*VERSION)
     return history.merge(none, batch, batch, SPEC)
 
@@ -344,10 +380,36 @@ def temporal_join_window(spark: SparkSession, sf: str) -> DataFrame:
     return _sales_as_of(spark, sf, "running")
 
 
+def _overlapping(spark: SparkSession, sf: str) -> DataFrame:
+    """Prices of a part that hold 40 days each from orders of any day: windows overlap, starts repeat."""
+    lines = given.table(spark, sf, "lineitem")
+    begin = F.date_trunc("month", "l_shipdate").cast("timestamp_ntz")
+    return lines.groupBy((F.col("l_partkey") % 500).alias("product_id"), begin.alias("start_date"), "l_linenumber").agg(
+        F.when(F.col("l_linenumber") < 6, begin + F.make_dt_interval(days=F.lit(12) * F.col("l_linenumber"))).alias("end_date"),
+        F.max("l_extendedprice").alias("price"),
+    )
+
+
+@query
+def temporal_join_overlap(spark: SparkSession, sf: str) -> DataFrame:
+    """Every version valid at a time, where several are."""
+    orders = given.table(spark, sf, "orders").select(
+        F.col("o_orderkey").alias("order_id"), (F.col("o_custkey") % 520).alias("product_id"), F.col("o_orderdate").alias("order_date")
+    )
+    recent = _overlapping(spark, sf)
+    return join_as_of(orders, recent, "product_id", "order_date", ["l_linenumber", "price"], "running")
+
+
+@query
+def chk_sales_key_unique(spark: SparkSession, sf: str) -> DataFrame:
+    """Facts of a grain that repeats: orders without their line number."""
+    facts = star.with_fact_key(fact_sales(spark, sf).drop("l_linenumber"))
+    return integrity.repeated(facts, ["sales_sk"])
+
+
 @query
 def product_join(spark: SparkSession, sf: str) -> DataFrame:
-    products = star.product_rows(given.product_feed(spark, sf))
-    joined = star.with_product(given.sales_orders(spark, sf), products)
+    joined = star.with_product(given.sales_orders(spark, sf), given.sold_products(spark, sf))
     return joined.select("order_id", "l_linenumber", "product_id", "product_sk", "quantity")
 
 
@@ -373,7 +435,7 @@ def fact_sales(spark: SparkSession, sf: str) -> DataFrame:
     return star.sales_facts(
         given.sales_orders(spark, sf),
         given.customer_versions(spark, sf),
-        star.product_rows(given.product_feed(spark, sf)),
+        given.sold_products(spark, sf),
         given.sales_dates(spark, sf),
         ("order_id", "l_linenumber"),
     )
@@ -404,8 +466,9 @@ def fact_rebuild_idempotent(spark: SparkSession, sf: str) -> DataFrame:
     sales = given.sales_orders(spark, sf)
     line = F.concat_ws("-", "order_id", "l_linenumber").alias("order_id")
     orders = sales.select(line, "customer_id", "product_id", "order_date", "quantity", "total_amount")
+    products = given.product_feed(spark, sf).filter(F.col("product_id") % 10 != 3)
     for run in ("r1", "r2"):
-        medallion.load_star(wh, orders, given.product_feed(spark, sf), AS_OF, run, layout)
+        medallion.load_star(wh, orders, products, AS_OF, run, layout)
     facts = wh.read(wh.state(), medallion.FACTS, schemas.FACT_SALES)
     return facts.select(
         "order_id", "customer_sk", "product_sk", "date_sk", "quantity",
@@ -475,6 +538,15 @@ def medallion_end_to_end(spark: SparkSession, sf: str) -> DataFrame:
     return _dimension(wh)
 
 
+@query
+def scd2_rebucket(spark: SparkSession, sf: str) -> DataFrame:
+    """The second run has the dimension in other buckets than the first."""
+    wh = Warehouse(spark, work_folder(spark, "rebucket"))
+    for n, (rows, as_of) in enumerate(_two_deliveries(given.cdc_bronze(spark, sf))):
+        medallion.run_batch(wh, rows, as_of, f"r{n}", replace(LAYOUT, buckets=4 + n))
+    return _dimension(wh)
+
+
 @query
 def stream_available_now(spark: SparkSession, sf: str) -> DataFrame:
     """The same feed as files, each delivery picked up by the stream."""

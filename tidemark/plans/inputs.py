@@ -157,8 +157,14 @@ def product_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def sold_products(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A product dimension that lacks some of the products sold."""
+    return star.product_rows(product_feed(spark, sf_dir).filter(F.col("product_id") % 10 != 3))
+
+
 def sales_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lines = table(spark, sf_dir, "lineitem")
+    """A calendar that lacks some of the dates of sale."""
+    lines = table(spark, sf_dir, "lineitem").filter(F.dayofmonth("l_shipdate") != 13)
     return star.date_rows(star.order_dates(lines, "l_shipdate"))
 
 

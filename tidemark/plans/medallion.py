@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 from datetime import datetime, timedelta
 
@@ -17,7 +17,7 @@ from tidemark.functions.times import FIRST_MARK, LOOKBACK_DAYS, ntz
 from tidemark.operators import history, quality, star, state as runs
 from tidemark.operators.dedup import latest_per_key, merge_latest
 from tidemark.operators.skew import join_lookup
-from tidemark.sources.warehouse import PART, State, Warehouse
+from tidemark.sources.warehouse import PART, Conflict, State, Warehouse
 
 BRONZE = "bronze_customer_events"
 SILVER = "silver_customer_events"
@@ -26,10 +26,16 @@ PRODUCTS = "dim_product"
 DATES = "dim_date"
 FACTS = "fact_sales"
 DEAD = "dq_failed_events"
+DEAD_PRODUCTS = "dq_failed_products"
+DEAD_ORDERS = "dq_failed_orders"
+NULL_PRODUCT = "NULL_PRODUCT_ID"
+NULL_DATE = "NULL_ORDER_DATE"
 METRICS = "pipeline_metrics"
 SLA = "pipeline_sla_monitor"
 DISTURBED = "disturbed_history"
 NO_DATE = "none"
+# Times a run is tried when others publish in between.
+ATTEMPTS = 5
 
 
 @dataclass(frozen=True)
@@ -110,7 +116,7 @@ def refresh_silver(wh: Warehouse, state: State, arrived: DataFrame, layout: Layo
     if state.parts(SILVER):
         # Parquet skips the row groups whose id range holds none of the arrived ids.
         near = stored.filter(event_id.between(F.lit(low), F.lit(high)))
-        again = join_lookup(near, fresh.select(spec.event_id), spec.event_id, "left_semi", even=True)
+        again = join_lookup(near, fresh.select(spec.event_id), spec.event_id, "left_semi")
         if keyless:
             again = again.unionByName(stored.filter(event_id.isNull()))
     again = wh.stage(again, "again", run_id)
@@ -176,8 +182,14 @@ def load_customers(
     batch = runs.since_mark(recent, ntz(mark), spec.time, layout.lookback_days)
     # Silver has one row per id, so DUPLICATE_EVENT cannot occur and the check needs no shuffle.
     judged = quality.flag(batch, rules, spec.event_id, layout.null_id, unique_ids=True)
-    flagged = wh.stage(judged, "flagged", run_id)
-    wh.append(quality.dead_letters(flagged).withColumn("failed_at", now), DEAD, run_id)
+    # Rows without a time are in no lookback: they fail on arrival.
+    untimed = [quality.untimed_rule(spec.time), *rules[:1]]
+    lost = quality.flag(arrived.filter(F.col(spec.time).isNull()), untimed, spec.event_id, unique_ids=True)
+    lost = lost.withColumn("rejected", F.lit(True))
+    flagged = wh.stage(judged.unionByName(lost), "flagged", run_id)
+    letters = quality.dead_letters(flagged).withColumn("failed_at", now)
+    stored = wh.log(DEAD, letters.schema).filter(F.col("run_id") != run_id)
+    wh.append(quality.unseen_dead_letters(letters, stored, spec.event_id), DEAD, run_id)
 
     valid = quality.valid_rows(flagged)
     if layout.null_id == "leak":
@@ -215,16 +227,41 @@ def load_customers(
     return state
 
 
+def _until_published(run: Callable[[], State]) -> State:
+    """Redo a run whose state was overtaken by another publication; what it wrote it writes again."""
+    for _ in range(ATTEMPTS - 1):
+        try:
+            return run()
+        except Conflict:
+            continue
+    return run()
+
+
 def run_batch(wh: Warehouse, feed: DataFrame, as_of: datetime, run_id: str, layout: Layout | None = None) -> State:
     """One feed through bronze, silver and gold; a run that is already published does nothing."""
-    layout = layout or Layout()
+    return _until_published(lambda: _run_batch(wh, feed, as_of, run_id, layout or Layout()))
+
+
+def _run_batch(wh: Warehouse, feed: DataFrame, as_of: datetime, run_id: str, layout: Layout) -> State:
     state = wh.state(run_id)
     if state.repeated:
         return state
     arrived = ingest_bronze(wh, feed, layout, as_of, run_id)
+    state = rebucketed(wh, state, layout, run_id)
     state = refresh_silver(wh, state, arrived, layout, run_id)
     state = load_customers(wh, state, arrived, layout, as_of, run_id)
-    return wh.publish(state, run_id)
+    state = wh.publish(state, run_id)
+    wh.drop_staged(run_id)
+    return state
+
+
+def rebucketed(wh: Warehouse, state: State, layout: Layout, run_id: str) -> State:
+    """The state with the dimension in the layout's buckets; rewritten if they were others."""
+    if state.buckets.get(CUSTOMERS, layout.buckets) != layout.buckets:
+        dim, own = wh.read(state, CUSTOMERS, layout.dimension), f"{run_id}-rebucket"
+        written = wh.write_parts(dim.withColumn(PART, layout.bucket()), CUSTOMERS, own)
+        state = state.replaced(CUSTOMERS, state.parts(CUSTOMERS), written, own)
+    return state.bucketed(CUSTOMERS, layout.buckets)
 
 
 def _append_part(wh: Warehouse, state: State, df: DataFrame, table: str, run_id: str) -> State:
@@ -248,10 +285,28 @@ def load_star(
     Readers see the former facts until the publication, so the table is never empty in between.
     """
     layout = layout or Layout()
+    return _until_published(lambda: _load_star(wh, orders, products, as_of, run_id, layout, grain, how))
+
+
+def _load_star(
+    wh: Warehouse,
+    orders: DataFrame,
+    products: DataFrame,
+    as_of: datetime,
+    run_id: str,
+    layout: Layout,
+    grain: Sequence[str],
+    how: str,
+) -> State:
     state = wh.state(run_id)
     if state.repeated:
         return state
     now = ntz(as_of)
+    for feed, key, reason, dead in (
+        (products, "product_id", NULL_PRODUCT, DEAD_PRODUCTS),
+        (orders, "order_date", NULL_DATE, DEAD_ORDERS),
+    ):
+        wh.append(star.keyless(feed, key, reason).withColumn("failed_at", now), dead, run_id)
 
     stored = wh.read(state, PRODUCTS, schemas.DIM_PRODUCT).drop(PART)
     fresh = star.unseen(star.product_rows(products), stored, "product_id")
@@ -269,7 +324,8 @@ def load_star(
         wh.read(state, DATES, schemas.DIM_DATE),
         tuple(grain),
         how,
-    ).withColumn("sales_sk", star.fact_key(*grain))
+    )
+    facts = star.with_fact_key(facts)
     rows = schemas.select_to_schema(facts, schemas.FACT_SALES, {"created_at": now})
     month = F.coalesce(F.expr("date_sk div 100").cast("string"), F.lit(NO_DATE))
     written = wh.write_parts(rows.withColumn(PART, month), FACTS, run_id)

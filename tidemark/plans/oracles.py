@@ -117,8 +117,13 @@ VIEWS = {
     "sales_as_of": """SELECT s.*, c.customer_sk, c.o_orderpriority FROM sales_orders s LEFT JOIN cust_hist c
       ON s.customer_id = c.customer_id AND s.order_date >= c.start_date AND (c.end_date IS NULL OR s.order_date < c.end_date)""",
     "sales_facts": """SELECT s.order_id, s.l_linenumber, s.customer_sk, md5(CAST(p.p_partkey AS VARCHAR)) AS product_sk,
-        CAST(strftime(s.order_date, '%Y%m%d') AS INT) AS date_sk, s.quantity, s.total_amount
-      FROM sales_as_of s LEFT JOIN part p ON s.product_id = p.p_partkey""",
+        CAST(strftime(k.d, '%Y%m%d') AS INT) AS date_sk, s.quantity, s.total_amount, s.order_date
+      FROM sales_as_of s LEFT JOIN part p ON s.product_id = p.p_partkey AND p.p_partkey % 10 <> 3
+        LEFT JOIN known_dates k ON CAST(s.order_date AS DATE) = k.d""",
+    "known_dates": "SELECT DISTINCT CAST(l_shipdate AS DATE) AS d FROM lineitem WHERE day(l_shipdate) <> 13",
+    "prices": """SELECT l_partkey % 500 AS product_id, date_trunc('month', l_shipdate) AS start_date, l_linenumber,
+        CASE WHEN l_linenumber < 6 THEN date_trunc('month', l_shipdate) + to_days(CAST(12 * l_linenumber AS INT)) END AS end_date,
+        max(l_extendedprice) AS price FROM lineitem GROUP BY ALL""",
     "run_log": """SELECT event_type AS pipeline_name, date_trunc('day', ts) AS run_timestamp, count(*) AS records_processed,
         sum(CASE WHEN event_id % 97 = 0 THEN 1 ELSE 0 END) AS records_failed,
         sum(CASE WHEN event_id % 97 = 0 THEN 0 ELSE 1 END) AS records_loaded FROM events GROUP BY ALL""",
@@ -168,6 +173,17 @@ VALID = f"""SELECT {EVENT} FROM cdc_bronze b
 
 BODIES = {
     "scan_csv": "SELECT * FROM orders",
+    "scan_csv_reordered": "SELECT * REPLACE (CAST(NULL AS VARCHAR) AS o_orderpriority) FROM orders",
+    "dq_unparsed": """SELECT * FROM (SELECT CASE WHEN event_id % 31 <> 0 THEN event_id END AS event_id, event_type AS city,
+        CASE WHEN event_id % 37 <> 0 THEN ts END AS event_time,
+        CASE WHEN event_id % 31 = 0 OR event_id % 37 = 0 THEN concat(
+          CASE WHEN event_id % 31 = 0 THEN 'x' ELSE CAST(event_id AS VARCHAR) END, ',', event_type, ',',
+          CASE WHEN event_id % 37 = 0 THEN 'soon' ELSE CAST(ts AS VARCHAR) END) END AS line,
+        unnest(['NULL_EVENT_TIME', 'UNPARSED']) AS dq_error_reason FROM events) t
+      WHERE line IS NOT NULL AND (event_time IS NULL OR dq_error_reason = 'UNPARSED')""",
+    "dlq_replay": f"""SELECT {EVENT}, dq_error_reason, 'r1' AS run_id FROM (
+        SELECT *, 'NULL_CUSTOMER_ID' AS dq_error_reason FROM cdc_silver WHERE customer_id IS NULL
+        UNION ALL SELECT *, 'FUTURE_TIMESTAMP' FROM cdc_silver WHERE event_time > {AS_OF}) t""",
     "bronze_append": f"SELECT {EVENT}, CASE WHEN arrival_ts < {CDC_CUT} THEN 'b1' ELSE 'b2' END AS batch_id FROM cdc_bronze",
     "silver_overwrite": f"SELECT {EVENT} FROM cdc_silver",
     "dlq_append": f"SELECT {EVENT}, dq_error_reason, {AS_OF} AS failed_at, 'r1' AS run_id FROM violations",
@@ -195,7 +211,7 @@ BODIES = {
     "scd2_full": f"SELECT {VERSION} FROM cdc_dim",
     "timeline_collapsed": _history("ord_cdc"),
     "timeline_rebuild": _per_event("cdc_valid"),
-    "scd2_initial": _history("cdc_batch1"),
+    "scd2_initial": _history("cdc_valid"),
     "scd2_incremental": f"SELECT {VERSION} FROM inc_dim",
     "scd2_incremental_per_event": f"""SELECT {VERSION} FROM inc_stays UNION ALL SELECT {VERSION} FROM inc_expired
       UNION ALL SELECT {VERSION} FROM inc_new UNION ALL {_per_event('inc_late_events')}""",
@@ -216,16 +232,21 @@ BODIES = {
     "temporal_customer_join": "SELECT * FROM sales_as_of",
     "temporal_join_window": "SELECT * FROM sales_as_of",
     "product_join": """SELECT order_id, l_linenumber, product_id, md5(CAST(p.p_partkey AS VARCHAR)) AS product_sk, quantity
-      FROM sales_orders s LEFT JOIN part p ON s.product_id = p.p_partkey""",
-    "date_join": """SELECT order_id, l_linenumber, order_date, CAST(strftime(order_date, '%Y%m%d') AS INT) AS date_sk, quantity
-      FROM sales_orders""",
+      FROM sales_orders s LEFT JOIN part p ON s.product_id = p.p_partkey AND p.p_partkey % 10 <> 3""",
+    "date_join": """SELECT order_id, l_linenumber, order_date, CAST(strftime(k.d, '%Y%m%d') AS INT) AS date_sk, quantity
+      FROM sales_orders s LEFT JOIN known_dates k ON CAST(s.order_date AS DATE) = k.d""",
+    "temporal_join_overlap": """SELECT o.o_orderkey AS order_id, o.o_custkey % 520 AS product_id, o.o_orderdate AS order_date, p.l_linenumber, p.price
+      FROM orders o LEFT JOIN prices p ON o.o_custkey % 520 = p.product_id AND o.o_orderdate >= p.start_date
+        AND (p.end_date IS NULL OR o.o_orderdate < p.end_date)""",
+    "chk_sales_key_unique": "SELECT CAST(0 AS BIGINT) AS sales_sk, CAST(0 AS BIGINT) AS copies WHERE false",
     "distinct_dates": "SELECT DISTINCT CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS full_date FROM orders",
     "dim_date": _dates("orders", "o_orderdate"),
-    "fact_sales": "SELECT * FROM sales_facts",
+    "fact_sales": "SELECT * EXCLUDE (order_date) FROM sales_facts",
     "fact_orphans": """SELECT count(*) AS facts, count(*) FILTER (customer_sk IS NULL) AS without_customer,
       count(*) FILTER (product_sk IS NULL) AS without_product, count(*) FILTER (date_sk IS NULL) AS without_date
       FROM sales_facts""",
-    "fact_rebuild_idempotent": """SELECT concat(order_id, '-', l_linenumber) AS order_id, customer_sk, product_sk, date_sk,
+    "fact_rebuild_idempotent": """SELECT concat(order_id, '-', l_linenumber) AS order_id, customer_sk, product_sk,
+      CAST(strftime(order_date, '%Y%m%d') AS INT) AS date_sk,
       CAST(quantity AS INT) AS quantity, CAST(CAST(total_amount AS DECIMAL(12,2)) AS DOUBLE) AS total_amount FROM sales_facts""",
     "watermark_read": """SELECT * FROM marks WHERE pipeline_name = 'click'
       UNION ALL SELECT 'customer_pipeline', TIMESTAMP '1900-01-01 00:00:00'""",
@@ -244,6 +265,7 @@ BODIES = {
       FROM (SELECT max(start_date) AS latest_event_time,
         greatest(date_sub('minute', max(start_date), {AS_OF}), 0) AS freshness_minutes FROM cdc_dim) t""",
     "medallion_end_to_end": RUN_DIM,
+    "scd2_rebucket": RUN_DIM,
     "stream_available_now": RUN_DIM,
     "chk_one_current": "SELECT customer_id, count(*) AS copies FROM unmerged WHERE is_current GROUP BY customer_id HAVING count(*) > 1",
     "chk_pk_unique": "SELECT l_orderkey, l_linenumber, count(*) AS copies FROM lineitem GROUP BY ALL HAVING count(*) > 1",

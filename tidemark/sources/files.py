@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 CORRUPT = "_corrupt_record"
@@ -13,15 +14,29 @@ MICROSECONDS = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
 def read_csv_feed(
     spark: SparkSession, path: str, schema: T.StructType, keep_corrupt: bool = False
 ) -> DataFrame:
-    """Header CSV with a declared schema, so there is no inference pass over the files.
+    """Header CSV, bound to the declared columns by name; no pass over the rows to infer types.
 
-    Fields that do not parse become NULL; `keep_corrupt` adds the raw text of such lines.
+    All files must have the same header. A column that it lacks is NULL, as is a field that does not
+    parse; `keep_corrupt` adds the text of rows with such a field.
     """
-    reader = spark.read.option("header", True).option("mode", "PERMISSIVE")
+    raw = spark.read.option("header", True).option("enforceSchema", False).csv(path)
+    return typed(raw, schema, keep_corrupt)
+
+
+def typed(raw: DataFrame, schema: T.StructType, keep_corrupt: bool = False) -> DataFrame:
+    """Text columns as the declared ones, found by name."""
+    columns, bad = [], F.lit(False)
+    for field in schema.fields:
+        if field.name not in raw.columns:
+            columns.append(F.lit(None).cast(field.dataType).alias(field.name))
+            continue
+        value = F.col(field.name).try_cast(field.dataType)
+        bad = bad | (F.col(field.name).isNotNull() & value.isNull())
+        columns.append(value.alias(field.name))
     if keep_corrupt:
-        schema = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
-        reader = reader.option("columnNameOfCorruptRecord", CORRUPT)
-    return reader.schema(schema).csv(path)
+        text = F.concat_ws(",", *[F.coalesce(F.col(name), F.lit("")) for name in raw.columns])
+        columns.append(F.when(bad, text).alias(CORRUPT))
+    return raw.select(*columns)
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> str:
