@@ -31,9 +31,9 @@ def large_keys(counts: DataFrame, key: str) -> HotKeys | None:
     so the list, which stays a written frame, is small enough for a broadcast.
     """
     limit = setting(counts.sparkSession, "hotRows", HOT_ROWS)
-    found = settle(counts.filter(F.col(key).isNotNull() & (F.col("count") > limit)).select(key, "count"))
+    found = counts.filter(F.col(key).isNotNull() & (F.col("count") > limit))
     rows = found.agg(F.sum("count")).first()[0]
-    return HotKeys(found.select(key), rows) if rows else None
+    return HotKeys(settle(found.select(key)), rows) if rows else None
 
 
 def hot_keys(df: DataFrame, key: str) -> HotKeys | None:
