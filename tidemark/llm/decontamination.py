@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm.text import table, with_package
-from tidemark.llm.tokens import bites, grams, mixed, shingles, word_hashes
+from tidemark.llm.tokens import bites, grams, held, mixed, shingles, word_hashes
 
 WIDTH, LEAST = 5, 0.8
 # 16 blocks of 8 bits: within 31 bits some block differs in at most one. Windows as similar as LEAST
@@ -148,16 +148,8 @@ def _runs(starts: list[int]) -> Iterator[range]:
     yield range(first, last + 1)
 
 
-_blocks: dict[int, Items] = {}
-
-
 def _items(rows: list[tuple[int, str]]) -> Items:
-    """The block of a Python worker, kept from task to task."""
-    key = zlib.crc32(repr(rows).encode("utf-8", "replace"))
-    if key not in _blocks:
-        _blocks.clear()
-        _blocks[key] = Items(rows)
-    return _blocks[key]
+    return held(("items", zlib.crc32(repr(rows).encode("utf-8", "replace"))), lambda: Items(rows))
 
 
 def item_blocks(benchmark: DataFrame, item_id: str = "item_id", text: str = "text") -> Iterator[list[tuple[int, str]]]:

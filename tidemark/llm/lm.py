@@ -16,7 +16,7 @@ arcs taken.
 
 Counting covers every training token: each order is a grouped count, combined in the tasks before it
 is shuffled. An order keeps its most frequent n-grams, at most KEPT of them (a bound on the model,
-held by every task: 16 bytes each and 24 for a state); equal counts are kept or left together. Counts
+held by every task: about 60 bytes each); equal counts are kept or left together. Counts
 of rarer words are exact too: a text's tokens outside the kept words are joined with the table of
 their counts, so both scores use the count of every token.
 
@@ -39,10 +39,10 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.text import settle, table, with_package
-from tidemark.llm.tokens import HashTable, bites, mixed, word_hashes
+from tidemark.llm.tokens import HashTable, bites, mixed, release, word_hashes
 
 ORDER = 3
-KEPT = 1 << 20
+KEPT = 1 << 19
 DISCOUNT = 0.75
 # The query learns from documents with another remainder.
 HELD_OUT = (7, 2)
@@ -87,6 +87,11 @@ class Order:
     def _spread(keys: np.ndarray) -> np.ndarray:
         return mixed(keys.astype(np.uint64, copy=False)) | np.uint64(1)
 
+    def light(self, scores: bool) -> Order:
+        """What tasks need of it: the keys, and to score with it the chances."""
+        none = np.zeros(0)
+        return Order(self.keys, none, self.chance if scores else none, self.rest if scores else none, none)
+
     def find(self, keys: np.ndarray) -> np.ndarray:
         """Position of each key, -1 without."""
         found = self.table.find(self._spread(keys))
@@ -157,6 +162,8 @@ def _grouped(parts: Iterator[np.ndarray]) -> Iterator[pa.RecordBatch]:
 
 
 def _word_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    release()
+
     def parts() -> Iterator[np.ndarray]:
         for _, texts in bites(batches):
             yield word_hashes(texts, True)[0]
@@ -232,7 +239,7 @@ def train(
     chance = np.log10((counts + 1) / (tokens + distinct + 1))
     orders = (Order(keys, counts, chance, np.zeros(len(keys)), np.zeros(len(keys), np.int64)),)
     for _ in range(2, order + 1):
-        sent = spark.sparkContext.broadcast(orders)
+        sent = spark.sparkContext.broadcast(tuple(o.light(False) for o in orders))
         grams = texts.mapInArrow(_gram_keys(sent), "key long, n long").groupBy("key").agg(total)
         keys, counts = _most_frequent(settle(grams.filter("n > 1")), kept)
         sent.destroy()
@@ -300,7 +307,8 @@ def score(
 ) -> DataFrame:
     """Frame (doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score), one row per document."""
     spark = with_package(docs.sparkSession)
-    sent = spark.sparkContext.broadcast(model)
+    orders = tuple(o.light(True) for o in model.orders)
+    sent = spark.sparkContext.broadcast(Model(orders, model.tokens, model.distinct))
     rows = docs.select(
         F.col(doc_id).cast("long").alias("doc_id"), held.alias("held_out"), F.col(text).cast("string").alias("text")
     )

@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from tidemark.llm.bloom import fill, passes, words_for
 from tidemark.llm.graph import components
 from tidemark.llm.text import settle, table, with_package
-from tidemark.llm.tokens import bites, mixed, shingles, word_hashes
+from tidemark.llm.tokens import bites, mixed, release, shingles, word_hashes
 
 WIDTH = 5
 # Links: 100 * intersection >= PERCENT * union.
@@ -48,6 +48,7 @@ ROWS = "doc_id long, text_hash long, n_shingles long, class binary, hashes array
 
 def _signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Number of distinct shingles, class and the hashes of both collections for each document."""
+    release()
     names = [field.split()[0] for field in ROWS.split(", ")]
     for batch, texts in bites(batches):
         sets = _sets(texts)
@@ -146,6 +147,7 @@ def _confirmed(pairs: DataFrame, classes: DataFrame, docs: DataFrame, doc_id: st
     both = second.join(texts.select(F.col("node").alias("a"), F.col("text").alias("text_a")), "a")
 
     def compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         last, one = None, None
         for batch, texts in bites(batches, "text_b"):
             a, b = batch.column("a").to_pylist(), batch.column("b").to_pylist()

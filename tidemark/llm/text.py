@@ -35,8 +35,17 @@ def cast_to(df: DataFrame, **kinds: str) -> DataFrame:
     return df.select(*[F.col(name).cast(kind).alias(name) for name, kind in kinds.items()])
 
 
+# Rows that go to a Python worker at a time, unless the session sets a number: texts may be long.
+BATCH, SETTING, DEFAULT = "1000", "spark.sql.execution.arrow.maxRecordsPerBatch", "10000"
+
+
 def with_package(spark: SparkSession) -> SparkSession:
-    """Let Python workers import this package from where the driver has it, beside where they have it."""
+    """Let Python workers import this package from where the driver has it, beside where they have it.
+
+    Also makes Arrow batches smaller than Spark's own number, which is meant for short rows.
+    """
+    if spark.conf.get(SETTING) == DEFAULT:
+        spark.conf.set(SETTING, BATCH)
     root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
     environment = spark.sparkContext.environment
     paths = environment.get("PYTHONPATH", "").split(os.pathsep)

@@ -31,14 +31,14 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.text import settle, table, with_package
-from tidemark.llm.tokens import BASE, HashTable, mixed, stretch_hashes
+from tidemark.llm.tokens import BASE, HashTable, held, mixed, stretch_hashes
 from tidemark.session import work_folder
 
 BLOCK = 1 << 16
 LEVEL = 3
 END = 0
 # Characters encoded at a time. Slots for words whose ids a task remembers, until 5 of 8 are taken.
-AT_ONCE, SLOTS = 1 << 19, 1 << 22
+AT_ONCE, SLOTS = 1 << 19, 1 << 21
 # Longer words, in bytes, are not told apart by their hash.
 LONGEST = 64
 # Where a text may be cut: before one blank or line feed between other characters, after such a line
@@ -178,13 +178,8 @@ class Encoder:
         return out
 
 
-_encoders: dict[str, Encoder] = {}
-
-
 def _encoder(path: str) -> Encoder:
-    if path not in _encoders:
-        _encoders[path] = Encoder(path)
-    return _encoders[path]
+    return held(("encoder", path), lambda: Encoder(path))
 
 
 def to_planes(ids: np.ndarray, bits: bool = False) -> list[bytes]:

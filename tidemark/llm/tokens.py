@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -15,6 +15,22 @@ BASE = np.uint64(0x9E3779B97F4A7C15)
 _STEPS = np.array([[int(BASE)], [pow(int(BASE), -1, 1 << 64)]], np.uint64)
 
 
+_held: dict = {}
+
+
+def held(key: tuple, make: Callable[[], object]) -> object:
+    """An object that a Python worker keeps from task to task: the last one asked for, and no other."""
+    if _held.get("key") != key:
+        _held.clear()
+        _held.update(key=key, value=make())
+    return _held["value"]
+
+
+def release() -> None:
+    """Let go of what an earlier operator's tasks have left in this Python worker."""
+    _held.clear()
+
+
 class Powers:
     """Powers of BASE and of its inverse, as far as they were needed."""
 
@@ -73,7 +89,7 @@ class HashTable:
 
     @classmethod
     def of(cls, keys: np.ndarray) -> HashTable:
-        made = cls(1 << max(4, (2 * len(keys)).bit_length()))
+        made = cls(1 << max(4, (2 * len(keys) - 1).bit_length()))
         made.add(keys)
         return made
 
