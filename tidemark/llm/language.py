@@ -2,9 +2,9 @@
 
 For each language a suffix automaton holds all substrings of its labelled sample. A text is parsed
 greedily: follow the automaton as far as it goes, count a phrase, start again. Parsing with a
-sample of n characters costs log2(n) bits a phrase; the language with the fewest bits wins. Words are
-parsed one by one with a blank on either side, so a word's phrases are found once for a task's
-many occurrences of it, and every word of a text of any length counts.
+sample of n characters costs log2(n) bits a phrase; the language with the fewest bits wins. Only
+letters are parsed: words one by one with a blank for all else, so that a word's phrases are found
+once for a task's many occurrences of it, and every word of a text of any length counts.
 
 The sample is bounded: SAMPLE_DOCS documents of each of the MOST_LANGUAGES most frequent labels, the
 same SAMPLE_CHARS of each, so no language has an advantage. Only it goes through the driver.
@@ -26,16 +26,19 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.text import table, with_package
+from tidemark.llm.tokens import held
 
 SAMPLE_DOCS = 200
-SAMPLE_CHARS = 60_000
+SAMPLE_CHARS = 40_000
 MOST_LANGUAGES = 200
 UNKNOWN = "und"
 # Words whose phrases a task remembers.
-REMEMBERED = 300_000
+REMEMBERED = 200_000
 # The query and the pipeline learn from documents with another remainder.
 HELD_OUT = (4, 2)
-LETTER = re.compile(r"[^\W\d_]")
+LETTER, OTHER = re.compile(r"[^\W\d_]"), re.compile(r"[\W\d_]+")
+# More bits a character than this (phrases of under three letters) say that a text is in no language learned.
+MOST_BITS = 6.0
 
 
 def held_out(doc_id: str = "doc_id", folds: tuple[int, int] = HELD_OUT) -> Column:
@@ -56,10 +59,10 @@ def learn(labelled: DataFrame, text: str = "text", lang: str = "lang") -> dict[s
     drawn = Window.partitionBy("lang").orderBy(F.xxhash64("text"), F.length("text"))
     few = rows.withColumn("n", F.row_number().over(drawn)).filter(F.col("n") <= SAMPLE_DOCS)
     # A document gives the learner some of its text; texts that are judged are always read whole.
-    few = few.withColumn("text", F.substring("text", 1, SAMPLE_CHARS // 20)).join(F.broadcast(counts), "lang", "left_semi")
+    few = few.withColumn("text", F.substring("text", 1, SAMPLE_CHARS // 10)).join(F.broadcast(counts), "lang", "left_semi")
     texts: dict[str, list[str]] = {}
     for row in few.orderBy("lang", "n").collect():
-        texts.setdefault(row["lang"], []).append(" ".join(row["text"].lower().split()))
+        texts.setdefault(row["lang"], []).append(OTHER.sub(" ", row["text"].lower()).strip())
     joined = {name: f" {' '.join(parts)} " for name, parts in texts.items()}
     joined = {name: whole for name, whole in joined.items() if LETTER.search(whole)}
     size = min([SAMPLE_CHARS, *map(len, joined.values())])
@@ -117,54 +120,53 @@ class Parser:
         self.automata = [suffix_automaton(sample) for sample in samples.values()]
         self.bits = np.log2([max(2, len(sample)) for sample in samples.values()])
         self.rows: dict[bytes, int] = {}
-        self.counts = np.zeros((REMEMBERED, len(self.names)))
+        # Phrases of a word in each language, and its characters.
+        self.counts = np.zeros((REMEMBERED, len(self.names) + 1))
 
     def _row(self, word: bytes) -> int:
         row = self.rows.get(word)
         if row is None:
             row = self.rows[word] = len(self.rows)
-            text = f" {word.decode('utf-8', 'replace').lower()} "
-            self.counts[row] = [phrases(arcs, text) for arcs in self.automata]
+            text = OTHER.sub(" ", f" {word.decode('utf-8', 'replace').lower()} ")
+            if text == " ":
+                self.counts[row] = 0
+            else:
+                self.counts[row] = [*(phrases(arcs, text) for arcs in self.automata), len(text)]
         return row
 
-    def cost(self, text: str) -> np.ndarray:
-        """Bits of a text in each language."""
-        words, total = text.encode("utf-8", "replace").split(), np.zeros(len(self.names))
+    def cost(self, text: str) -> tuple[np.ndarray, float]:
+        """Bits of a text in each language, and its characters."""
+        words, total = text.encode("utf-8", "replace").split(), np.zeros(len(self.names) + 1)
         for at in range(0, len(words), 4096):
             if len(self.rows) > REMEMBERED - 4096:
                 self.rows.clear()
             total += self.counts[list(map(self._row, words[at : at + 4096]))].sum(axis=0)
-        return total * self.bits
+        return total[:-1] * self.bits, total[-1]
 
-    def predict(self, text: str | None) -> tuple[str, float]:
+    def predict(self, text: str | None) -> tuple[str, float, float | None]:
         if not self.names or text is None or not LETTER.search(text):
-            return UNKNOWN, 0.0
-        cost = self.cost(text)
+            return UNKNOWN, 0.0, None
+        cost, size = self.cost(text)
         best = int(cost.argmin())
-        return self.names[best], float(1 / np.exp2(np.maximum(cost[best] - cost, -1000)).sum())
-
-
-_parsers: dict[int, Parser] = {}
+        share = float(1 / np.exp2(np.maximum(cost[best] - cost, -1000)).sum())
+        return self.names[best], share, float(cost[best] / max(1, size))
 
 
 def _parser(samples: dict[str, str]) -> Parser:
-    """The parser of a Python worker, kept from task to task."""
     known = zlib.crc32("\0".join([*samples, *samples.values()]).encode("utf-8", "replace"))
-    if known not in _parsers:
-        _parsers.clear()
-        _parsers[known] = Parser(samples)
-    return _parsers[known]
+    return held(("language", known), lambda: Parser(samples))
 
 
 def predicted(spark: SparkSession, samples: dict[str, str], text: str | Column = "text") -> Column:
-    """Struct (lang, score) of a text: the language, and the share of its likelihood, 2**-bits, in the sum."""
+    """Struct (lang, score, bits) of a text: the language, the share of its likelihood, 2**-bits, in the sum
+    over languages, and its bits a character."""
     sent = with_package(spark).sparkContext.broadcast(samples)
 
-    @F.pandas_udf("lang string, score double")
+    @F.pandas_udf("lang string, score double, bits double")
     def parse(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         parser = _parser(sent.value)
         for texts in batches:
-            yield pd.DataFrame([parser.predict(t) for t in texts], columns=["lang", "score"])
+            yield pd.DataFrame([parser.predict(t) for t in texts], columns=["lang", "score", "bits"])
 
     return parse(F.col(text) if isinstance(text, str) else text)
 
@@ -176,13 +178,19 @@ def identify(
     return docs.withColumn(name, predicted(docs.sparkSession, learn(labelled, text, lang), text))
 
 
-def accepted(docs: DataFrame, labelled: DataFrame, least: float = 0.3, wanted: Sequence[str] | None = None) -> DataFrame:
-    """Documents in a known (and wanted) language, by a likelihood share of at least `least`."""
+def accepted(
+    docs: DataFrame,
+    labelled: DataFrame,
+    least: float = 0.3,
+    most: float = MOST_BITS,
+    wanted: Sequence[str] | None = None,
+) -> DataFrame:
+    """Documents in a known (and wanted) language: a share of at least `least` and `most` bits a character."""
     name = "language"
     while name in {c.lower() for c in docs.columns}:
         name += "_"
     told = identify(docs, labelled, name)
-    fine = (F.col(name)["lang"] != UNKNOWN) & (F.col(name)["score"] >= least)
+    fine = (F.col(name)["lang"] != UNKNOWN) & (F.col(name)["score"] >= least) & (F.col(name)["bits"] <= most)
     if wanted is not None:
         fine = fine & F.col(name)["lang"].isin(*wanted)
     return told.filter(fine).drop(name)
