@@ -55,7 +55,8 @@ def with_repeated_words(df: DataFrame, listed: str, name: str) -> DataFrame:
     Windows are compared by a 64-bit hash. A text whose windows all differ, most do, is told by
     one pass; else equal windows are brought together by a sort within the row.
     """
-    w = F.col(listed)
+    df = df.withColumn("_hashed", F.transform(listed, lambda word: F.xxhash64(word)))
+    w = F.col("_hashed")
     starts = F.when(F.size(w) >= WINDOW, F.sequence(F.lit(0), F.size(w) - WINDOW)).otherwise(F.array().cast("array<int>"))
     df = df.withColumn("_hashes", F.transform(starts, lambda i: F.xxhash64(*[F.get(w, i + k) for k in range(WINDOW)])))
     hashes = F.col("_hashes")
@@ -74,27 +75,36 @@ def with_repeated_words(df: DataFrame, listed: str, name: str) -> DataFrame:
         lambda a, i: F.struct((a["n"] + F.least(F.lit(WINDOW), i - a["last"])).alias("n"), i.alias("last")),
         lambda a: a["n"],
     )
-    return df.withColumn(name, F.coalesce(covered, F.lit(0).cast("long"))).drop("_hashes", "_ordered", "_places")
+    return df.withColumn(name, F.coalesce(covered, F.lit(0).cast("long"))).drop("_hashed", "_hashes", "_ordered", "_places")
+
+
+def measures(text: Column) -> dict[str, Column]:
+    """What rules may ask about a text, by name."""
+    return {
+        "n_words": count_words(text),
+        "word_chars": word_chars(text),
+        "n_symbols": count_of(text, SYMBOLS),
+        "n_marks": count_of(text, "!"),
+        "n_letters": F.length(F.regexp_replace(text, r"\P{L}+", "")),
+        "n_dup_lines": duplicate_lines(text),
+        "n_lines": F.size(_lines(text)),
+    }
 
 
 @dataclass(frozen=True)
 class Rule:
-    """What a text must satisfy, as a condition on the text."""
+    """What the measures of a text must satisfy."""
 
     name: str
-    holds: Callable[[Column], Column]
-
-
-def _letters(text: Column) -> Column:
-    return F.length(F.regexp_replace(text, r"\P{L}+", ""))
+    holds: Callable[[dict[str, Column]], Column]
 
 
 RULES = (
-    Rule("few symbols", lambda t: 10 * count_of(t, SYMBOLS) <= count_words(t)),
-    Rule("few exclamation marks", lambda t: 5 * count_of(t, "!") <= count_words(t)),
-    Rule("words of usual length", lambda t: word_chars(t).between(2 * count_words(t), 15 * count_words(t))),
-    Rule("mostly letters", lambda t: 2 * _letters(t) >= word_chars(t)),
-    Rule("few repeated lines", lambda t: 10 * duplicate_lines(t) <= 3 * F.size(_lines(t))),
+    Rule("few symbols", lambda m: 10 * m["n_symbols"] <= m["n_words"]),
+    Rule("few exclamation marks", lambda m: 5 * m["n_marks"] <= m["n_words"]),
+    Rule("words of usual length", lambda m: m["word_chars"].between(2 * m["n_words"], 15 * m["n_words"])),
+    Rule("mostly letters", lambda m: 2 * m["n_letters"] >= m["word_chars"]),
+    Rule("few repeated lines", lambda m: 10 * m["n_dup_lines"] <= 3 * m["n_lines"]),
 )
 
 
@@ -102,22 +112,21 @@ def ordered_rules(docs: DataFrame, rules: Sequence[Rule] = RULES, text: str = "t
     """The rules by rejections per second on the sample, most first."""
     known = F.coalesce(F.col(text), F.lit("")).alias("text")
     drawn = docs.select(known).filter(F.pmod(F.xxhash64("text"), F.lit(SAMPLE_OF)) == 0).limit(SAMPLE_ROWS)
-    sample = settle(drawn)
-    worth = []
+    sample, worth = settle(drawn), []
     for rule in rules:
         began = time.perf_counter()
-        rejected = sample.filter(~rule.holds(F.col("text"))).count()
+        rejected = sample.filter(~rule.holds(measures(F.col("text")))).count()
         worth.append(((rejected + 1) / (time.perf_counter() - began), rule))
     if not sample.head(1):
         return list(rules)
     return [rule for _, rule in sorted(worth, key=lambda x: -x[0])]
 
 
-def all_hold(rules: Sequence[Rule], text: Column) -> Column:
-    """The cascade: a rule is evaluated only if those before it hold."""
+def all_hold(rules: Sequence[Rule], known: dict[str, Column]) -> Column:
+    """The cascade: a rule, and what it alone asks for, is evaluated only if those before it hold."""
     verdict = F.lit(True)
     for rule in reversed(rules):
-        verdict = F.when(~rule.holds(text), F.lit(False)).otherwise(verdict)
+        verdict = F.when(~rule.holds(known), F.lit(False)).otherwise(verdict)
     return verdict
 
 
@@ -136,16 +145,12 @@ def judge_quality(
     rows = with_repeated_words(rows, "_words", "n_repeat_words")
     body = F.col("text")
     failed = (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words"))
-    return rows.select(
-        "doc_id",
-        "n_words",
-        word_chars(body).alias("word_chars"),
-        count_of(body, SYMBOLS).alias("n_symbols"),
-        duplicate_lines(body).alias("n_dup_lines"),
-        "n_repeat_words",
-        failed.alias("base_failed"),
-        F.when(failed, F.lit(False)).otherwise(all_hold(order, body)).alias("kept"),
-    )
+    asked = measures(body)
+    counted = ["n_words", "word_chars", "n_symbols", "n_dup_lines"]
+    rows = rows.withColumns({name: asked[name] for name in counted[1:]})
+    known = asked | {name: F.col(name) for name in counted}
+    kept = F.when(failed, F.lit(False)).otherwise(all_hold(order, known))
+    return rows.select("doc_id", *counted, "n_repeat_words", failed.alias("base_failed"), kept.alias("kept"))
 
 
 def op7_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
