@@ -33,7 +33,7 @@ SAMPLE_CHARS = 40_000
 MOST_LANGUAGES = 200
 UNKNOWN = "und"
 # Words whose phrases a task remembers.
-REMEMBERED = 200_000
+REMEMBERED = 350_000
 # The query and the pipeline learn from documents with another remainder.
 HELD_OUT = (4, 2)
 LETTER, OTHER = re.compile(r"[^\W\d_]"), re.compile(r"[\W\d_]+")
