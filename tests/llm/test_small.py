@@ -422,6 +422,27 @@ def test_components_like_all_pairs(make_docs, monkeypatch, small):
     assert sorted(r["doc_id"] for r in kept.collect()) == sorted({c for _, c in found.values()})
 
 
+def test_pages_on_one_template_like_all_pairs(make_docs):
+    """Pages that are alike by 0.6, some with a near copy that shares large buckets only with the others."""
+    rng, rows, base = random.Random(21), [], sentence(3, 150).split()
+    for page in range(1500):
+        words = base + [f"own{page}x{k}" for k in range(42)]
+        rows.append((len(rows), " ".join(words), "en", "s"))
+        if page % 3 == 0:
+            words[rng.randrange(len(words))] = "changed"
+            words[rng.randrange(len(words))] = "also"
+            rows.append((len(rows), " ".join(words), "en", "s"))
+    rng.shuffle(rows)
+    found = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in near_dup.near_duplicates(make_docs(rows)).collect()}
+    # Own words keep pages apart, so only a page and its copy need be compared.
+    families = {}
+    for i, t, _, _ in rows:
+        families.setdefault(next(w for w in t.split() if w.startswith("own")).split("x")[0], []).append((i, t))
+    expected = {k: v for family in families.values() for k, v in plain_components(family).items()}
+    assert len(set(c for _, c in expected.values())) < len(rows)
+    assert found == expected
+
+
 def test_components_of_odd_documents(odd_docs, no_docs):
     rows = [(r["doc_id"], r["n_shingles"], r["component_id"]) for r in near_dup.near_duplicates(odd_docs).collect()]
     assert len(rows) == 14

@@ -8,8 +8,14 @@ minhash values. Two documents of similarity s share a table with a chance of
 Documents with equal shingle sets are one class from the start. Classes that share a key are
 candidates. A bucket of at most SMALL classes gives all its pairs. A larger one ties each class to its
 first one, and is split by the next STEP hashes of either collection, again and again, so that
-classes which differ part and the closest meet in a small bucket; no bucket's pairs are ever all formed and
-none is dropped. Candidates are compared on their full sets, and links joined to components.
+classes which differ part and the closest meet in a small bucket. Candidates are compared on their full sets,
+and links joined to components.
+
+What is left of the large buckets is exact: classes of a large bucket that the links found so far do not
+join into one component are compared by their full sets. Shingles have one order, the rarer ones first as
+far as SLOTS counts tell. Two sets that are similar enough share one of their first shingles, and the place of
+the first they share bounds their overlap, so that pages on one template meet only if they are near copies. A
+shingle of many classes is joined in blocks. Pairs of one component are not formed again.
 
 Defined results: a text without words has an empty set and is linked with nothing; fewer words than
 WIDTH are one shingle; NULL ids are one id, smaller ids come first, and a class of NULL ids alone
@@ -39,6 +45,10 @@ SIDE, JOINED = 9, 3
 # Hashes of either collection that split a large bucket at a time; a power of two above SIDE * SIDE.
 STEP, TABLES = 2, 128
 SMALL = 64
+# Counts that order shingles by how common they are: 8 MB in a task. Any order gives the same pairs.
+SLOTS = 1 << 20
+# Classes with one shingle that a task joins with others.
+BLOCK = 2048
 # Classes to be compared up to this many are held as bits (60 MB) to pick out their texts before the shuffle.
 MOST_ASKED = 50_000_000
 _SEEDS = np.random.default_rng(11).integers(1, 1 << 63, 2 * SIDE * JOINED, dtype=np.uint64)
@@ -87,13 +97,13 @@ def _rows(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     return settle(known.mapInArrow(_signatures, ROWS))
 
 
-def _candidates(classes: DataFrame) -> DataFrame:
-    """Distinct pairs (a, b) of nodes, a < b, that share a key.
+def _candidates(classes: DataFrame) -> tuple[DataFrame, DataFrame | None]:
+    """Distinct pairs (a, b) of nodes, a < b, that share a key, and (key, node) of the large buckets if there are any.
 
     A key's low bits are its table's number, so that rows are no more than a key and a node.
     """
     rows = classes.select("node", "hashes", F.explode(F.sequence(F.lit(0), F.lit(SIDE * SIDE - 1))).alias("table"))
-    rows, pairs = rows.select(_key(F.lit(0), F.col("table"), 0).alias("key"), "node"), []
+    rows, pairs, large = rows.select(_key(F.lit(0), F.col("table"), 0).alias("key"), "node"), [], None
     last = (SIDE - 1) // STEP + 1
     for level in range(last + 1):
         heads = rows.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("node").alias("head"))
@@ -106,13 +116,14 @@ def _candidates(classes: DataFrame) -> DataFrame:
         pairs.append(many.filter("head < node").select(F.col("head").alias("a"), F.col("node").alias("b")).distinct())
         if level == last or not many.head(1):
             break
+        large = many.select("key", "node") if large is None else large
         rows = many.select("node", "key").join(classes.select("node", "hashes"), "node")
         table = F.col("key").bitwiseAND(F.lit(TABLES - 1))
         rows = rows.select(_key(F.col("key"), table, 1 + level * STEP).alias("key"), "node")
     found = pairs[0]
     for more in pairs[1:]:
         found = found.unionByName(more)
-    return settle(found.distinct())
+    return settle(found.distinct()), large
 
 
 def _key(before: Column, table: Column, first: int) -> Column:
@@ -124,13 +135,8 @@ def _key(before: Column, table: Column, first: int) -> Column:
     return F.xxhash64(before, *hashes).bitwiseAND(F.lit(-TABLES)).bitwiseOR(table.cast("long"))
 
 
-def _confirmed(pairs: DataFrame, classes: DataFrame, docs: DataFrame, doc_id: str, text: str) -> DataFrame:
-    """Pairs (u, v) whose full sets are similar enough.
-
-    Texts of classes that are candidates meet their pairs in two joins. The many pairs of one leader
-    may be split over tasks; a task keeps the leader's set while its pairs follow each other.
-    """
-    nodes = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
+def _texts(nodes: DataFrame, classes: DataFrame, docs: DataFrame, doc_id: str, text: str) -> DataFrame:
+    """Frame (node, text): one text of each of the nodes."""
     asked = settle(classes.join(nodes, "node", "left_semi").select("node", "text_hash", F.col("doc_id").alias("id")))
     known = docs.select(
         F.col(doc_id).cast("long").alias("of"),
@@ -142,7 +148,17 @@ def _confirmed(pairs: DataFrame, classes: DataFrame, docs: DataFrame, doc_id: st
         known = known.filter(passes(F.col("hash"), 1, words_for(n), bits))
     same = (F.col("hash") == F.col("text_hash")) & F.col("of").eqNullSafe(F.col("id"))
     # Rows equal in id and text give the same text; one of them is enough.
-    texts = settle(asked.join(known, same).groupBy("node").agg(F.any_value("text").alias("text")))
+    return settle(asked.join(known, same).groupBy("node").agg(F.any_value("text").alias("text")))
+
+
+def _confirmed(pairs: DataFrame, classes: DataFrame, docs: DataFrame, doc_id: str, text: str) -> DataFrame:
+    """Pairs (u, v) whose full sets are similar enough.
+
+    Texts of classes that are candidates meet their pairs in two joins. The many pairs of one leader
+    may be split over tasks; a task keeps the leader's set while its pairs follow each other.
+    """
+    nodes = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
+    texts = _texts(nodes, classes, docs, doc_id, text)
     second = pairs.join(texts.select(F.col("node").alias("b"), F.col("text").alias("text_b")), "b")
     both = second.join(texts.select(F.col("node").alias("a"), F.col("text").alias("text_a")), "a")
 
@@ -166,6 +182,95 @@ def _confirmed(pairs: DataFrame, classes: DataFrame, docs: DataFrame, doc_id: st
     return settle(both.select("a", "b", "text_a", "text_b").mapInArrow(compared, "u long, v long"))
 
 
+def _open(large: DataFrame, classes: DataFrame, links: DataFrame) -> DataFrame:
+    """Frame (node, root) of the classes in large buckets that hold more than one component."""
+    roots = settle(components(links))
+    placed = classes.select("node").join(roots, "node", "left").select("node", F.coalesce("root", "node").alias("root"))
+    placed = settle(large.join(settle(placed), "node"))
+    parted = placed.groupBy("key").agg(F.min("root").alias("least"), F.max("root").alias("most"))
+    parted = settle(parted.filter("least < most").select("key"))
+    return settle(placed.join(parted, "key", "left_semi").select("node", "root").distinct())
+
+
+def _rest(nodes: DataFrame, texts: DataFrame) -> DataFrame:
+    """Distinct pairs (a, b) of nodes with different roots: all that can be similar enough, by their first shingles.
+
+    The smaller set of a pair (the smaller node of equal ones) has its first common shingle so early that
+    it could still hold the whole overlap needed, and so has the larger one.
+    """
+    spark = with_package(texts.sparkSession)
+
+    def slots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
+        counts = np.zeros(SLOTS, np.int64)
+        for _, values in bites(batches):
+            np.add.at(counts, _slots(np.concatenate(_sets(values))), 1)
+        used = np.flatnonzero(counts)
+        yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(counts[used])], ["slot", "n"])
+
+    counted = texts.mapInArrow(slots, "slot long, n long").groupBy("slot").agg(F.sum("n").alias("n"))
+    counted, common = counted.toArrow(), np.zeros(SLOTS, np.int64)
+    common[counted["slot"].to_numpy()] = counted["n"].to_numpy()
+    sent = spark.sparkContext.broadcast(common)
+
+    def firsts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
+        for batch, values in bites(batches):
+            columns = {name: [] for name in ("shingle", "node", "root", "size", "place")}
+            for row, one in enumerate(_sets(values)):
+                one = one[np.lexsort((one, sent.value[_slots(one)]))]
+                upto = len(one) - -(-PERCENT * len(one) // 100) + 1
+                columns["shingle"].append(one[:upto].view(np.int64))
+                columns["place"].append(np.arange(upto))
+                for name, value in (("node", batch["node"][row]), ("root", batch["root"][row]), ("size", len(one))):
+                    columns[name].append(np.full(upto, value if name == "size" else value.as_py(), np.int64))
+            yield pa.RecordBatch.from_pydict({name: pa.array(np.concatenate(v)) for name, v in columns.items()})
+
+    kind = "shingle long, node long, root long, size long, place long"
+    rows = settle(texts.join(nodes, "node").select("node", "root", "text").mapInArrow(firsts, kind))
+    sent.destroy()
+    # The overlap that a set needs with one of its own size is the least that it needs with a larger one.
+    early = F.col("place") <= F.col("size") - F.ceil(F.lit(2 * PERCENT) * F.col("size") / (100 + PERCENT))
+    groups = rows.groupBy("shingle").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.count_if(early).alias("early"),
+        F.min("root").alias("least"),
+        F.max("root").alias("most"),
+    )
+    blocks = F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks")
+    groups = settle(groups.filter("early > 0 AND least < most").select("shingle", blocks))
+    rows = settle(rows.join(groups, "shingle").withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")))
+    every = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
+    of = ["shingle", "own", "other"]
+    one = rows.filter(early).withColumn("other", every)
+    one = one.select(*of, *[F.col(c).alias(f"{c}_a") for c in ("node", "root", "size", "place")])
+    two = rows.withColumnRenamed("own", "other").withColumn("own", every)
+    two = two.select(*of, *[F.col(c).alias(f"{c}_b") for c in ("node", "root", "size", "place")])
+    needed = F.lit(PERCENT) * (F.col("size_a") + F.col("size_b"))
+    could = F.least(F.col("size_a") - F.col("place_a"), F.col("size_b") - F.col("place_b")) * (100 + PERCENT) >= needed
+    ordered = (F.col("size_a") < F.col("size_b")) | ((F.col("size_a") == F.col("size_b")) & (F.col("node_a") < F.col("node_b")))
+    pairs = one.join(two, of).filter((F.col("root_a") != F.col("root_b")) & ordered & could)
+    a, b = F.least("node_a", "node_b").alias("a"), F.greatest("node_a", "node_b").alias("b")
+    return settle(pairs.select(a, b).distinct())
+
+
+def _slots(hashes: np.ndarray) -> np.ndarray:
+    return (mixed(hashes) % np.uint64(SLOTS)).astype(np.int64)
+
+
+def _links(classes: DataFrame, docs: DataFrame, doc_id: str, text: str) -> DataFrame:
+    """Links (u, v) that join the components: of pairs that share a key, and of what is left of large buckets."""
+    pairs, large = _candidates(classes)
+    links = _confirmed(pairs, classes, docs, doc_id, text)
+    if large is None:
+        return links
+    nodes = _open(large, classes, links)
+    if not nodes.head(1):
+        return links
+    rest = _rest(nodes, _texts(nodes.select("node"), classes, docs, doc_id, text))
+    return links.unionByName(_confirmed(rest, classes, docs, doc_id, text))
+
+
 def _sets(texts: list[str]) -> list[np.ndarray]:
     """Distinct shingles of each text, sorted."""
     hashes, ends = word_hashes(texts, True)
@@ -187,8 +292,7 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
         "class", "least", "least.doc_id", "least.text_hash", "hashes", F.monotonically_increasing_id().alias("node")
     )
     classes = settle(classes)
-    links = _confirmed(_candidates(classes), classes, docs, doc_id, text)
-    roots = settle(components(links))
+    roots = settle(components(_links(classes, docs, doc_id, text)))
     placed = classes.select("class", "least", "node").join(roots, "node", "left")
     placed = settle(placed.select("class", "least", F.coalesce("root", "node").alias("root")))
     least = settle(placed.groupBy("root").agg(F.min("least").alias("first")))
