@@ -252,6 +252,50 @@ def test_scores_like_the_recursion(spark, kept):
         assert sum(r[5] for r in held) > sum(r[4] for r in held)
 
 
+@pytest.mark.parametrize("cached", [1 << 20, 300, 0])
+def test_query_scores_keep_every_ngram(spark, monkeypatch, cached):
+    """A corpus with more n-grams than a task holds gets the scores of all of them, those seen once too."""
+    monkeypatch.setattr(lm, "KEPT", cached)
+    texts = texts_of(spark.read.parquet(f"{TESTDATA}/documents.parquet"))
+    tokens = {i: [None, None, *lowered(t), b" end "] for i, t in texts}
+    trained = [w for i, w in tokens.items() if zlib.crc32(str(i).encode()) % 7 != 2]
+    ones = Counter(x for w in trained for x in w[2:])
+    twos = Counter((w[k - 1], w[k]) for w in trained for k in range(3, len(w)))
+    threes = Counter(tuple(w[k - 2 : k + 1]) for w in trained for k in range(4, len(w)))
+    after = Counter(g[:-1] for g in [*twos, *threes])
+    times = Counter()
+    for g, n in [*twos.items(), *threes.items()]:
+        times[g[:-1]] += n
+
+    def chance(history, word):
+        if not history:
+            return (ones[word] + 1) / ones_total
+        lower = chance(history[1:], word)
+        if not times[history]:
+            return lower
+        n = (twos if len(history) == 1 else threes)[(*history, word)]
+        return (max(n - lm.DISCOUNT, 0) + lm.DISCOUNT * after[history] * lower) / times[history]
+
+    size = sum(ones.values())
+    ones_total = size + len(ones) + 1
+    rows = {r["doc_id"]: r for r in lm.op5_lm_score(spark, TESTDATA).collect()}
+    assert rows.keys() == tokens.keys()
+    for i, w in tokens.items():
+        full = sum(math.log10(chance(tuple(x for x in w[k - 2 : k] if x is not None), w[k])) for k in range(2, len(w)))
+        base = sum(math.log10((ones[x] + 1) / ones_total) for x in w[2:])
+        row = rows[i]
+        assert (row["n_tokens"], row["train_tokens"], row["n_known"]) == (len(w) - 2, size, sum(ones[x] > 0 for x in w[2:]))
+        assert (row["base_score"], row["score"]) == pytest.approx((base, full), rel=1e-9)
+
+
+def test_whole_scores_of_odd_documents(odd_docs, no_docs):
+    rows = lm.whole_scores(odd_docs, lm.held_out()).collect()
+    assert len(rows) == 14 and all(r["score"] <= 0 and math.isfinite(r["score"]) for r in rows)
+    rows = lm.whole_scores(odd_docs, F.lit(True)).collect()
+    assert {(r["n_known"], r["base_score"], r["score"]) for r in rows} == {(0, 0.0, 0.0)}
+    assert lm.whole_scores(no_docs, lm.held_out()).count() == 0
+
+
 def test_scores_of_odd_documents(odd_docs, no_docs):
     model, words = lm.train(odd_docs)
     rows = lm.score(odd_docs, model, words, lm.held_out()).collect()

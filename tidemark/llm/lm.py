@@ -14,7 +14,10 @@ are kept too, the state after a token is the longest kept n-gram that ends there
 from left to right, order by order for all positions of many texts at once, and adds up log10 of the
 arcs taken.
 
-Counting covers every training token: each order is a grouped count, combined in the tasks before it
+The query uses `whole_scores`: every n-gram of training is kept, and no bound depends on the size of the
+corpus. Chances of all trigrams are a written table; tasks hold the most frequent ones as a cache.
+
+`train` and `score` are for a bounded model. Counting covers every training token: each order is a grouped count, combined in the tasks before it
 is shuffled. An order keeps its most frequent n-grams, at most KEPT of them (a bound on the model,
 held by every task: about 60 bytes each); equal counts are kept or left together. Counts
 of rarer words are exact too: a text's tokens outside the kept words are joined with the table of
@@ -48,6 +51,8 @@ DISCOUNT = 0.75
 HELD_OUT = (7, 2)
 # Hash of the end of text; a word's hash is that only by a chance of 2**-64.
 END = np.uint64(xxhash.xxh3_64_intdigest(b" end of text "))
+# What stands before a text's first token.
+START = np.uint64(xxhash.xxh3_64_intdigest(b" start of text "))
 # Tokens whose n-grams are combined in a task before they go to the shuffle.
 COMBINED = 1 << 21
 # Bits for the last token's index in the key of an n-gram.
@@ -192,12 +197,17 @@ def _gram_keys(sent):
     return keys
 
 
-def _most_frequent(counts: DataFrame, most: int) -> tuple[np.ndarray, np.ndarray]:
-    """Keys and counts from the smallest count on that leaves at most `most` of them."""
+def _floor(counts: DataFrame, most: int) -> int | None:
+    """The smallest count n that at most `most` rows reach, None if there is no such."""
     sizes = counts.groupBy("n").agg(F.count(F.lit(1)).alias("grams"))
     down = Window.orderBy(F.col("n").desc()).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     fits = sizes.withColumn("above", F.sum("grams").over(down)).filter(F.col("above") <= most)
-    floor = fits.agg(F.min("n")).first()[0]
+    return fits.agg(F.min("n")).first()[0]
+
+
+def _most_frequent(counts: DataFrame, most: int) -> tuple[np.ndarray, np.ndarray]:
+    """Keys and counts from the smallest count on that leaves at most `most` of them."""
+    floor = _floor(counts, most)
     if floor is None:
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
     kept = counts.filter(F.col("n") >= floor).toArrow()
@@ -338,8 +348,136 @@ def score(
     )
 
 
+def _trigrams(hashes: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Key of each token with the two before it, those two (START before a text's first), and the token."""
+    starts = np.concatenate([[0], ends[:-1]])
+    one = np.concatenate([[START], hashes[:-1]])
+    one[starts] = START
+    two = np.concatenate([[START], one[:-1]])
+    two[starts] = START
+    return mixed(mixed(mixed(two) + one) + hashes), two, one, hashes
+
+
+def _tokens(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of all tokens of some texts, and where each text's end."""
+    hashes, ends = word_hashes(texts, True)
+    return np.insert(hashes, ends, END), ends + np.arange(1, len(ends) + 1)
+
+
+def _types(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Trigrams with their occurrences, and those in training, of about COMBINED tokens at a time."""
+    release()
+
+    def combined(parts: list[tuple]) -> pa.RecordBatch:
+        key, two, one, last, trained = (np.concatenate(column) for column in zip(*parts))
+        key, at, which = np.unique(key, return_index=True, return_inverse=True)
+        columns = [column.view(np.int64) for column in (key, two[at], one[at], last[at])]
+        n, t = np.bincount(which, minlength=len(key)), np.bincount(which[trained], minlength=len(key))
+        return pa.RecordBatch.from_arrays([pa.array(c) for c in (*columns, n, t)], ["key", "two", "one", "last", "n", "t"])
+
+    parts, size = [], 0
+    for batch, texts in bites(batches):
+        hashes, ends = _tokens(texts)
+        trained = ~np.array(batch.column("held_out").to_pylist(), bool)
+        parts.append((*_trigrams(hashes, ends), np.repeat(trained, np.diff(ends, prepend=0))))
+        size += len(hashes)
+        if size >= COMBINED // 2:
+            yield combined(parts)
+            parts, size = [], 0
+    if parts:
+        yield combined(parts)
+
+
+def _chances(rows: DataFrame, discount: float) -> tuple[DataFrame, int]:
+    """Frame (key, n, known, base, score) of all trigrams, with log10 chances, and the number of training tokens.
+
+    All counts follow from those of the trigrams. Every n-gram of training is kept, so rest(h) is the discount
+    times the tokens that follow h, by the count of h.
+    """
+    three = rows.mapInArrow(_types, "key long, two long, one long, last long, n long, t long")
+    three = settle(three.groupBy("key", "two", "one", "last").agg(F.sum("n").alias("n"), F.sum("t").alias("t")))
+    start = F.lit(int(START.view(np.int64)))
+    two = settle(three.groupBy("one", "last").agg(F.sum("t").alias("t")))
+    words = settle(two.groupBy("last").agg(F.sum("t").alias("c")))
+    tokens, distinct = words.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count_if(F.col("c") > 0)).first()
+
+    def with_history(grams: DataFrame, shorter: DataFrame, by: list[str], lower: list[str], below: str, name: str):
+        known = grams.filter((F.col(by[0]) != start) & (F.col("t") > 0))
+        known = known.groupBy(*by).agg(F.sum("t").alias("whole"), F.count(F.lit(1)).alias("followers"))
+        own = F.greatest(F.col("t") - F.lit(discount), F.lit(0.0)) / F.col("whole")
+        rest = F.lit(discount) * F.col("followers") / F.col("whole")
+        chance = F.coalesce(own + rest * F.col(below), F.col(below)).alias(name)
+        return grams.join(shorter, lower).join(settle(known), by, "left").select(*grams.columns, "known", "p1", chance)
+
+    p1 = ((F.col("c") + 1) / F.lit(float(tokens + distinct + 1))).alias("p1")
+    words = words.select("last", (F.col("c") > 0).cast("long").alias("known"), p1)
+    two = settle(with_history(two, words, ["one"], ["last"], "p1", "p2").drop("t"))
+    three = with_history(three, two, ["two", "one"], ["one", "last"], "p2", "p3")
+    logs = [F.log10("p1").alias("base"), F.log10("p3").alias("score")]
+    return settle(three.select("key", "n", "known", *logs)), tokens
+
+
+def whole_scores(
+    docs: DataFrame, held: Column, doc_id: str = "doc_id", text: str = "text", cached: int | None = None
+) -> DataFrame:
+    """Frame as of `score`, by a trigram model of all n-grams of the documents that are not held out.
+
+    Counts and chances are written tables. Tasks hold those of the `cached` most frequent trigrams; a
+    document's other ones are joined with the table.
+    """
+    spark = with_package(docs.sparkSession)
+    rows = docs.select(
+        F.col(doc_id).cast("long").alias("doc_id"), held.alias("held_out"), F.col(text).cast("string").alias("text")
+    )
+    chances, train_tokens = _chances(rows.select("held_out", "text"), DISCOUNT)
+    floor = _floor(chances, KEPT if cached is None else cached)
+    often = chances.filter(F.lit(False) if floor is None else F.col("n") >= floor).orderBy("key").toArrow()
+    sent = spark.sparkContext.broadcast([often[c].to_numpy() for c in ("key", "known", "base", "score")])
+
+    def summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
+        keys, *values = sent.value
+        names = ["doc_id", "held_out", "n_tokens", "n_known", "base", "score", "others"]
+        kind = pa.list_(pa.struct([("key", pa.int64()), ("times", pa.int64())]))
+        for batch, texts in bites(batches):
+            hashes, ends = _tokens(texts)
+            key = _trigrams(hashes, ends)[0].view(np.int64)
+            at = lookup(keys, key)
+            here, starts = at >= 0, np.concatenate([[0], ends[:-1]])
+            sums = []
+            for value in values:
+                each = np.zeros(len(key), value.dtype)
+                each[here] = value[at[here]]
+                sums.append(pa.array(np.add.reduceat(each, starts)))
+            others = []
+            for a, b in zip(starts, ends):
+                left, n = np.unique(key[a:b][~here[a:b]], return_counts=True)
+                others.append([{"key": k, "times": m} for k, m in zip(left.tolist(), n.tolist())])
+            first = [batch.column("doc_id"), batch.column("held_out"), pa.array((ends - starts).astype(np.int64))]
+            yield pa.RecordBatch.from_arrays([*first, *sums, pa.array(others, kind)], names)
+
+    kinds = "doc_id long, held_out boolean, n_tokens long, n_known long, base double, score double, "
+    scored = rows.mapInArrow(summed, kinds + "others array<struct<key: long, times: long>>")
+    scored = settle(scored.withColumn("row", F.monotonically_increasing_id()))
+    sent.destroy()
+    rest = chances if floor is None else chances.filter(F.col("n") < floor)
+    others = scored.select("row", F.explode("others").alias("one")).select("row", "one.key", "one.times")
+    found = others.join(rest.drop("n"), "key").groupBy("row").agg(
+        *[F.sum(F.col(c) * F.col("times")).alias(f"more_{c}") for c in ("known", "base", "score")]
+    )
+    scored = scored.drop("others").join(found, "row", "left")
+    return scored.select(
+        "doc_id",
+        "held_out",
+        "n_tokens",
+        (F.col("n_known") + F.coalesce("more_known", F.lit(0))).cast("long").alias("n_known"),
+        F.lit(train_tokens).cast("long").alias("train_tokens"),
+        (F.col("base") + F.coalesce("more_base", F.lit(0.0))).alias("base_score"),
+        (F.col("score") + F.coalesce("more_score", F.lit(0.0))).alias("score"),
+    )
+
+
 def op5_lm_score(spark: SparkSession, folder: str) -> DataFrame:
     """All documents scored by what the documents that are not held out teach."""
     docs = table(spark, folder, "documents")
-    model, words = train(docs.filter(~held_out()))
-    return score(docs, model, words, held_out())
+    return whole_scores(docs, held_out())
