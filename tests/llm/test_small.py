@@ -514,6 +514,20 @@ def test_language_on_held_out_documents(spark):
     assert right >= 0.95 * told.count()
 
 
+def test_rare_label_and_copies_leave_the_others_their_samples(spark, make_docs):
+    docs = spark.read.parquet(f"{TESTDATA}/documents.parquet")
+    before = language.learn(docs)
+    more = make_docs([(-1, "zu ok", "xx", "s"), *((-2 - k, "the same line again", "en", "s") for k in range(3000))])
+    taught = docs.select("text", "lang").unionByName(more.select("text", "lang"))
+    samples = language.learn(taught)
+    assert samples["xx"] == " zu ok " and {k: len(v) for k, v in samples.items() if k not in ("xx", "en")} == {
+        k: len(v) for k, v in before.items() if k != "en"
+    }
+    assert samples["en"].count("the same line again") <= 1 and len(samples["en"]) >= 0.9 * len(before["en"])
+    told = language.identify(docs, taught.filter("text <> ''")).filter(language.held_out())
+    assert told.filter(F.col("language.lang") == F.col("lang")).count() >= 0.95 * told.count()
+
+
 def test_language_of_odd_documents(odd_docs, no_docs):
     name = "told"
     told = {r["doc_id"]: r[name] for r in language.identify(odd_docs, odd_docs, name).collect()}

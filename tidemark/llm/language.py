@@ -6,8 +6,10 @@ sample of n characters costs log2(n) bits a phrase; the language with the fewest
 letters are parsed: words one by one with a blank for all else, so that a word's phrases are found
 once for a task's many occurrences of it, and every word of a text of any length counts.
 
-The sample is bounded: SAMPLE_DOCS documents of each of the MOST_LANGUAGES most frequent labels, the
-same SAMPLE_CHARS of each, so no language has an advantage. Only it goes through the driver.
+The sample is bounded: SAMPLE_DOCS different texts of each of the MOST_LANGUAGES most frequent labels, at
+most SAMPLE_CHARS of each. A label with less text keeps what it has and takes nothing from the others; below
+LEAST_CHARS its phrases cost as much as with LEAST_CHARS, so that a few characters explain no other text
+cheaply. Only the sample goes through the driver.
 
 Defined results: a NULL text and one without any letter is `und` with score 0, as is every text when
 there is nothing to learn from; equal bits go to the first label by code point; rows without a label
@@ -30,6 +32,7 @@ from tidemark.llm.tokens import held
 
 SAMPLE_DOCS = 200
 SAMPLE_CHARS = 40_000
+LEAST_CHARS = 1024
 MOST_LANGUAGES = 200
 UNKNOWN = "und"
 # Words whose phrases a task remembers.
@@ -48,25 +51,28 @@ def held_out(doc_id: str = "doc_id", folds: tuple[int, int] = HELD_OUT) -> Colum
 
 
 def learn(labelled: DataFrame, text: str = "text", lang: str = "lang") -> dict[str, str]:
-    """Sample text of each language, equally long.
+    """Sample text of each language, as long as its own texts reach.
 
-    Documents are drawn by a hash of their text; the rank limit is applied before the shuffle, so a
-    language with a third of all rows sends no more than the others.
+    Different texts are drawn by their hash; the rank limit is applied before the shuffle, so a
+    language with a third of all rows sends no more than the others, and copies count once.
     """
     rows = labelled.filter(F.col(text).isNotNull() & F.col(lang).isNotNull())
     rows = rows.select(F.col(lang).alias("lang"), F.col(text).alias("text"))
     counts = rows.groupBy("lang").count().orderBy(F.col("count").desc(), "lang").limit(MOST_LANGUAGES)
-    drawn = Window.partitionBy("lang").orderBy(F.xxhash64("text"), F.length("text"))
-    few = rows.withColumn("n", F.row_number().over(drawn)).filter(F.col("n") <= SAMPLE_DOCS)
+    rows = rows.withColumn("hash", F.xxhash64("text"))
+    drawn = Window.partitionBy("lang").orderBy("hash")
+    different = rows.select("lang", "hash").distinct()
+    few = different.withColumn("n", F.row_number().over(drawn)).filter(F.col("n") <= SAMPLE_DOCS)
+    few = few.join(F.broadcast(counts), "lang", "left_semi")
     # A document gives the learner some of its text; texts that are judged are always read whole.
-    few = few.withColumn("text", F.substring("text", 1, SAMPLE_CHARS // 10)).join(F.broadcast(counts), "lang", "left_semi")
+    begun = F.min(F.substring("text", 1, SAMPLE_CHARS // 10)).alias("text")
+    few = rows.join(F.broadcast(few), ["lang", "hash"]).groupBy("lang", "n").agg(begun)
     texts: dict[str, list[str]] = {}
     for row in few.orderBy("lang", "n").collect():
         texts.setdefault(row["lang"], []).append(OTHER.sub(" ", row["text"].lower()).strip())
     joined = {name: f" {' '.join(parts)} " for name, parts in texts.items()}
     joined = {name: whole for name, whole in joined.items() if LETTER.search(whole)}
-    size = min([SAMPLE_CHARS, *map(len, joined.values())])
-    return {name: joined[name][:size] for name in sorted(joined)}
+    return {name: joined[name][:SAMPLE_CHARS] for name in sorted(joined)}
 
 
 def suffix_automaton(text: str) -> list[dict[str, int]]:
@@ -118,7 +124,7 @@ class Parser:
     def __init__(self, samples: dict[str, str]):
         self.names = list(samples)
         self.automata = [suffix_automaton(sample) for sample in samples.values()]
-        self.bits = np.log2([max(2, len(sample)) for sample in samples.values()])
+        self.bits = np.log2([max(LEAST_CHARS, len(sample)) for sample in samples.values()])
         self.rows: dict[bytes, int] = {}
         # Phrases of a word in each language, and its characters.
         self.counts = np.zeros((REMEMBERED, len(self.names) + 1))
