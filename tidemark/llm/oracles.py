@@ -117,3 +117,63 @@ SELECT doc_id, len(w)::BIGINT AS n_words, len(gone)::BIGINT AS n_removed, sha256
 """
 
 ORACLES["op2_substring_dedup"] = OP2
+
+# The crc32 of the id's digits, bit by bit; only its lowest bit is asked for.
+OP13 = r"""
+WITH RECURSIVE v AS (
+  SELECT doc_id, source, text,
+         coalesce(strlen(doc_id::VARCHAR) || ':' || doc_id, '-') || coalesce(strlen(source) || ':' || source, '-')
+         || coalesce(strlen(lang) || ':' || lang, '-') || coalesce(strlen(n_chars::VARCHAR) || ':' || n_chars, '-') AS front,
+         list_reduce(
+           list_concat([4294967295::BIGINT], flatten(list_transform(
+             string_split(doc_id::VARCHAR, ''), lambda c: [ascii(c)::BIGINT, -1, -1, -1, -1, -1, -1, -1, -1]))),
+           lambda a, o: CASE WHEN o >= 0 THEN xor(a, o) ELSE xor(a >> 1, (a & 1) * 3988292384) END) AS crc
+  FROM documents
+), u AS (
+  SELECT *, sha256(front || coalesce(strlen(text) || ':' || text, '-')) AS leaf,
+         CASE WHEN crc & 1 = 1 THEN replace(text, chr(10), '') ELSE text END AS altered
+  FROM v
+), leaves AS (
+  SELECT doc_id, source, leaf, sha256(front || coalesce(strlen(altered) || ':' || altered, '-')) AS held,
+         row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS place,
+         count(*) OVER (PARTITION BY source) AS n
+  FROM u
+), tree AS (
+  SELECT source, 0 AS level, place, n, leaf AS digest FROM leaves
+  UNION ALL
+  SELECT source, level + 1, place // 3, (n + 2) // 3, sha256(string_agg(digest, '' ORDER BY place))
+  FROM tree WHERE n > 1 GROUP BY source, level, place // 3, n
+), runs AS (
+  SELECT source, level, place // 3 AS run, list(digest ORDER BY place) AS h FROM tree WHERE n > 1 GROUP BY ALL
+), subroots AS (
+  SELECT source, digest, row_number() OVER (ORDER BY source NULLS FIRST) - 1 AS place, count(*) OVER () AS n FROM tree WHERE n = 1
+), upper_tree AS (
+  SELECT 0 AS level, place, n, digest FROM subroots
+  UNION ALL
+  SELECT level + 1, place // 3, (n + 2) // 3, sha256(string_agg(digest, '' ORDER BY place))
+  FROM upper_tree WHERE n > 1 GROUP BY level, place // 3, n
+), upper_runs AS (
+  SELECT level, place // 3 AS run, list(digest ORDER BY place) AS h FROM upper_tree WHERE n > 1 GROUP BY ALL
+), climb AS (
+  SELECT doc_id, leaf, source, 0 AS level, place, n, held, '' AS proof FROM leaves
+  UNION ALL
+  SELECT doc_id, leaf, c.source, c.level + 1, place // 3, (n + 2) // 3,
+         sha256(array_to_string(h[1:place % 3] || [held] || h[place % 3 + 2:], '')),
+         proof || array_to_string(h[1:place % 3] || h[place % 3 + 2:], '')
+  FROM climb c JOIN runs r ON c.source IS NOT DISTINCT FROM r.source AND c.level = r.level AND c.place // 3 = r.run
+  WHERE n > 1
+), upper_climb AS (
+  SELECT doc_id, leaf, digest AS subroot, 0 AS level, s.place, s.n, held, proof
+  FROM climb c JOIN subroots s ON c.source IS NOT DISTINCT FROM s.source WHERE c.n = 1
+  UNION ALL
+  SELECT doc_id, leaf, subroot, c.level + 1, place // 3, (n + 2) // 3,
+         sha256(array_to_string(h[1:place % 3] || [held] || h[place % 3 + 2:], '')),
+         proof || array_to_string(h[1:place % 3] || h[place % 3 + 2:], '')
+  FROM upper_climb c JOIN upper_runs r ON c.level = r.level AND c.place // 3 = r.run
+  WHERE n > 1
+)
+SELECT doc_id, leaf, subroot, t.digest AS root, sha256(proof) AS proof_sha256, held AS folded_root, held = t.digest AS verified
+FROM upper_climb c JOIN upper_tree t ON c.n = 1 AND t.n = 1
+"""
+
+ORACLES["op13_manifest"] = OP13

@@ -5,6 +5,7 @@ from __future__ import annotations
 from tidemark.llm.decontamination import op8_decontamination
 from tidemark.llm.language import op10_language
 from tidemark.llm.lm import op5_lm_score
+from tidemark.llm.manifest import op13_manifest
 from tidemark.llm.mixing import op1_mix
 from tidemark.llm.near_dup import op9_near_duplicates
 from tidemark.llm.quality_rules import op7_quality_rules
@@ -24,4 +25,5 @@ QUERIES = {
     "op8_decontamination": op8_decontamination,
     "op9_near_duplicates": op9_near_duplicates,
     "op10_language": op10_language,
+    "op13_manifest": op13_manifest,
 }
