@@ -177,3 +177,34 @@ FROM upper_climb c JOIN upper_tree t ON c.n = 1 AND t.n = 1
 """
 
 ORACLES["op13_manifest"] = OP13
+
+OP11 = r"""
+WITH d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS t
+  FROM documents
+), k AS (
+  SELECT doc_id, t, len(t)::BIGINT AS n, row_number() OVER () AS row FROM d WHERE len(t) > 0
+), s AS (
+  SELECT count(*)::BIGINT AS all_docs, sum(n)::BIGINT AS all_terms FROM k
+), q AS (
+  SELECT DISTINCT item_id, unnest(regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+  FROM benchmark
+), p AS (
+  SELECT row, doc_id, n, term, count(*)::BIGINT AS tf
+  FROM (SELECT row, doc_id, n, unnest(t) AS term FROM k) WHERE term IN (SELECT term FROM q) GROUP BY ALL
+), w AS (
+  SELECT term, floor(1000 * ln((2 * all_docs + 2)::DOUBLE / (2 * df + 1)::DOUBLE))::BIGINT AS w
+  FROM (SELECT term, count(*) AS df FROM p GROUP BY term), s
+), x AS (
+  SELECT item_id, row, doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * n * all_docs) // all_terms))))::BIGINT AS score
+  FROM q JOIN p USING (term) JOIN w USING (term), s GROUP BY ALL
+), r AS (
+  SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INTEGER AS rank, doc_id, score FROM x WHERE score > 0
+)
+SELECT item_id, rank, doc_id, score FROM r WHERE rank <= 10
+"""
+
+ORACLES["op11_search"] = OP11

@@ -9,6 +9,7 @@ from tidemark.llm.manifest import op13_manifest
 from tidemark.llm.mixing import op1_mix
 from tidemark.llm.near_dup import op9_near_duplicates
 from tidemark.llm.quality_rules import op7_quality_rules
+from tidemark.llm.search import op11_search
 from tidemark.llm.sharding import op6_sharding
 from tidemark.llm.substring import op2_substring_dedup
 from tidemark.llm.token_files import op4_token_files
@@ -25,5 +26,6 @@ QUERIES = {
     "op8_decontamination": op8_decontamination,
     "op9_near_duplicates": op9_near_duplicates,
     "op10_language": op10_language,
+    "op11_search": op11_search,
     "op13_manifest": op13_manifest,
 }
