@@ -208,3 +208,39 @@ SELECT item_id, rank, doc_id, score FROM r WHERE rank <= 10
 """
 
 ORACLES["op11_search"] = OP11
+
+OP12 = r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x20\x09-\x0D]+') AS w
+  FROM documents
+), s AS (
+  SELECT doc_id, CASE
+      WHEN len(w) = 0 THEN []
+      WHEN len(w) < 4 THEN [array_to_string(w, ' ')]
+      ELSE list_sort(list_distinct(list_transform(range(1, len(w) - 2), lambda i: array_to_string(w[i:i + 3], ' ')))) END AS grams
+  FROM d
+), k AS (
+  SELECT doc_id, len(grams)::BIGINT AS n, grams, md5(array_to_string(grams, chr(10))) AS class FROM s
+), c AS (
+  SELECT class, min(doc_id) AS node, any_value(n) AS n, any_value(grams) AS grams FROM k WHERE n > 0 GROUP BY class
+), t AS (
+  SELECT node, n, unnest(grams) AS token FROM c
+), p AS (
+  SELECT a.node AS u, b.node AS v
+  FROM t a JOIN t b ON a.token = b.token AND a.node < b.node AND 100 * a.n >= 85 * b.n AND 100 * b.n >= 85 * a.n
+  GROUP BY a.node, a.n, b.node, b.n HAVING 100 * count(*) >= 85 * (a.n + b.n - count(*))
+), l AS (
+  SELECT u, v FROM p UNION SELECT v, u FROM p
+), reach AS (
+  SELECT node, node AS other FROM c
+  UNION
+  SELECT node, v FROM reach JOIN l ON other = u
+), first AS (
+  SELECT node, min(other) AS component_id FROM reach GROUP BY node
+)
+SELECT doc_id, k.n AS n_shingles, coalesce(component_id, doc_id) AS component_id
+FROM k LEFT JOIN c ON k.class = c.class LEFT JOIN first ON c.node = first.node
+"""
+
+ORACLES["op12_ngram_join"] = OP12

@@ -8,6 +8,7 @@ from tidemark.llm.lm import op5_lm_score
 from tidemark.llm.manifest import op13_manifest
 from tidemark.llm.mixing import op1_mix
 from tidemark.llm.near_dup import op9_near_duplicates
+from tidemark.llm.ngram_join import op12_ngram_join
 from tidemark.llm.quality_rules import op7_quality_rules
 from tidemark.llm.search import op11_search
 from tidemark.llm.sharding import op6_sharding
@@ -27,5 +28,6 @@ QUERIES = {
     "op9_near_duplicates": op9_near_duplicates,
     "op10_language": op10_language,
     "op11_search": op11_search,
+    "op12_ngram_join": op12_ngram_join,
     "op13_manifest": op13_manifest,
 }
