@@ -45,7 +45,7 @@ KEEP = 4
 # Counts that order tokens by how common they are: 2 MB in a task. Any order gives the same links.
 SLOTS = 1 << 18
 # Members and tokens of a group; a larger set is a group of its own. Queries of a group that go to one task.
-MEMBERS, TOKENS, QUERIES = 512, 1 << 19, 4096
+MEMBERS, TOKENS, QUERIES = 512, 1 << 19, 1024
 # Keys up to this many are held as bits (60 MB) to leave out rows before a shuffle.
 MOST_BITS = 50_000_000
 
@@ -155,7 +155,7 @@ class Join:
 
     def grouped(self, classes: DataFrame) -> tuple[DataFrame, DataFrame]:
         """Classes that may have links, with their group; and requests (group, node) of the groups' own members."""
-        rows = classes.filter(F.col("size") >= self.least)
+        rows = classes.filter(F.col("size") >= self.least).drop("class", "firsts")
         share = F.greatest(F.ceil(F.count(F.lit(1)) / MEMBERS), F.ceil(F.sum("size") / TOKENS))
         families = rows.groupBy("smallest").agg(
             share.alias("pieces"), F.count(F.lit(1)).alias("n"), F.min("node").alias("head")
@@ -185,6 +185,7 @@ class Join:
         """Written links (u, v) of queries (group, node) to members of their groups, on whole sets.
 
         A group's members go with every QUERIES of its queries, so that no task gets all queries of one group.
+        A link between two that the links before have joined in the same task is not written.
         """
         width, percent = self.width, self.percent
         sizes = requests.groupBy("group").agg(F.ceil(F.count(F.lit(1)) / QUERIES).alias("blocks"))
@@ -213,32 +214,33 @@ class Join:
                         continue
                     if group is None:
                         group = Group(members)
-                    for k in group.linked(one, percent):
+                        joined, own = np.arange(len(nodes)), {node: k for k, node in enumerate(nodes)}
+                    near = group.linked(one, percent)
+                    if node_of[row] in own:
+                        near = np.concatenate([[own[node_of[row]]], near])
+                    parts, which = np.unique(joined[near], return_index=True)
+                    for k in near[np.sort(which)]:
                         if nodes[k] != node_of[row]:
                             u.append(node_of[row])
                             v.append(nodes[k])
+                    joined[np.isin(joined, parts)] = parts.min(initial=len(nodes))
                 yield pa.RecordBatch.from_arrays([pa.array(u, pa.int64()), pa.array(v, pa.int64())], ["u", "v"])
 
         return settle(placed.mapInArrow(opened, "u long, v long"))
 
-    def qualifying(self, rows: DataFrame, links: DataFrame) -> DataFrame:
-        """Written requests (group, node): groups that the matrix does not rule out for a query of another component."""
+    def qualifying(self, classes: DataFrame, rows: DataFrame, links: DataFrame) -> DataFrame:
+        """Written requests (group, node): groups that the matrix does not rule out for a query of another component.
+
+        Tokens are told apart before anything is joined to them: only those of several classes travel.
+        """
         percent = self.percent
-        roots = settle(components(links))
-        placed = rows.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-        placed = settle(placed.select("node", "group", "root", "size", "firsts"))
         # A member stands for pairs with sets no smaller than its own.
         early = F.col("at") < F.col("size") - _at_least(2 * percent, 100 + percent, F.col("size")) + KEEP
-        tokens = placed.select("node", "group", "root", "size", F.posexplode("firsts").alias("at", "token"))
-        tokens = tokens.withColumn("early", early).drop("at")
-        several = tokens.groupBy("token").agg(
-            F.max("early").alias("early"), F.min("root").alias("least"), F.max("root").alias("most")
-        )
-        several = settle(several.filter("early AND least < most").select("token"))
-        if 0 < (n := several.count()) <= MOST_BITS:
-            bits = fill(several.select(F.col("token").alias("key")), 2, words_for(n))
-            tokens = tokens.filter(passes(F.col("token"), 2, words_for(n), bits))
-        tokens = settle(tokens.join(several, "token", "left_semi"))
+        tokens = classes.select("node", "size", F.posexplode("firsts").alias("at", "token"))
+        tokens = self._shared(tokens.withColumn("early", early).drop("at"), "node", 2)
+        roots = settle(components(links))
+        placed = rows.join(roots, "node", "left").select("node", "group", F.coalesce("root", "node").alias("root"))
+        tokens = self._shared(settle(tokens.join(settle(placed), "node")), "root", 3)
         matrix = tokens.filter("early").groupBy("token", "group").agg(
             F.min("root").alias("least"),
             F.max("root").alias("most"),
@@ -253,6 +255,15 @@ class Join:
         counted = hits.groupBy("node", "group").agg(F.count(F.lit(1)).alias("hits"), F.any_value("size").alias("size"))
         return settle(counted.filter(F.col("hits") >= needed).select("group", "node"))
 
+    def _shared(self, tokens: DataFrame, of: str, level: int) -> DataFrame:
+        """Written rows of `tokens` whose token occurs with several values of `of`, once at least as an early one."""
+        several = tokens.groupBy("token").agg(F.max("early").alias("early"), F.min(of).alias("least"), F.max(of).alias("most"))
+        several = settle(several.filter("early AND least < most").select("token"))
+        if 0 < (n := several.count()) <= MOST_BITS:
+            bits = fill(several.select(F.col("token").alias("key")), level, words_for(n))
+            tokens = tokens.filter(passes(F.col("token"), level, words_for(n), bits))
+        return settle(tokens.join(several, "token", "left_semi"))
+
 
 def ngram_components(
     docs: DataFrame, width: int = WIDTH, percent: int = PERCENT, doc_id: str = "doc_id", text: str = "text"
@@ -273,7 +284,7 @@ def ngram_components(
     )
     members, own = join.grouped(classes)
     links = join.links(own, members)
-    links = links.unionByName(join.links(join.qualifying(members, links), members))
+    links = links.unionByName(join.links(join.qualifying(classes, members, links), members))
     roots = settle(components(links))
     placed = classes.select("class", "doc_id", "node").join(roots, "node", "left")
     placed = settle(placed.select("class", "doc_id", F.coalesce("root", "node").alias("root")))
