@@ -12,7 +12,8 @@ query's first tokens are among them, in members of fitting sizes. For what is le
 counts the overlap with the whole union, opens the group if it is enough and counts the overlaps with the members.
 
 Before the matrix is made, each group is opened for its own members and for the first class of its
-smallest hash. What these links join needs no further comparison: a query is not tested against a group whose members
+smallest hash; then for queries that have tokens in common with it, one group for each token. What these links join
+needs no further comparison: a query is not tested against a group whose members
 with the shared token all are in its component already. So one large family of near copies costs its
 groups, not its pairs. Links between different components are all found, whatever the order.
 
@@ -67,6 +68,10 @@ def _slots(tokens: np.ndarray) -> np.ndarray:
     return (mixed(tokens) & np.uint64(SLOTS - 1)).astype(np.int64)
 
 
+def _document() -> list[Column]:
+    return [F.coalesce("doc_id", F.lit(0)).alias("id"), F.col("doc_id").isNull().alias("unknown"), F.col("text_hash").alias("hash")]
+
+
 class Group:
     """Sets of one group in a task: its union with the members that hold each token."""
 
@@ -168,18 +173,17 @@ class Join:
         own = several.select("group", "node").unionByName(several.select("group", F.col("head").alias("node")))
         return rows, settle(own.distinct())
 
-    def texts(self, nodes: DataFrame, classes: DataFrame) -> DataFrame:
-        """Frame (node, text): one text of each of the nodes."""
-        asked = settle(
-            classes.join(nodes, "node", "left_semi").select("node", F.col("doc_id").alias("id"), F.col("text_hash").alias("hash"))
-        )
+    def with_texts(self, nodes: DataFrame, asked: DataFrame) -> DataFrame:
+        """Rows of `nodes` with the `text` of their document (id, unknown, hash); `asked` has each of these once.
+
+        Rows equal in id and text give the same text; one of them is taken, in the shuffle that the join uses.
+        """
         docs = self.docs
         if 0 < (n := asked.count()) <= MOST_BITS:
             bits = fill(asked.select(F.col("hash").alias("key")), 1, words_for(n))
             docs = docs.filter(passes(F.col("text_hash"), 1, words_for(n), bits))
-        same = (F.col("text_hash") == F.col("hash")) & F.col("doc_id").eqNullSafe(F.col("id"))
-        # Rows equal in id and text give the same text; one of them is enough.
-        return settle(docs.join(asked, same).groupBy("node").agg(F.any_value("text").alias("text")))
+        docs = docs.select(*_document(), "text").groupBy("id", "unknown", "hash").agg(F.any_value("text").alias("text"))
+        return docs.join(nodes, ["id", "unknown", "hash"])
 
     def links(self, requests: DataFrame, rows: DataFrame) -> DataFrame:
         """Written links (u, v) of queries (group, node) to members of their groups, on whole sets.
@@ -194,10 +198,10 @@ class Join:
         queries = requests.join(sizes, "group").select("group", block.alias("block"), F.lit(1).alias("role"), "node")
         blocks = F.explode(F.sequence(F.lit(0), (F.col("blocks") - 1).cast("int"))).alias("block")
         members = rows.select("group", "node").join(sizes, "group").select("group", blocks, F.lit(0).alias("role"), "node")
-        both = settle(members.unionByName(queries))
-        texts = self.texts(both.select("node").distinct(), rows)
+        both = settle(members.unionByName(queries).join(rows.select("node", *_document()), "node"))
         order = ["group", "block", "role", "node"]
-        placed = both.join(texts, "node").repartition("group", "block").sortWithinPartitions(*order).select(*order, "text")
+        texts = self.with_texts(both, settle(both.select("id", "unknown", "hash").distinct()))
+        placed = texts.select(*order, "text").repartition("group", "block").sortWithinPartitions(*order)
 
         def opened(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             release()
@@ -228,16 +232,20 @@ class Join:
 
         return settle(placed.mapInArrow(opened, "u long, v long"))
 
-    def qualifying(self, classes: DataFrame, rows: DataFrame, links: DataFrame) -> DataFrame:
-        """Written requests (group, node): groups that the matrix does not rule out for a query of another component.
+    def tokens(self, classes: DataFrame) -> DataFrame:
+        """Written first tokens (token, node, size, early) that several classes have.
 
-        Tokens are told apart before anything is joined to them: only those of several classes travel.
+        Tokens are told apart before anything is joined to them. An early one stands for pairs with sets no smaller than its own.
         """
-        percent = self.percent
-        # A member stands for pairs with sets no smaller than its own.
-        early = F.col("at") < F.col("size") - _at_least(2 * percent, 100 + percent, F.col("size")) + KEEP
+        early = F.col("at") < F.col("size") - _at_least(2 * self.percent, 100 + self.percent, F.col("size")) + KEEP
         tokens = classes.select("node", "size", F.posexplode("firsts").alias("at", "token"))
-        tokens = self._shared(tokens.withColumn("early", early).drop("at"), "node", 2)
+        return self._shared(tokens.withColumn("early", early).drop("at"), "node", 2)
+
+    def qualifying(self, tokens: DataFrame, rows: DataFrame, links: DataFrame, single: bool) -> DataFrame:
+        """Requests (group, node): groups that the matrix does not rule out for a query of another component.
+
+        `single` asks of the groups with a token for the one with the smallest component only.
+        """
         roots = settle(components(links))
         placed = rows.join(roots, "node", "left").select("node", "group", F.coalesce("root", "node").alias("root"))
         tokens = self._shared(settle(tokens.join(settle(placed), "node")), "root", 3)
@@ -247,13 +255,15 @@ class Join:
             F.min("size").alias("smallest"),
             F.max("size").alias("largest"),
         )
-        matrix = settle(matrix)
-        fits = (F.col("smallest") <= F.col("size")) & (100 * F.col("largest") >= percent * F.col("size"))
+        if single:
+            first = F.min(F.struct("least", "group", "most", "smallest", "largest")).alias("first")
+            matrix = matrix.groupBy("token").agg(first).select("token", "first.*")
+        fits = (F.col("smallest") <= F.col("size")) & (100 * F.col("largest") >= self.percent * F.col("size"))
         other = (F.col("least") != F.col("root")) | (F.col("most") != F.col("root"))
-        hits = tokens.drop("group", "early").join(matrix, "token").filter(fits & other)
-        needed = F.least(F.lit(KEEP), _at_least(percent, 100, F.col("size")))
+        hits = tokens.drop("group", "early").join(settle(matrix), "token").filter(fits & other)
+        needed = F.least(F.lit(KEEP), _at_least(self.percent, 100, F.col("size")))
         counted = hits.groupBy("node", "group").agg(F.count(F.lit(1)).alias("hits"), F.any_value("size").alias("size"))
-        return settle(counted.filter(F.col("hits") >= needed).select("group", "node"))
+        return counted.filter(F.col("hits") >= needed).select("group", "node")
 
     def _shared(self, tokens: DataFrame, of: str, level: int) -> DataFrame:
         """Written rows of `tokens` whose token occurs with several values of `of`, once at least as an early one."""
@@ -282,9 +292,12 @@ def ngram_components(
     classes = settle(
         classes.select("class", "least.doc_id", "least.text_hash", "size", "smallest", "firsts", F.monotonically_increasing_id().alias("node"))
     )
-    members, own = join.grouped(classes)
-    links = join.links(own, members)
-    links = links.unionByName(join.links(join.qualifying(classes, members, links), members))
+    members, opened = join.grouped(classes)
+    tokens, links = join.tokens(classes), join.links(opened, members)
+    for single in (True, False):
+        asked = join.qualifying(tokens, members, links, single)
+        asked = settle(asked.join(opened, ["group", "node"], "left_anti"))
+        links, opened = links.unionByName(join.links(asked, members)), opened.unionByName(asked)
     roots = settle(components(links))
     placed = classes.select("class", "doc_id", "node").join(roots, "node", "left")
     placed = settle(placed.select("class", "doc_id", F.coalesce("root", "node").alias("root")))
