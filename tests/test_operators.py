@@ -1,15 +1,18 @@
 """Single operators on small frames, with brute-force answers."""
 
 import random
+from collections import Counter
 from datetime import datetime, timedelta
 
 import pytest
+from pyspark.sql import functions as F
 
 from tidemark.functions.hashing import hash_diff
 from tidemark.functions.keys import with_dense_key
 from tidemark.functions.times import FIRST_MARK, ntz
 from tidemark.operators import quality, state
 from tidemark.operators.dedup import latest_per_key, latest_per_key_by_max
+from tidemark.operators.intervals import Buckets, choose_buckets, join_valid
 from tidemark.operators.skew import Ordered, hot_keys, join_lookup
 from tidemark.operators.temporal import join_as_of
 from tidemark.schemas import select_to_schema, table
@@ -85,7 +88,7 @@ def test_join_as_of_with_one_hot_moment(limits):
 
 
 @pytest.mark.parametrize("limit", ["3", "200000"])
-@pytest.mark.parametrize("how", ["auto", "range", "running"])
+@pytest.mark.parametrize("how", ["auto", "range", "running", "buckets"])
 def test_join_as_of_with_overlaps(spark, how, limit):
     rng, at = random.Random(9), lambda day: DAY + timedelta(days=day)
     versions = [(rng.choice("abcd"), rng.choice([at(rng.randint(0, 9)), None]), rng.choice([at(rng.randint(0, 12)), None]), n) for n in range(40)]
@@ -107,6 +110,46 @@ def test_join_as_of_with_overlaps(spark, how, limit):
     assert sorted(((r["n"], r["v"]) for r in found), key=repr) == sorted(expected, key=repr)
 
 
+def overlapping_case(spark, hot):
+    """Windows of 1 to 60 days, some without end, of one hot key and 20 others."""
+    rng, at = random.Random(3), lambda day: DAY + timedelta(days=day)
+    windows = [(rng.choice([0, k]), at(d), rng.choice([at(d + rng.randint(1, 60)), None]), n) for n, (k, d) in enumerate((rng.randrange(20), rng.randrange(700)) for _ in range(400))]
+    facts = [(0 if n % 3 < hot else rng.randrange(25), at(rng.randint(-30, 800))) for n in range(3000)]
+    return (
+        spark.createDataFrame(facts, "k int, t timestamp_ntz"),
+        spark.createDataFrame(windows, "k int, start_date timestamp_ntz, end_date timestamp_ntz, v int"),
+    )
+
+
+@pytest.mark.parametrize("width", [1, 24, 24 * 10_000])
+def test_time_buckets_of_any_width(spark, width):
+    facts, windows = overlapping_case(spark, 1)
+    chosen = choose_buckets(facts, windows, "k", "t")
+    hour = 3_600_000_000
+    found = join_valid(facts, windows, "k", "t", ["v", "end_date"], Buckets(chosen.first, chosen.last, width * hour))
+    usual = join_valid(facts, windows, "k", "t", ["v", "end_date"])
+    held = (F.col("start_date") <= F.col("t")) & (F.col("end_date").isNull() | (F.col("t") < F.col("end_date")))
+    plain = facts.alias("f").join(windows.alias("w"), (F.col("f.k") == F.col("w.k")) & held, "left").select("f.k", "t", "v", "end_date")
+    assert Counter(found.collect()) == Counter(usual.collect()) == Counter(plain.collect())
+
+
+def test_time_buckets_split_a_hot_key(spark):
+    """The join is on key and bucket, never on the key alone, and a hot key has many buckets."""
+    facts, windows = overlapping_case(spark, 2)
+    chosen = choose_buckets(facts, windows, "k", "t")
+    assert (chosen.last - chosen.first) // chosen.width >= 10
+    plan = join_valid(facts, windows, "k", "t", ["v"])._jdf.queryExecution().executedPlan().toString()
+    joins = [line for line in plan.splitlines() if "Join" in line]
+    assert len(joins) == 1 and "SortMergeJoin [k" in joins[0] and "_bucket" in joins[0]
+
+
+def test_time_buckets_without_times(spark):
+    facts = spark.createDataFrame([(1, None), (None, DAY)], "k int, t timestamp_ntz")
+    windows = spark.createDataFrame([(1, DAY, None, 5)], "k int, start_date timestamp_ntz, end_date timestamp_ntz, v int")
+    assert sorted(map(tuple, join_valid(facts, windows, "k", "t", ["v"]).collect()), key=repr) == [(1, None, None), (None, DAY, None)]
+    assert join_valid(facts.limit(0), windows, "k", "t", ["v"]).count() == 0
+
+
 def test_neighbours_may_be_null(limits):
     rows = [(0, t, None if t % 3 else t) for t in range(200)]
     df = limits.createDataFrame(rows, "k int, t int, v int")
@@ -116,7 +159,7 @@ def test_neighbours_may_be_null(limits):
     assert all((r["before"], r["after"]) == (value(r["t"] - 1), value(r["t"] + 1)) for r in done.frame().collect())
 
 
-@pytest.mark.parametrize("how", ["auto", "range", "running"])
+@pytest.mark.parametrize("how", ["auto", "range", "running", "buckets"])
 def test_join_as_of(spark, how):
     at = lambda hour: DAY + timedelta(hours=hour)
     versions = [

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.operators.intervals import join_valid
 from tidemark.operators.skew import BROADCAST_ROWS, Ordered, join_lookup, settle
 from tidemark.session import setting
 
@@ -15,7 +16,7 @@ FEW_VERSIONS = 256
 
 
 def _range_join(facts: DataFrame, versions: DataFrame, key: str, time: str, carry: Sequence[str]) -> DataFrame:
-    """Equi-join with the validity window as residual condition."""
+    """Equi-join to few versions, with the validity window as residual condition."""
     v = versions.select(key, "start_date", "end_date", *[c for c in carry if c not in ("start_date", "end_date")])
     v = v.toDF(*[f"_v_{name}" for name in v.columns])
     valid = (
@@ -55,27 +56,31 @@ def _running_join(facts: DataFrame, versions: DataFrame, key: str, time: str, ca
     return found.select("_fact.*", *[F.when(valid, F.col(f"_found.{name}")).alias(name) for name in carry])
 
 
-def _ordered_join(facts: DataFrame, versions: DataFrame, key: str, time: str, carry: Sequence[str]) -> DataFrame:
-    """The running form where versions do not overlap; keys whose versions do are joined by range.
+def _ordered_join(
+    facts: DataFrame, versions: DataFrame, key: str, time: str, carry: Sequence[str], contiguous: bool
+) -> DataFrame:
+    """The running form where versions do not overlap; keys whose versions do are joined by time buckets.
 
-    Versions that cover no time match nothing and are left out. One ordered pass over the rest
-    finds the keys with a version that starts before the one before it ends.
+    Versions that cover no time match nothing and are left out. Unless all are known to be contiguous, one
+    ordered pass over the rest finds the keys with a version that starts before the one before it ends.
     """
     covering = (F.col("start_date") < F.col("end_date")) | F.col("end_date").isNull()
     versions = versions.filter(F.col(key).isNotNull() & F.col("start_date").isNotNull() & covering)
+    keyed, keyless = facts.filter(F.col(key).isNotNull()), facts.filter(F.col(key).isNull())
+    if contiguous:
+        # Facts without a key find nothing and need not travel; Parquet skips files that have none.
+        return _running_join(keyed, versions, key, time, carry).unionByName(keyless, allowMissingColumns=True)
     spans = versions.select(key, "start_date", "end_date")
     next_start = Ordered.by(spans, key, ("start_date", "end_date")).following("start_date", "_next").frame()
     overlap = F.col("_next") < F.col("end_date")
     overlap = overlap | (F.col("end_date").isNull() & F.col("_next").isNotNull())
     several = settle(next_start.filter(overlap).select(key).distinct())
-    keyed, keyless = facts.filter(F.col(key).isNotNull()), facts.filter(F.col(key).isNull())
     if several.isEmpty():
         joined = _running_join(keyed, versions, key, time, carry)
     else:
         single = [join_lookup(df, several, key, "left_anti") for df in (keyed, versions)]
         shared = [join_lookup(df, several, key, "left_semi") for df in (keyed, versions)]
-        joined = _running_join(*single, key, time, carry).unionByName(_range_join(*shared, key, time, carry))
-    # Facts without a key find nothing and need not travel; Parquet skips files that have none.
+        joined = _running_join(*single, key, time, carry).unionByName(join_valid(*shared, key, time, carry))
     return joined.unionByName(keyless, allowMissingColumns=True)
 
 
@@ -95,16 +100,23 @@ def join_as_of(
     time: str,
     carry: Sequence[str],
     how: str = "auto",
+    contiguous: bool = False,
 ) -> DataFrame:
     """Every fact with the `carry` columns of each version valid at its time, or NULLs.
 
-    `how`: "range" (compare with all versions of the key), "running" (one ordered pass), or "auto",
-    which counts the versions first: range with a broadcast if they are few. All give the same rows,
-    also where validity windows overlap.
+    `how`: "range" (versions that are few are broadcast, others go by time buckets), "buckets" (always by time
+    buckets), "running" (one ordered pass; keys with overlapping versions by time buckets), or "auto",
+    which counts the versions first: range if they are few, else running. All give the same rows, also where
+    validity windows overlap. `contiguous` states that no two versions of a key overlap, as in a history
+    that this library built, and saves the pass that looks for overlaps.
     """
+    if how == "buckets":
+        return join_valid(facts, versions, key, time, carry)
     if how == "running":
-        return _ordered_join(facts, versions, key, time, carry)
+        return _ordered_join(facts, versions, key, time, carry, contiguous)
     few = _small(versions, key)
-    if how == "auto" and not few:
-        return _ordered_join(facts, versions, key, time, carry)
-    return _range_join(facts, F.broadcast(versions) if few else versions, key, time, carry)
+    if few:
+        return _range_join(facts, F.broadcast(versions), key, time, carry)
+    if how == "auto":
+        return _ordered_join(facts, versions, key, time, carry, contiguous)
+    return join_valid(facts, versions, key, time, carry)

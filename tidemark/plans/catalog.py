@@ -360,6 +360,7 @@ def surrogate_key_dense(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _sales_as_of(spark: SparkSession, sf: str, how: str) -> DataFrame:
+    """Versions of a built history, which are contiguous."""
     return join_as_of(
         given.sales_orders(spark, sf),
         given.customer_versions(spark, sf),
@@ -367,6 +368,7 @@ def _sales_as_of(spark: SparkSession, sf: str, how: str) -> DataFrame:
         "order_date",
         ["customer_sk", "o_orderpriority"],
         how,
+        contiguous=True,
     )
 
 
@@ -396,8 +398,8 @@ def temporal_join_overlap(spark: SparkSession, sf: str) -> DataFrame:
     orders = given.table(spark, sf, "orders").select(
         F.col("o_orderkey").alias("order_id"), (F.col("o_custkey") % 520).alias("product_id"), F.col("o_orderdate").alias("order_date")
     )
-    recent = _overlapping(spark, sf)
-    return join_as_of(orders, recent, "product_id", "order_date", ["l_linenumber", "price"], "running")
+    recent = settle(_overlapping(spark, sf))
+    return join_as_of(orders, recent, "product_id", "order_date", ["l_linenumber", "price"], "buckets")
 
 
 @query
