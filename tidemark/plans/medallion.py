@@ -17,6 +17,7 @@ from tidemark.functions.times import FIRST_MARK, LOOKBACK_DAYS, ntz
 from tidemark.operators import history, quality, star, state as runs
 from tidemark.operators.dedup import latest_per_key, merge_latest
 from tidemark.operators.skew import join_lookup
+from tidemark.sources.key_log import KeyLog, same_keys
 from tidemark.sources.warehouse import PART, Conflict, State, Warehouse
 
 BRONZE = "bronze_customer_events"
@@ -25,7 +26,9 @@ CUSTOMERS = "dim_customer"
 PRODUCTS = "dim_product"
 DATES = "dim_date"
 FACTS = "fact_sales"
+SILVER_IDS = "silver_event_ids"
 DEAD = "dq_failed_events"
+DEAD_IDS = "dq_failed_event_ids"
 DEAD_PRODUCTS = "dq_failed_products"
 DEAD_ORDERS = "dq_failed_orders"
 NULL_PRODUCT = "NULL_PRODUCT_ID"
@@ -42,12 +45,14 @@ ATTEMPTS = 5
 class Layout:
     """Feed columns, what the dimension tracks, and how it is bucketed.
 
-    Every run rewrites the buckets its batch touches, so `buckets` should grow with the dimension.
+    Every run rewrites the buckets its batch touches, so `buckets` should grow with the dimension. `id_buckets`
+    are those of the logs that find an event's date or its dead letters by id; they are for good.
     """
 
     feed: T.StructType = field(default_factory=lambda: schemas.CUSTOMER_FEED)
     spec: history.History = field(default_factory=history.History)
     buckets: int = 64
+    id_buckets: int = 64
     lookback_days: int = LOOKBACK_DAYS
     collapse: bool = True
     null_id: str = "judge"
@@ -74,6 +79,13 @@ class Layout:
         key = T.StructField(self.spec.key, self.feed[self.spec.key].dataType)
         return T.StructType([key, T.StructField("since", T.TimestampNTZType())])
 
+    def ids(self, wh: Warehouse, table: str) -> KeyLog:
+        return KeyLog(wh.path(table), self.spec.event_id, self.id_buckets)
+
+    def id_kind(self, other: str) -> T.StructType:
+        key = T.StructField(self.spec.event_id, self.feed[self.spec.event_id].dataType)
+        return T.StructType([key, T.StructField(other, T.StringType())])
+
     def bucket(self) -> Column:
         return F.pmod(F.xxhash64(F.col(self.spec.key)), F.lit(self.buckets)).cast("string")
 
@@ -107,24 +119,64 @@ def refresh_silver(wh: Warehouse, state: State, arrived: DataFrame, layout: Layo
     newest = [spec.time, "arrival_ts"]
     fresh = latest_per_key(arrived, [spec.event_id], newest)
     fresh = wh.stage(fresh.withColumn(PART, _date_part(spec.time)), "fresh", run_id)
-    stored = wh.read(state, SILVER, layout.events)
-    again = stored.filter("false")
-    event_id = F.col(spec.event_id)
-    taken, low, high, keyless = fresh.agg(
-        F.collect_set(PART), F.min(event_id), F.max(event_id), F.count_if(event_id.isNull())
-    ).first()
-    if state.parts(SILVER):
-        # Parquet skips the row groups whose id range holds none of the arrived ids.
-        near = stored.filter(event_id.between(F.lit(low), F.lit(high)))
-        again = join_lookup(near, fresh.select(spec.event_id), spec.event_id, "left_semi")
-        if keyless:
-            again = again.unionByName(stored.filter(event_id.isNull()))
-    again = wh.stage(again, "again", run_id)
-    taken = {*taken, *_values(again, PART)}
+    index = layout.ids(wh, SILVER_IDS)
+    dates, touched = fresh.agg(F.collect_set(PART), F.collect_set(index.bucket())).first()
+    known = _indexed(wh, state, fresh, touched, layout, run_id)
+    again = wh.stage(stored_copies(wh, state, fresh, known, layout), "again", run_id)
+    taken = {*dates, *_values(again, PART)}
+    # Dates an id had before stay listed: they are opened in vain, never missed.
+    index.append(same_keys(fresh.select(spec.event_id, PART), known, [spec.event_id, PART], "left_anti"), run_id)
     after = merge_latest(wh.read(state, SILVER, layout.events, taken), fresh, [spec.event_id], newest)
     return state.replaced(SILVER, taken, wh.write_parts(after, SILVER, run_id), run_id)
 
 
+def _indexed(
+    wh: Warehouse, state: State, fresh: DataFrame, touched: Sequence[int], layout: Layout, run_id: str
+) -> DataFrame:
+    """Staged (id, date) of the index for ids of `fresh`: reads the touched buckets only.
+
+    A silver table that has no index yet gets it first.
+    """
+    spec, kind = layout.spec, layout.id_kind(PART)
+    index = layout.ids(wh, SILVER_IDS)
+    if state.parts(SILVER) and not index.exists(wh.spark, kind):
+        index.append(wh.read(state, SILVER, layout.events).select(*kind.names), f"{run_id}-index")
+    found = index.read(wh.spark, kind, touched) if touched else None
+    if found is None:
+        return wh.spark.createDataFrame([], kind)
+    mine = same_keys(found.select(*kind.names), fresh, [spec.event_id], "left_semi")
+    return wh.stage(mine.distinct(), "dated", run_id)
+
+
+def stored_copies(wh: Warehouse, state: State, fresh: DataFrame, known: DataFrame, layout: Layout) -> DataFrame:
+    """Stored rows with an id of `fresh`, from the dates that `known` names for them."""
+    dates = _values(known, PART) & state.parts(SILVER)
+    return same_keys(wh.read(state, SILVER, layout.events, dates), fresh, [layout.spec.event_id], "left_semi")
+
+
+def unseen_letters(wh: Warehouse, letters: DataFrame, layout: Layout, run_id: str) -> DataFrame:
+    """Dead letters that no other run has stored; told by (id, reason) in the touched buckets, not from the log."""
+    index, kind = layout.ids(wh, DEAD_IDS), layout.id_kind(quality.REASON)
+    event_id = F.col(layout.spec.event_id)
+    touched = letters.filter(event_id.isNotNull()).agg(F.collect_set(index.bucket())).first()[0]
+    if not touched:
+        return letters
+    if not index.exists(wh.spark, kind):
+        stored = wh.log(DEAD, letters.schema).filter(event_id.isNotNull() & (F.col("run_id") != run_id))
+        index.append(stored.select(*kind.names), f"{run_id}-index")
+    found = index.read(wh.spark, kind, touched)
+    if found is None:
+        return letters
+    return quality.unseen_dead_letters(letters, found.filter(F.col("run_id") != run_id), layout.spec.event_id)
+
+
+def store_letters(wh: Warehouse, letters: DataFrame, layout: Layout, run_id: str) -> None:
+    """Append a run's new dead letters, then their ids: a run that dies in between finds its own letters again."""
+    wh.append(unseen_letters(wh, letters, layout, run_id), DEAD, run_id)
+    mine = wh.log(DEAD, letters.schema).filter((F.col("run_id") == run_id) & F.col(layout.spec.event_id).isNotNull())
+    layout.ids(wh, DEAD_IDS).append(mine.select(layout.spec.event_id, quality.REASON), run_id)
+
+
 def disturbances(wh: Warehouse, layout: Layout, mark: datetime, run_id: str) -> DataFrame:
     """Keys whose stored history may no longer be what their events give, and since when.
 
@@ -156,7 +208,9 @@ def overwrite_silver(wh: Warehouse, state: State, layout: Layout, run_id: str) -
     bronze = wh.log(BRONZE, layout.events).drop("run_id")
     rows = latest_per_key(bronze, [spec.event_id], [spec.time, "arrival_ts"])
     written = wh.write_parts(rows.withColumn(PART, _date_part(spec.time)), SILVER, run_id)
-    return state.replaced(SILVER, state.parts(SILVER), written, run_id)
+    state = state.replaced(SILVER, state.parts(SILVER), written, run_id)
+    layout.ids(wh, SILVER_IDS).append(wh.read(state, SILVER, layout.events).select(spec.event_id, PART), run_id)
+    return state
 
 
 def silver_since(wh: Warehouse, state: State, layout: Layout, moment: datetime) -> DataFrame:
@@ -188,8 +242,7 @@ def load_customers(
     lost = lost.withColumn("rejected", F.lit(True))
     flagged = wh.stage(judged.unionByName(lost), "flagged", run_id)
     letters = quality.dead_letters(flagged).withColumn("failed_at", now)
-    stored = wh.log(DEAD, letters.schema).filter(F.col("run_id") != run_id)
-    wh.append(quality.unseen_dead_letters(letters, stored, spec.event_id), DEAD, run_id)
+    store_letters(wh, letters, layout, run_id)
 
     valid = quality.valid_rows(flagged)
     if layout.null_id == "leak":

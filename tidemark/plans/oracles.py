@@ -186,6 +186,7 @@ BODIES = {
         UNION ALL SELECT *, 'FUTURE_TIMESTAMP' FROM cdc_silver WHERE event_time > {AS_OF}) t""",
     "bronze_append": f"SELECT {EVENT}, CASE WHEN arrival_ts < {CDC_CUT} THEN 'b1' ELSE 'b2' END AS batch_id FROM cdc_bronze",
     "silver_overwrite": f"SELECT {EVENT} FROM cdc_silver",
+    "silver_incremental": f"SELECT {EVENT.replace('event_id', 'md5(event_id::VARCHAR) AS event_id')} FROM cdc_silver",
     "dlq_append": f"SELECT {EVENT}, dq_error_reason, {AS_OF} AS failed_at, 'r1' AS run_id FROM violations",
     "dim_product_load": """SELECT md5(CAST(p_partkey AS VARCHAR)) AS product_sk, p_partkey AS product_id, p_name AS product_name,
       p_type AS category, p_retailprice AS price FROM part""",
