@@ -106,3 +106,42 @@ def test_key_log_replaces_a_run_and_reads_nothing_before_it(spark, tmp_path):
     assert log.read(spark, kind, range(4)).groupBy("run_id").count().collect().__len__() == 2
     assert log.read(spark, kind, range(4)).count() == 33
     assert replace(log, buckets=4).exists(spark, kind)
+
+
+def test_bucketed_merge_reads_the_dimension_once_and_does_not_shuffle_it(spark):
+    from tidemark.plans import inputs as given
+    from conftest import TESTDATA
+
+    dim = given.ord_dim1_bucketed(spark, TESTDATA, 8)
+    plans, settle = [], history.settle
+
+    def seen(df):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return settle(df)
+
+    history.settle = seen
+    try:
+        history.merge_bucketed(dim, given.ord_batch2(spark, TESTDATA), given.ord_cdc(spark, TESTDATA), given.SPEC, 8)
+    finally:
+        history.settle = settle
+    (plan,) = plans
+    above = plan[: plan.index("Bucketed: true")].splitlines()[-1]
+    assert plan.count("Bucketed: true") == 1 and "Exchange" not in plan[: plan.index("Bucketed: true")], above
+    assert plan.count("Window") >= 1 and plan.count("Exchange") == 1
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_bucketed_merge_like_merge(spark, seed):
+    """Late, new, unchanged and untouched customers, ties at the current start, versions that cover no time."""
+    from tidemark.sources.bucketed import bucketed_table
+
+    rng, spec = random.Random(seed), LAYOUT.spec
+    rows = [event(n, rng.randrange(20), rng.choice("ab"), rng.randrange(9)) for n in range(90)]
+    rows = [(i, f"c{rng.randrange(14)}", *rest) for i, _, *rest in rows]
+    events = spark.createDataFrame(rows, FEED)
+    before, batch = events.filter("event_time < '2024-01-15'"), events.filter("event_time >= '2024-01-12' AND length(event_id) > 4")
+    built = history.versions(before.filter("customer_id < 'c5'"), spec)
+    dim = bucketed_table(built, "customer_id", ["start_date"], 4)
+    for collapse in (True, False):
+        found = history.merge_bucketed(dim, batch, events, spec, 4, collapse)
+        assert Counter(found.collect()) == Counter(history.merge(dim, batch, events, spec, collapse).collect())

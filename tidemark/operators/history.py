@@ -6,12 +6,12 @@ from collections.abc import Callable
 from dataclasses import dataclass
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.hashing import with_hash
 from tidemark.functions.times import ntz
-from tidemark.operators.skew import Ordered, join_lookup, settle
+from tidemark.operators.skew import Ordered, hot_keys, join_lookup, settle
 
 
 @dataclass(frozen=True)
@@ -182,6 +182,45 @@ def merge(
     return merged.unionByName(rebuilt, allowMissingColumns=True)
 
 
+def merge_bucketed(
+    dim: DataFrame, batch: DataFrame, events: DataFrame, spec: History, buckets: int, collapse: bool = True
+) -> DataFrame:
+    """`merge` into a dimension table bucketed by key (with the columns of `spec`), which is read once and not shuffled.
+
+    The batch comes to the table's buckets. There, stored rows and events of a key are one ordered
+    group: the closed versions, the current one, then the events. Routing (is the key in the batch, is it
+    late) and comparison are windows over one sort; rows of late keys leave one marker, from which they
+    are rebuilt. A batch with hot keys goes through `merge`, which splits them.
+    """
+    if hot_keys(batch, spec.key):
+        return merge(dim, batch, events, spec, collapse)
+    # Events have no end and no state yet: a NULL `is_current` tells them from stored rows.
+    open_end = {"end_date": F.lit(None).cast("timestamp_ntz"), "is_current": F.lit(None).cast("boolean")}
+    arrived = spec.staged(batch).withColumns(open_end).select(*spec.columns).repartition(buckets, spec.key)
+    order = [F.col("is_current").asc_nulls_last(), "start_date", "source_event_id"]
+    # Sorted right above the union: a projection that slips in between costs it the table's partitioning.
+    both = dim.select(*spec.columns).union(arrived).sortWithinPartitions(spec.key, *order)
+    line = Window.partitionBy(spec.key).orderBy(*order)
+    whole = line.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    is_new, is_open = F.col("is_current").isNull(), F.coalesce("is_current", F.lit(False))
+    first = F.min(F.when(is_new, F.col("start_date"))).over(whole)
+    opened = F.max(F.when(is_open, F.col("start_date"))).over(whole)
+    rows = both.withColumns(
+        {
+            "_late": F.coalesce(first < opened, F.lit(False)),
+            "_before": F.lag(F.when(is_new | is_open, F.col("hash_diff"))).over(line),
+            "_at": F.row_number().over(line),
+        }
+    )
+    kept = rows.filter(F.when(F.col("_late"), F.col("_at") == 1).otherwise(~is_new | _changed()))
+    ended = F.when(is_new | is_open, F.lead("start_date").over(line)).otherwise(F.col("end_date"))
+    merged = kept.withColumn("_end", ended).withColumn("end_date", F.col("_end"))
+    merged = settle(merged.withColumn("is_current", F.col("_end").isNull()).select(*spec.columns, "_late"))
+    done, late = merged.filter(~F.col("_late")).drop("_late"), merged.filter("_late").select(spec.key)
+    rebuilt = versions(join_lookup(events, late, spec.key, "left_semi"), spec, collapse)
+    return done.unionByName(rebuilt)
+
+
 @dataclass(frozen=True)
 class Merged:
     """A merged dimension, and per key the time from which it may differ from a rebuild."""

@@ -281,17 +281,16 @@ def scd2_initial(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def scd2_incremental(spark: SparkSession, sf: str) -> DataFrame:
-    return history.merge(
-        given.ord_dim1(spark, sf), given.ord_batch2(spark, sf), given.ord_cdc(spark, sf), SPEC
-    )
+    dim = given.ord_dim1_bucketed(spark, sf, LAYOUT.buckets)
+    return history.merge_bucketed(dim, given.ord_batch2(spark, sf), given.ord_cdc(spark, sf), SPEC, LAYOUT.buckets)
 
 
 @query
 def scd2_incremental_per_event(spark: SparkSession, sf: str) -> DataFrame:
     """Rebuilt customers keep one version per event."""
-    return history.merge(
-        given.ord_dim1(spark, sf), given.ord_batch2(spark, sf), given.ord_cdc(spark, sf), SPEC, collapse=False
-    )
+    dim = given.ord_dim1_bucketed(spark, sf, LAYOUT.buckets)
+    events = given.ord_cdc(spark, sf)
+    return history.merge_bucketed(dim, given.ord_batch2(spark, sf), events, SPEC, LAYOUT.buckets, collapse=False)
 
 
 @query

@@ -17,6 +17,7 @@ from tidemark.functions.times import day_start, ntz, stale_minutes
 from tidemark.operators import history, quality, star, state
 from tidemark.operators.dedup import latest_per_key
 from tidemark.operators.skew import settle
+from tidemark.sources.bucketed import bucketed_table
 
 AS_OF = datetime(2024, 1, 29)
 CDC_CUT = datetime(2024, 1, 25)
@@ -123,6 +124,12 @@ def ord_dim1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return settle(history.versions(ord_batch1(spark, sf_dir), SPEC))
 
 
+def ord_dim1_bucketed(spark: SparkSession, sf_dir: str, buckets: int) -> DataFrame:
+    """The same dimension as a table bucketed by customer."""
+    built = history.versions(ord_batch1(spark, sf_dir), SPEC)
+    return bucketed_table(built, "customer_id", ["start_date"], buckets, "ord_dim")
+
+
 def customer_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One version per order of a customer, with its key."""
     spec = history.History(

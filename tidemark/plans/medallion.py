@@ -139,9 +139,10 @@ def _indexed(
     """
     spec, kind = layout.spec, layout.id_kind(PART)
     index = layout.ids(wh, SILVER_IDS)
-    if state.parts(SILVER) and not index.exists(wh.spark, kind):
+    found = index.read(wh.spark, kind, touched) if touched and state.parts(SILVER) else None
+    if found is None and state.parts(SILVER) and not index.exists(wh.spark, kind):
         index.append(wh.read(state, SILVER, layout.events).select(*kind.names), f"{run_id}-index")
-    found = index.read(wh.spark, kind, touched) if touched else None
+        found = index.read(wh.spark, kind, touched)
     if found is None:
         return wh.spark.createDataFrame([], kind)
     mine = same_keys(found.select(*kind.names), fresh, [spec.event_id], "left_semi")
@@ -161,10 +162,11 @@ def unseen_letters(wh: Warehouse, letters: DataFrame, layout: Layout, run_id: st
     touched = letters.filter(event_id.isNotNull()).agg(F.collect_set(index.bucket())).first()[0]
     if not touched:
         return letters
-    if not index.exists(wh.spark, kind):
+    found = index.read(wh.spark, kind, touched)
+    if found is None and not index.exists(wh.spark, kind):
         stored = wh.log(DEAD, letters.schema).filter(event_id.isNotNull() & (F.col("run_id") != run_id))
         index.append(stored.select(*kind.names), f"{run_id}-index")
-    found = index.read(wh.spark, kind, touched)
+        found = index.read(wh.spark, kind, touched)
     if found is None:
         return letters
     return quality.unseen_dead_letters(letters, found.filter(F.col("run_id") != run_id), layout.spec.event_id)
