@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.hashing import with_hash
 from tidemark.functions.times import ntz
-from tidemark.operators.skew import Ordered, hot_keys, join_lookup, settle
+from tidemark.operators.skew import Ordered, hot_keys, join_lookup, prefix_sum, settle
 
 
 @dataclass(frozen=True)
@@ -77,6 +77,26 @@ def as_of(dim: DataFrame, moment: Column) -> DataFrame:
     )
 
 
+def valid_per_day(dim: DataFrame) -> DataFrame:
+    """How many versions are valid at the start of each day, from the first change to the last.
+
+    A sweep line: a version adds one on the first day that starts with it, and takes one away on the first that
+    starts without. Changes are summed for each day before any shuffle; no version meets a calendar.
+    """
+
+    def first_day(moment: str) -> Column:
+        day = F.to_date(moment)
+        return F.when(day.cast("timestamp_ntz") < F.col(moment), F.date_add(day, 1)).otherwise(day).alias("day")
+
+    begins = dim.filter("start_date IS NOT NULL").select(first_day("start_date"), F.lit(1).alias("change"))
+    ends = dim.filter("start_date IS NOT NULL AND end_date IS NOT NULL").select(first_day("end_date"), F.lit(-1).alias("change"))
+    changes = settle(begins.unionByName(ends).groupBy("day").agg(F.sum("change").alias("change")))
+    bounds = changes.agg(F.min("day").alias("a"), F.max("day").alias("b")).filter("a IS NOT NULL")
+    calendar = bounds.select(F.explode(F.sequence("a", "b")).alias("day"), F.lit(0).cast("long").alias("change"))
+    daily = changes.unionByName(calendar).groupBy("day").agg(F.sum("change").alias("change"))
+    return prefix_sum(daily, ["day"], "change", "versions").select("day", "versions")
+
+
 def with_current_start(batch: DataFrame, dim: DataFrame, spec: History) -> DataFrame:
     """Each event with the start of its key's current version (NULL for a new key)."""
     starts = current(dim).select(spec.key, F.col("start_date").alias("current_start"))

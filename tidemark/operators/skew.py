@@ -158,3 +158,21 @@ class Ordered:
 
     def frame(self) -> DataFrame:
         return self.rows.drop(SEGMENT) if self.split else self.rows
+
+
+def prefix_sum(df: DataFrame, order: Sequence[str], value: str, name: str) -> DataFrame:
+    """Add the sum of `value` over all rows up to and including each one, in a strict `order`.
+
+    Rows are range-partitioned once; a range starts from the sum of the ranges before it, which comes
+    from one row for each range. No window runs over the whole frame.
+    """
+    ranged = settle(
+        df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_range", F.spark_partition_id())
+    )
+    before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    sums = ranged.groupBy("_range").agg(F.sum(value).alias("_sum"))
+    sums = sums.select("_range", F.coalesce(F.sum("_sum").over(before), F.lit(0)).alias("_before"))
+    inside = Window.partitionBy("_range").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    # As many rows as ranges.
+    placed = ranged.join(F.broadcast(settle(sums)), "_range")
+    return placed.withColumn(name, F.col("_before") + F.sum(value).over(inside)).drop("_range", "_before")

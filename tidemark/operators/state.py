@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.times import FIRST_MARK, LOOKBACK_DAYS, days_before, ntz, stale_minutes
@@ -61,6 +61,40 @@ def run_metrics(flagged: DataFrame, too_late_rows: DataFrame, as_of: datetime, p
     )
 
 
+def counting_run(flagged: DataFrame) -> tuple[DataFrame, Observation]:
+    """A flagged frame that is counted by the write that goes straight over it, and where the counts will be.
+
+    Each task of that write counts once, so the frame must not be shuffled between here and there.
+    """
+    counts = Observation()
+    return flagged.observe(
+        counts,
+        F.count(F.lit(1)).alias("records_processed"),
+        F.coalesce(F.sum(F.size("reasons")), F.lit(0)).alias("records_failed"),
+        F.count_if(~F.col("rejected")).alias("records_loaded"),
+    ), counts
+
+
+def counting_late(
+    arrived: DataFrame, mark: Column, time: str = "event_time", days: int = LOOKBACK_DAYS
+) -> tuple[DataFrame, Observation]:
+    """Arrived events that count what the lookback leaves out while they are written."""
+    missed = Observation()
+    late = F.coalesce(F.col(time) <= days_before(mark, days), F.lit(False))
+    return arrived.observe(missed, F.count_if(late).alias("records_too_late")), missed
+
+
+def observed_metrics(
+    spark: SparkSession, counts: Observation, missed: Observation, as_of: datetime, pipeline: str = PIPELINE
+) -> DataFrame:
+    """The row of `run_metrics` from writes that are done; reads nothing again."""
+    found = counts.get | missed.get
+    names = ("records_processed", "records_failed", "records_loaded", "records_too_late")
+    kinds = ", ".join(f"{name} long" for name in names)
+    values = spark.createDataFrame([tuple(found[name] for name in names)], kinds)
+    return values.select(F.lit(pipeline).alias("pipeline_name"), ntz(as_of).alias("run_timestamp"), *names)
+
+
 def freshness(dim: DataFrame, as_of: datetime, pipeline: str = PIPELINE, threshold: int = SLA_MINUTES) -> DataFrame:
     """One row: age of the newest version start against the SLA; NO_DATA for an empty table."""
     latest = F.col("latest_event_time")

