@@ -10,7 +10,7 @@ from collections import Counter, defaultdict
 import numpy as np
 import pytest
 
-from tidemark.llm import manifest, ngram_join, search
+from tidemark.llm import manifest, ngram_join, search, sharding
 
 from .conftest import PROSE, sentence
 
@@ -242,3 +242,49 @@ def test_long_text_is_read_whole(make_docs):
     docs = make_docs([(1, text, "en", "a"), (2, text + " tail", "en", "a")])
     rows = {r["doc_id"]: r for r in ngram_join.ngram_components(docs).collect()}
     assert rows[2]["n_shingles"] == rows[1]["n_shingles"] + 1 and rows[2]["component_id"] == 1
+
+
+# sharding
+
+
+def check_shards(found, docs, shards, ranges):
+    """The law and the columns, from plain Python; gives bytes of each shard."""
+    plain = Counter()
+    for r in docs.select("doc_id", "text").collect():
+        text = (r["text"] or "").encode()
+        plain[r["doc_id"], len(text) + 16, zlib.crc32(text)] += 1
+    assert Counter((r["doc_id"], r["size"], r["text_crc32"]) for r in found) == plain
+    sizes, slots = Counter({k: 0 for k in range(shards)}), defaultdict(list)
+    for r in found:
+        sizes[r["shard"]] += r["size"]
+        slots[r["shard"]].append(r["slot"])
+    assert all(sorted(s) == list(range(len(s))) for s in slots.values())
+    total, longest = sum(sizes.values()), max(r["size"] for r in found)
+    assert max(sizes.values()) - min(sizes.values()) <= longest + 2 * (2 * total / (shards * ranges) + longest)
+    return sizes
+
+
+@pytest.mark.parametrize("kind", ["equal rows", "one text", "no ids", "mixed"])
+def test_shards_keep_their_law_whatever_repeats(make_docs, kind):
+    rng = random.Random(1)
+    rows = {
+        "equal rows": [(1, "the same row", "en", "a")] * 2_000,
+        "one text": [(i, "the same text of all", "en", "a") for i in range(2_000)],
+        "no ids": [(None, "the same text" if i % 2 else f"text {i}", "en", "a") for i in range(2_000)],
+        "mixed": [(i % 40, None if i % 7 == 0 else "hot" if i % 3 == 0 else f"w{i} " * rng.randint(1, 40), "en", "a") for i in range(2_000)],
+    }[kind]
+    docs = make_docs(rows)
+    found = sharding.shard(docs, shards=10, ranges=16).collect()
+    check_shards(found, docs, 10, 16)
+    assert sorted(map(str, found)) == sorted(map(str, sharding.shard(docs, shards=10, ranges=16).collect()))
+
+
+def test_equal_texts_share_a_shard_in_a_cut_range(make_docs):
+    """Ranges cut for their rows: only a text that is too much for a piece lies in several shards."""
+    rows = [(i, "hot" if i < 800 else f"text {i % 300}", "en", "a") for i in range(2_000)]
+    docs = make_docs(rows)
+    found = sharding.shard(docs, shards=5, ranges=4, range_rows=60).collect()
+    shards_of = defaultdict(set)
+    for r in found:
+        shards_of[r["text_crc32"]].add(r["shard"])
+    assert [crc for crc, s in shards_of.items() if len(s) > 1] == [zlib.crc32(b"hot")]

@@ -2,15 +2,16 @@
 
 Records are range-partitioned by a hash of their text, so equal texts lie next to each other. The
 splitters are quantiles of a sample in which a record's chance is its size. The ranges are then
-counted exactly, and ranges that got too many bytes or rows (a large group of equal texts, a very
-long document) are subdivided by a hash of the document id. Ranges are far smaller than shards and
-are dealt to the shards in order by the exact bytes before their middle.
+counted exactly, and ranges that got too many bytes or rows are subdivided: by a hash of the text, and
+a text that is too much for one piece by itself by a hash of its records. Records equal in all are one row with a count
+there, and the count is dealt over the pieces, so that a piece is small whatever repeats. Ranges and pieces are
+far smaller than shards and are dealt to the shards in order by the exact bytes before their middle.
 
 Law `bytes`: sizes of shards differ by about one range (a 64th of a shard) or one document. Equal
-texts share a shard unless their range had to be subdivided. Hashes decide, so reruns agree.
+texts share a shard unless they alone are more than a range. Hashes decide, so reruns agree.
 
 Defined results: a NULL text has no bytes and counts as equal to the empty text; NULL ids are one id;
-equal rows are separate records that may differ in slot; a table without rows gives none.
+equal rows are separate records that differ in slot and may differ in shard; a table without rows gives none.
 """
 
 from __future__ import annotations
@@ -30,7 +31,7 @@ RANGE_BYTES = 256 << 20
 RANGE_ROWS = 1_000_000
 # Sampled records a range.
 SAMPLED = 16
-# Splitters are held by every task: 8 bytes each.
+# Splitters are held by every task: 8 bytes each. Ranges that are too large for it are subdivided.
 MOST_RANGES = 1 << 16
 
 
@@ -88,32 +89,54 @@ def shard(
     splitters = _splitters(rows, wanted, total)
     placed = settle(_in_range(rows, splitters, wanted))
     counted = placed.groupBy("range").agg(F.sum("size").alias("bytes"), F.count(F.lit(1)).alias("rows"))
-    limit = max(1, 2 * total // wanted)
+    limit = max(1, min(2 * total // wanted, 2 * RANGE_BYTES))
     pieces = F.ceil(F.greatest(F.col("bytes") / limit, F.col("rows") / range_rows)).cast("int")
     cuts = settle(counted.select(F.col("range").alias("cut_range"), pieces.alias("pieces")).filter("pieces > 1"))
-    cut = placed.join(cuts, F.col("range") == F.col("cut_range"), "left")
-    sub = F.floor(_unit(F.col("id"), F.lit("cut")) * F.coalesce("pieces", F.lit(1))).cast("int")
-    pieced = cut.withColumn("sub", sub).drop("cut_range", "pieces")
-    return _dealt(pieced, shards, total)
+    cut = placed.join(cuts, F.col("range") == F.col("cut_range"), "left").drop("cut_range")
+    single = cut.filter("pieces IS NULL").drop("pieces").withColumns({"sub": F.lit(0), "n": F.lit(1).cast("long")})
+    return _dealt(single.unionByName(_subdivided(cut.filter("pieces IS NOT NULL"), limit, range_rows)), shards, total)
+
+
+def _subdivided(rows: DataFrame, limit: int, range_rows: int) -> DataFrame:
+    """Rows of the ranges to be cut with their piece `sub`, equal ones of a piece as one row that stands for `n`.
+
+    At most total / limit texts are too much for a piece; each piece takes its share of their records.
+    """
+    same = rows.columns
+    rows = settle(rows.groupBy(*same).agg(F.count(F.lit(1)).alias("n")))
+    texts = rows.groupBy("range", "key").agg(F.sum(F.col("size") * F.col("n")).alias("bytes"), F.sum("n").alias("rows"))
+    large = settle(texts.filter((F.col("bytes") > limit) | (F.col("rows") > range_rows)).select("range", "key"))
+    pieces, columns = F.col("pieces"), [name for name in same if name != "pieces"]
+    whole = F.floor(_unit(F.col("key"), F.lit("cut")) * pieces).cast("int").alias("sub")
+    whole = rows.join(large, ["range", "key"], "left_anti").select(*columns, whole, "n")
+    first = F.floor(_unit(F.col("id"), F.col("key"), F.lit("cut")) * pieces).cast("int")
+    dealt = rows.join(large, ["range", "key"], "left_semi").withColumn("first", first)
+    dealt = dealt.withColumn("turn", F.explode(F.sequence(F.lit(0), F.least(F.col("n").cast("int"), pieces) - 1)))
+    share = F.floor(F.col("n") / pieces) + (F.col("turn") < F.col("n") % pieces).cast("long")
+    sub = ((F.col("first") + F.col("turn")) % pieces).alias("sub")
+    return whole.unionByName(dealt.select(*columns, sub, share.alias("n")))
 
 
 def _dealt(pieced: DataFrame, shards: int, total: int) -> DataFrame:
-    """Pieces to shards in order; slots run through a shard piece by piece."""
-    whole = pieced.groupBy("range", "sub").agg(F.sum("size").alias("bytes"), F.count(F.lit(1)).alias("n"))
+    """Pieces to shards in order; slots run through a shard piece by piece, and through the records of a row."""
+    bytes_of, rows_of = F.sum(F.col("size") * F.col("n")).alias("bytes"), F.sum("n").alias("rows")
+    whole = pieced.groupBy("range", "sub").agg(bytes_of, rows_of)
     in_order = Window.orderBy("range", "sub").rowsBetween(Window.unboundedPreceding, -1)
     before = F.coalesce(F.sum("bytes").over(in_order), F.lit(0))
     middle = (before + F.col("bytes") / 2) * shards / F.lit(float(max(1, total)))
     dealt = whole.withColumn("shard", F.least(F.floor(middle), F.lit(shards - 1)).cast("int"))
     in_shard = Window.partitionBy("shard").orderBy("range", "sub").rowsBetween(Window.unboundedPreceding, -1)
-    first = F.coalesce(F.sum("n").over(in_shard), F.lit(0))
+    first = F.coalesce(F.sum("rows").over(in_shard), F.lit(0))
     plan = settle(
         dealt.select(F.col("range").alias("r"), F.col("sub").alias("s"), "shard", first.alias("first_slot"))
     )
-    in_piece = Window.partitionBy("range", "sub").orderBy("key", "id", "text_crc32")
-    numbered = pieced.withColumn("number", F.row_number().over(in_piece) - 1)
+    in_piece = Window.partitionBy("range", "sub").orderBy("key", "id", "text_crc32", "size")
+    earlier = F.coalesce(F.sum("n").over(in_piece.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    numbered = pieced.withColumn("number", earlier)
     joined = numbered.join(plan, (F.col("range") == F.col("r")) & (F.col("sub") == F.col("s")))
-    slot = (F.col("first_slot") + F.col("number")).cast("long")
-    return joined.select(F.col("id").alias("doc_id"), "size", "text_crc32", "shard", slot.alias("slot"))
+    each = joined.withColumn("copy", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n") - 1)))
+    slot = (F.col("first_slot") + F.col("number") + F.col("copy")).cast("long")
+    return each.select(F.col("id").alias("doc_id"), "size", "text_crc32", "shard", slot.alias("slot"))
 
 
 def op6_sharding(spark, folder):
