@@ -145,3 +145,27 @@ def test_bucketed_merge_like_merge(spark, seed):
     for collapse in (True, False):
         found = history.merge_bucketed(dim, batch, events, spec, 4, collapse)
         assert Counter(found.collect()) == Counter(history.merge(dim, batch, events, spec, collapse).collect())
+
+
+def test_refreshed_facts_keep_the_files_of_other_months(spark, wh):
+    from conftest import TESTDATA
+    from tidemark.plans import catalog, inputs as given
+
+    late = (F.col("o_custkey") % 20 == 0) & F.col("o_orderdate").between(*map(F.lit, catalog.LATE_MONTHS))
+    catalog._publish_customers(wh, given.customer_versions(spark, TESTDATA, ~late), "r0")
+    orders, products = catalog._star_feeds(spark, TESTDATA)
+    layout = catalog.SALES_LAYOUT
+    before = medallion.load_star(wh, orders, products, DAY, "r1", layout)
+    catalog._publish_customers(wh, given.customer_versions(spark, TESTDATA), "r2")
+    after = medallion.refresh_facts(wh, orders, DAY, "r3", layout)
+    rewritten = {part for (name, part), run in after.live.items() if name == medallion.FACTS and run == "r3"}
+    assert rewritten and len(rewritten) < len(after.parts(medallion.FACTS)) / 2 and after.parts(medallion.FACTS) == before.parts(medallion.FACTS)
+    kept = [f for f in wh.read(after, medallion.FACTS, schemas.FACT_SALES).inputFiles() if "run_id=r1" in f]
+    assert len({f.split("part=")[1][:6] for f in kept}) == len(after.parts(medallion.FACTS)) - len(rewritten)
+    keys = wh.read(after, medallion.FACTS, schemas.FACT_SALES).select("sales_sk")
+    assert keys.distinct().count() == keys.count()
+    whole = medallion.load_star(wh, orders, products, DAY, "r4", layout)
+    found, rebuilt = (Counter(wh.read(s, medallion.FACTS, schemas.FACT_SALES).drop("sales_sk", PART).collect()) for s in (after, whole))
+    assert found == rebuilt
+    same = medallion.refresh_facts(wh, orders, DAY, "r5", layout)
+    assert not any(run == "r5" for (name, _), run in same.live.items() if name == medallion.FACTS)

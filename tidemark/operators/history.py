@@ -77,6 +77,17 @@ def as_of(dim: DataFrame, moment: Column) -> DataFrame:
     )
 
 
+def changed_windows(old: DataFrame, new: DataFrame, spec: History, version: str) -> DataFrame:
+    """Windows (key, start_date, end_date) in which the `version` valid at a time may differ between two states.
+
+    Those are the windows of versions that only one of them has; equal versions cancel out in one grouped sum.
+    """
+    columns = [spec.key, version, "start_date", "end_date"]
+    sides = [df.select(*columns, F.lit(side).alias("side")) for df, side in ((old, -1), (new, 1))]
+    differing = sides[0].unionByName(sides[1]).groupBy(*columns).agg(F.sum("side").alias("side")).filter("side <> 0")
+    return differing.select(spec.key, "start_date", "end_date").distinct()
+
+
 def valid_per_day(dim: DataFrame) -> DataFrame:
     """How many versions are valid at the start of each day, from the first change to the last.
 

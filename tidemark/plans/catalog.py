@@ -472,29 +472,29 @@ def fact_orphans(spark: SparkSession, sf: str) -> DataFrame:
     return star.unmatched_facts(fact_sales(spark, sf))
 
 
-@query
-def fact_rebuild_idempotent(spark: SparkSession, sf: str) -> DataFrame:
-    """Products, dates and facts loaded twice into a warehouse that holds the customer history."""
-    layout = medallion.Layout(
-        feed=schemas.table(
-            o_orderkey="long", customer_id="long", o_orderpriority="string", o_orderdate="timestamp_ntz"
-        ),
-        spec=history.History(
-            tracked=("o_orderpriority",), time="o_orderdate", event_id="o_orderkey"
-        ),
-        buckets=8,
-    )
-    wh = Warehouse(spark, work_folder(spark, "star"))
-    dim = schemas.select_to_schema(given.customer_versions(spark, sf), layout.dimension)
-    written = wh.write_parts(dim.withColumn(PART, layout.bucket()), medallion.CUSTOMERS, "r0")
-    wh.publish(State().replaced(medallion.CUSTOMERS, [], written, "r0"), "r0")
+SALES_LAYOUT = medallion.Layout(
+    feed=schemas.table(o_orderkey="long", customer_id="long", o_orderpriority="string", o_orderdate="timestamp_ntz"),
+    spec=history.History(tracked=("o_orderpriority",), time="o_orderdate", event_id="o_orderkey"),
+    buckets=8,
+)
+LATE_MONTHS = datetime(1995, 3, 1), datetime(1995, 5, 1)
+
+
+def _publish_customers(wh: Warehouse, versions: DataFrame, run: str) -> None:
+    dim = schemas.select_to_schema(versions, SALES_LAYOUT.dimension)
+    now = wh.state()
+    written = wh.write_parts(dim.withColumn(PART, SALES_LAYOUT.bucket()), medallion.CUSTOMERS, run)
+    wh.publish(now.replaced(medallion.CUSTOMERS, now.parts(medallion.CUSTOMERS), written, run), run)
 
+
+def _star_feeds(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
     sales = given.sales_orders(spark, sf)
     line = F.concat_ws("-", "order_id", "l_linenumber").alias("order_id")
     orders = sales.select(line, "customer_id", "product_id", "order_date", "quantity", "total_amount")
-    products = given.product_feed(spark, sf).filter(F.col("product_id") % 10 != 3)
-    for run in ("r1", "r2"):
-        medallion.load_star(wh, orders, products, AS_OF, run, layout)
+    return orders, given.product_feed(spark, sf).filter(F.col("product_id") % 10 != 3)
+
+
+def _stored_facts(wh: Warehouse) -> DataFrame:
     facts = wh.read(wh.state(), medallion.FACTS, schemas.FACT_SALES)
     return facts.select(
         "order_id", "customer_sk", "product_sk", "date_sk", "quantity",
@@ -502,6 +502,31 @@ def fact_rebuild_idempotent(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+@query
+def fact_rebuild_idempotent(spark: SparkSession, sf: str) -> DataFrame:
+    """Products, dates and facts loaded twice into a warehouse that holds the customer history."""
+    wh = Warehouse(spark, work_folder(spark, "star"))
+    _publish_customers(wh, given.customer_versions(spark, sf), "r0")
+    orders, products = _star_feeds(spark, sf)
+    for run in ("r1", "r2"):
+        medallion.load_star(wh, orders, products, AS_OF, run, SALES_LAYOUT)
+    return _stored_facts(wh)
+
+
+@query
+def fact_incremental(spark: SparkSession, sf: str) -> DataFrame:
+    """Facts made without some customers' events of two months, then refreshed when these come in late."""
+    wh = Warehouse(spark, work_folder(spark, "star-late"))
+    first, last = LATE_MONTHS
+    late = (F.col("o_custkey") % 20 == 0) & F.col("o_orderdate").between(ntz(first), ntz(last))
+    _publish_customers(wh, given.customer_versions(spark, sf, ~late), "r0")
+    orders, products = _star_feeds(spark, sf)
+    medallion.load_star(wh, orders, products, AS_OF, "r1", SALES_LAYOUT)
+    _publish_customers(wh, given.customer_versions(spark, sf), "r2")
+    medallion.refresh_facts(wh, orders, AS_OF, "r3", SALES_LAYOUT)
+    return _stored_facts(wh)
+
+
 # --- state, metrics, whole runs ---
 
 

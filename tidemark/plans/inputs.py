@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.hashing import with_hash
@@ -130,12 +130,13 @@ def ord_dim1_bucketed(spark: SparkSession, sf_dir: str, buckets: int) -> DataFra
     return bucketed_table(built, "customer_id", ["start_date"], buckets, "ord_dim")
 
 
-def customer_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One version per order of a customer, with its key."""
+def customer_versions(spark: SparkSession, sf_dir: str, known: Column | None = None) -> DataFrame:
+    """One version per order of a customer, with its key; of the orders that are `known`, if that is given."""
     spec = history.History(
         tracked=("o_orderpriority",), key="customer_id", time="o_orderdate", event_id="o_orderkey"
     )
-    orders = table(spark, sf_dir, "orders").withColumnRenamed("o_custkey", "customer_id")
+    orders = table(spark, sf_dir, "orders")
+    orders = (orders if known is None else orders.filter(known)).withColumnRenamed("o_custkey", "customer_id")
     built = history.versions(orders, spec, collapse=False)
     return built.withColumn("customer_sk", version_key("customer_id"))
 

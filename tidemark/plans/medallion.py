@@ -16,7 +16,8 @@ from tidemark.functions.keys import version_key
 from tidemark.functions.times import FIRST_MARK, LOOKBACK_DAYS, ntz
 from tidemark.operators import history, quality, star, state as runs
 from tidemark.operators.dedup import latest_per_key, merge_latest
-from tidemark.operators.skew import join_lookup
+from tidemark.operators.intervals import join_valid
+from tidemark.operators.skew import join_lookup, settle
 from tidemark.sources.key_log import KeyLog, same_keys
 from tidemark.sources.warehouse import PART, Conflict, State, Warehouse
 
@@ -26,6 +27,7 @@ CUSTOMERS = "dim_customer"
 PRODUCTS = "dim_product"
 DATES = "dim_date"
 FACTS = "fact_sales"
+FACT_BASIS = "fact_sales_basis"
 SILVER_IDS = "silver_event_ids"
 DEAD = "dq_failed_events"
 DEAD_IDS = "dq_failed_event_ids"
@@ -377,6 +379,25 @@ def _load_star(
     fresh = star.unseen(star.date_rows(star.order_dates(orders)), stored, "full_date")
     state = _append_part(wh, state, schemas.select_to_schema(fresh, schemas.DIM_DATE), DATES, run_id)
 
+    rows = _fact_rows(wh, state, orders, layout, grain, how, now)
+    written = wh.write_parts(rows.withColumn(PART, _month()), FACTS, run_id)
+    state = state.replaced(FACTS, state.parts(FACTS), written, run_id)
+    return wh.publish(_based(wh, state, run_id), run_id)
+
+
+# Which run's part of the customer dimension facts were made from.
+BASIS = schemas.table(bucket="string", run="string")
+
+
+def _month() -> Column:
+    """Facts lie in parts by month."""
+    return F.coalesce(F.expr("date_sk div 100").cast("string"), F.lit(NO_DATE))
+
+
+def _fact_rows(
+    wh: Warehouse, state: State, orders: DataFrame, layout: Layout, grain: Sequence[str], how: str, now: Column, after: int = 0
+) -> DataFrame:
+    """Facts of the orders with keys that follow on `after`."""
     facts = star.sales_facts(
         orders,
         wh.read(state, CUSTOMERS, layout.dimension),
@@ -385,9 +406,69 @@ def _load_star(
         tuple(grain),
         how,
     )
-    facts = star.with_fact_key(facts)
-    rows = schemas.select_to_schema(facts, schemas.FACT_SALES, {"created_at": now})
-    month = F.coalesce(F.expr("date_sk div 100").cast("string"), F.lit(NO_DATE))
-    written = wh.write_parts(rows.withColumn(PART, month), FACTS, run_id)
-    state = state.replaced(FACTS, state.parts(FACTS), written, run_id)
-    return wh.publish(state, run_id)
+    facts = star.with_fact_key(facts).withColumn("sales_sk", F.col("sales_sk") + after)
+    return schemas.select_to_schema(facts, schemas.FACT_SALES, {"created_at": now})
+
+
+def _based(wh: Warehouse, state: State, run_id: str) -> State:
+    """The state with a note of which runs' customer buckets its facts were made from: one row for each bucket."""
+    runs_of = [(part, run) for (table, part), run in state.live.items() if table == CUSTOMERS]
+    note = wh.spark.createDataFrame(runs_of, BASIS).withColumn(PART, F.lit("all"))
+    return state.replaced(FACT_BASIS, ["all"], wh.write_parts(note, FACT_BASIS, run_id), run_id)
+
+
+def stale_months(wh: Warehouse, state: State, orders: DataFrame, layout: Layout) -> set[str]:
+    """Months with orders whose customer version may have changed since the facts were made.
+
+    Only customer buckets that were written since are compared, old with new; an order counts if its time
+    lies in a window that differs. The months are few, so the driver may have them.
+    """
+    basis = {row["bucket"]: row["run"] for row in wh.read(state, FACT_BASIS, BASIS).collect()}
+    live = {part: run for (table, part), run in state.live.items() if table == CUSTOMERS}
+    differ = {part for part in basis.keys() | live.keys() if basis.get(part) != live.get(part)}
+    before = State(live={(CUSTOMERS, part): run for part, run in basis.items()})
+    old, new = (wh.read(one, CUSTOMERS, layout.dimension, differ) for one in (before, state))
+    key = layout.spec.key
+    windows = settle(history.changed_windows(old, new, layout.spec, "customer_sk"))
+    placed = orders.select(key, "order_date")
+    near = settle(join_lookup(placed, windows.select(key).distinct(), key, "left_semi"))
+    hit = join_valid(near, windows, key, "order_date", ["start_date"]).filter("start_date IS NOT NULL")
+    return _values(hit.select(F.date_format("order_date", "yyyyMM").alias(PART)), PART)
+
+
+def refresh_facts(
+    wh: Warehouse,
+    orders: DataFrame,
+    as_of: datetime,
+    run_id: str,
+    layout: Layout | None = None,
+    grain: Sequence[str] = ("order_id",),
+    how: str = "auto",
+) -> State:
+    """Bring facts up to date with the customer history: as `load_star` would, rewriting only months that can differ.
+
+    `orders` are those the facts were made from. New orders, products and dates come with `load_star`.
+    Other months keep their files. New keys follow on the greatest stored one.
+    """
+    layout = layout or Layout()
+    return _until_published(lambda: _refresh_facts(wh, orders, as_of, run_id, layout, grain, how))
+
+
+def _refresh_facts(
+    wh: Warehouse, orders: DataFrame, as_of: datetime, run_id: str, layout: Layout, grain: Sequence[str], how: str
+) -> State:
+    state = wh.state(run_id)
+    if state.repeated:
+        return state
+    months = stale_months(wh, state, orders, layout)
+    if months:
+        number = F.col("sales_sk").cast("long")
+        after = wh.read(state, FACTS, schemas.FACT_SALES).agg(F.max(number)).first()[0] or 0
+        first, last = (datetime.strptime(month, "%Y%m") for month in (min(months), max(months)))
+        # The range reaches the scan of the orders; the months then pick from it.
+        near = orders.filter((F.col("order_date") >= ntz(first)) & (F.col("order_date") < ntz(last + timedelta(days=31))))
+        mine = near.filter(F.date_format("order_date", "yyyyMM").isin(sorted(months)))
+        rows = _fact_rows(wh, state, mine, layout, grain, how, ntz(as_of), after)
+        written = wh.write_parts(rows.withColumn(PART, _month()), FACTS, run_id)
+        state = state.replaced(FACTS, months, written, run_id)
+    return wh.publish(_based(wh, state, run_id), run_id)

@@ -255,6 +255,9 @@ BODIES = {
     "fact_rebuild_idempotent": """SELECT concat(order_id, '-', l_linenumber) AS order_id, customer_sk, product_sk,
       CAST(strftime(order_date, '%Y%m%d') AS INT) AS date_sk,
       CAST(quantity AS INT) AS quantity, CAST(CAST(total_amount AS DECIMAL(12,2)) AS DOUBLE) AS total_amount FROM sales_facts""",
+    "fact_incremental": """SELECT concat(order_id, '-', l_linenumber) AS order_id, customer_sk, product_sk,
+      CAST(strftime(order_date, '%Y%m%d') AS INT) AS date_sk,
+      CAST(quantity AS INT) AS quantity, CAST(CAST(total_amount AS DECIMAL(12,2)) AS DOUBLE) AS total_amount FROM sales_facts""",
     "watermark_read": """SELECT * FROM marks WHERE pipeline_name = 'click'
       UNION ALL SELECT 'customer_pipeline', TIMESTAMP '1900-01-01 00:00:00'""",
     "watermark_advance": """SELECT * FROM marks UNION ALL
