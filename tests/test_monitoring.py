@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from tidemark.functions.times import ntz
 from tidemark.operators import history, monitoring, quality, state
 from tidemark.operators.skew import prefix_sum
+from tidemark.streaming.latest import late_rows, read_latest, state_rows, stream_latest
 
 DAY = datetime(2024, 1, 1)
 
@@ -82,3 +83,22 @@ def test_observed_counts_like_counted_ones(spark, tmp_path):
     counted.write.parquet(str(tmp_path / "a"))
     late.write.parquet(str(tmp_path / "b"))
     assert state.observed_metrics(spark, counts, missed, DAY).first() == expected
+
+
+def test_stateful_stream_drops_counts_and_forgets(spark, tmp_path):
+    """Ten days, a day at a time, with a delay of two days: late rows are counted, old days leave the state."""
+    kind = "event_id string, city string, event_time timestamp_ntz, arrival_ts timestamp_ntz"
+    days = [[(f"{d}-{n}", "x", DAY + timedelta(days=d, hours=n % 20), DAY + timedelta(days=d)) for n in range(30)] for d in range(10)]
+    days[9] += [(f"late-{n}", "x", DAY + timedelta(hours=n), DAY + timedelta(days=9)) for n in range(4)]
+    days[5] += [("5-1", "moved", DAY + timedelta(days=5, hours=1), DAY + timedelta(days=6)), (None, "a", DAY + timedelta(days=5), DAY)]
+    late, last = 0, 0
+    for rows in days:
+        spark.createDataFrame(rows, kind).write.mode("append").parquet(str(tmp_path / "feed"))
+        feed = spark.readStream.schema(kind).parquet(str(tmp_path / "feed"))
+        query = stream_latest(feed, str(tmp_path / "out"), str(tmp_path / "checkpoint"), delay_days=2)
+        query.awaitTermination()
+        late, last = late + late_rows(query), state_rows(query)
+    found = read_latest(spark, str(tmp_path / "out"), ["event_id", "city", "event_time", "arrival_ts"]).collect()
+    # Rows dropped are counted after they are combined in their task, so no more than there were.
+    assert 0 < late <= 4 and len(found) == 301 and 30 <= last <= 4 * 30
+    assert {r["event_id"]: r["city"] for r in found}["5-1"] == "moved" and not any((r["event_id"] or "").startswith("late") for r in found)

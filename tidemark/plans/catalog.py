@@ -24,6 +24,7 @@ from tidemark.session import work_folder
 from tidemark.sources import files
 from tidemark.sources.warehouse import PART, State, Warehouse
 from tidemark.streaming.feed import stream_feed
+from tidemark.streaming.latest import read_latest, stream_latest
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -626,6 +627,18 @@ def stream_available_now(spark: SparkSession, sf: str) -> DataFrame:
     return _dimension(wh)
 
 
+@query
+def stream_stateful_latest(spark: SparkSession, sf: str) -> DataFrame:
+    """Silver by a stateful stream over two deliveries; the delay covers the latest of the late events."""
+    folder = work_folder(spark, "stream-latest")
+    bronze = given.cdc_bronze(spark, sf)
+    for rows, _ in _two_deliveries(bronze):
+        rows.write.mode("append").parquet(f"{folder}/feed")
+        feed = spark.readStream.schema(bronze.schema).parquet(f"{folder}/feed")
+        stream_latest(feed, f"{folder}/latest", f"{folder}/checkpoint", delay_days=14).awaitTermination()
+    return read_latest(spark, f"{folder}/latest", EVENT)
+
+
 # --- integrity ---
 
 

@@ -199,6 +199,7 @@ BODIES = {
     "dim_date_incremental": _dates("orders", "o_orderdate"),
     "select_to_schema": f"SELECT {VERSION_KEY} AS customer_sk, {VERSION}, {AS_OF} AS created_at FROM cdc_dim",
     "dedup_latest": f"SELECT {EVENT} FROM cdc_silver",
+    "stream_stateful_latest": f"SELECT {EVENT} FROM cdc_silver",
     "dedup_latest_maxby": f"SELECT {EVENT} FROM cdc_silver",
     "dedup_lineitem": """SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_linenumber
         ORDER BY l_shipdate DESC, l_partkey DESC, l_suppkey DESC, l_quantity DESC, l_extendedprice DESC, l_discount DESC,
