@@ -38,7 +38,7 @@ BLOCK = 1 << 16
 LEVEL = 3
 END = 0
 # Characters encoded at a time. Slots for words whose ids a task remembers, until 5 of 8 are taken.
-AT_ONCE, SLOTS = 1 << 19, 1 << 21
+AT_ONCE, SLOTS = 1 << 19, 1 << 22
 # Longer words, in bytes, are not told apart by their hash.
 LONGEST = 64
 # Where a text may be cut: before one blank or line feed between other characters, after such a line
@@ -313,28 +313,23 @@ def read_index(spark: SparkSession, folder: str) -> DataFrame:
     """Frame (doc_id, start, n_tokens, ids_crc32) from the files: one row per document.
 
     A document that lies in several chunks gets its checksum from theirs, so a chunk is read by
-    itself and ids are not shuffled. Starts need the totals of earlier partitions, a row for each.
+    itself and ids are not shuffled; only such documents are grouped. Starts need the totals of earlier partitions, a row for each.
     """
     chunks = read_chunks(spark, folder)
     totals = chunks.groupBy("part").agg(F.max(F.col("first") + F.col("n_ids")).alias("total"))
     earlier = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     before = F.coalesce(F.sum("total").over(earlier), F.lit(0))
     offsets = settle(totals.select("part", before.alias("before")))
-    listed = F.array_sort(F.collect_list(F.struct("at", "n", "crc")))
+    pieces = settle(read_pieces(chunks))
+    single = pieces.filter("n = n_tokens").select("part", "doc_id", "doc_at", "n_tokens", "crc")
     # A document has one piece for each BLOCK of its own ids, and one more.
-    whole = read_pieces(chunks).groupBy("part", "number").agg(
-        F.first("doc_id").alias("doc_id"),
-        F.first("doc_at").alias("doc_at"),
-        F.first("n_tokens").alias("n_tokens"),
-        listed.alias("pieces"),
-    )
-    joined = F.udf(lambda pieces: crc_joined([(p["crc"], 4 * p["n"]) for p in pieces]), "long", useArrow=False)
-    # No document's pieces go to Python unless there are several.
-    crc = F.when(F.size("pieces") == 1, F.col("pieces")[0]["crc"]).otherwise(
-        joined(F.when(F.size("pieces") > 1, F.col("pieces")).otherwise(F.slice("pieces", 1, 0)))
-    )
-    return whole.join(offsets, "part").select(
-        "doc_id", (F.col("before") + F.col("doc_at")).alias("start"), "n_tokens", crc.alias("ids_crc32")
+    listed = F.array_sort(F.collect_list(F.struct("at", "n", "crc"))).alias("pieces")
+    first = [F.first(name).alias(name) for name in ("doc_id", "doc_at", "n_tokens")]
+    several = pieces.filter("n < n_tokens").groupBy("part", "number").agg(*first, listed)
+    joined = F.udf(lambda listed: crc_joined([(p["crc"], 4 * p["n"]) for p in listed]), "long", useArrow=True)
+    several = several.select("part", "doc_id", "doc_at", "n_tokens", joined("pieces").alias("crc"))
+    return single.unionByName(several).join(offsets, "part").select(
+        "doc_id", (F.col("before") + F.col("doc_at")).alias("start"), "n_tokens", F.col("crc").alias("ids_crc32")
     )
 
 
