@@ -22,6 +22,7 @@ import re
 import zlib
 from array import array
 from collections.abc import Iterator
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -285,22 +286,29 @@ def read_pieces(chunks: DataFrame) -> DataFrame:
 def crc_joined(pieces: list[tuple[int, int]]) -> int:
     """crc32 of bytes from the crc32 and length of their pieces.
 
-    Appending n zero bytes is a linear map of the 32 bits, found by repeated squaring.
+    Appending n zero bytes is a linear map of the 32 bits: the product of those of the powers of two in 8 * n.
     """
     whole = 0
     for crc, n in pieces:
-        step, carried = [0xEDB88320, *[1 << i for i in range(31)]], whole  # one zero bit
-        bits = 8 * n
+        carried, power, bits = whole, 0, 8 * n
         while bits:
             if bits & 1:
-                carried = _mapped(step, carried)
-            step = [_mapped(step, column) for column in step]
-            bits >>= 1
+                carried = _mapped(_zero_bits(power), carried)
+            power, bits = power + 1, bits >> 1
         whole = carried ^ crc
     return whole
 
 
-def _mapped(columns: list[int], vector: int) -> int:
+@cache
+def _zero_bits(power: int) -> tuple[int, ...]:
+    """Columns of the map that appends 2**power zero bits."""
+    if not power:
+        return (0xEDB88320, *(1 << i for i in range(31)))
+    half = _zero_bits(power - 1)
+    return tuple(_mapped(half, column) for column in half)
+
+
+def _mapped(columns: tuple[int, ...], vector: int) -> int:
     out = 0
     for column in columns:
         if vector & 1:
