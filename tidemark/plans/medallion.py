@@ -179,7 +179,9 @@ def unseen_letters(wh: Warehouse, letters: DataFrame, layout: Layout, run_id: st
 
 
 def store_letters(wh: Warehouse, letters: DataFrame, layout: Layout, run_id: str) -> None:
-    """Append a run's new dead letters, then their ids: a run that dies in between finds its own letters again."""
+    """Append a run's new dead letters, if any, then their ids: a run that dies in between finds its own letters again."""
+    if letters.isEmpty():
+        return
     wh.append(unseen_letters(wh, letters, layout, run_id), DEAD, run_id)
     mine = wh.log(DEAD, letters.schema).filter((F.col("run_id") == run_id) & F.col(layout.spec.event_id).isNotNull())
     layout.ids(wh, DEAD_IDS).append(mine.select(layout.spec.event_id, quality.REASON), run_id)
