@@ -41,7 +41,7 @@ HASHED_FEED = schemas.table(
     event_time="timestamp_ntz", arrival_ts="timestamp_ntz",
 )
 CDC_FIRST = datetime(2024, 1, 10)
-LAYOUT = medallion.Layout(feed=FEED, spec=SPEC, buckets=8)
+LAYOUT = medallion.Layout(feed=FEED, spec=SPEC, buckets=8, id_buckets=8)
 
 
 def query(build: Query) -> Query:
