@@ -37,6 +37,7 @@ class KeyLog:
             .write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
             .option(f"parquet.bloom.filter.enabled#{self.key}", "true")
+            .option("parquet.bloom.filter.adaptive.enabled", "true")
             .partitionBy(BUCKET, "run_id")
             .parquet(self.path)
         )
