@@ -9,8 +9,10 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
+from conftest import TESTDATA
+from pyspark.sql import functions as F
 
-from tidemark.llm import manifest, ngram_join, search, sharding
+from tidemark.llm import lm, manifest, ngram_join, search, sharding
 
 from .conftest import PROSE, sentence
 
@@ -288,3 +290,51 @@ def test_equal_texts_share_a_shard_in_a_cut_range(make_docs):
     for r in found:
         shards_of[r["text_crc32"]].add(r["shard"])
     assert [crc for crc, s in shards_of.items() if len(s) > 1] == [zlib.crc32(b"hot")]
+
+
+# language model
+
+
+def test_blocks_and_parts_do_not_change_scores(spark, odd_docs):
+    """Blocks of a few texts and many parts of histories give what one block and one part give."""
+    docs = spark.read.parquet(f"{TESTDATA}/documents.parquet")
+    docs = docs.select("doc_id", "text").unionByName(odd_docs.select("doc_id", "text"))
+    one, many = (
+        sorted(map(tuple, lm.whole_scores(docs.repartition(n, "doc_id"), lm.held_out(), **sizes).collect()), key=repr)
+        for n, sizes in ((1, {}), (7, {"block": 500, "part": 20_000}))
+    )
+    assert [r[:5] for r in one] == [r[:5] for r in many]
+    assert [x for r in one for x in r[5:]] == pytest.approx([x for r in many for x in r[5:]], rel=1e-9)
+
+
+def test_block_answers_are_packed_without_loss():
+    arrays = [np.array(a, np.uint64) for a in ([], [0], [0, 0, 0], [1, 255, 256, 2**40 - 1], [2**63, 3])]
+    back = lm._unpacked(lm._packed(arrays))
+    assert [a.tolist() for a in back] == [a.tolist() for a in arrays]
+
+
+def test_hot_history_in_every_block(spark):
+    """One word that stands before every other keeps its count and its followers over all blocks."""
+    rows = [(i, " ".join(f"the w{i * 7 + k}" for k in range(30))) for i in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5, "doc_id")
+    found = {r["doc_id"]: r for r in lm.whole_scores(docs, F.lit(False), block=100, part=500).collect()}
+    tokens = [[*t.split(), "\n"] for _, t in rows]
+    ones = Counter(x for t in tokens for x in t)
+    twos = Counter(g for t in tokens for g in zip(t, t[1:]))
+    threes = Counter(g for t in tokens for g in zip(t, t[1:], t[2:]))
+    after = Counter(g[:-1] for g in [*twos, *threes])
+    whole = Counter()
+    for g, n in [*twos.items(), *threes.items()]:
+        whole[g[:-1]] += n
+    size = sum(ones.values())
+
+    def chance(history, word):
+        if not history:
+            return (ones[word] + 1) / (size + len(ones) + 1)
+        own = (twos if len(history) == 1 else threes)[(*history, word)] - lm.DISCOUNT
+        return (own + lm.DISCOUNT * after[history] * chance(history[1:], word)) / whole[history]
+
+    for (i, _), t in zip(rows, tokens):
+        score = sum(math.log10(chance(tuple(t[max(0, k - 2) : k]), x)) for k, x in enumerate(t))
+        assert found[i]["score"] == pytest.approx(score, rel=1e-9)
+        assert found[i]["train_tokens"] == size

@@ -15,7 +15,9 @@ from left to right, order by order for all positions of many texts at once, and
 arcs taken.
 
 The query uses `whole_scores`: every n-gram of training is kept, and no bound depends on the size of the
-corpus. Chances of all trigrams are a written table; tasks hold the most frequent ones as a cache.
+corpus. No task holds the model: each block of documents builds the automaton of its own n-grams, whose
+weights come from counts over all blocks. A history is told by KEY_BITS of a hash and the part it is in, what
+follows it by MARK_BITS more. What follows one history is counted in one task, combined in each block before.
 
 `train` and `score` are for a bounded model. Counting covers every training token: each order is a grouped count, combined in the tasks before it
 is shuffled. An order keeps its most frequent n-grams, at most KEPT of them (a bound on the model,
@@ -30,7 +32,9 @@ id and the text are read.
 
 from __future__ import annotations
 
+import io
 import math
+import struct
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import cached_property
@@ -38,6 +42,7 @@ from functools import cached_property
 import numpy as np
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -51,8 +56,10 @@ DISCOUNT = 0.75
 HELD_OUT = (7, 2)
 # Hash of the end of text; a word's hash is that only by a chance of 2**-64.
 END = np.uint64(xxhash.xxh3_64_intdigest(b" end of text "))
-# What stands before a text's first token.
-START = np.uint64(xxhash.xxh3_64_intdigest(b" start of text "))
+# Bits that tell histories apart, and what follows one of them.
+KEY_BITS, MARK_BITS = 56, 40
+# Tokens of a block, and characters of the corpus for each part of the histories.
+BLOCK_TOKENS, PART_CHARS = 1 << 21, 1 << 23
 # Tokens whose n-grams are combined in a task before they go to the shuffle.
 COMBINED = 1 << 21
 # Bits for the last token's index in the key of an n-gram.
@@ -348,133 +355,289 @@ def score(
     )
 
 
-def _trigrams(hashes: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Key of each token with the two before it, those two (START before a text's first), and the token."""
-    starts = np.concatenate([[0], ends[:-1]])
-    one = np.concatenate([[START], hashes[:-1]])
-    one[starts] = START
-    two = np.concatenate([[START], one[:-1]])
-    two[starts] = START
-    return mixed(mixed(mixed(two) + one) + hashes), two, one, hashes
-
-
 def _tokens(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of all tokens of some texts, and where each text's end."""
     hashes, ends = word_hashes(texts, True)
     return np.insert(hashes, ends, END), ends + np.arange(1, len(ends) + 1)
 
 
-def _types(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Trigrams with their occurrences, and those in training, of about COMBINED tokens at a time."""
+@dataclass
+class Level:
+    """The histories of one length in a block, by key, and their arcs: what follows each, by mark.
+
+    `first` is where a history's arcs begin, `order` the place of each history among the block's own states and
+    `arcs` that of each arc.
+    """
+
+    keys: np.ndarray
+    first: np.ndarray
+    marks: np.ndarray
+    trained: np.ndarray
+    order: np.ndarray
+    arcs: np.ndarray
+
+    @classmethod
+    def of(cls, keys: np.ndarray, before: np.ndarray, last: np.ndarray, trained: np.ndarray) -> Level:
+        """From the states' hashes, and for each arc its state, the hash of its token and its occurrences."""
+        short = keys >> np.uint64(64 - KEY_BITS)
+        order = np.argsort(short)
+        rank = np.empty(len(order), np.uint64)
+        rank[order] = np.arange(len(order), dtype=np.uint64)
+        marks = mixed(keys[before] + last) >> np.uint64(64 - MARK_BITS)
+        codes = (rank[before] << np.uint64(MARK_BITS)) | marks
+        arcs = np.argsort(codes)
+        first = np.concatenate([[0], np.cumsum(np.bincount(before, minlength=len(keys))[order])])
+        return cls(short[order], first, marks[arcs], trained[arcs], order, arcs)
+
+    def asked(self, low: int, high: int) -> list[np.ndarray]:
+        """What is sent for the keys from low to high: differences of keys, arcs of each, marks and occurrences."""
+        a, b = np.searchsorted(self.keys, np.array([low, high], np.uint64))
+        c, d = self.first[a], self.first[b]
+        own = np.diff(self.keys[a:b], prepend=np.uint64(low))
+        return [own, np.diff(self.first[a : b + 1]), self.marks[c:d], self.trained[c:d]]
+
+
+class Block:
+    """The n-grams of some texts: `words`, and for each token the place of its word, bigram and trigram.
+
+    A text's first token has no bigram, its first two no trigram (-1).
+    """
+
+    def __init__(self, hashes: np.ndarray, ends: np.ndarray, held: np.ndarray):
+        self.ends, starts = ends, np.concatenate([[0], ends[:-1]])
+        self.sizes = ends - starts
+        at = np.arange(len(hashes)) - np.repeat(starts, self.sizes)
+        trained = np.repeat(~held, self.sizes)
+        self.texts, self.stamp = int((~held).sum()), xxhash.xxh3_64_intdigest(hashes.tobytes()) >> 1
+        self.words, word = np.unique(hashes, return_inverse=True)
+        self.places, self.levels, self.suffix = [word], [], []
+        state, keys = word, self.words
+        for order in range(1, ORDER):
+            here = np.flatnonzero(at >= order)
+            codes = (state[here - 1] << 32) | word[here]
+            codes, which = np.unique(codes, return_inverse=True)
+            before, last = codes >> 32, codes & 0xFFFFFFFF
+            counts = np.bincount(which[trained[here]], minlength=len(codes))
+            self.levels.append(Level.of(keys, before, self.words[last], counts))
+            keys = mixed(mixed(keys[before]) + self.words[last])
+            # The state that an arc fails to has the arc of the same token.
+            suffix = np.empty(len(codes), np.int64)
+            suffix[which] = self.places[-1][here]
+            self.suffix.append((before, suffix))
+            state = np.full(len(hashes), -1, np.int64)
+            state[here] = which
+            self.places.append(state)
+
+    def traversed(self, answers: list[list[np.ndarray]], tokens: int, distinct: int, texts: int) -> tuple:
+        """For each text tokens, known ones, and log10 chances by base and model.
+
+        `answers` are for each level the tokens that follow its histories, the different ones, and the occurrences
+        of each arc, all in training. All texts are traversed at once: from its longest state in training a token
+        takes its arc if there is one; else the failure arc leads to the next shorter state, at last to the root.
+        """
+        count = np.zeros(len(self.words))
+        count[self.levels[0].order] = answers[0][0]
+        count[self.words == END] = texts
+        chance = (count + 1) / (tokens + distinct + 1)
+        word, n = self.places[0], len(self.places[0])
+        base = np.log10(chance)[word]
+        arcs, fails = [], []
+        for level, (before, suffix), (whole_, kinds_, arc_) in zip(self.levels, self.suffix, answers):
+            whole, kinds, times = np.empty(len(level.keys)), np.empty(len(level.keys)), np.empty(len(before))
+            whole[level.order], kinds[level.order], times[level.arcs] = whole_, kinds_, arc_
+            seen = whole > 0
+            left = np.where(seen, DISCOUNT * kinds / np.maximum(whole, 1), 1.0)
+            own = np.maximum(times - DISCOUNT, 0) / np.maximum(whole, 1)[before]
+            chance = own + left[before] * chance[suffix]
+            arcs.append(np.where(times > 0, np.log10(chance), np.nan))
+            fails.append(np.where(seen, np.log10(left), 0.0)[before])
+        score, open_ = np.zeros(n), np.ones(n, bool)
+        for place, arc, fail in zip(self.places[:0:-1], arcs[::-1], fails[::-1]):
+            at = np.flatnonzero(open_ & (place >= 0))
+            taken = arc[place[at]]
+            found = ~np.isnan(taken)
+            score[at] += np.where(found, taken, fail[place[at]])
+            open_[at[found]] = False
+        score[open_] += base[open_]
+        starts = self.ends - self.sizes
+        known = (count > 0)[word].astype(np.int64)
+        return self.sizes, *[np.add.reduceat(values, starts) for values in (known, base, score)]
+
+
+def _packed(arrays: list[np.ndarray]) -> bytes:
+    """Arrays of whole numbers from 0 up in one binary, each in byte planes compressed one by one."""
+    with io.BytesIO() as out:
+        for values in arrays:
+            values = np.ascontiguousarray(values, "<u8")
+            width = (int(values.max()).bit_length() + 7) // 8 if len(values) else 0
+            planes = [zstandard.compress(p.tobytes(), 3) for p in values.view(np.uint8).reshape(-1, 8).T[:width]]
+            out.write(struct.pack(f"<qB{width}q", len(values), width, *map(len, planes)))
+            out.writelines(planes)
+        return out.getvalue()
+
+
+def _unpacked(data: bytes) -> list[np.ndarray]:
+    arrays, at = [], 0
+    while at < len(data):
+        n, width = struct.unpack_from("<qB", data, at)
+        sizes = struct.unpack_from(f"<{width}q", data, at + 9)
+        at += 9 + 8 * width
+        values = np.zeros((n, 8), np.uint8)
+        for plane, size in enumerate(sizes):
+            values[:, plane] = np.frombuffer(zstandard.decompress(data[at : at + size]), np.uint8)
+            at += size
+        arrays.append(values.reshape(-1).view("<u8"))
+    return arrays
+
+
+def _blocks(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[tuple[int, Block, list[pa.RecordBatch]]]:
+    """A task's documents in blocks of about `most` tokens, each with its number and its rows."""
     release()
+    number, rows, parts, size = 0, [], [], 0
+
+    def made() -> Block:
+        hashes, ends = (np.concatenate(column) for column in zip(*parts))
+        held = np.concatenate([np.array(r.column("held_out").to_pylist(), bool) for r in rows])
+        return Block(hashes, ends, held)
 
-    def combined(parts: list[tuple]) -> pa.RecordBatch:
-        key, two, one, last, trained = (np.concatenate(column) for column in zip(*parts))
-        key, at, which = np.unique(key, return_index=True, return_inverse=True)
-        columns = [column.view(np.int64) for column in (key, two[at], one[at], last[at])]
-        n, t = np.bincount(which, minlength=len(key)), np.bincount(which[trained], minlength=len(key))
-        return pa.RecordBatch.from_arrays([pa.array(c) for c in (*columns, n, t)], ["key", "two", "one", "last", "n", "t"])
+    def named() -> int:
+        return (rows[0].column("task")[0].as_py() << 32) | number
 
-    parts, size = [], 0
     for batch, texts in bites(batches):
         hashes, ends = _tokens(texts)
-        trained = ~np.array(batch.column("held_out").to_pylist(), bool)
-        parts.append((*_trigrams(hashes, ends), np.repeat(trained, np.diff(ends, prepend=0))))
+        rows.append(batch)
+        parts.append((hashes, ends + size))
         size += len(hashes)
-        if size >= COMBINED // 2:
-            yield combined(parts)
-            parts, size = [], 0
-    if parts:
-        yield combined(parts)
-
+        if size >= most:
+            yield named(), made(), rows
+            number, rows, parts, size = number + 1, [], [], 0
+    if rows:
+        yield named(), made(), rows
+
+
+def _bounds(parts: int) -> list[int]:
+    return [(k << KEY_BITS) // parts for k in range(parts + 1)]
+
+
+SENT = "block long, part int, stamp long, texts long, data binary"
+
+
+def _row(*values) -> pa.RecordBatch:
+    kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.binary()]
+    names = [field.split()[0] for field in SENT.split(", ")]
+    return pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(values, kinds)], names)
+
+
+def _ask(most: int, parts: int):
+    """For each block a row to every part with its n-grams there."""
+
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bounds = _bounds(parts)
+        for number, block, _ in _blocks(batches, most):
+            for part, (low, high) in enumerate(zip(bounds, bounds[1:])):
+                data = _packed([a for level in block.levels for a in level.asked(low, high)])
+                yield _row(number, part, block.stamp, block.texts, data)
+
+    return ask
+
+
+def _pack_texts(most: int):
+    """For each block a row with its documents."""
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for number, block, rows in _blocks(batches, most):
+            with io.BytesIO() as out:
+                options = pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", 6))
+                with pa.ipc.new_stream(out, rows[0].schema, options=options) as stream:
+                    for batch in rows:
+                        stream.write_batch(batch)
+                yield _row(number, -1, block.stamp, block.texts, out.getvalue())
+
+    return pack
+
+
+def _answer(asked: pa.Table) -> pa.Table:
+    """A part's histories and arcs, counted over all blocks, for each block in the order it asked for them."""
+    lists = [_unpacked(data) for data in asked.column("data").to_pylist()]
+    answers: list[list[np.ndarray]] = [[] for _ in lists]
+    tokens = distinct = 0
+    for level in range(ORDER - 1):
+        mine = [arrays[4 * level : 4 * level + 4] for arrays in lists]
+        keys, which = np.unique(np.concatenate([np.cumsum(m[0]) for m in mine]), return_inverse=True)
+        of = np.repeat(which, np.concatenate([m[1] for m in mine]).astype(np.int64))
+        codes = (of.astype(np.uint64) << np.uint64(MARK_BITS)) | np.concatenate([m[2] for m in mine])
+        codes, arc = np.unique(codes, return_inverse=True)
+        times = np.bincount(arc, np.concatenate([m[3] for m in mine]), len(codes))
+        history = (codes >> np.uint64(MARK_BITS)).astype(np.int64)
+        whole = np.bincount(history, times, len(keys))
+        kinds = np.bincount(history[times > 0], minlength=len(keys))
+        if not level:
+            tokens, distinct = int(whole.sum()), int((whole > 0).sum())
+        states, arcs = np.cumsum([[len(m[0]), len(m[2])] for m in mine], axis=0).T
+        state_at = arc_at = 0
+        for own, n, m in zip(answers, states, arcs):
+            at = which[state_at:n]
+            own += [whole[at], kinds[at], times[arc[arc_at:m]]]
+            state_at, arc_at = n, m
+    texts = sum(asked.column("texts").to_pylist())
+    data = [_packed([*own, np.array([tokens, distinct, texts])]) for own in answers]
+    return pa.table(
+        [asked.column(c) for c in ("block", "part", "stamp", "texts")] + [pa.array(data, pa.binary())],
+        asked.column_names,
+    )
 
-def _chances(rows: DataFrame, discount: float) -> tuple[DataFrame, int]:
-    """Frame (key, n, known, base, score) of all trigrams, with log10 chances, and the number of training tokens.
 
-    All counts follow from those of the trigrams. Every n-gram of training is kept, so rest(h) is the discount
-    times the tokens that follow h, by the count of h.
-    """
-    three = rows.mapInArrow(_types, "key long, two long, one long, last long, n long, t long")
-    three = settle(three.groupBy("key", "two", "one", "last").agg(F.sum("n").alias("n"), F.sum("t").alias("t")))
-    start = F.lit(int(START.view(np.int64)))
-    two = settle(three.groupBy("one", "last").agg(F.sum("t").alias("t")))
-    words = settle(two.groupBy("last").agg(F.sum("t").alias("c")))
-    tokens, distinct = words.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count_if(F.col("c") > 0)).first()
-
-    def with_history(grams: DataFrame, shorter: DataFrame, by: list[str], lower: list[str], below: str, name: str):
-        known = grams.filter((F.col(by[0]) != start) & (F.col("t") > 0))
-        known = known.groupBy(*by).agg(F.sum("t").alias("whole"), F.count(F.lit(1)).alias("followers"))
-        own = F.greatest(F.col("t") - F.lit(discount), F.lit(0.0)) / F.col("whole")
-        rest = F.lit(discount) * F.col("followers") / F.col("whole")
-        chance = F.coalesce(own + rest * F.col(below), F.col(below)).alias(name)
-        return grams.join(shorter, lower).join(settle(known), by, "left").select(*grams.columns, "known", "p1", chance)
-
-    p1 = ((F.col("c") + 1) / F.lit(float(tokens + distinct + 1))).alias("p1")
-    words = words.select("last", (F.col("c") > 0).cast("long").alias("known"), p1)
-    two = settle(with_history(two, words, ["one"], ["last"], "p1", "p2").drop("t"))
-    three = with_history(three, two, ["two", "one"], ["one", "last"], "p2", "p3")
-    logs = [F.log10("p1").alias("base"), F.log10("p3").alias("score")]
-    return settle(three.select("key", "n", "known", *logs)), tokens
+def _score_block(rows: pa.Table) -> pa.Table:
+    """A block's documents, by the automaton of its n-grams with the answers of all parts."""
+    rows = rows.sort_by("part")
+    texts, *answered = rows.column("data").to_pylist()
+    if rows.column("part")[0].as_py() != -1 or len(set(rows.column("stamp").to_pylist())) > 1 or not answered:
+        raise ValueError("the documents were not read in the same order twice; write them to a table before")
+    (_, block, batches), = _blocks(iter(pa.ipc.open_stream(texts)), 1 << 62)
+    lists = [_unpacked(data) for data in answered]
+    totals = np.sum([arrays.pop() for arrays in lists], axis=0)
+    columns = [np.concatenate(column) for column in zip(*lists)]
+    levels = [columns[k : k + 3] for k in range(0, len(columns), 3)]
+    tokens, distinct, trained = int(totals[0]), int(totals[1]), int(totals[2]) // len(answered)
+    sums = block.traversed(levels, tokens + trained, distinct + (trained > 0), trained)
+    docs = pa.Table.from_batches(batches).select(["doc_id", "held_out"])
+    names = ["n_tokens", "n_known", "base_score", "score"]
+    every = pa.array(np.full(docs.num_rows, tokens + trained, np.int64))
+    return pa.table([*docs.columns, *map(pa.array, sums), every], [*docs.column_names, *names, "train_tokens"])
 
 
 def whole_scores(
-    docs: DataFrame, held: Column, doc_id: str = "doc_id", text: str = "text", cached: int | None = None
+    docs: DataFrame,
+    held: Column,
+    doc_id: str = "doc_id",
+    text: str = "text",
+    block: int = BLOCK_TOKENS,
+    part: int = PART_CHARS,
 ) -> DataFrame:
     """Frame as of `score`, by a trigram model of all n-grams of the documents that are not held out.
 
-    Counts and chances are written tables. Tasks hold those of the `cached` most frequent trigrams; a
-    document's other ones are joined with the table.
+    A task's documents are cut into blocks of about `block` tokens. Each sends its different n-grams to parts by
+    hash of their history; a part counts them and answers every block in the order of its question. With the
+    answers a block has the states, arcs and failure arcs of the whole model that its texts can reach, and is
+    traversed. There is a part for every `part` characters. Documents are read twice in one plan, in the same
+    order, as a table is; a block whose two readings differ is an error, not a wrong score.
     """
-    spark = with_package(docs.sparkSession)
+    with_package(docs.sparkSession)
+    # The number of the partition read, which is the same wherever the plan reads it.
     rows = docs.select(
-        F.col(doc_id).cast("long").alias("doc_id"), held.alias("held_out"), F.col(text).cast("string").alias("text")
-    )
-    chances, train_tokens = _chances(rows.select("held_out", "text"), DISCOUNT)
-    floor = _floor(chances, KEPT if cached is None else cached)
-    often = chances.filter(F.lit(False) if floor is None else F.col("n") >= floor).orderBy("key").toArrow()
-    sent = spark.sparkContext.broadcast([often[c].to_numpy() for c in ("key", "known", "base", "score")])
-
-    def summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        release()
-        keys, *values = sent.value
-        names = ["doc_id", "held_out", "n_tokens", "n_known", "base", "score", "others"]
-        kind = pa.list_(pa.struct([("key", pa.int64()), ("times", pa.int64())]))
-        for batch, texts in bites(batches):
-            hashes, ends = _tokens(texts)
-            key = _trigrams(hashes, ends)[0].view(np.int64)
-            at = lookup(keys, key)
-            here, starts = at >= 0, np.concatenate([[0], ends[:-1]])
-            sums = []
-            for value in values:
-                each = np.zeros(len(key), value.dtype)
-                each[here] = value[at[here]]
-                sums.append(pa.array(np.add.reduceat(each, starts)))
-            others = []
-            for a, b in zip(starts, ends):
-                left, n = np.unique(key[a:b][~here[a:b]], return_counts=True)
-                others.append([{"key": k, "times": m} for k, m in zip(left.tolist(), n.tolist())])
-            first = [batch.column("doc_id"), batch.column("held_out"), pa.array((ends - starts).astype(np.int64))]
-            yield pa.RecordBatch.from_arrays([*first, *sums, pa.array(others, kind)], names)
-
-    kinds = "doc_id long, held_out boolean, n_tokens long, n_known long, base double, score double, "
-    scored = rows.mapInArrow(summed, kinds + "others array<struct<key: long, times: long>>")
-    scored = settle(scored.withColumn("row", F.monotonically_increasing_id()))
-    sent.destroy()
-    rest = chances if floor is None else chances.filter(F.col("n") < floor)
-    others = scored.select("row", F.explode("others").alias("one")).select("row", "one.key", "one.times")
-    found = others.join(rest.drop("n"), "key").groupBy("row").agg(
-        *[F.sum(F.col(c) * F.col("times")).alias(f"more_{c}") for c in ("known", "base", "score")]
-    )
-    scored = scored.drop("others").join(found, "row", "left")
-    return scored.select(
-        "doc_id",
-        "held_out",
-        "n_tokens",
-        (F.col("n_known") + F.coalesce("more_known", F.lit(0))).cast("long").alias("n_known"),
-        F.lit(train_tokens).cast("long").alias("train_tokens"),
-        (F.col("base") + F.coalesce("more_base", F.lit(0.0))).alias("base_score"),
-        (F.col("score") + F.coalesce("more_score", F.lit(0.0))).alias("score"),
+        F.col(doc_id).cast("long").alias("doc_id"),
+        held.alias("held_out"),
+        F.col(text).cast("string").alias("text"),
+        F.spark_partition_id().alias("task"),
     )
+    chars = rows.agg(F.sum(F.length("text"))).first()[0] or 0
+    parts = 1 + chars // part
+    asked = rows.mapInArrow(_ask(block, parts), SENT)
+    answered = asked.groupBy("part").applyInArrow(_answer, SENT)
+    packed = rows.mapInArrow(_pack_texts(block), SENT)
+    kinds = "doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double, train_tokens long"
+    scored = answered.unionByName(packed).groupBy("block").applyInArrow(_score_block, kinds)
+    return scored.select("doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score")
 
 
 def op5_lm_score(spark: SparkSession, folder: str) -> DataFrame:
