@@ -12,7 +12,7 @@ import pytest
 from conftest import TESTDATA
 from pyspark.sql import functions as F
 
-from tidemark.llm import lm, manifest, ngram_join, search, sharding
+from tidemark.llm import language, lm, manifest, ngram_join, search, sharding
 
 from .conftest import PROSE, sentence
 
@@ -338,3 +338,66 @@ def test_hot_history_in_every_block(spark):
         score = sum(math.log10(chance(tuple(t[max(0, k - 2) : k]), x)) for k, x in enumerate(t))
         assert found[i]["score"] == pytest.approx(score, rel=1e-9)
         assert found[i]["train_tokens"] == size
+
+
+# language
+
+
+def plain_cost(sample, text):
+    """Bits of a text by longest matches found in the sample itself, word by word."""
+    found = 0
+    for word in text.split():
+        rest = language.OTHER.sub(" ", f" {word.lower()} ")
+        while rest.strip(" ") and rest:
+            n = 1
+            while n < len(rest) and rest[: n + 1] in sample:
+                n += 1
+            found, rest = found + 1, rest[n:]
+        found += rest == " "
+    return found * math.log2(max(language.LEAST_CHARS, len(sample)))
+
+
+def test_predictions_like_plain_parsing(spark):
+    docs = spark.read.parquet(f"{TESTDATA}/documents.parquet")
+    samples = {k: v[:1500] for k, v in language.learn(docs.filter(~language.held_out())).items()}
+    rows = docs.filter(language.held_out()).withColumn("told", language.predicted(spark, samples)).collect()
+    assert len(samples) > 2 and len(rows) > 10
+    for r in rows:
+        if r["text"] and language.LETTER.search(r["text"]):
+            cost = {k: plain_cost(v, r["text"]) for k, v in samples.items()}
+            assert r["told"]["lang"] == min(cost, key=lambda k: (round(cost[k], 6), k))
+            share = 1 / sum(2 ** max(-1000, min(cost.values()) - c) for c in cost.values())
+            assert r["told"]["score"] == pytest.approx(share, rel=1e-6)
+
+
+def script(label, rng, n):
+    """Words in letters of the label's own."""
+    return " ".join("".join(chr(0x4E00 + 12 * label + rng.randrange(12)) for _ in range(4)) for _ in range(n))
+
+
+def test_every_one_of_many_labels_is_learned(spark, monkeypatch):
+    rng = random.Random(5)
+    rows = [(script(k, rng, 120), f"l{k:03}") for k in range(300) for _ in range(4)]
+    labelled = spark.createDataFrame(rows, "text string, lang string")
+    monkeypatch.setattr(language, "TOTAL_CHARS", 300 * 1100)
+    samples = language.learn(labelled)
+    assert len(samples) == 300 and sum(map(len, samples.values())) <= 300 * 1100
+    asked = spark.createDataFrame([(script(k, rng, 30), f"l{k:03}") for k in range(300)], "text string, lang string")
+    told = asked.withColumn("told", language.predicted(spark, samples))
+    assert told.filter("told.lang = lang").count() == 300
+
+
+def test_texts_of_a_clean_label_with_many_letters_stay(spark):
+    """Text that no few letters make up costs many bits a character, in its own language too."""
+    rng = random.Random(6)
+
+    def odd(n):
+        return " ".join("".join(chr(0x4E00 + rng.randrange(4000)) for _ in range(3)) for _ in range(n))
+
+    prose = [(i, sentence(i, 60), "en") for i in range(500)]
+    rows = [*prose, *((1000 + i, odd(100), "zz") for i in range(600))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    kept = {r["doc_id"] for r in language.accepted(docs, docs).collect()}
+    assert sum(i >= 1000 for i in kept) >= 0.95 * 600 and sum(i < 1000 for i in kept) >= 0.95 * 500
+    noise = docs.limit(0).union(spark.createDataFrame([(1, " ".join(map(chr, range(0x400, 0x4F0))), "en")], docs.schema))
+    assert language.accepted(noise, docs.filter("lang = 'en'")).count() == 0

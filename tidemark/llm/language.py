@@ -6,10 +6,15 @@ sample of n characters costs log2(n) bits a phrase; the language with the fewest
 letters are parsed: words one by one with a blank for all else, so that a word's phrases are found
 once for a task's many occurrences of it, and every word of a text of any length counts.
 
-The sample is bounded: SAMPLE_DOCS different texts of each of the MOST_LANGUAGES most frequent labels, at
-most SAMPLE_CHARS of each. A label with less text keeps what it has and takes nothing from the others; below
-LEAST_CHARS its phrases cost as much as with LEAST_CHARS, so that a few characters explain no other text
-cheaply. Only the sample goes through the driver.
+The sample is bounded: SAMPLE_DOCS different texts of each label, at most SAMPLE_CHARS of it, and with very many
+labels an equal share of TOTAL_CHARS, but LEAST_CHARS at least (an automaton takes about 330 bytes a character in
+every Python worker). Every label is learned. One with less text keeps what it has and takes nothing from the
+others; below LEAST_CHARS its phrases cost as much as with LEAST_CHARS, so that a few characters explain no
+other text cheaply. Only the sample goes through the driver.
+
+`accepted` also tells texts in no language learned by their bits a character. The limit of a label is MOST_BITS,
+or more if its own text outside its sample needs more: 1.1 times what OWN_SHARE of it stays within. A label
+without text outside its sample has MOST_BITS.
 
 Defined results: a NULL text and one without any letter is `und` with score 0, as is every text when
 there is nothing to learn from; equal bits go to the first label by code point; rows without a label
@@ -27,21 +32,23 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.text import table, with_package
+from tidemark.llm.text import settle, table, with_package
 from tidemark.llm.tokens import held
 
 SAMPLE_DOCS = 200
 SAMPLE_CHARS = 40_000
 LEAST_CHARS = 1024
-MOST_LANGUAGES = 200
+TOTAL_CHARS = 2_400_000
 UNKNOWN = "und"
-# Words whose phrases a task remembers.
-REMEMBERED = 350_000
+# Words whose phrases a task remembers, and how many phrase counts at most.
+REMEMBERED, REMEMBERED_COUNTS = 350_000, 1 << 22
+# Words of a text looked up at a time.
+STEP = 4096
 # The query and the pipeline learn from documents with another remainder.
 HELD_OUT = (4, 2)
 LETTER, OTHER = re.compile(r"[^\W\d_]"), re.compile(r"[\W\d_]+")
 # More bits a character than this (phrases of under three letters) say that a text is in no language learned.
-MOST_BITS = 6.0
+MOST_BITS, OWN_SHARE = 6.0, 0.95
 
 
 def held_out(doc_id: str = "doc_id", folds: tuple[int, int] = HELD_OUT) -> Column:
@@ -50,29 +57,43 @@ def held_out(doc_id: str = "doc_id", folds: tuple[int, int] = HELD_OUT) -> Colum
     return F.coalesce(F.crc32(F.encode(F.col(doc_id).cast("string"), "UTF-8")) % of == remainder, F.lit(False))
 
 
-def learn(labelled: DataFrame, text: str = "text", lang: str = "lang") -> dict[str, str]:
-    """Sample text of each language, as long as its own texts reach.
+def drawn(labelled: DataFrame, docs: int, text: str = "text", lang: str = "lang") -> DataFrame:
+    """Frame (lang, n, text): the `docs` different texts of each label with the smallest hashes, from their beginning.
 
-    Different texts are drawn by their hash; the rank limit is applied before the shuffle, so a
-    language with a third of all rows sends no more than the others, and copies count once.
+    A threshold for each label, from its counted different texts, lets about twice as many hashes pass, so
+    that a label with a third of all rows sends no more than the others; copies count once.
     """
     rows = labelled.filter(F.col(text).isNotNull() & F.col(lang).isNotNull())
-    rows = rows.select(F.col(lang).alias("lang"), F.col(text).alias("text"))
-    counts = rows.groupBy("lang").count().orderBy(F.col("count").desc(), "lang").limit(MOST_LANGUAGES)
-    rows = rows.withColumn("hash", F.xxhash64("text"))
-    drawn = Window.partitionBy("lang").orderBy("hash")
-    different = rows.select("lang", "hash").distinct()
-    few = different.withColumn("n", F.row_number().over(drawn)).filter(F.col("n") <= SAMPLE_DOCS)
-    few = few.join(F.broadcast(counts), "lang", "left_semi")
+    rows = rows.select(F.col(lang).alias("lang"), F.col(text).alias("text")).withColumn("hash", F.xxhash64("text"))
+    sizes = settle(rows.groupBy("lang").agg(F.approx_count_distinct("hash").alias("texts")))
+    place = F.col("hash").cast("double") / 2.0**64 + 0.5
+    low = rows.select("lang", "hash").join(sizes, "lang").filter(place * F.col("texts") <= 2 * docs)
+    by_hash = Window.partitionBy("lang").orderBy("hash")
+    few = low.select("lang", "hash").distinct().withColumn("n", F.row_number().over(by_hash))
+    few = settle(few.filter(F.col("n") <= docs))
     # A document gives the learner some of its text; texts that are judged are always read whole.
     begun = F.min(F.substring("text", 1, SAMPLE_CHARS // 10)).alias("text")
-    few = rows.join(F.broadcast(few), ["lang", "hash"]).groupBy("lang", "n").agg(begun)
+    return settle(rows.join(few, ["lang", "hash"]).groupBy("lang", "n").agg(begun))
+
+
+def _samples(few: DataFrame) -> dict[str, str]:
+    """Sample text of each label, cut to its share before it goes to the driver."""
+    labels = few.select("lang").distinct().count()
+    share = min(SAMPLE_CHARS, max(LEAST_CHARS, TOTAL_CHARS // max(1, labels)))
+    letters = F.length(F.regexp_replace("text", r"[^\p{L}]+", " "))
+    before = Window.partitionBy("lang").orderBy("n").rowsBetween(Window.unboundedPreceding, -1)
+    few = few.withColumn("before", F.coalesce(F.sum(letters).over(before), F.lit(0))).filter(F.col("before") < share)
     texts: dict[str, list[str]] = {}
     for row in few.orderBy("lang", "n").collect():
         texts.setdefault(row["lang"], []).append(OTHER.sub(" ", row["text"].lower()).strip())
     joined = {name: f" {' '.join(parts)} " for name, parts in texts.items()}
     joined = {name: whole for name, whole in joined.items() if LETTER.search(whole)}
-    return {name: joined[name][:SAMPLE_CHARS] for name in sorted(joined)}
+    return {name: joined[name][:share] for name in sorted(joined)}
+
+
+def learn(labelled: DataFrame, text: str = "text", lang: str = "lang") -> dict[str, str]:
+    """Sample text of each language, as long as its own texts reach."""
+    return _samples(drawn(labelled, SAMPLE_DOCS, text, lang))
 
 
 def suffix_automaton(text: str) -> list[dict[str, int]]:
@@ -127,7 +148,8 @@ class Parser:
         self.bits = np.log2([max(LEAST_CHARS, len(sample)) for sample in samples.values()])
         self.rows: dict[bytes, int] = {}
         # Phrases of a word in each language, and its characters.
-        self.counts = np.zeros((REMEMBERED, len(self.names) + 1))
+        self.most = max(2 * STEP, min(REMEMBERED, REMEMBERED_COUNTS // (len(self.names) + 1)))
+        self.counts = np.zeros((self.most, len(self.names) + 1))
 
     def _row(self, word: bytes) -> int:
         row = self.rows.get(word)
@@ -143,10 +165,10 @@ class Parser:
     def cost(self, text: str) -> tuple[np.ndarray, float]:
         """Bits of a text in each language, and its characters."""
         words, total = text.encode("utf-8", "replace").split(), np.zeros(len(self.names) + 1)
-        for at in range(0, len(words), 4096):
-            if len(self.rows) > REMEMBERED - 4096:
+        for at in range(0, len(words), STEP):
+            if len(self.rows) > self.most - STEP:
                 self.rows.clear()
-            total += self.counts[list(map(self._row, words[at : at + 4096]))].sum(axis=0)
+            total += self.counts[list(map(self._row, words[at : at + STEP]))].sum(axis=0)
         return total[:-1] * self.bits, total[-1]
 
     def predict(self, text: str | None) -> tuple[str, float, float | None]:
@@ -191,17 +213,32 @@ def accepted(
     most: float = MOST_BITS,
     wanted: Sequence[str] | None = None,
 ) -> DataFrame:
-    """Documents in a known (and wanted) language: a share of at least `least` and `most` bits a character."""
+    """Documents in a known (and wanted) language: a share of at least `least`, and bits within the label's limit."""
     name = "language"
     while name in {c.lower() for c in docs.columns}:
         name += "_"
-    told = identify(docs, labelled, name)
-    fine = (F.col(name)["lang"] != UNKNOWN) & (F.col(name)["score"] >= least) & (F.col(name)["bits"] <= most)
+    few = drawn(labelled, 2 * SAMPLE_DOCS)
+    samples = _samples(few.filter(F.col("n") <= SAMPLE_DOCS))
+    told = docs.withColumn(name, predicted(docs.sparkSession, samples))
+    limit = F.lit(most)
+    if higher := _limits(few.filter(F.col("n") > SAMPLE_DOCS), samples, most):
+        pairs = F.create_map(*[F.lit(x) for pair in sorted(higher.items()) for x in pair])
+        limit = F.coalesce(F.element_at(pairs, F.col(name)["lang"]), limit)
+    fine = (F.col(name)["lang"] != UNKNOWN) & (F.col(name)["score"] >= least) & (F.col(name)["bits"] <= limit)
     if wanted is not None:
         fine = fine & F.col(name)["lang"].isin(*wanted)
     return told.filter(fine).drop(name)
 
 
+def _limits(own: DataFrame, samples: dict[str, str], most: float) -> dict[str, float]:
+    """Bits a character of labels whose own text needs more than `most`."""
+    if not samples:
+        return {}
+    told = own.withColumn("told", predicted(own.sparkSession, samples)).filter("told.bits is not null")
+    needed = told.groupBy("lang").agg(F.percentile("told.bits", F.lit(OWN_SHARE)).alias("bits"))
+    return {lang: 1.1 * bits for lang, bits in needed.filter(1.1 * F.col("bits") > most).collect()}
+
+
 def op10_language(spark: SparkSession, folder: str) -> DataFrame:
     """The language of every document, learned from those that are not held out."""
     docs = table(spark, folder, "documents")
