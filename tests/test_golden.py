@@ -180,6 +180,43 @@ def test_empty_batch_still_reports(spark, wh, tmp_path):
     assert dimension(wh) == DIMENSION
 
 
+def test_empty_batch_may_be_skipped(spark, wh, tmp_path):
+    skip = Layout(lookback_days=0, empty_batch="skip")
+    run_batch(wh, customers(spark, tmp_path), AS_OF, "r1", skip)
+    state = run_batch(wh, spark.createDataFrame([], schemas.CUSTOMER_FEED), at("2024-04-03 00:00:00"), "r2", skip)
+    assert metrics(wh, "r1") == (4, 0, 4, 0)
+    for log, kind in ((medallion.METRICS, schemas.RUN_METRICS), (medallion.SLA, schemas.SLA_LOG)):
+        assert wh.log(log, kind).filter("run_id = 'r2'").isEmpty()
+    assert dimension(wh) == DIMENSION and state.marks == {"customer_pipeline": at("2024-04-01 09:00:00")}
+
+
+FUTURE = "1006,C003,A,B,c@example.com,X,India,2024-05-01 09:00:00\n"
+
+
+@pytest.mark.parametrize("over, mark", [("valid", "2024-04-01 09:00:00"), ("all", "2024-05-01 09:00:00")])
+def test_mark_over_valid_or_all_rows(spark, wh, tmp_path, over, mark):
+    state = run_batch(wh, customers(spark, tmp_path, CUSTOMERS + FUTURE), AS_OF, "r1", Layout(mark_over=over))
+    assert state.marks == {"customer_pipeline": at(mark)}
+    assert dimension(wh) == DIMENSION
+
+
+@pytest.mark.parametrize("source, cities", [("valid", ["Goa", "Bangalore"]), ("silver", ["Goa", "Bangalore", "X"])])
+def test_late_customer_from_valid_events_or_silver(spark, wh, tmp_path, source, cities):
+    layout = Layout(rebuild_from=source, collapse=False, lookback_days=3650)
+    future = FUTURE.replace("C003", "C002")
+    run_batch(wh, customers(spark, tmp_path, CUSTOMERS + future), AS_OF, "r1", layout)
+    late = CUSTOMERS.splitlines()[0] + "\n1012,C002,Priya,Sharma,priya@example.com,Goa,India,2024-01-01 12:00:00\n"
+    run_batch(wh, feed(spark, tmp_path, late, schemas.CUSTOMER_FEED, "late.csv"), AS_OF, "r2", layout)
+    assert [row[1] for row in dimension(wh) if row[0] == "C002"] == cities
+
+
+def test_switches_are_checked():
+    with pytest.raises(ValueError, match="mark_over"):
+        Layout(mark_over="every")
+    with pytest.raises(ValueError, match="collapse"):
+        Layout(rebuild_from="silver")
+
+
 def test_same_time_events(spark, wh, tmp_path):
     run_batch(wh, customers(spark, tmp_path), AS_OF, "r1")
     header = CUSTOMERS.splitlines()[0] + "\n"

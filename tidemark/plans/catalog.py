@@ -272,6 +272,13 @@ def timeline_rebuild(spark: SparkSession, sf: str) -> DataFrame:
     return given.cdc_versions(spark, sf, collapse=False)
 
 
+@query
+def timeline_rebuild_silver(spark: SparkSession, sf: str) -> DataFrame:
+    """Versions of all silver events with a customer and a time, events of the future too."""
+    silver = given.cdc_silver(spark, sf).filter("customer_id IS NOT NULL AND event_time IS NOT NULL")
+    return history.versions(with_hash(silver, SPEC.tracked), SPEC, collapse=False)
+
+
 @query
 def scd2_initial(spark: SparkSession, sf: str) -> DataFrame:
     """First run: every customer is new."""
@@ -551,6 +558,14 @@ def watermark_advance(spark: SparkSession, sf: str) -> DataFrame:
     return state.advanced_marks(before, given.second_run(valid))
 
 
+@query
+def watermark_advance_all(spark: SparkSession, sf: str) -> DataFrame:
+    """The mark over all rows after the lookback border, rejected ones too."""
+    silver = settle(given.cdc_silver(spark, sf))
+    border = ntz(given.newest(given.early(given.cdc_stored(spark, sf))))
+    return state.advanced_marks(_marks(spark, sf), state.since_mark(silver, border))
+
+
 @query
 def incremental_lookback(spark: SparkSession, sf: str) -> DataFrame:
     return given.second_run(given.cdc_stored(spark, sf)).select(*EVENT)

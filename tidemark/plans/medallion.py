@@ -43,12 +43,19 @@ NO_DATE = "none"
 ATTEMPTS = 5
 
 
+CHOICES = {"mark_over": ("valid", "all"), "rebuild_from": ("valid", "silver"), "empty_batch": ("report", "skip")}
+
+
 @dataclass(frozen=True)
 class Layout:
     """Feed columns, what the dimension tracks, and how it is bucketed.
 
     Every run rewrites the buckets its batch touches, so `buckets` should grow with the dimension. `id_buckets`
     are those of the logs that find an event's date or its dead letters by id; they are for good.
+
+    `mark_over`: the mark follows the newest `valid` event, or that of `all` rows after the lookback border.
+    `rebuild_from`: a late customer's history is redone from `valid` events, or (whole, so only without `collapse`)
+    from all of `silver` that has a key and a time. `empty_batch`: a run without rows after the border writes its `report`, or is left out by `skip`.
     """
 
     feed: T.StructType = field(default_factory=lambda: schemas.CUSTOMER_FEED)
@@ -58,6 +65,16 @@ class Layout:
     lookback_days: int = LOOKBACK_DAYS
     collapse: bool = True
     null_id: str = "judge"
+    mark_over: str = "valid"
+    rebuild_from: str = "valid"
+    empty_batch: str = "report"
+
+    def __post_init__(self) -> None:
+        for name, choices in CHOICES.items():
+            if getattr(self, name) not in choices:
+                raise ValueError(f"{name} is one of {', '.join(choices)}, not {getattr(self, name)!r}")
+        if self.collapse and self.rebuild_from == "silver":
+            raise ValueError("rebuild_from='silver' redoes whole histories and needs collapse=False")
 
     @property
     def events(self) -> T.StructType:
@@ -263,11 +280,18 @@ def load_customers(
     disturbed = disturbed.unionByName(disturbances(wh, layout, mark, run_id))
     disturbed = wh.stage(disturbed, "disturbed", run_id)
     touched, newest = valid.agg(F.collect_set(layout.bucket()), F.max(spec.time)).first()
+    if layout.mark_over == "all":
+        newest = flagged.agg(F.max(spec.time)).first()[0]
+    if newest is not None:
+        state = state.marked(runs.PIPELINE, max(mark, newest))
     if touched:
         stored = wh.read(state, CUSTOMERS, layout.dimension, touched).drop(PART, "customer_sk")
 
         def valid_since(moment: datetime) -> DataFrame:
-            return silver_since(wh, state, layout, moment).filter(~quality.any_broken(rules))
+            events = silver_since(wh, state, layout, moment)
+            if layout.rebuild_from == "valid":
+                return events.filter(~quality.any_broken(rules))
+            return events.filter(F.col(spec.key).isNotNull() & F.col(spec.time).isNotNull())
 
         if layout.collapse:
             done = history.merge_recent(stored, valid, valid_since, disturbed, spec)
@@ -278,13 +302,14 @@ def load_customers(
         rows = schemas.select_to_schema(keyed, layout.dimension, {"created_at": now})
         written = wh.write_parts(rows.withColumn(PART, layout.bucket()), CUSTOMERS, run_id)
         state = state.replaced(CUSTOMERS, touched, written, run_id)
-        state = state.marked(runs.PIPELINE, max(mark, newest))
 
     if layout.collapse:
         kept = disturbed.groupBy(spec.key).agg(F.min("since").alias("since")).withColumn(PART, layout.bucket())
         written = wh.write_parts(kept, DISTURBED, run_id)
         state = state.replaced(DISTURBED, state.parts(DISTURBED), written, run_id)
 
+    if layout.empty_batch == "skip" and not counts.get["records_processed"]:
+        return state
     wh.append(runs.observed_metrics(wh.spark, counts, missed, as_of), METRICS, run_id)
     dim = wh.read(state, CUSTOMERS, layout.dimension)
     wh.append(runs.freshness(dim, as_of), SLA, run_id)

@@ -219,6 +219,8 @@ BODIES = {
     "scd2_full": f"SELECT {VERSION} FROM cdc_dim",
     "timeline_collapsed": _history("ord_cdc"),
     "timeline_rebuild": _per_event("cdc_valid"),
+    "timeline_rebuild_silver": _per_event("""(SELECT *, md5(city) AS hash_diff FROM cdc_silver
+      WHERE customer_id IS NOT NULL AND event_time IS NOT NULL) s"""),
     "scd2_initial": _history("cdc_valid"),
     "scd2_incremental": f"SELECT {VERSION} FROM inc_dim",
     "scd2_incremental_per_event": f"""SELECT {VERSION} FROM inc_stays UNION ALL SELECT {VERSION} FROM inc_expired
@@ -263,6 +265,8 @@ BODIES = {
       UNION ALL SELECT 'customer_pipeline', TIMESTAMP '1900-01-01 00:00:00'""",
     "watermark_advance": """SELECT * FROM marks UNION ALL
       SELECT 'customer_pipeline', greatest((SELECT last_ts FROM cdc_mark), (SELECT max(event_time) FROM cdc_batch2))""",
+    "watermark_advance_all": """SELECT * FROM marks UNION ALL SELECT 'customer_pipeline', max(event_time) FROM cdc_silver
+      WHERE event_time > (SELECT last_ts FROM cdc_mark) - INTERVAL '7' DAY""",
     "incremental_lookback": f"SELECT {EVENT} FROM cdc_batch2",
     "run_metrics": "SELECT * FROM run_metrics_row",
     "run_metrics_observed": """SELECT * FROM run_metrics_row""",
