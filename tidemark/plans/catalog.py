@@ -337,6 +337,23 @@ def late_event_detect(spark: SparkSession, sf: str) -> DataFrame:
     return late.select(*CHANGE, "current_start")
 
 
+def _year_batch(spark: SparkSession, sf: str) -> DataFrame:
+    """A lookback of a year: most of what it re-reads lies before the current version of its customer."""
+    return state.since_mark(given.ord_cdc(spark, sf), ntz(given.ord_mark(spark, sf)), days=365)
+
+
+@query
+def late_event_detect_year(spark: SparkSession, sf: str) -> DataFrame:
+    late = history.late_events(_year_batch(spark, sf), given.ord_dim1(spark, sf), SPEC)
+    return late.select(*CHANGE, "current_start")
+
+
+@query
+def scd2_incremental_year(spark: SparkSession, sf: str) -> DataFrame:
+    """Nearly every customer is late, so each history is redone."""
+    return history.merge(given.ord_dim1(spark, sf), _year_batch(spark, sf), given.ord_cdc(spark, sf), SPEC)
+
+
 def _late_keys(spark: SparkSession, sf: str) -> DataFrame:
     keys = history.touched_keys(given.ord_batch2(spark, sf), given.ord_dim1(spark, sf), SPEC)
     return settle(keys.filter("late").select("customer_id"))

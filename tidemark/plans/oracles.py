@@ -144,7 +144,10 @@ VIEWS = {
       GROUP BY b.customer_id HAVING min(b.event_time) < min(d.start_date)""",
     "with_start": """SELECT b.*, d.start_date AS current_start, d.hash_diff AS current_hash
       FROM ord_batch2 b LEFT JOIN (SELECT * FROM ord_dim1 WHERE is_current) d ON b.customer_id = d.customer_id""",
+    "year_batch": """SELECT * FROM ord_cdc
+      WHERE event_time > (SELECT max(event_time) FROM ord_batch1) - INTERVAL '365' DAY""",
     **_merge("inc", "ord_dim1", "ord_batch2", "ord_cdc"),
+    **_merge("year", "ord_dim1", "year_batch", "ord_cdc"),
     **_merge("seen", "ord_dim1", "ord_batch2", "ord_seen"),
     **_merge("again", "seen_dim", "ord_batch2", "ord_seen"),
     **_merge("run", "run_dim1", "run_batch2", "cdc_valid"),
@@ -230,6 +233,10 @@ BODIES = {
     "scd2_new_rows": f"SELECT {VERSION} FROM inc_new",
     "current_version_lookup": f"SELECT {CHANGE}, current_start FROM with_start",
     "late_event_detect": f"SELECT {CHANGE}, current_start FROM with_start WHERE event_time < current_start",
+    "late_event_detect_year": f"""SELECT {CHANGE}, d.start_date AS current_start FROM year_batch b
+      JOIN (SELECT customer_id AS own, start_date FROM ord_dim1 WHERE is_current) d ON b.customer_id = d.own
+      WHERE event_time < d.start_date""",
+    "scd2_incremental_year": f"SELECT {VERSION} FROM year_dim",
     "late_customer_events": f"SELECT {CHANGE} FROM ord_cdc WHERE customer_id IN (SELECT customer_id FROM late_keys)",
     "delete_by_key": f"SELECT {VERSION} FROM ord_dim1 WHERE customer_id NOT IN (SELECT customer_id FROM late_keys)",
     "insert_if_changed": f"SELECT {CHANGE}, hash_diff FROM with_start WHERE current_hash IS DISTINCT FROM hash_diff",
