@@ -301,23 +301,33 @@ def test_blocks_and_parts_do_not_change_scores(spark, odd_docs):
     docs = docs.select("doc_id", "text").unionByName(odd_docs.select("doc_id", "text"))
     one, many = (
         sorted(map(tuple, lm.whole_scores(docs.repartition(n, "doc_id"), lm.held_out(), **sizes).collect()), key=repr)
-        for n, sizes in ((1, {}), (7, {"block": 500, "part": 20_000}))
+        for n, sizes in ((1, {"frequent_words": 0}), (7, {"block": 500, "part": 20_000, "frequent_words": 9}))
     )
     assert [r[:5] for r in one] == [r[:5] for r in many]
     assert [x for r in one for x in r[5:]] == pytest.approx([x for r in many for x in r[5:]], rel=1e-9)
 
 
+def test_arcs_of_more_histories_than_a_code_holds():
+    history, marks = np.array([1 << 30, 5, 1 << 30, 5, 5]), np.array([7, 7, 7, 8, 7], np.uint64)
+    found, which = lm._same(history, marks)
+    assert found.tolist() == [5, 5, 1 << 30] and which.tolist() == [2, 0, 2, 1, 0]
+    found, which = lm._same(np.minimum(history, 6), marks)
+    assert found.tolist() == [5, 5, 6] and which.tolist() == [2, 0, 2, 1, 0]
+
+
 def test_block_answers_are_packed_without_loss():
     arrays = [np.array(a, np.uint64) for a in ([], [0], [0, 0, 0], [1, 255, 256, 2**40 - 1], [2**63, 3])]
     back = lm._unpacked(lm._packed(arrays))
     assert [a.tolist() for a in back] == [a.tolist() for a in arrays]
 
 
-def test_hot_history_in_every_block(spark):
+@pytest.mark.parametrize("frequent", [0, 1, 5000])
+def test_hot_history_in_every_block(spark, frequent):
     """One word that stands before every other keeps its count and its followers over all blocks."""
     rows = [(i, " ".join(f"the w{i * 7 + k}" for k in range(30))) for i in range(60)]
     docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5, "doc_id")
-    found = {r["doc_id"]: r for r in lm.whole_scores(docs, F.lit(False), block=100, part=500).collect()}
+    found = lm.whole_scores(docs, F.lit(False), block=100, part=500, frequent_words=frequent).collect()
+    found = {r["doc_id"]: r for r in found}
     tokens = [[*t.split(), "\n"] for _, t in rows]
     ones = Counter(x for t in tokens for x in t)
     twos = Counter(g for t in tokens for g in zip(t, t[1:]))

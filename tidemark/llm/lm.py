@@ -34,6 +34,7 @@ from __future__ import annotations
 
 import io
 import math
+import string
 import struct
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -46,7 +47,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.text import settle, table, with_package
+from tidemark.llm.text import WORD, settle, table, with_package
 from tidemark.llm.tokens import HashTable, bites, mixed, release, word_hashes
 
 ORDER = 3
@@ -60,6 +61,8 @@ END = np.uint64(xxhash.xxh3_64_intdigest(b" end of text "))
 KEY_BITS, MARK_BITS = 56, 40
 # Tokens of a block, and characters of the corpus for each part of the histories.
 BLOCK_TOKENS, PART_CHARS = 1 << 21, 1 << 23
+# Words whose trigrams are not counted where their bigrams are, told from a sample of about so many documents.
+FREQUENT_WORDS, SAMPLE_DOCS = 512, 2000
 # Tokens whose n-grams are combined in a task before they go to the shuffle.
 COMBINED = 1 << 21
 # Bits for the last token's index in the key of an n-gram.
@@ -377,56 +380,82 @@ class Level:
     arcs: np.ndarray
 
     @classmethod
-    def of(cls, keys: np.ndarray, before: np.ndarray, last: np.ndarray, trained: np.ndarray) -> Level:
-        """From the states' hashes, and for each arc its state, the hash of its token and its occurrences."""
-        short = keys >> np.uint64(64 - KEY_BITS)
-        order = np.argsort(short)
-        rank = np.empty(len(order), np.uint64)
-        rank[order] = np.arange(len(order), dtype=np.uint64)
-        marks = mixed(keys[before] + last) >> np.uint64(64 - MARK_BITS)
-        codes = (rank[before] << np.uint64(MARK_BITS)) | marks
-        arcs = np.argsort(codes)
-        first = np.concatenate([[0], np.cumsum(np.bincount(before, minlength=len(keys))[order])])
-        return cls(short[order], first, marks[arcs], trained[arcs], order, arcs)
+    def of(
+        cls, order: np.ndarray, keys: np.ndarray, arcs: np.ndarray, before: np.ndarray, last: np.ndarray, trained: np.ndarray
+    ) -> Level:
+        """From the states `order` with the hashes `keys` of all, and the arcs `arcs` that leave them.
 
-    def asked(self, low: int, high: int) -> list[np.ndarray]:
-        """What is sent for the keys from low to high: differences of keys, arcs of each, marks and occurrences."""
+        `before`, `last` and `trained` are the state, the token's hash and the occurrences of every arc.
+        """
+        rank = np.zeros(len(keys), np.uint64)
+        rank[order] = np.arange(len(order), dtype=np.uint64)
+        marks = mixed(keys[before[arcs]] + last[arcs]) >> np.uint64(64 - MARK_BITS)
+        at = rank[before[arcs]]
+        sort = np.argsort((at << np.uint64(MARK_BITS)) | marks)
+        first = np.concatenate([[0], np.cumsum(np.bincount(at.astype(np.int64), minlength=len(order)))])
+        arcs = arcs[sort]
+        return cls(keys[order] >> np.uint64(64 - KEY_BITS), first, marks[sort], trained[arcs], order, arcs)
+
+    def range(self, low: int, high: int) -> tuple[int, int]:
         a, b = np.searchsorted(self.keys, np.array([low, high], np.uint64))
+        return int(a), int(b)
+
+    def heads(self, a: int, b: int, low: int) -> np.ndarray:
+        """Differences of the keys of histories a to b."""
+        return np.diff(self.keys[a:b], prepend=np.uint64(low))
+
+    def tails(self, a: int, b: int) -> list[np.ndarray]:
+        """What follows them: number, marks and occurrences."""
         c, d = self.first[a], self.first[b]
-        own = np.diff(self.keys[a:b], prepend=np.uint64(low))
-        return [own, np.diff(self.first[a : b + 1]), self.marks[c:d], self.trained[c:d]]
+        return [np.diff(self.first[a : b + 1]), self.marks[c:d], self.trained[c:d]]
 
 
 class Block:
     """The n-grams of some texts: `words`, and for each token the place of its word, bigram and trigram.
 
-    A text's first token has no bigram, its first two no trigram (-1).
+    A text's first token has no bigram, its first two no trigram (-1). Three levels are asked about: `one`, words and
+    what follows them; `two`, the bigrams in that same order and what follows those without a frequent first
+    word; and `hot`, the bigrams that have one, by keys of their own.
     """
 
-    def __init__(self, hashes: np.ndarray, ends: np.ndarray, held: np.ndarray):
+    def __init__(self, hashes: np.ndarray, ends: np.ndarray, held: np.ndarray, frequent: np.ndarray):
         self.ends, starts = ends, np.concatenate([[0], ends[:-1]])
         self.sizes = ends - starts
-        at = np.arange(len(hashes)) - np.repeat(starts, self.sizes)
+        at = np.arange(len(hashes), dtype=np.int32) - np.repeat(starts.astype(np.int32), self.sizes)
         trained = np.repeat(~held, self.sizes)
-        self.texts, self.stamp = int((~held).sum()), xxhash.xxh3_64_intdigest(hashes.tobytes()) >> 1
+        self.texts = int((~held).sum())
         self.words, word = np.unique(hashes, return_inverse=True)
-        self.places, self.levels, self.suffix = [word], [], []
-        state, keys = word, self.words
-        for order in range(1, ORDER):
+        word = word.astype(np.int32)
+        self.places, self.arcs, state, levels = [word], [], word, []
+        for order in (1, 2):
             here = np.flatnonzero(at >= order)
-            codes = (state[here - 1] << 32) | word[here]
-            codes, which = np.unique(codes, return_inverse=True)
-            before, last = codes >> 32, codes & 0xFFFFFFFF
-            counts = np.bincount(which[trained[here]], minlength=len(codes))
-            self.levels.append(Level.of(keys, before, self.words[last], counts))
-            keys = mixed(mixed(keys[before]) + self.words[last])
+            codes, which = np.unique((state[here - 1].astype(np.int64) << 32) | word[here], return_inverse=True)
+            before, last = (codes >> 32).astype(np.int32), (codes & 0xFFFFFFFF).astype(np.int32)
             # The state that an arc fails to has the arc of the same token.
-            suffix = np.empty(len(codes), np.int64)
+            suffix = np.empty(len(codes), np.int32)
             suffix[which] = self.places[-1][here]
-            self.suffix.append((before, suffix))
-            state = np.full(len(hashes), -1, np.int64)
+            self.arcs.append((before, suffix))
+            levels.append((before, self.words[last], np.bincount(which[trained[here]], minlength=len(codes))))
+            state = np.full(len(hashes), -1, np.int32)
             state[here] = which
             self.places.append(state)
+        first, last, _ = levels[0]
+        self.one = Level.of(np.arange(len(self.words)), self.words, np.arange(len(first)), *levels[0])
+        keys = mixed(mixed(self.words[first]) + last)
+        often = np.isin(self.words, frequent)[first]
+        before = levels[1][0]
+        self.two = Level.of(self.one.arcs, keys, np.flatnonzero(~often[before]), *levels[1])
+        states = np.flatnonzero(often)
+        states = states[np.argsort(keys[states] >> np.uint64(64 - KEY_BITS))]
+        self.hot = Level.of(states, keys, np.flatnonzero(often[before]), *levels[1])
+
+    def asked(self, low: int, high: int) -> list[np.ndarray]:
+        """What is sent about histories with keys from low to high."""
+        a, b = self.one.range(low, high)
+        c, d = self.hot.range(low, high)
+        heads, own = self.one.heads(a, b, low), self.one.tails(a, b)
+        inner = self.two.tails(int(self.one.first[a]), int(self.one.first[b]))
+        return [heads, *own, *inner, self.hot.heads(c, d, low), *self.hot.tails(c, d)]
 
     def traversed(self, answers: list[list[np.ndarray]], tokens: int, distinct: int, texts: int) -> tuple:
         """For each text tokens, known ones, and log10 chances by base and model.
@@ -435,22 +464,25 @@ class Block:
         of each arc, all in training. All texts are traversed at once: from its longest state in training a token
         takes its arc if there is one; else the failure arc leads to the next shorter state, at last to the root.
         """
-        count = np.zeros(len(self.words))
-        count[self.levels[0].order] = answers[0][0]
-        count[self.words == END] = texts
-        chance = (count + 1) / (tokens + distinct + 1)
-        word, n = self.places[0], len(self.places[0])
-        base = np.log10(chance)[word]
+        levels = iter(zip((self.one, self.two, self.hot), answers))
+        states, known = len(self.words), None
         arcs, fails = [], []
-        for level, (before, suffix), (whole_, kinds_, arc_) in zip(self.levels, self.suffix, answers):
-            whole, kinds, times = np.empty(len(level.keys)), np.empty(len(level.keys)), np.empty(len(before))
-            whole[level.order], kinds[level.order], times[level.arcs] = whole_, kinds_, arc_
-            seen = whole > 0
-            left = np.where(seen, DISCOUNT * kinds / np.maximum(whole, 1), 1.0)
-            own = np.maximum(times - DISCOUNT, 0) / np.maximum(whole, 1)[before]
-            chance = own + left[before] * chance[suffix]
+        for take, (before, suffix) in zip((1, 2), self.arcs):
+            whole, kinds, times = np.zeros(states), np.zeros(states), np.zeros(len(before))
+            for _ in range(take):
+                level, answer = next(levels)
+                for values, at, found in zip((whole, kinds, times), (level.order, level.order, level.arcs), answer):
+                    values[at] = found
+            if known is None:
+                count = np.where(self.words == END, texts, whole)
+                known, chance = count > 0, (count + 1) / (tokens + distinct + 1)
+                base = np.log10(chance)[self.places[0]]
+            left = np.where(whole > 0, DISCOUNT * kinds / np.maximum(whole, 1), 1.0)
+            chance = np.maximum(times - DISCOUNT, 0) / np.maximum(whole, 1)[before] + left[before] * chance[suffix]
             arcs.append(np.where(times > 0, np.log10(chance), np.nan))
-            fails.append(np.where(seen, np.log10(left), 0.0)[before])
+            fails.append(np.log10(left)[before])
+            states = len(before)
+        n = len(base)
         score, open_ = np.zeros(n), np.ones(n, bool)
         for place, arc, fail in zip(self.places[:0:-1], arcs[::-1], fails[::-1]):
             at = np.flatnonzero(open_ & (place >= 0))
@@ -460,8 +492,8 @@ class Block:
             open_[at[found]] = False
         score[open_] += base[open_]
         starts = self.ends - self.sizes
-        known = (count > 0)[word].astype(np.int64)
-        return self.sizes, *[np.add.reduceat(values, starts) for values in (known, base, score)]
+        seen = known[self.places[0]].astype(np.int64)
+        return self.sizes, *[np.add.reduceat(values, starts) for values in (seen, base, score)]
 
 
 def _packed(arrays: list[np.ndarray]) -> bytes:
@@ -490,18 +522,14 @@ def _unpacked(data: bytes) -> list[np.ndarray]:
     return arrays
 
 
-def _blocks(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[tuple[int, Block, list[pa.RecordBatch]]]:
-    """A task's documents in blocks of about `most` tokens, each with its number and its rows."""
+def _cut(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[tuple[int, list[pa.RecordBatch], list[np.ndarray]]]:
+    """A task's documents in blocks of about `most` tokens: number, rows, hashes of all tokens and ends of texts."""
     release()
     number, rows, parts, size = 0, [], [], 0
 
-    def made() -> Block:
-        hashes, ends = (np.concatenate(column) for column in zip(*parts))
-        held = np.concatenate([np.array(r.column("held_out").to_pylist(), bool) for r in rows])
-        return Block(hashes, ends, held)
-
-    def named() -> int:
-        return (rows[0].column("task")[0].as_py() << 32) | number
+    def made() -> tuple[int, list[pa.RecordBatch], list[np.ndarray]]:
+        named = (rows[0].column("task")[0].as_py() << 32) | number
+        return named, rows, [np.concatenate(column) for column in zip(*parts)]
 
     for batch, texts in bites(batches):
         hashes, ends = _tokens(texts)
@@ -509,10 +537,18 @@ def _blocks(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[tuple[int,
         parts.append((hashes, ends + size))
         size += len(hashes)
         if size >= most:
-            yield named(), made(), rows
+            yield made()
             number, rows, parts, size = number + 1, [], [], 0
     if rows:
-        yield named(), made(), rows
+        yield made()
+
+
+def _held(rows: list[pa.RecordBatch]) -> np.ndarray:
+    return np.concatenate([np.array(r.column("held_out").to_pylist(), bool) for r in rows])
+
+
+def _stamp(hashes: np.ndarray) -> int:
+    return xxhash.xxh3_64_intdigest(hashes.tobytes()) >> 1
 
 
 def _bounds(parts: int) -> list[int]:
@@ -528,15 +564,16 @@ def _row(*values) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(values, kinds)], names)
 
 
-def _ask(most: int, parts: int):
+def _ask(most: int, parts: int, frequent: np.ndarray):
     """For each block a row to every part with its n-grams there."""
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bounds = _bounds(parts)
-        for number, block, _ in _blocks(batches, most):
+        for number, rows, (hashes, ends) in _cut(batches, most):
+            block, stamp = Block(hashes, ends, _held(rows), frequent), _stamp(hashes)
             for part, (low, high) in enumerate(zip(bounds, bounds[1:])):
-                data = _packed([a for level in block.levels for a in level.asked(low, high)])
-                yield _row(number, part, block.stamp, block.texts, data)
+                data = _packed(block.asked(low, high))
+                yield _row(number, part, stamp, block.texts, data)
 
     return ask
 
@@ -545,65 +582,95 @@ def _pack_texts(most: int):
     """For each block a row with its documents."""
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for number, block, rows in _blocks(batches, most):
+        for number, rows, (hashes, _) in _cut(batches, most):
             with io.BytesIO() as out:
                 options = pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", 6))
                 with pa.ipc.new_stream(out, rows[0].schema, options=options) as stream:
                     for batch in rows:
                         stream.write_batch(batch)
-                yield _row(number, -1, block.stamp, block.texts, out.getvalue())
+                yield _row(number, -1, _stamp(hashes), 0, out.getvalue())
 
     return pack
 
 
+def _same(history: np.ndarray, marks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The history of each different arc, and which of them each arc is."""
+    if not len(history) or int(history.max()) < 1 << (64 - MARK_BITS):
+        codes, which = np.unique((history.astype(np.uint64) << np.uint64(MARK_BITS)) | marks, return_inverse=True)
+        return (codes >> np.uint64(MARK_BITS)).astype(np.int64), which
+    sort = np.lexsort((marks, history))
+    new = np.concatenate([[True], (np.diff(history[sort]) != 0) | (np.diff(marks[sort]) != 0)])
+    which = np.empty(len(sort), np.int64)
+    which[sort] = np.cumsum(new) - 1
+    return history[sort][new], which
+
+
 def _answer(asked: pa.Table) -> pa.Table:
     """A part's histories and arcs, counted over all blocks, for each block in the order it asked for them."""
     lists = [_unpacked(data) for data in asked.column("data").to_pylist()]
     answers: list[list[np.ndarray]] = [[] for _ in lists]
-    tokens = distinct = 0
-    for level in range(ORDER - 1):
-        mine = [arrays[4 * level : 4 * level + 4] for arrays in lists]
-        keys, which = np.unique(np.concatenate([np.cumsum(m[0]) for m in mine]), return_inverse=True)
-        of = np.repeat(which, np.concatenate([m[1] for m in mine]).astype(np.int64))
-        codes = (of.astype(np.uint64) << np.uint64(MARK_BITS)) | np.concatenate([m[2] for m in mine])
-        codes, arc = np.unique(codes, return_inverse=True)
-        times = np.bincount(arc, np.concatenate([m[3] for m in mine]), len(codes))
-        history = (codes >> np.uint64(MARK_BITS)).astype(np.int64)
-        whole = np.bincount(history, times, len(keys))
-        kinds = np.bincount(history[times > 0], minlength=len(keys))
-        if not level:
-            tokens, distinct = int(whole.sum()), int((whole > 0).sum())
-        states, arcs = np.cumsum([[len(m[0]), len(m[2])] for m in mine], axis=0).T
-        state_at = arc_at = 0
-        for own, n, m in zip(answers, states, arcs):
-            at = which[state_at:n]
-            own += [whole[at], kinds[at], times[arc[arc_at:m]]]
-            state_at, arc_at = n, m
-    texts = sum(asked.column("texts").to_pylist())
-    data = [_packed([*own, np.array([tokens, distinct, texts])]) for own in answers]
+
+    def joined(column: int) -> np.ndarray:
+        return np.concatenate([arrays[column] for arrays in lists])
+
+    def counted(states: np.ndarray, n: int, column: int) -> tuple[np.ndarray, np.ndarray]:
+        """Answers about all blocks' histories, numbered by `states`; the tokens that follow each, and their arcs."""
+        history, which = _same(np.repeat(states, joined(column).astype(np.int64)), joined(column + 1))
+        times = np.bincount(which, joined(column + 2), len(history))
+        whole, kinds = np.bincount(history, times, n), np.bincount(history[times > 0], minlength=n)
+        at = arc = 0
+        for own, arrays in zip(answers, lists):
+            here, own_arcs = states[at : at + len(arrays[column])], which[arc : arc + len(arrays[column + 1])]
+            own += [whole[here], kinds[here], times[own_arcs]]
+            at, arc = at + len(here), arc + len(own_arcs)
+        return whole, which
+
+    def numbered(column: int) -> tuple[np.ndarray, int]:
+        keys, which = np.unique(np.concatenate([np.cumsum(arrays[column]) for arrays in lists]), return_inverse=True)
+        return which, len(keys)
+
+    whole, bigrams = counted(*numbered(0), 1)
+    counted(bigrams, int(bigrams.max(initial=-1)) + 1, 4)
+    counted(*numbered(7), 8)
+    totals = np.array([int(whole.sum()), int((whole > 0).sum()), sum(asked.column("texts").to_pylist())])
+    data = [_packed([*own, totals]) for own in answers]
     return pa.table(
         [asked.column(c) for c in ("block", "part", "stamp", "texts")] + [pa.array(data, pa.binary())],
         asked.column_names,
     )
 
 
-def _score_block(rows: pa.Table) -> pa.Table:
+def _score_blocks(frequent: np.ndarray):
     """A block's documents, by the automaton of its n-grams with the answers of all parts."""
-    rows = rows.sort_by("part")
-    texts, *answered = rows.column("data").to_pylist()
-    if rows.column("part")[0].as_py() != -1 or len(set(rows.column("stamp").to_pylist())) > 1 or not answered:
-        raise ValueError("the documents were not read in the same order twice; write them to a table before")
-    (_, block, batches), = _blocks(iter(pa.ipc.open_stream(texts)), 1 << 62)
-    lists = [_unpacked(data) for data in answered]
-    totals = np.sum([arrays.pop() for arrays in lists], axis=0)
-    columns = [np.concatenate(column) for column in zip(*lists)]
-    levels = [columns[k : k + 3] for k in range(0, len(columns), 3)]
-    tokens, distinct, trained = int(totals[0]), int(totals[1]), int(totals[2]) // len(answered)
-    sums = block.traversed(levels, tokens + trained, distinct + (trained > 0), trained)
-    docs = pa.Table.from_batches(batches).select(["doc_id", "held_out"])
-    names = ["n_tokens", "n_known", "base_score", "score"]
-    every = pa.array(np.full(docs.num_rows, tokens + trained, np.int64))
-    return pa.table([*docs.columns, *map(pa.array, sums), every], [*docs.column_names, *names, "train_tokens"])
+
+    def score(rows: pa.Table) -> pa.Table:
+        rows = rows.sort_by("part")
+        texts, *answered = rows.column("data").to_pylist()
+        if rows.column("part")[0].as_py() != -1 or len(set(rows.column("stamp").to_pylist())) > 1 or not answered:
+            raise ValueError("the documents were not read in the same order twice; write them to a table before")
+        (_, batches, (hashes, ends)), = _cut(iter(pa.ipc.open_stream(texts)), 1 << 62)
+        block = Block(hashes, ends, _held(batches), frequent)
+        lists = [_unpacked(data) for data in answered]
+        totals = np.sum([arrays.pop() for arrays in lists], axis=0)
+        columns = [np.concatenate(column) for column in zip(*lists)]
+        levels = [columns[k : k + 3] for k in range(0, len(columns), 3)]
+        tokens, distinct, trained = int(totals[0]), int(totals[1]), int(totals[2]) // len(answered)
+        sums = block.traversed(levels, tokens + trained, distinct + (trained > 0), trained)
+        docs = pa.Table.from_batches(batches).select(["doc_id", "held_out"])
+        names = ["n_tokens", "n_known", "base_score", "score"]
+        every = pa.array(np.full(docs.num_rows, tokens + trained, np.int64))
+        return pa.table([*docs.columns, *map(pa.array, sums), every], [*docs.column_names, *names, "train_tokens"])
+
+    return score
+
+
+def _frequent(rows: DataFrame, most: int, sample: int) -> np.ndarray:
+    """Hashes of the most frequent words in a sample of about `sample` documents."""
+    share = min(1.0, sample / max(1, rows.count()))
+    lowered = F.translate("text", string.ascii_uppercase, string.ascii_lowercase)
+    words = rows.sample(share, 7).select(F.explode(F.regexp_extract_all(lowered, F.lit(WORD), F.lit(0))).alias("word"))
+    found = words.groupBy("word").count().orderBy(F.col("count").desc(), "word").limit(most).collect()
+    return np.concatenate([np.zeros(0, np.uint64), *(word_hashes([row["word"]])[0] for row in found)])
 
 
 def whole_scores(
@@ -613,11 +680,13 @@ def whole_scores(
     text: str = "text",
     block: int = BLOCK_TOKENS,
     part: int = PART_CHARS,
+    frequent_words: int = FREQUENT_WORDS,
 ) -> DataFrame:
     """Frame as of `score`, by a trigram model of all n-grams of the documents that are not held out.
 
     A task's documents are cut into blocks of about `block` tokens. Each sends its different n-grams to parts by
-    hash of their history; a part counts them and answers every block in the order of its question. With the
+    hash of their first word, in one trie; trigrams that begin with one of the `frequent_words` go by hash of
+    their first two (which words these are changes the load of parts only). A part counts the n-grams and answers every block in the order of its question. With the
     answers a block has the states, arcs and failure arcs of the whole model that its texts can reach, and is
     traversed. There is a part for every `part` characters. Documents are read twice in one plan, in the same
     order, as a table is; a block whose two readings differ is an error, not a wrong score.
@@ -632,11 +701,12 @@ def whole_scores(
     )
     chars = rows.agg(F.sum(F.length("text"))).first()[0] or 0
     parts = 1 + chars // part
-    asked = rows.mapInArrow(_ask(block, parts), SENT)
+    frequent = _frequent(rows, frequent_words, SAMPLE_DOCS)
+    asked = rows.mapInArrow(_ask(block, parts, frequent), SENT)
     answered = asked.groupBy("part").applyInArrow(_answer, SENT)
     packed = rows.mapInArrow(_pack_texts(block), SENT)
     kinds = "doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double, train_tokens long"
-    scored = answered.unionByName(packed).groupBy("block").applyInArrow(_score_block, kinds)
+    scored = answered.unionByName(packed).groupBy("block").applyInArrow(_score_blocks(frequent), kinds)
     return scored.select("doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score")
 
 
