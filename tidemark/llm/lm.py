@@ -60,7 +60,7 @@ END = np.uint64(xxhash.xxh3_64_intdigest(b" end of text "))
 # Bits that tell histories apart, and what follows one of them.
 KEY_BITS, MARK_BITS = 56, 40
 # Tokens of a block, and characters of the corpus for each part of the histories.
-BLOCK_TOKENS, PART_CHARS = 1 << 21, 1 << 23
+BLOCK_TOKENS, PART_CHARS = 3 << 19, 1 << 23
 # Words whose trigrams are not counted where their bigrams are, told from a sample of about so many documents.
 FREQUENT_WORDS, SAMPLE_DOCS = 512, 2000
 # Tokens whose n-grams are combined in a task before they go to the shuffle.
@@ -439,6 +439,8 @@ class Block:
             state = np.full(len(hashes), -1, np.int32)
             state[here] = which
             self.places.append(state)
+            del here, codes, which
+        del at, trained
         first, last, _ = levels[0]
         self.one = Level.of(np.arange(len(self.words)), self.words, np.arange(len(first)), *levels[0])
         keys = mixed(mixed(self.words[first]) + last)
@@ -529,7 +531,10 @@ def _cut(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[tuple[int, li
 
     def made() -> tuple[int, list[pa.RecordBatch], list[np.ndarray]]:
         named = (rows[0].column("task")[0].as_py() << 32) | number
-        return named, rows, [np.concatenate(column) for column in zip(*parts)]
+        whole = [np.concatenate(column) for column in zip(*parts)]
+        parts.clear()
+        pa.default_memory_pool().release_unused()
+        return named, rows, whole
 
     for batch, texts in bites(batches):
         hashes, ends = _tokens(texts)
@@ -571,6 +576,8 @@ def _ask(most: int, parts: int, frequent: np.ndarray):
         bounds = _bounds(parts)
         for number, rows, (hashes, ends) in _cut(batches, most):
             block, stamp = Block(hashes, ends, _held(rows), frequent), _stamp(hashes)
+            del rows, hashes, ends
+            block.places.clear()  # only a traversal needs them
             for part, (low, high) in enumerate(zip(bounds, bounds[1:])):
                 data = _packed(block.asked(low, high))
                 yield _row(number, part, stamp, block.texts, data)
@@ -583,12 +590,14 @@ def _pack_texts(most: int):
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for number, rows, (hashes, _) in _cut(batches, most):
+            stamp = _stamp(hashes)
+            del hashes
             with io.BytesIO() as out:
                 options = pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", 6))
                 with pa.ipc.new_stream(out, rows[0].schema, options=options) as stream:
                     for batch in rows:
                         stream.write_batch(batch)
-                yield _row(number, -1, _stamp(hashes), 0, out.getvalue())
+                yield _row(number, -1, stamp, 0, out.getvalue())
 
     return pack
 
