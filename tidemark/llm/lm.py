@@ -17,12 +17,13 @@ arcs taken.
 The query uses `whole_scores`: every n-gram of training is kept, and no bound depends on the size of the
 corpus. No task holds the model: each block of documents builds the automaton of its own n-grams, whose
 weights come from counts over all blocks. A history is told by KEY_BITS of a hash and the part it is in, what
-follows it by MARK_BITS more. What follows one history is counted in one task, combined in each block before.
+follows it by MARK_BITS more. All that begins with one word is counted in one task (with two words, if the
+first is frequent), combined in each block before.
 
-`train` and `score` are for a bounded model. Counting covers every training token: each order is a grouped count, combined in the tasks before it
-is shuffled. An order keeps its most frequent n-grams, at most KEPT of them (a bound on the model,
-held by every task: about 60 bytes each); equal counts are kept or left together. Counts
-of rarer words are exact too: a text's tokens outside the kept words are joined with the table of
+`train` and `score` are for a bounded model. Counting covers every training token: each order is a grouped
+count, combined in the tasks before it is shuffled. An order keeps its most frequent n-grams, at most KEPT of
+them (a bound on the model, held by every task: about 60 bytes each); equal counts are kept or left together.
+Counts of rarer words are exact too: a text's tokens outside the kept words are joined with the table of
 their counts, so both scores use the count of every token.
 
 Defined results: a NULL or empty text is one end of text; NULL ids are trained on; equal rows are
@@ -695,7 +696,8 @@ def whole_scores(
 
     A task's documents are cut into blocks of about `block` tokens. Each sends its different n-grams to parts by
     hash of their first word, in one trie; trigrams that begin with one of the `frequent_words` go by hash of
-    their first two (which words these are changes the load of parts only). A part counts the n-grams and answers every block in the order of its question. With the
+    their first two (which words these are changes the load of parts only, and a sample tells them). A part
+    counts the n-grams and answers every block in the order of its question. With the
     answers a block has the states, arcs and failure arcs of the whole model that its texts can reach, and is
     traversed. There is a part for every `part` characters. Documents are read twice in one plan, in the same
     order, as a table is; a block whose two readings differ is an error, not a wrong score.
