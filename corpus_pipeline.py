@@ -22,7 +22,7 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 def keep_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in a language of the labelled ones; a text without letters, or as near to four languages, goes."""
-    return accepted(docs, docs.filter(~held_out()))
+    return accepted(docs, docs.filter(~held_out()), among=~held_out())
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

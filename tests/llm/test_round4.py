@@ -1,8 +1,9 @@
-"""Words that the polynomial hash does not tell apart."""
+"""Words that the polynomial hash does not tell apart; languages learned from all labelled text."""
 
 import pytest
+from pyspark.sql import functions as F
 
-from tidemark.llm import substring
+from tidemark.llm import language, substring
 from tidemark.llm.tokens import word_hashes
 
 
@@ -31,3 +32,32 @@ def test_equal_words_have_equal_hashes_wherever_they_lie():
     text = " ".join(f"w{i % 9973}" for i in range(900_000))
     hashes, _ = word_hashes([text])
     assert (hashes[: 9973 * 90].reshape(-1, 9973) == hashes[:9973]).all()
+
+
+def test_language_is_learned_from_all_text(spark):
+    """A word that only few of very many texts hold is counted in all of them, from any place in the text."""
+    rows = [(" ".join(f"{a}{b}{c}{d}" for a in "abcd" for b in "efg" for c in "hij" for d in "kl") + f" own{i:04}", "aa") for i in range(1500)]
+    rows = [(f"{text} zzqq" if i % 3 == 0 else text, lang) for i, (text, lang) in enumerate(rows)]
+    rows += [(rows[1][0], "aa")] * 500
+    labelled = spark.createDataFrame(rows, "text string, lang string")
+    counts = {r["piece"]: int(r["n"]) for r in language.counted(labelled).filter("NOT gram").collect()}
+    assert counts["zzqq"] == 500 * language.WEIGHT and counts["aehk"] == pytest.approx(1500 * language.WEIGHT, rel=1e-6)
+    samples = language.learn(labelled)
+    assert " zzqq " in samples["aa"] and " aehk " in samples["aa"] and "\nown" not in samples["aa"]
+
+
+def test_limits_come_from_all_text_of_a_label(spark):
+    """Of 1 000 texts 6 in 100 need many bits, fewer than a limit of OWN_SHARE leaves out; with 4 more it must rise."""
+    odd = [" ".join("".join(chr(0x4E00 + (7 * i * k + j) % 3900) for j in range(3)) for k in range(1, 50)) for i in range(1, 121)]
+    plain = [(f"the same few words again {'and again ' * (i % 90)}", "en") for i in range(880)]
+    samples = {"en": " the same few words again and "}
+    for n, higher in ((20, False), (120, True)):
+        docs = spark.createDataFrame([*plain, *((t, "en") for t in odd[:n])], "text string, lang string")
+        told = docs.withColumn("told", language.predicted(spark, samples))
+        assert bool(language._limits(told, "told", language.MOST_BITS)) == higher
+
+
+def test_documents_are_accepted_alike_if_the_labelled_are_some_of_them(odd_docs):
+    taught = F.col("source") == "a"
+    apart, among = (language.accepted(odd_docs, odd_docs.filter(taught), among=a).collect() for a in (None, taught))
+    assert sorted(map(str, apart)) == sorted(map(str, among)) and apart
