@@ -1,5 +1,6 @@
-"""Words that the polynomial hash does not tell apart; languages learned from all labelled text."""
+"""Words that the polynomial hash does not tell apart; languages learned from all labelled text, and at what cost."""
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -61,3 +62,22 @@ def test_documents_are_accepted_alike_if_the_labelled_are_some_of_them(odd_docs)
     taught = F.col("source") == "a"
     apart, among = (language.accepted(odd_docs, odd_docs.filter(taught), among=a).collect() for a in (None, taught))
     assert sorted(map(str, apart)) == sorted(map(str, among)) and apart
+
+
+def test_language_task_counts_each_piece_once():
+    """Many different words are no reason to send the frequent ones again and again."""
+    words = [f"{'abcdefgh'[n % 8]}{''.join('ijklmnopqr'[int(d)] for d in str(n))}" for n in range(120_000)]
+    texts = [" ".join(["und", *words[at : at + 100], "Und,"]) for at in range(0, len(words), 100)]
+    rows = pa.table({"text": texts, "lang": ["de"] * len(texts), "weight": pa.array([3] * len(texts), pa.int64())})
+    found = pa.Table.from_batches(language._count(iter(rows.to_batches(max_chunksize=100)))).to_pylist()
+    counts = {(r["gram"], r["piece"]): r["n"] for r in found}
+    assert len(counts) == len(found)
+    assert counts[False, "und"] == 3 * 2 * len(texts) and counts[True, "und"] == counts[False, "und"]
+    assert counts[False, None] == 3 * sum(len(word) + 1 for text in texts for word in text.replace(",", "").split())
+
+
+def test_language_parses_alike_words_once():
+    parser = language.Parser({"de": " und der die ", "en": " and the of "})
+    told = list(parser.predictions(["Und der", "und, (DER)", "1 2", None, "", "\x0bthe \x1d the\tof"]))
+    assert told[0][:2] == told[1][:2] and [t[0] for t in told] == ["de", "de", "und", "und", "und", "en"]
+    assert sorted(parser.rows) == ["", "der", "of", "the", "und"]

@@ -27,34 +27,36 @@ from __future__ import annotations
 
 import re
 import zlib
-from collections import Counter, defaultdict
 from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.text import settle, table, with_package
-from tidemark.llm.tokens import bites, held, release
+from tidemark.llm.tokens import AT_ONCE, bites, held, release
 
 SAMPLE_CHARS = 40_000
 LEAST_CHARS = 1024
 TOTAL_CHARS = 2_400_000
-# Letters of the runs that are counted, letters of a word that is counted as one, different words a task holds.
-GRAM, LONG, HELD_WORDS = 3, 64, 50_000
+# Letters of the runs that are counted, letters of a word that is counted as one, bytes of different words a task holds.
+GRAM, LONG, HELD_BYTES = 3, 64, 1 << 24
 # A text counts as much as so many; its copies share that.
 WEIGHT = 1 << 20
 PIECES = "lang string, gram boolean, piece string, n long"
 UNKNOWN = "und"
 # Words whose phrases a task remembers, and how many phrase counts at most.
 REMEMBERED, REMEMBERED_COUNTS = 350_000, 1 << 22
-# Words of a text looked up at a time.
-STEP = 4096
+# Words looked up at a time: so many, or more with few languages, up to so many phrase counts.
+STEP, STEP_COUNTS = 4096, 1 << 20
 # The query and the pipeline learn from documents with another remainder.
 HELD_OUT = (4, 2)
 LETTER, OTHER = re.compile(r"[^\W\d_]"), re.compile(r"[\W\d_]+")
+# The same between words that a line break keeps apart.
+OTHERS = re.compile(r"(?:[^\w\n]|[\d_])+")
 # More bits a character than this (phrases of under three letters) say that a text is in no language learned.
 MOST_BITS, OWN_SHARE = 6.0, 0.95
 
@@ -65,55 +67,86 @@ def held_out(doc_id: str = "doc_id", folds: tuple[int, int] = HELD_OUT) -> Colum
     return F.coalesce(F.crc32(F.encode(F.col(doc_id).cast("string"), "UTF-8")) % of == remainder, F.lit(False))
 
 
-def _plain(word: str) -> str:
-    """What is parsed of a word, without the blanks around it."""
-    return OTHER.sub(" ", word.lower()).strip()
-
-
-def _pieces(words: Counter) -> tuple[Counter, Counter, int]:
-    """Counts of the plain words and of their runs of letters (and blanks at their ends), and all characters."""
-    whole, runs, chars = Counter(), Counter(), 0
-    for word, n in words.items():
-        if plain := _plain(word.decode("utf-8", "replace")):
-            whole[plain] += n
-    for plain, n in whole.items():
-        padded = f" {plain} "
-        chars += n * (len(plain) + 1)
-        for size in range(1, GRAM + 1):
-            for at in range(len(padded) - size + 1):
-                runs[padded[at : at + size]] += n
-    return Counter({plain: n for plain, n in whole.items() if len(plain) <= LONG}), runs, chars
+def _plains(words: list[str]) -> list[str]:
+    """What is parsed of each word, without the blanks around it."""
+    # No word has a line break, so that all are changed at once and stay apart.
+    return [plain.strip() for plain in OTHERS.sub(" ", "\n".join(words).lower()).split("\n")]
+
+
+def _summed(**columns: pa.Array) -> pa.Table:
+    """The sums of `n` for each combination of the other columns."""
+    keys = [name for name in columns if name != "n"]
+    return pa.table(columns).group_by(keys, use_threads=False).aggregate([("n", "sum")]).rename_columns([*keys, "n"])
+
+
+def _grams(plains: list[str], n: np.ndarray) -> Iterator[tuple[list[str], pa.Array]]:
+    """Counts of the runs of letters (and blanks at their ends) of plain words that occur `n` times, size by size."""
+    points = np.frombuffer(f" {' \n '.join(plains)} ".encode("utf-32-le"), np.uint32).astype(np.uint64)
+    apart = points == 10
+    times, key, within = n[np.cumsum(apart)], np.zeros(len(points), np.uint64), ~apart
+    for size in range(1, GRAM + 1):
+        # The key of the run from here is that of the shorter one and one letter more, of 21 bits.
+        last = len(points) - size + 1
+        key = (key[:last] << np.uint64(21)) | points[size - 1 :]
+        within = within[:last] & ~apart[size - 1 :]
+        counts = _summed(key=pa.array(key[within]), n=pa.array(times[:last][within]))
+        letters = counts["key"].to_numpy()[:, None] >> np.arange(21 * (size - 1), -1, -21, dtype=np.uint64)
+        runs = np.ascontiguousarray(letters & np.uint64((1 << 21) - 1), np.uint32).tobytes().decode("utf-32-le")
+        yield [runs[at : at + size] for at in range(0, len(runs), size)], counts["n"].combine_chunks()
+
+
+def _pieces(words: list[str], n: pa.Array) -> Iterator[tuple[bool, list[str | None], pa.Array]]:
+    """Counts of the plain words and of their runs of letters, and of all characters, of words that occur `n` times."""
+    whole = _summed(plain=pa.array(_plains(words), pa.string()), n=n)
+    whole = whole.filter(pc.not_equal(whole["plain"], ""))
+    plains, n = whole["plain"].to_pylist(), whole["n"].to_numpy()
+    sizes = np.fromiter(map(len, plains), np.int64, len(plains))
+    yield False, [None], pa.array([int((n * (sizes + 1)).sum())], pa.int64())
+    if plains:
+        short = sizes <= LONG
+        yield False, [plain for plain, kept in zip(plains, short) if kept], pa.array(n[short])
+        for runs, counts in _grams(plains, n):
+            yield True, runs, counts
+
+
+def _words(batch: pa.RecordBatch) -> pa.Table:
+    """Weight of each label's different words in the texts of a batch."""
+    split = pc.ascii_split_whitespace(batch.column("text"))
+    coded = split.flatten().dictionary_encode()
+    row = pc.list_parent_indices(split)
+    found = _summed(
+        lang=batch.column("lang").dictionary_encode().indices.take(row), word=coded.indices, n=batch.column("weight").take(row)
+    )
+    langs = batch.column("lang").dictionary_encode().dictionary
+    return pa.table(
+        {"lang": langs.take(found["lang"]), "word": coded.dictionary.take(found["word"]), "n": found["n"]}
+    )
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Counts of the pieces of a task's texts; those without a piece are all characters of the label."""
     release()
-    words: dict[str, Counter] = defaultdict(Counter)
-
-    def emptied() -> Iterator[pa.RecordBatch]:
-        for lang, own in words.items():
-            whole, runs, chars = _pieces(own)
-            pieces, counts = [None, *whole, *runs], [chars, *whole.values(), *runs.values()]
-            gram = [False] * (1 + len(whole)) + [True] * len(runs)
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array([lang] * len(pieces), pa.string()),
-                    pa.array(gram, pa.bool_()),
-                    pa.array(pieces, pa.string()),
-                    pa.array(counts, pa.int64()),
-                ],
-                ["lang", "gram", "piece", "n"],
-            )
-        words.clear()
-
-    for batch, texts in bites(batches):
-        for text, lang, weight in zip(texts, batch.column("lang").to_pylist(), batch.column("weight").to_pylist()):
-            own = words[lang]
-            for word, n in Counter(text.encode("utf-8", "replace").split()).items():
-                own[word] += n * weight
-        if sum(map(len, words.values())) > HELD_WORDS:
-            yield from emptied()
-    yield from emptied()
+    known: list[pa.Table] = []
+
+    def joined() -> pa.Table:
+        words = pa.concat_tables(known)
+        return _summed(lang=words["lang"], word=words["word"], n=words["n"])
+
+    def emptied(words: pa.Table) -> Iterator[pa.RecordBatch]:
+        for lang in words["lang"].unique():
+            own = words.filter(pc.equal(words["lang"], lang))
+            for gram, pieces, n in _pieces(own["word"].to_pylist(), own["n"]):
+                names = pa.repeat(lang, len(pieces)), pa.repeat(pa.scalar(gram), len(pieces))
+                yield pa.RecordBatch.from_arrays([*names, pa.array(pieces, pa.string()), n], ["lang", "gram", "piece", "n"])
+
+    for batch, _ in bites(batches):
+        known.append(_words(batch))
+        if sum(table.nbytes for table in known) > HELD_BYTES:
+            known = [joined()]
+            if known[0].nbytes > HELD_BYTES // 2:
+                yield from emptied(known.pop())
+    if known:
+        yield from emptied(joined())
 
 
 def counted(labelled: DataFrame, text: str = "text", lang: str = "lang") -> DataFrame:
@@ -204,38 +237,67 @@ class Parser:
         self.names = list(samples)
         self.automata = [suffix_automaton(sample) for sample in samples.values()]
         self.bits = np.log2([max(LEAST_CHARS, len(sample)) for sample in samples.values()])
-        self.rows: dict[bytes, int] = {}
+        self.rows: dict[str, int] = {}
         # Phrases of a word in each language, and its characters.
         self.most = max(2 * STEP, min(REMEMBERED, REMEMBERED_COUNTS // (len(self.names) + 1)))
+        self.step = min(self.most // 2, max(STEP, STEP_COUNTS // (len(self.names) + 1)))
         self.counts = np.zeros((self.most, len(self.names) + 1))
 
-    def _row(self, word: bytes) -> int:
-        row = self.rows.get(word)
+    def _places(self, words: list[str]) -> np.ndarray:
+        """Rows of `counts` of different words, no more than it has."""
+        # Words that differ in capitals and in what is no letter are parsed alike.
+        plains = _plains(words)
+        places = list(map(self.rows.get, plains))
+        if len(self.rows) + places.count(None) > self.most:
+            self.rows.clear()
+            places = [None] * len(words)
+        for at, place in enumerate(places):
+            if place is None:
+                places[at] = self._row(plains[at])
+        return np.array(places, np.int64)
+
+    def _row(self, plain: str) -> int:
+        row = self.rows.get(plain)
         if row is None:
-            row = self.rows[word] = len(self.rows)
-            text = OTHER.sub(" ", f" {word.decode('utf-8', 'replace').lower()} ")
-            if text == " ":
-                self.counts[row] = 0
-            else:
-                self.counts[row] = [*(phrases(arcs, text) for arcs in self.automata), len(text)]
+            row = self.rows[plain] = len(self.rows)
+            text = f" {plain} "
+            self.counts[row] = [*(phrases(arcs, text) for arcs in self.automata), len(text)] if plain else 0
         return row
 
-    def cost(self, text: str) -> tuple[np.ndarray, float]:
-        """Bits of a text in each language, and its characters."""
-        words, total = text.encode("utf-8", "replace").split(), np.zeros(len(self.names) + 1)
-        for at in range(0, len(words), STEP):
-            if len(self.rows) > self.most - STEP:
-                self.rows.clear()
-            total += self.counts[list(map(self._row, words[at : at + STEP]))].sum(axis=0)
-        return total[:-1] * self.bits, total[-1]
-
-    def predict(self, text: str | None) -> tuple[str, float, float | None]:
-        if not self.names or text is None or not LETTER.search(text):
-            return UNKNOWN, 0.0, None
-        cost, size = self.cost(text)
-        best = int(cost.argmin())
-        share = float(1 / np.exp2(np.maximum(cost[best] - cost, -1000)).sum())
-        return self.names[best], share, float(cost[best] / max(1, size))
+    def costs(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Bits of each text in each language, and its characters."""
+        split = pc.ascii_split_whitespace(pa.array(texts, pa.large_string()))
+        words, row = split.flatten(), pc.list_parent_indices(split).to_numpy()
+        total = np.zeros((len(texts), len(self.names) + 1))
+        for at in range(0, len(words), self.step):
+            coded, own = words.slice(at, self.step).dictionary_encode(), row[at : at + self.step]
+            counts = self.counts[self._places(coded.dictionary.to_pylist())[coded.indices.to_numpy()]]
+            first = np.flatnonzero(np.diff(own, prepend=-1))
+            total[own[first]] += np.add.reduceat(counts, first, axis=0)
+        return total[:, :-1] * self.bits, total[:, -1]
+
+    def predictions(self, texts: list[str | None]) -> Iterator[tuple[str, float, float | None]]:
+        """Language, score and bits a character of each text."""
+        plain = [text if self.names and text is not None and LETTER.search(text) else None for text in texts]
+        begin, size = 0, 0
+        for end, text in enumerate([*plain, None], 1):
+            size += len(text or "")
+            if size >= AT_ONCE or end > len(plain):
+                yield from self._predicted(plain[begin:end])
+                begin, size = end, 0
+
+    def _predicted(self, texts: list[str | None]) -> list[tuple[str, float, float | None]]:
+        found: list[tuple[str, float, float | None]] = [(UNKNOWN, 0.0, None)] * len(texts)
+        parsed = [at for at, text in enumerate(texts) if text is not None]
+        if parsed:
+            cost, size = self.costs([texts[at] for at in parsed])
+            best = cost.argmin(axis=1)
+            least = cost[np.arange(len(best)), best]
+            share = 1 / np.exp2(np.maximum(least[:, None] - cost, -1000)).sum(axis=1)
+            bits = least / np.maximum(1, size)
+            for at, *one in zip(parsed, best.tolist(), share.tolist(), bits.tolist()):
+                found[at] = (self.names[one[0]], one[1], one[2])
+        return found
 
 
 def _parser(samples: dict[str, str]) -> Parser:
@@ -252,7 +314,7 @@ def predicted(spark: SparkSession, samples: dict[str, str], text: str | Column =
     def parse(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         parser = _parser(sent.value)
         for texts in batches:
-            yield pd.DataFrame([parser.predict(t) for t in texts], columns=["lang", "score", "bits"])
+            yield pd.DataFrame(list(parser.predictions(texts.tolist())), columns=["lang", "score", "bits"])
 
     return parse(F.col(text) if isinstance(text, str) else text)
 
