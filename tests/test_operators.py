@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tidemark.functions.hashing import hash_diff
 from tidemark.functions.keys import with_dense_key
 from tidemark.functions.times import FIRST_MARK, ntz
-from tidemark.operators import quality, state
+from tidemark.operators import quality, star, state
 from tidemark.operators.dedup import latest_per_key, latest_per_key_by_max
 from tidemark.operators.intervals import Buckets, choose_buckets, join_valid
 from tidemark.operators.skew import Ordered, hot_keys, join_lookup
@@ -269,3 +269,29 @@ def test_jdbc_scan_is_split_by_the_range_of_its_column(spark):
 
 def test_shared_root_is_the_configured_folder(spark):
     assert shared_root(spark) == shared_root(spark)
+
+
+def test_facts_are_numbered_by_date(spark):
+    """Months lie together in the numbered rows, whose writer need not gather them again."""
+    rows = [(f"o{n % 97}", 20240000 + 100 * (n % 5 + 1) + n % 3 if n % 11 else None, n % 2) for n in range(400)]
+    facts = spark.createDataFrame(rows, "order_id string, date_sk int, quantity int")
+    found = star.with_fact_key(facts).orderBy("sales_sk").collect()
+    assert [r["sales_sk"] for r in found] == list(range(1, 401))
+    dates = [r["date_sk"] or 0 for r in found]
+    assert dates == sorted(dates) and Counter((r["order_id"], r["date_sk"], r["quantity"]) for r in found) == Counter(rows)
+
+
+@pytest.mark.parametrize("key, time", [("int", "timestamp_ntz"), ("long", "date"), ("int", "date")])
+def test_running_join_keeps_columns_and_types(spark, key, time):
+    """Key and time come back in their place and type, whether versions have the same type or not."""
+    rows = [(n, n % 3 if n % 7 else None, DAY + timedelta(days=n) if n % 5 else None) for n in range(30)]
+    facts = spark.createDataFrame(rows, "n int, k int, at timestamp_ntz")
+    facts = facts.select("n", F.col("k").cast(key).alias("k"), F.col("at").cast(time).alias("at"))
+    spans = [(k, DAY + timedelta(days=d), DAY + timedelta(days=d + 6), f"{k}-{d}") for k in range(3) for d in range(0, 24, 6)]
+    versions = spark.createDataFrame(spans, "k int, start_date timestamp_ntz, end_date timestamp_ntz, name string")
+    found = join_as_of(facts, versions, "k", "at", ["name"], "running")
+    assert found.schema.names == [*facts.columns, "name"]
+    assert [f.dataType for f in found.schema][:3] == [f.dataType for f in facts.schema]
+    name = lambda k, at: next((v[3] for v in spans if v[0] == k and at is not None and v[1] <= at < v[2]), None)
+    assert {(r["n"], r["name"]) for r in found.collect()} == {(n, name(k, at)) for n, k, at in rows}
+    assert sorted(map(str, found.drop("name").collect())) == sorted(map(str, facts.collect()))

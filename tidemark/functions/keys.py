@@ -43,7 +43,8 @@ def with_dense_key(
         .withColumn("_place", F.monotonically_increasing_id())
         .withColumn("_part", F.shiftright("_place", ROWS_PER_PARTITION_BITS))
         .withColumn("_row", F.col("_place").bitwiseAND(F.lit((1 << ROWS_PER_PARTITION_BITS) - 1)))
-        .drop("_place")
+        .drop("_place"),
+        "zstd",
     )
     # One row per partition: bounded by the partition count, whatever the data size.
     sizes = placed.groupBy("_part").agg(F.count(F.lit(1)).alias("_size"))

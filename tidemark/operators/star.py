@@ -71,6 +71,7 @@ def sales_facts(
     """
     used = [*grain, "customer_id", "product_id", "order_date", "quantity", "total_amount"]
     dated = with_date(with_product(orders.select(*used), products), dates)
+    dated = dated.select(*[name for name in used if name != "product_id"], "product_sk", "date_sk")
     joined = join_as_of(dated, customers, "customer_id", "order_date", ["customer_sk"], how)
     return joined.select(*grain, "customer_sk", "product_sk", "date_sk", "quantity", "total_amount")
 
@@ -84,5 +85,8 @@ def unmatched_facts(facts: DataFrame) -> DataFrame:
 
 
 def with_fact_key(facts: DataFrame, name: str = "sales_sk") -> DataFrame:
-    """Number the facts: a grain that occurs twice, or not at all, still gets a key of its own for each row."""
-    return with_dense_key(facts, facts.columns, name)
+    """Number the facts: a grain that occurs twice, or not at all, still gets a key of its own for each row.
+
+    Numbers ascend with the date, so that the numbered rows lie together by month.
+    """
+    return with_dense_key(facts, ["date_sk", *[column for column in facts.columns if column != "date_sk"]], name)

@@ -36,6 +36,11 @@ def _running_join(facts: DataFrame, versions: DataFrame, key: str, time: str, ca
     At equal times versions come first; a fact without a time sorts before all of them.
     """
     held = list(dict.fromkeys([*carry, "end_date"]))
+    # Key and time travel once, unless the union gives them another type.
+    kind = lambda df, name: df.select(name).schema[0].dataType
+    twice = (key, key, key), (time, "start_date", "_at")
+    once = {c: union for c, start, union in twice if kind(facts, c) == kind(versions, start)}
+    packed = [c for c in facts.columns if c not in once] or facts.columns
     starts = versions.select(
         key,
         F.col("start_date").alias("_at"),
@@ -46,14 +51,15 @@ def _running_join(facts: DataFrame, versions: DataFrame, key: str, time: str, ca
         key,
         F.col(time).alias("_at"),
         F.lit(1).alias("_kind"),
-        F.struct(*facts.columns).alias("_fact"),
+        F.struct(*packed).alias("_fact"),
     )
     both = starts.unionByName(placed, allowMissingColumns=True)
     rows = Ordered.by(both, key, ("_at", "_kind")).latest("_version", "_found")
     found = rows.frame().filter(F.col("_kind") == 1)
     until = F.col("_found.end_date")
     valid = until.isNull() | (F.col("_at") < until)
-    return found.select("_fact.*", *[F.when(valid, F.col(f"_found.{name}")).alias(name) for name in carry])
+    own = [F.col(f"_fact.{c}" if c in packed else once[c]).alias(c) for c in facts.columns]
+    return found.select(*own, *[F.when(valid, F.col(f"_found.{name}")).alias(name) for name in carry])
 
 
 def _ordered_join(

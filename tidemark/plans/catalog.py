@@ -516,6 +516,8 @@ def _star_feeds(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
     sales = given.sales_orders(spark, sf)
     line = F.concat_ws("-", "order_id", "l_linenumber").alias("order_id")
     orders = sales.select(line, "customer_id", "product_id", "order_date", "quantity", "total_amount")
+    # A feed is a table: lines and orders are joined once for all its readers.
+    orders = settle(orders, "zstd")
     return orders, given.product_feed(spark, sf).filter(F.col("product_id") % 10 != 3)
 
 

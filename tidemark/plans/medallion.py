@@ -407,7 +407,7 @@ def _load_star(
     state = _append_part(wh, state, schemas.select_to_schema(fresh, schemas.DIM_DATE), DATES, run_id)
 
     rows = _fact_rows(wh, state, orders, layout, grain, how, now)
-    written = wh.write_parts(rows.withColumn(PART, _month()), FACTS, run_id)
+    written = wh.write_parts(rows.withColumn(PART, _month()), FACTS, run_id, gathered=True)
     state = state.replaced(FACTS, state.parts(FACTS), written, run_id)
     return wh.publish(_based(wh, state, run_id), run_id)
 
@@ -424,7 +424,7 @@ def _month() -> Column:
 def _fact_rows(
     wh: Warehouse, state: State, orders: DataFrame, layout: Layout, grain: Sequence[str], how: str, now: Column, after: int = 0
 ) -> DataFrame:
-    """Facts of the orders with keys that follow on `after`."""
+    """Facts of the orders with keys that follow on `after`, in a written table sorted by date."""
     facts = star.sales_facts(
         orders,
         wh.read(state, CUSTOMERS, layout.dimension),
@@ -496,6 +496,6 @@ def _refresh_facts(
         near = orders.filter((F.col("order_date") >= ntz(first)) & (F.col("order_date") < ntz(last + timedelta(days=31))))
         mine = near.filter(F.date_format("order_date", "yyyyMM").isin(sorted(months)))
         rows = _fact_rows(wh, state, mine, layout, grain, how, ntz(as_of), after)
-        written = wh.write_parts(rows.withColumn(PART, _month()), FACTS, run_id)
+        written = wh.write_parts(rows.withColumn(PART, _month()), FACTS, run_id, gathered=True)
         state = state.replaced(FACTS, months, written, run_id)
     return wh.publish(_based(wh, state, run_id), run_id)

@@ -169,14 +169,15 @@ class Warehouse:
         )
         return reader.option("basePath", self.path(table)).parquet(*folders).drop("run_id")
 
-    def write_parts(self, df: DataFrame, table: str, run_id: str) -> set[str]:
+    def write_parts(self, df: DataFrame, table: str, run_id: str, gathered: bool = False) -> set[str]:
         """Write a frame with a part column under the run; return the parts it has.
 
         The rebalance hint lets adaptive execution split large parts and join small ones into
-        files of even size.
+        files of even size. Rows that are `gathered`, those of a part in few tasks, are written where they are.
         """
         path = f"{self.path(table)}/run_id={run_id}"
-        df.hint("rebalance", PART).write.mode("overwrite").partitionBy(PART).parquet(path)
+        df = df if gathered else df.hint("rebalance", PART)
+        df.write.mode("overwrite").partitionBy(PART).parquet(path, compression="zstd")
         names = self._names(f"{table}/run_id={run_id}")
         return {unquote(name.removeprefix(f"{PART}=")) for name in names if name.startswith(f"{PART}=")}
 
