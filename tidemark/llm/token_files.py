@@ -38,8 +38,9 @@ from tidemark.session import work_folder
 BLOCK = 1 << 16
 LEVEL = 3
 END = 0
-# Characters encoded at a time. Slots for words whose ids a task remembers, until 5 of 8 are taken.
-AT_ONCE, SLOTS = 1 << 19, 1 << 22
+# Characters encoded at a time. Slots for words whose ids a task remembers, until 5 of 8 are taken: then those go that
+# were not met again. A batch, or a text of up to twice its size, has fewer words than 3 of 8 slots.
+AT_ONCE, SLOTS = 1 << 18, 1 << 21
 # Longer words, in bytes, are not told apart by their hash.
 LONGEST = 64
 # Where a text may be cut: before one blank or line feed between other characters, after such a line
@@ -72,7 +73,16 @@ class Encoder:
         self.table = HashTable(SLOTS)
         self.ids, self.n_ids = np.zeros(1 << 20, "<u4"), 0
         # Where a remembered part's ids start and how many they are; -1: its text needs more care.
-        self.start, self.count = np.zeros(1 << 16, np.int64), np.zeros(1 << 16, np.int32)
+        self.start, self.count = np.zeros(SLOTS, np.int64), np.zeros(SLOTS, np.int32)
+        self.again = np.zeros(SLOTS, bool)
+
+    def _thin(self) -> None:
+        """Forget parts not met again since they were remembered or kept; all parts, if that leaves most of them."""
+        keys, kept = self.table.in_order(), np.flatnonzero(self.again[: self.table.n])
+        ids, start, count = self.ids, self.start[kept], self.count[kept]
+        self._forget()
+        if 2 * len(kept) <= len(keys):
+            self._store(keys[kept], count, ids[_places(start, np.maximum(count, 0))])
 
     def _coded(self, pieces: list[str]) -> list[list[int]]:
         return [found.ids for found in self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]
@@ -121,12 +131,13 @@ class Encoder:
 
     def _remember(self, keys: np.ndarray, listed: list[list[int] | None]) -> None:
         counts = np.array([-1 if ids is None else len(ids) for ids in listed], np.int32)
-        flat = np.array([i for ids in listed if ids for i in ids], "<u4")
-        if self.table.n + len(keys) > len(self.start):
-            room = 2 * (self.table.n + len(keys))
-            self.start, self.count = np.resize(self.start, room), np.resize(self.count, room)
+        self._store(keys, counts, np.array([i for ids in listed if ids for i in ids], "<u4"))
+
+    def _store(self, keys: np.ndarray, counts: np.ndarray, flat: np.ndarray) -> None:
         if self.n_ids + len(flat) > len(self.ids):
-            self.ids = np.resize(self.ids, 2 * (self.n_ids + len(flat)))
+            larger = np.zeros(2 * (self.n_ids + len(flat)), "<u4")
+            larger[: self.n_ids] = self.ids[: self.n_ids]
+            self.ids = larger
         new = slice(self.table.n, self.table.n + len(keys))
         self.ids[self.n_ids : self.n_ids + len(flat)] = flat
         sizes = np.maximum(counts, 0)
@@ -139,7 +150,7 @@ class Encoder:
         if len(texts) == 1 and len(texts[0]) > 2 * AT_ONCE:
             return [self._careful(texts[0])]
         if 8 * self.table.n > 5 * SLOTS:
-            self._forget()
+            self._thin()
         coded = [text.encode("utf-8", "replace") for text in texts]
         whole = b"".join(coded)
         data = np.frombuffer(whole, np.uint8)
@@ -154,6 +165,7 @@ class Encoder:
         keys = stretch_hashes(data, start, end)
         keys = np.where(head, mixed(keys + BASE), keys) | np.uint64(1)
         found = self.table.find(keys)
+        self.again[found[found >= 0]] = True
         uneven = np.zeros(len(texts), bool)
         uneven |= (start[first] == end[first]) & (stop > begin)
         of = np.repeat(np.arange(len(texts)), parts)
@@ -171,7 +183,7 @@ class Encoder:
         uneven[of[count < 0]] = True
         count = np.maximum(count, 0)
         after = np.cumsum(count)
-        ids = self.ids[np.repeat(self.start[found] - (after - count), count) + np.arange(after[-1] if len(after) else 0)]
+        ids = self.ids[_places(self.start[found], count)]
         octets, ends = ids.tobytes(), after[first + parts - 1].tolist()
         out = [octets[4 * a : 4 * b] for a, b in zip([0, *ends], ends)]
         for at in np.flatnonzero(uneven).tolist():
@@ -179,6 +191,12 @@ class Encoder:
         return out
 
 
+def _places(start: np.ndarray, count: np.ndarray) -> np.ndarray:
+    """Each place of the stretches that start there and are so long, one stretch after the other."""
+    after = np.cumsum(count)
+    return np.repeat(start - (after - count), count) + np.arange(after[-1] if len(after) else 0)
+
+
 def _encoder(path: str) -> Encoder:
     return held(("encoder", path), lambda: Encoder(path))
 
