@@ -1,6 +1,9 @@
 """What a task holds: bounded, and enough to go on with."""
 
-from tidemark.llm import token_files
+import random
+
+from tidemark.llm import graph, token_files
+from tidemark.llm.text import settle
 
 
 def test_encoder_forgets_words_that_do_not_come_again(monkeypatch):
@@ -20,3 +23,17 @@ def test_encoder_forgets_words_that_do_not_come_again(monkeypatch):
         assert octets == b"".join(i.to_bytes(4, "little") for i in ids)
         assert encoder.table.n <= len(encoder.start) == 1 << 10
     assert all(asked.count(word) == 1 for word in common)
+
+
+def test_components_are_known_without_a_round_that_changes_nothing(spark, monkeypatch):
+    """Stars are told by one grouped table; chains, rings and repeated links come to their smallest node."""
+    edges, written = [(7, 3), (3, 9), (3, 9), (4, 4)], []
+    monkeypatch.setattr(graph, "settle", lambda df: (written.append(df), settle(df))[1])
+    found = graph.components(spark.createDataFrame(edges, "u long, v long"))
+    assert {tuple(r) for r in found.collect()} == {(3, 3), (7, 3), (9, 3)} and len(written) == 2
+    rng = random.Random(5)
+    chain = rng.sample(range(100, 400), 300)
+    edges = [*zip(chain, chain[1:]), *((a, 500 + (a - 499) % 50) for a in range(500, 550)), (1, 2), (2, 1)]
+    found = {r["node"]: r["root"] for r in graph.components(spark.createDataFrame(edges, "u long, v long")).collect()}
+    assert found == {n: 100 for n in chain} | {n: 500 for n in range(500, 550)} | {1: 1, 2: 1}
+    assert graph.components(spark.createDataFrame([], "u long, v long")).count() == 0

@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.bloom import fill, passes, words_for
 from tidemark.llm.graph import components
-from tidemark.llm.text import settle, table, with_package
+from tidemark.llm.text import in_few_tasks, settle, table, with_package
 from tidemark.llm.tokens import bites, mixed, release, shingles, word_hashes
 
 WIDTH = 5
@@ -49,8 +49,10 @@ SMALL = 64
 SLOTS = 1 << 20
 # Classes with one shingle that a task joins with others.
 BLOCK = 2048
-# Classes to be compared up to this many are held as bits (60 MB) to pick out their texts before the shuffle.
-MOST_ASKED = 50_000_000
+# Classes to be compared up to these many are broadcast (2 MB), or held as bits (60 MB), to pick out their texts before the shuffle.
+FEW_ASKED, MOST_ASKED = 50_000, 50_000_000
+# Texts, or pairs of them, that a task should have at least.
+TEXTS = 2_000
 _SEEDS = np.random.default_rng(11).integers(1, 1 << 63, 2 * SIDE * JOINED, dtype=np.uint64)
 
 ROWS = "doc_id long, text_hash long, n_shingles long, class binary, hashes array<long>"
@@ -104,22 +106,24 @@ def _candidates(classes: DataFrame) -> tuple[DataFrame, DataFrame | None]:
     """
     rows = classes.select("node", "hashes", F.explode(F.sequence(F.lit(0), F.lit(SIDE * SIDE - 1))).alias("table"))
     rows, pairs, large = rows.select(_key(F.lit(0), F.col("table"), 0).alias("key"), "node"), [], None
-    last = (SIDE - 1) // STEP + 1
+    last, n = (SIDE - 1) // STEP + 1, None
     for level in range(last + 1):
         heads = rows.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("node").alias("head"))
-        heads = settle(heads.filter("n > 1"))
-        shared = settle(rows.join(heads, "key"))
+        heads = heads.filter("n > 1")
+        heads = settle(in_few_tasks(heads, n) if level else heads)
+        shared = rows.join(heads, "key")
+        shared = settle(in_few_tasks(shared, 2 * n) if level else shared)
         few = shared.filter(F.col("n") <= SMALL).select("key", "node")
         others = few.select("key", F.col("node").alias("b"))
-        pairs.append(few.join(others, "key").filter("node < b").select(F.col("node").alias("a"), "b").distinct())
+        pairs.append(few.join(others, "key").filter("node < b").select(F.col("node").alias("a"), "b"))
         many = shared.filter(F.col("n") > SMALL)
-        pairs.append(many.filter("head < node").select(F.col("head").alias("a"), F.col("node").alias("b")).distinct())
-        if level == last or not many.head(1):
+        pairs.append(many.filter("head < node").select(F.col("head").alias("a"), F.col("node").alias("b")))
+        if level == last or not (n := many.count()):
             break
         large = many.select("key", "node") if large is None else large
         rows = many.select("node", "key").join(classes.select("node", "hashes"), "node")
         table = F.col("key").bitwiseAND(F.lit(TABLES - 1))
-        rows = rows.select(_key(F.col("key"), table, 1 + level * STEP).alias("key"), "node")
+        rows = settle(rows.select(_key(F.col("key"), table, 1 + level * STEP).alias("key"), "node"))
     found = pairs[0]
     for more in pairs[1:]:
         found = found.unionByName(more)
@@ -143,12 +147,15 @@ def _texts(nodes: DataFrame, classes: DataFrame, docs: DataFrame, doc_id: str, t
         F.coalesce(F.xxhash64(text), F.lit(0)).alias("hash"),
         F.col(text).alias("text"),
     )
-    if (n := asked.count()) <= MOST_ASKED:
+    if (n := asked.count()) <= FEW_ASKED:
+        asked = F.broadcast(asked)
+    elif n <= MOST_ASKED:
         bits = fill(asked.select(F.col("text_hash").alias("key")), 1, words_for(n))
         known = known.filter(passes(F.col("hash"), 1, words_for(n), bits))
     same = (F.col("hash") == F.col("text_hash")) & F.col("of").eqNullSafe(F.col("id"))
     # Rows equal in id and text give the same text; one of them is enough.
-    return settle(asked.join(known, same).groupBy("node").agg(F.any_value("text").alias("text")))
+    found = asked.join(known, same).groupBy("node").agg(F.any_value("text").alias("text"))
+    return settle(in_few_tasks(found, n, TEXTS))
 
 
 def _confirmed(pairs: DataFrame, classes: DataFrame, docs: DataFrame, doc_id: str, text: str) -> DataFrame:
@@ -179,17 +186,17 @@ def _confirmed(pairs: DataFrame, classes: DataFrame, docs: DataFrame, doc_id: st
             )
 
     with_package(docs.sparkSession)
-    return settle(both.select("a", "b", "text_a", "text_b").mapInArrow(compared, "u long, v long"))
+    both = in_few_tasks(both.select("a", "b", "text_a", "text_b"), pairs.count(), TEXTS)
+    return settle(both.mapInArrow(compared, "u long, v long"))
 
 
-def _open(large: DataFrame, classes: DataFrame, links: DataFrame) -> DataFrame:
+def _open(large: DataFrame, placed: DataFrame) -> DataFrame:
     """Frame (node, root) of the classes in large buckets that hold more than one component."""
-    roots = settle(components(links))
-    placed = classes.select("node").join(roots, "node", "left").select("node", F.coalesce("root", "node").alias("root"))
-    placed = settle(large.join(settle(placed), "node"))
+    placed = settle(large.join(placed, "node"))
+    n = placed.count()
     parted = placed.groupBy("key").agg(F.min("root").alias("least"), F.max("root").alias("most"))
-    parted = settle(parted.filter("least < most").select("key"))
-    return settle(placed.join(parted, "key", "left_semi").select("node", "root").distinct())
+    parted = settle(in_few_tasks(parted.filter("least < most").select("key"), n))
+    return settle(in_few_tasks(placed.join(parted, "key", "left_semi").select("node", "root").distinct(), n))
 
 
 def _rest(nodes: DataFrame, texts: DataFrame) -> DataFrame:
@@ -238,8 +245,9 @@ def _rest(nodes: DataFrame, texts: DataFrame) -> DataFrame:
         F.max("root").alias("most"),
     )
     blocks = F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks")
-    groups = settle(groups.filter("early > 0 AND least < most").select("shingle", blocks))
-    rows = settle(rows.join(groups, "shingle").withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")))
+    n = rows.count()
+    groups = settle(in_few_tasks(groups.filter("early > 0 AND least < most").select("shingle", blocks), n))
+    rows = settle(in_few_tasks(rows.join(groups, "shingle"), 2 * n).withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")))
     every = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
     of = ["shingle", "own", "other"]
     one = rows.filter(early).withColumn("other", every)
@@ -258,17 +266,27 @@ def _slots(hashes: np.ndarray) -> np.ndarray:
     return (mixed(hashes) % np.uint64(SLOTS)).astype(np.int64)
 
 
-def _links(classes: DataFrame, docs: DataFrame, doc_id: str, text: str) -> DataFrame:
-    """Links (u, v) that join the components: of pairs that share a key, and of what is left of large buckets."""
+def _roots(classes: DataFrame, docs: DataFrame, doc_id: str, text: str) -> DataFrame:
+    """Frame (node, root) of all classes, by the links of pairs that share a key and of what is left of large buckets.
+
+    What is left links components, so that only their roots are joined again.
+    """
     pairs, large = _candidates(classes)
-    links = _confirmed(pairs, classes, docs, doc_id, text)
+    roots = components(_confirmed(pairs, classes, docs, doc_id, text))
+    placed = classes.select("node").join(roots, "node", "left").select("node", F.coalesce("root", "node").alias("root"))
+    placed = settle(placed)
     if large is None:
-        return links
-    nodes = _open(large, classes, links)
+        return placed
+    nodes = _open(large, placed)
     if not nodes.head(1):
-        return links
+        return placed
     rest = _rest(nodes, _texts(nodes.select("node"), classes, docs, doc_id, text))
-    return links.unionByName(_confirmed(rest, classes, docs, doc_id, text))
+    links = _confirmed(rest, classes, docs, doc_id, text)
+    links = links.join(nodes.select(F.col("node").alias("u"), F.col("root").alias("root_u")), "u")
+    links = links.join(nodes.select(F.col("node").alias("v"), F.col("root").alias("root_v")), "v")
+    tops = components(links.select(F.col("root_u").alias("u"), F.col("root_v").alias("v")))
+    tops = tops.select(F.col("node").alias("root"), F.col("root").alias("top"))
+    return settle(placed.join(tops, "root", "left").select("node", F.coalesce("top", "root").alias("root")))
 
 
 def _sets(texts: list[str]) -> list[np.ndarray]:
@@ -292,9 +310,8 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
         "class", "least", "least.doc_id", "least.text_hash", "hashes", F.monotonically_increasing_id().alias("node")
     )
     classes = settle(classes)
-    roots = settle(components(_links(classes, docs, doc_id, text)))
-    placed = classes.select("class", "least", "node").join(roots, "node", "left")
-    placed = settle(placed.select("class", "least", F.coalesce("root", "node").alias("root")))
+    placed = classes.select("class", "least", "node").join(_roots(classes, docs, doc_id, text), "node")
+    placed = settle(placed.select("class", "least", "root"))
     least = settle(placed.groupBy("root").agg(F.min("least").alias("first")))
     first = settle(placed.join(least, "root").select(F.col("class").alias("of"), "first"))
     found = rows.join(first, F.col("class") == F.col("of"), "left")
