@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.text import settle, table, with_package
-from tidemark.llm.tokens import BASE, HashTable, held, mixed, stretch_hashes
+from tidemark.llm.tokens import BASE, HashTable, held, mixed, release, stretch_hashes
 from tidemark.session import work_folder
 
 BLOCK = 1 << 16
@@ -284,6 +284,7 @@ def read_pieces(chunks: DataFrame) -> DataFrame:
     """What each chunk has of each document: position, number of ids and their crc32."""
 
     def decoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         names = [field.split()[0] for field in PIECES.split(", ")]
         kinds = [pa.int32(), *[pa.int64()] * (len(names) - 1)]
         for batch in batches:
