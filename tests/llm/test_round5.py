@@ -25,6 +25,30 @@ def test_encoder_forgets_words_that_do_not_come_again(monkeypatch):
     assert all(asked.count(word) == 1 for word in common)
 
 
+def test_encoder_asks_for_new_words_together(monkeypatch):
+    """New words, with signs or line feeds in them too, come to the tokenizer in few texts; ids are the tokenizer's."""
+    from tokenizers import Tokenizer
+
+    path, asked = token_files.tokenizer_path(), []
+    plain, encoder = Tokenizer.from_file(path), token_files.Encoder(path)
+    ask = encoder._coded
+    monkeypatch.setattr(encoder, "_coded", lambda pieces: (asked.extend(pieces), ask(pieces))[1])
+    forms = "né{}w, x{}.\nY '{}'s ({}) 中{}<|endoftext|> \u0120{} <|endoftext|>{}".split(" ")
+    texts = [" ".join(["start", *(form.format(i) for form in forms for i in range(at, at + 100))]) for at in (0, 50, 100)]
+    for text, octets in zip(texts, encoder.encode(texts)):
+        assert octets == b"".join(i.to_bytes(4, "little") for i in plain.encode(text, add_special_tokens=False).ids)
+    assert len(asked) <= 200 * len(forms) // 50
+
+
+def test_encoder_without_tokens_that_begin_with_a_blank():
+    """Words that can't be told apart by their tokens are asked for one by one."""
+    encoder = token_files.Encoder(token_files.tokenizer_path())
+    expected = encoder.encode(["some words, and 2 more"])
+    encoder._forget()
+    encoder.blank[:] = False
+    assert encoder.encode(["some words, and 2 more"]) == expected
+
+
 def test_components_are_known_without_a_round_that_changes_nothing(spark, monkeypatch):
     """Stars are told by one grouped table; chains, rings and repeated links come to their smallest node."""
     edges, written = [(7, 3), (3, 9), (3, 9), (4, 4)], []

@@ -23,6 +23,7 @@ import zlib
 from array import array
 from collections.abc import Iterator
 from functools import cache
+from itertools import chain, compress
 
 import numpy as np
 import pyarrow as pa
@@ -41,6 +42,8 @@ END = 0
 # Characters encoded at a time. Slots for words whose ids a task remembers, until 5 of 8 are taken: then those go that
 # were not met again. A batch, or a text of up to twice its size, has fewer words than 3 of 8 slots.
 AT_ONCE, SLOTS = 1 << 18, 1 << 21
+# Words that the tokenizer is given as one text: with more, or each by itself, it takes longer for a word.
+TOGETHER = 100
 # Longer words, in bytes, are not told apart by their hash.
 LONGEST = 64
 # Where a text may be cut: before one blank or line feed between other characters, after such a line
@@ -67,6 +70,9 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        vocabulary = self.tokenizer.get_vocab()
+        self.blank = np.zeros(max(vocabulary.values()) + 1, bool)  # by id: does a token begin with a blank?
+        self.blank[[i for token, i in vocabulary.items() if token[:1] == "\u0120"]] = True
         self._forget()
 
     def _forget(self) -> None:
@@ -94,44 +100,34 @@ class Encoder:
         known.update(zip(known, self._coded(list(known))))
         return array("I", [i for piece in pieces for i in known[piece]]).tobytes()
 
-    def _letters(self, words: list[str]) -> list[list[int]]:
-        """Ids of words of letters only, after a blank: each is a unit of its own to the tokenizer."""
-        found = self.tokenizer.encode(" " + " ".join(words), add_special_tokens=False)
-        first = np.flatnonzero(np.diff(np.array(found.word_ids, np.int64), prepend=-1)).tolist()
-        if len(first) != len(words):  # a letter that the tokenizer does not hold for one
-            return self._coded([" " + word for word in words])
-        ids = found.ids
-        return [ids[a:b] for a, b in zip(first, [*first[1:], len(ids)])]
-
-    def _parts(self, parts: list[str], heads: list[bool]) -> list[list[int] | None]:
-        """Ids of parts; all but heads stand after a blank. None: white space at an end."""
-        plain = {part for part, head in zip(parts, heads) if not head and part.isalpha()}
-        cut = [
-            None if part in plain and not head else INNER.split(part) if part and part == part.strip() else []
-            for part, head in zip(parts, heads)
-        ]
-        for at, head in enumerate(heads):
-            if not head and cut[at] and not cut[at][0].isalpha():
-                cut[at][0] = " " + cut[at][0]
-        blank = [not head and bool(c) and c[0].isalpha() for c, head in zip(cut, heads)]
-        first = plain | {c[0] for c, b in zip(cut, blank) if b}
-        words = list(first)
-        letters = dict(zip(words, self._letters(words) if words else []))
-        rest = list({core for c, b in zip(cut, blank) for core in (c or [])[b:]})
-        cores = dict(zip(rest, self._coded(rest)))
-        out: list[list[int] | None] = []
-        for part, head, c, b in zip(parts, heads, cut, blank):
-            if c is None:
-                out.append(letters[part])
-            elif not c:
-                out.append([] if head and not part else None)
-            else:
-                out.append([*(letters[c[0]] if b else ()), *(i for core in c[b:] for i in cores[core])])
-        return out
-
-    def _remember(self, keys: np.ndarray, listed: list[list[int] | None]) -> None:
-        counts = np.array([-1 if ids is None else len(ids) for ids in listed], np.int32)
-        self._store(keys, counts, np.array([i for ids in listed if ids for i in ids], "<u4"))
+    def _after_blanks(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """How many ids each word has after a blank, and all ids; no word is empty or has white space at an end.
+
+        Words are joined by blanks: a blank between other characters is the first of a token, and no other token has one.
+        """
+        joined = [" " + " ".join(words[at : at + TOGETHER]) for at in range(0, len(words), TOGETHER)]
+        ids = _flat(self._coded(joined))
+        first = np.flatnonzero(self.blank[ids])
+        if len(first) == len(words):
+            return np.diff(first, append=len(ids)), ids
+        each = self._coded([" " + word for word in words])  # a tokenizer with other tokens
+        return np.array([len(one) for one in each], np.int64), _flat(each)
+
+    def _parts(self, parts: list[str], heads: list[bool]) -> tuple[np.ndarray, np.ndarray]:
+        """How many ids each part has, and all ids; all but heads stand after a blank. -1: white space at an end."""
+        head = np.array(heads, bool)
+        even = np.array([bool(part) and part == part.strip() for part in parts], bool)
+        counts = np.full(len(parts), -1, np.int64)
+        counts[head & np.array([not part for part in parts], bool)] = 0
+        after, ids = self._after_blanks(list(compress(parts, even & ~head)))
+        first = self._coded(list(compress(parts, even & head)))
+        counts[even & ~head] = after
+        counts[even & head] = [len(one) for one in first]
+        # Where each part's ids lie among those of the parts after blanks and then of the heads.
+        order = np.concatenate([np.flatnonzero(even & ~head), np.flatnonzero(even & head)])
+        start = np.zeros(len(parts), np.int64)
+        start[order] = np.cumsum(counts[order]) - counts[order]
+        return counts, np.concatenate([ids, _flat(first)])[_places(start, np.maximum(counts, 0))]
 
     def _store(self, keys: np.ndarray, counts: np.ndarray, flat: np.ndarray) -> None:
         if self.n_ids + len(flat) > len(self.ids):
@@ -175,8 +171,7 @@ class Encoder:
         if len(missing):
             new, at = np.unique(keys[missing], return_index=True)
             at = missing[at]
-            words = [whole[a:b].decode("utf-8") for a, b in zip(start[at].tolist(), end[at].tolist())]
-            self._remember(new, self._parts(words, head[at].tolist()))
+            self._store(new, *self._parts(_strings(data, start[at], end[at]), head[at].tolist()))
             found[missing] = self.table.find(keys[missing])
         found[long] = found[~long][0] if (~long).any() else 0
         count = self.count[found]
@@ -197,6 +192,19 @@ def _places(start: np.ndarray, count: np.ndarray) -> np.ndarray:
     return np.repeat(start - (after - count), count) + np.arange(after[-1] if len(after) else 0)
 
 
+def _flat(listed: list[list[int]]) -> np.ndarray:
+    return np.fromiter(chain.from_iterable(listed), "<u4")
+
+
+def _strings(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> list[str]:
+    """Stretches of UTF-8 without a blank, as strings."""
+    size = end - start
+    after = np.cumsum(size + 1)
+    joined = np.full(after[-1], 32, np.uint8)
+    joined[_places(after - size - 1, size)] = data[_places(start, size)]
+    return joined.tobytes().decode("utf-8").split(" ")[:-1]
+
+
 def _encoder(path: str) -> Encoder:
     return held(("encoder", path), lambda: Encoder(path))
 
