@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.hashing import with_hash
+from tidemark.functions.keys import moved
 from tidemark.functions.times import ntz
 from tidemark.operators.skew import Ordered, hot_keys, join_lookup, prefix_sum, settle
 
@@ -83,7 +84,7 @@ def changed_windows(old: DataFrame, new: DataFrame, spec: History, version: str)
     Those are the windows of versions that only one of them has; equal versions cancel out in one grouped sum.
     """
     columns = [spec.key, version, "start_date", "end_date"]
-    sides = [df.select(*columns, F.lit(side).alias("side")) for df, side in ((old, -1), (new, 1))]
+    sides = [moved(df.select(*columns), version).withColumn("side", F.lit(side)) for df, side in ((old, -1), (new, 1))]
     differing = sides[0].unionByName(sides[1]).groupBy(*columns).agg(F.sum("side").alias("side")).filter("side <> 0")
     return differing.select(spec.key, "start_date", "end_date").distinct()
 

@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions.keys import date_key, natural_key, with_dense_key
+from tidemark.functions.keys import date_key, is_text, moved, natural_key, unpacked, with_grouped_key
 from tidemark.functions.times import calendar
 from tidemark.operators.quality import REASON
-from tidemark.operators.skew import join_lookup
+from tidemark.operators.skew import join_lookup, settle
 from tidemark.operators.temporal import join_as_of
 
 
@@ -66,16 +68,43 @@ def sales_facts(
     """Orders with the surrogate keys of customer version, product and date.
 
     All joins are outer: an order without a match keeps a NULL key, and as many rows leave as
-    came in while the dimensions are unique and validity windows do not overlap. Products and dates
-    are joined first, so that what goes through the ordered pass over versions is read once.
+    came in while the dimensions are unique and validity windows do not overlap. The ordered pass
+    over versions comes first, so that orders are counted by customer before any other join.
+    Keys that are text move as bytes.
     """
+    return _unpacked(_joined(orders, customers, products, dates, grain, how), customers, products)
+
+
+def numbered_facts(
+    orders: DataFrame,
+    customers: DataFrame,
+    products: DataFrame,
+    dates: DataFrame,
+    grain: tuple[str, ...],
+    how: str,
+    write: Callable[[DataFrame], DataFrame],
+) -> DataFrame:
+    """`sales_facts` with their number; `write` stores the joined rows. Keys that are text stay bytes up to the end."""
+    joined = write(_joined(orders, customers, products, dates, grain, how))
+    return _unpacked(_with_fact_key(joined, "sales_sk"), customers, products)
+
+
+def _joined(
+    orders: DataFrame, customers: DataFrame, products: DataFrame, dates: DataFrame, grain: tuple[str, ...], how: str
+) -> DataFrame:
     used = [*grain, "customer_id", "product_id", "order_date", "quantity", "total_amount"]
-    dated = with_date(with_product(orders.select(*used), products), dates)
-    dated = dated.select(*[name for name in used if name != "product_id"], "product_sk", "date_sk")
-    joined = join_as_of(dated, customers, "customer_id", "order_date", ["customer_sk"], how)
+    versions, sold = moved(customers, "customer_sk"), orders.select(*used)
+    sold = join_as_of(sold, versions, "customer_id", "order_date", ["customer_sk"], how)
+    dated = with_date(sold, dates).select(*grain, "customer_sk", "product_id", "date_sk", "quantity", "total_amount")
+    joined = with_product(dated, moved(products, "product_sk"))
     return joined.select(*grain, "customer_sk", "product_sk", "date_sk", "quantity", "total_amount")
 
 
+def _unpacked(facts: DataFrame, customers: DataFrame, products: DataFrame) -> DataFrame:
+    texts = [name for dim, name in ((customers, "customer_sk"), (products, "product_sk")) if is_text(dim, name)]
+    return facts.withColumns({name: unpacked(name) for name in texts})
+
+
 def unmatched_facts(facts: DataFrame) -> DataFrame:
     """How many facts have no customer version, product or date."""
     missing = {
@@ -89,4 +118,8 @@ def with_fact_key(facts: DataFrame, name: str = "sales_sk") -> DataFrame:
 
     Numbers ascend with the date, so that the numbered rows lie together by month.
     """
-    return with_dense_key(facts, ["date_sk", *[column for column in facts.columns if column != "date_sk"]], name)
+    return _with_fact_key(settle(facts, "zstd"), name)
+
+
+def _with_fact_key(written: DataFrame, name: str) -> DataFrame:
+    return with_grouped_key(written, ["date_sk", *[column for column in written.columns if column != "date_sk"]], name)

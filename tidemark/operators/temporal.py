@@ -40,7 +40,7 @@ def _running_join(facts: DataFrame, versions: DataFrame, key: str, time: str, ca
     kind = lambda df, name: df.select(name).schema[0].dataType
     twice = (key, key, key), (time, "start_date", "_at")
     once = {c: union for c, start, union in twice if kind(facts, c) == kind(versions, start)}
-    packed = [c for c in facts.columns if c not in once] or facts.columns
+    moved = {c: f"_fact_{c}" for c in facts.columns if c not in once}
     starts = versions.select(
         key,
         F.col("start_date").alias("_at"),
@@ -51,14 +51,14 @@ def _running_join(facts: DataFrame, versions: DataFrame, key: str, time: str, ca
         key,
         F.col(time).alias("_at"),
         F.lit(1).alias("_kind"),
-        F.struct(*packed).alias("_fact"),
+        *[F.col(c).alias(name) for c, name in moved.items()],
     )
     both = starts.unionByName(placed, allowMissingColumns=True)
     rows = Ordered.by(both, key, ("_at", "_kind")).latest("_version", "_found")
     found = rows.frame().filter(F.col("_kind") == 1)
     until = F.col("_found.end_date")
     valid = until.isNull() | (F.col("_at") < until)
-    own = [F.col(f"_fact.{c}" if c in packed else once[c]).alias(c) for c in facts.columns]
+    own = [F.col((moved | once)[c]).alias(c) for c in facts.columns]
     return found.select(*own, *[F.when(valid, F.col(f"_found.{name}")).alias(name) for name in carry])
 
 

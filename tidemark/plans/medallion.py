@@ -406,10 +406,12 @@ def _load_star(
     fresh = star.unseen(star.date_rows(star.order_dates(orders)), stored, "full_date")
     state = _append_part(wh, state, schemas.select_to_schema(fresh, schemas.DIM_DATE), DATES, run_id)
 
-    rows = _fact_rows(wh, state, orders, layout, grain, how, now)
+    rows = _fact_rows(wh, state, orders, layout, grain, how, now, run_id)
     written = wh.write_parts(rows.withColumn(PART, _month()), FACTS, run_id, gathered=True)
     state = state.replaced(FACTS, state.parts(FACTS), written, run_id)
-    return wh.publish(_based(wh, state, run_id), run_id)
+    state = wh.publish(_based(wh, state, run_id), run_id)
+    wh.drop_staged(run_id)
+    return state
 
 
 # Which run's part of the customer dimension facts were made from.
@@ -422,18 +424,29 @@ def _month() -> Column:
 
 
 def _fact_rows(
-    wh: Warehouse, state: State, orders: DataFrame, layout: Layout, grain: Sequence[str], how: str, now: Column, after: int = 0
+    wh: Warehouse,
+    state: State,
+    orders: DataFrame,
+    layout: Layout,
+    grain: Sequence[str],
+    how: str,
+    now: Column,
+    run_id: str,
+    after: int = 0,
 ) -> DataFrame:
-    """Facts of the orders with keys that follow on `after`, in a written table sorted by date."""
-    facts = star.sales_facts(
-        orders,
+    """Facts of the orders with keys that follow on `after`, lying together by date."""
+    # In the types they are stored in, amounts take less room on their way.
+    kinds = {f.name: f.dataType for f in schemas.FACT_SALES if f.name in ("quantity", "total_amount")}
+    facts = star.numbered_facts(
+        orders.withColumns({name: F.col(name).cast(kind) for name, kind in kinds.items()}),
         wh.read(state, CUSTOMERS, layout.dimension),
         wh.read(state, PRODUCTS, schemas.DIM_PRODUCT),
         wh.read(state, DATES, schemas.DIM_DATE),
         tuple(grain),
         how,
+        lambda rows: wh.stage(rows, "joined", run_id, "zstd"),
     )
-    facts = star.with_fact_key(facts).withColumn("sales_sk", F.col("sales_sk") + after)
+    facts = facts.withColumn("sales_sk", F.col("sales_sk") + after)
     return schemas.select_to_schema(facts, schemas.FACT_SALES, {"created_at": now})
 
 
@@ -495,7 +508,9 @@ def _refresh_facts(
         # The range reaches the scan of the orders; the months then pick from it.
         near = orders.filter((F.col("order_date") >= ntz(first)) & (F.col("order_date") < ntz(last + timedelta(days=31))))
         mine = near.filter(F.date_format("order_date", "yyyyMM").isin(sorted(months)))
-        rows = _fact_rows(wh, state, mine, layout, grain, how, ntz(as_of), after)
+        rows = _fact_rows(wh, state, mine, layout, grain, how, ntz(as_of), run_id, after)
         written = wh.write_parts(rows.withColumn(PART, _month()), FACTS, run_id, gathered=True)
         state = state.replaced(FACTS, months, written, run_id)
-    return wh.publish(_based(wh, state, run_id), run_id)
+    state = wh.publish(_based(wh, state, run_id), run_id)
+    wh.drop_staged(run_id)
+    return state

@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.session import freed_shuffles
+
 CORRUPT = "_corrupt_record"
 # CSV text of zone-free timestamps; Spark's own default stops at milliseconds.
 MICROSECONDS = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
@@ -46,10 +48,11 @@ def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> str:
 
 def append_run(df: DataFrame, path: str, by: str) -> str:
     """Append rows under their run partition; writing a run again replaces just that run."""
-    (
-        df.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(by)
-        .parquet(path)
-    )
+    with freed_shuffles(df.sparkSession):
+        (
+            df.write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy(by)
+            .parquet(path)
+        )
     return path

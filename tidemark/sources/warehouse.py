@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.session import freed_shuffles
 from tidemark.sources.files import append_run
 
 PART = "part"
@@ -177,13 +178,15 @@ class Warehouse:
         """
         path = f"{self.path(table)}/run_id={run_id}"
         df = df if gathered else df.hint("rebalance", PART)
-        df.write.mode("overwrite").partitionBy(PART).parquet(path, compression="zstd")
+        with freed_shuffles(self.spark):
+            df.write.mode("overwrite").partitionBy(PART).parquet(path, compression="zstd")
         names = self._names(f"{table}/run_id={run_id}")
         return {unquote(name.removeprefix(f"{PART}=")) for name in names if name.startswith(f"{PART}=")}
 
-    def stage(self, df: DataFrame, name: str, run_id: str) -> DataFrame:
+    def stage(self, df: DataFrame, name: str, run_id: str, codec: str | None = None) -> DataFrame:
         """Write a step of a run once for its several readers."""
-        df.write.mode("overwrite").parquet(self._step(name, run_id))
+        with freed_shuffles(self.spark):
+            df.write.mode("overwrite").parquet(self._step(name, run_id), compression=codec)
         return self.staged(name, df.schema, run_id)
 
     def staged(self, name: str, schema: T.StructType, run_id: str) -> DataFrame:
